@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -14,6 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sonalyze.llm.substrings import dedup_substrings
+
+    kept = F.coalesce("text", F.lit(""))
+    return dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sonalyze.llm.packing import pack
 
