@@ -27,25 +27,19 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 TOKENS = "doc_id long, source string, part int, at long, n long, width int, ids binary"
 
 
-def token_blob(found: np.ndarray) -> tuple[int, bytes]:
-    """Ids in two bytes each where they fit, else in four."""
-    width = 2 if not len(found) or int(found.max()) < 1 << 16 else 4
-    return width, found.astype("<u2" if width == 2 else "<u4").tobytes()
-
-
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """Ids of each whole text with the end id, and where they stand in their task's run of their source."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, at = encoder(tokenizer).encode, TaskContext.get().partitionId(), {}
+        encode, part, at = encoder(tokenizer), TaskContext.get().partitionId(), {}
+        width, end = encode.kind.itemsize, np.array([end_id], encode.kind).tobytes()
         for batch in batches:
-            keys, sources, out, size = batch.column(0), batch.column(1).to_pylist(), [], 0
+            keys, sources, texts, out, size = batch.column(0), batch.column(1).to_pylist(), batch.column(2), [], 0
             for i in range(batch.num_rows):
-                found = np.append(encode(batch.column(2)[i].as_py() or ""), np.uint32(end_id))
-                width, blob = token_blob(found)
-                begun = at.get(sources[i], 0)
-                at[sources[i]] = begun + len(found)
-                out.append((keys[i].as_py(), sources[i], part, begun, len(found), width, blob))
+                blob = encode.blob(texts[i].as_py()) + end
+                n, begun = len(blob) // width, at.get(sources[i], 0)
+                at[sources[i]] = begun + n
+                out.append((keys[i].as_py(), sources[i], part, begun, n, width, blob))
                 size += len(blob)
                 if size > 4 << 20 or i + 1 == batch.num_rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], TOKENS.replace(",", "").split()[::2])

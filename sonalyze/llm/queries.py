@@ -15,6 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sonalyze.llm.suffix_tree import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sonalyze.llm.substrings import dedup_substrings
 

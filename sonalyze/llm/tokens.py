@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 import numpy as np
 
 #: Words kept with their ids in each Python worker; beyond it the cache starts anew.
-CACHED_WORDS = 400_000
-#: The library's own cutting rule for this vocabulary (fixed value): no token crosses one of these pieces.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+CACHED_WORDS = 1_000_000
+#: The library's own cutting rule for byte-level vocabularies (fixed value), letters first for speed: no
+#: token crosses one of these pieces.
+PIECES = r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 _loaded: dict[str, "Encoder"] = {}
 
 
+def byte_characters() -> dict[int, int]:
+    """Byte-level vocabularies write printable bytes as themselves and the others from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """encode(text) gives the ids that Tokenizer.encode gives; every id comes from the library."""
 
@@ -29,24 +35,31 @@ class Encoder:
         pre = config.get("pre_tokenizer") or {}
         self.by_word = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not config.get("normalizer")
         self.special = [t["content"] for t in config.get("added_tokens", [])]
+        self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.cut = regex.compile(PIECES).findall
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
+        self.characters = byte_characters()
 
-    def encode(self, text: str) -> np.ndarray:
+    def blob(self, text: str) -> bytes:
+        """The ids as unsigned integers of kind."""
         if not self.by_word or any(s in text for s in self.special):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
         pieces = self.cut(text)
         known = self.known
         try:
-            return np.fromiter(chain.from_iterable(map(known.__getitem__, pieces)), np.uint32)
+            return b"".join(map(known.__getitem__, pieces))
         except KeyError:
             pass
         if len(known) > CACHED_WORDS:
             known.clear()
-        new = [p for p in set(pieces) if p not in known]
-        for p, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[p] = tuple(found.ids)
-        return np.fromiter(chain.from_iterable(map(known.__getitem__, pieces)), np.uint32)
+        tokenize, characters, kind = self.library.model.tokenize, self.characters, self.kind
+        for p in pieces:
+            if p not in known:
+                known[p] = np.array([t.id for t in tokenize(p.encode().decode("latin-1").translate(characters))], kind).tobytes()
+        return b"".join(map(known.__getitem__, pieces))
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.blob(text), self.kind)
 
 
 def encoder(path: str) -> Encoder:
