@@ -34,6 +34,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), BYTE_BPE).drop("source")
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sonalyze.llm.caps import similar_vectors
+
+    return similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sonalyze.llm.bytespans import dedup_bytes
 
