@@ -107,7 +107,7 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 75, max_bits:
     needed = F.ceil(F.col("n") * percent / 100).cast("int")
     # n-grams of one document come first in the order and use up places of the prefix
     length = (F.col("n") - needed + 1 - (F.col("n") - F.size("order"))).cast("int")
-    prefixes = ordered.where(length > 0).select("rep", "n", F.explode(F.slice("order", F.lit(1), length)).alias("x")).select("rep", "n", F.col("x.g").alias("g"))
+    prefixes = ordered.where(length > 0).select("rep", "n", F.posexplode(F.slice("order", F.lit(1), length)).alias("at", "x"), (F.col("n") - F.size("order")).alias("before")).select("rep", "n", F.col("x.g").alias("g"), (F.col("before") + F.col("at") + 1).alias("at"))
     prefixes = stored(prefixes, "jaccard-prefixes")
     near = prefixes.select("rep").distinct()
     cut = F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)), lambda f: F.struct(f.alias("fragment"), F.filter("grams", lambda g: F.shiftrightunsigned(g, 61) == f).alias("part")))
@@ -117,16 +117,19 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 75, max_bits:
     tested = spark.createDataFrame([], "a long, b long")
     links = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "id long, component long")
-    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    # a similar pair shares at least `common` n-grams, so the first they share stands this early in both
+    common = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
+    fits = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.col("pa") <= F.col("na") - common + 1) & (F.col("pb") <= F.col("nb") - common + 1)
     for last in (False, False, True):
         labelled = prefixes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        mixed = labelled.groupBy("g").agg(F.min(F.struct("component", "rep", "n")).alias("lead"), F.max("component").alias("most")).where("lead.component <> most")
+        mixed = labelled.groupBy("g").agg(F.min(F.struct("component", "at", "rep", "n")).alias("lead"), F.max("component").alias("most")).where("lead.component <> most")
         if last:
             open_ = labelled.join(mixed.select("g"), "g", "left_semi")
-            other = open_.select("g", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-            pairs = open_.selectExpr("g ga", "rep a", "n na", "component ca").join(other, F.expr("ga = g AND a < b AND ca <> cb") & fits)
+            other = open_.selectExpr("g", "rep b", "n nb", "component cb", "at pb")
+            pairs = open_.selectExpr("g ga", "rep a", "n na", "component ca", "at pa").join(other, F.expr("ga = g AND a < b AND ca <> cb") & fits)
         else:
-            pairs = labelled.join(mixed, "g").where("component <> lead.component").select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b"), F.when(F.col("rep") < F.col("lead.rep"), F.col("n")).otherwise(F.col("lead.n")).alias("na"), F.when(F.col("rep") < F.col("lead.rep"), F.col("lead.n")).otherwise(F.col("n")).alias("nb")).where(fits)
+            pairs = labelled.join(mixed, "g").where("component <> lead.component").selectExpr("rep a", "n na", "at pa", "lead.rep b", "lead.n nb", "lead.at pb").where(fits)
+            pairs = pairs.selectExpr("least(a, b) a", "greatest(a, b) b", "if(a < b, na, nb) na", "if(a < b, nb, na) nb")
         pairs = pairs.select("a", "b", "na", "nb").distinct().join(tested, ["a", "b"], "left_anti").checkpoint()
         if pairs.isEmpty():
             continue
