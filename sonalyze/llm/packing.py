@@ -114,7 +114,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, s
 
 
 def pieces(batch: pa.RecordBatch, mixture: Mixture) -> pa.RecordBatch:
-    keys, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+    keys, sources = batch.column(0), batch.column(1)
     queue, at, n, width = (batch.column(i).to_numpy() for i in range(2, 6))
     blobs = batch.column(6)
     first, last = np.empty(len(n), np.int64), np.empty(len(n), np.int64)
@@ -125,17 +125,22 @@ def pieces(batch: pa.RecordBatch, mixture: Mixture) -> pa.RecordBatch:
     edges = np.unique(np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last)]))
     served = mixture.served(edges)
     begun = np.cumsum(np.diff(served, axis=0, append=served[-1:]), 1)  # of a window, behind each queue's part
-    out = []
-    for i in range(len(n)):
-        q, low, high = int(queue[i]), int(at[i]), int(at[i] + n[i])
-        a, b = np.searchsorted(edges, first[i]), np.searchsorted(edges, last[i])
-        cuts = served[a : b + 1, q]
-        w = int(np.searchsorted(cuts, low, "right")) - 1
-        data = np.frombuffer(blobs[i].as_buffer(), "<u2" if width[i] == 2 else "<u4").astype("<u4")
-        while low < high:
-            to = min(high, int(cuts[w + 1]))
-            if to > low:
-                before = int(begun[a + w, q - 1]) if q else 0
-                out.append((keys[i], low - int(at[i]), to - low, zlib.crc32(data[low - at[i] : to - at[i]]), int(n[i]), int(edges[a + w]), before + low - int(cuts[w]), sources[i]))
-            low, w = to, w + 1
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k == 7 else pa.int64()) for k, c in enumerate(zip(*out))], PIECES.replace(",", "").split()[::2])
+    own, window = [], []
+    for q in np.unique(queue):
+        rows = np.flatnonzero(queue == q)
+        from_ = np.searchsorted(served[:, q], at[rows], "right") - 1
+        count = np.searchsorted(served[:, q], at[rows] + n[rows], "left") - from_
+        own.append(np.repeat(rows, count))
+        window.append(np.repeat(from_ - (np.cumsum(count) - count), count) + np.arange(count.sum()))
+    own, window = np.concatenate(own), np.concatenate(window)
+    low = np.maximum(at[own], served[window, queue[own]])
+    high = np.minimum(at[own] + n[own], served[window + 1, queue[own]])
+    full = high > low
+    own, window, low, high = own[full], window[full], low[full], high[full]
+    before = np.where(queue[own] > 0, begun[window, np.maximum(queue[own] - 1, 0)], 0)
+    text = np.cumsum(n) - n
+    data = memoryview(np.concatenate([np.frombuffer(b.as_buffer(), "<u2" if k == 2 else "<u4") for b, k in zip(blobs, width)]).astype("<u4")).cast("B")
+    begin = (text[own] + low - at[own]) * 4
+    crc = list(map(zlib.crc32, map(data.__getitem__, map(slice, begin.tolist(), (begin + (high - low) * 4).tolist()))))
+    columns = [keys.take(pa.array(own)), low - at[own], high - low, crc, n[own], edges[window], before + low - served[window, queue[own]], sources.take(pa.array(own))]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k == 7 else pa.int64()) for k, c in enumerate(columns)], PIECES.replace(",", "").split()[::2])

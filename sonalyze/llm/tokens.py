@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 
 #: Words kept with their ids in each Python worker; beyond it the cache starts anew.
@@ -20,8 +22,28 @@ def byte_characters() -> dict[int, int]:
     return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
 
 
+class Known(dict):
+    """Ids of the text between two spaces, with the space before it; a line break stands without one."""
+
+    def __init__(self, encoder: Encoder):
+        self.encoder = encoder
+
+    def __missing__(self, chunk: str) -> bytes:
+        e = self.encoder
+        if chunk.isalpha():  # one piece
+            found = array(e.code, [t.id for t in e.tokenize(e.space + (chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(e.characters)))]).tobytes()
+        else:
+            found = e.cut_blob(chunk if chunk[:1] == "\n" else " " + chunk)
+        self[chunk] = found
+        return found
+
+
 class Encoder:
-    """encode(text) gives the ids that Tokenizer.encode gives; every id comes from the library."""
+    """encode(text) gives the ids that Tokenizer.encode gives; every id comes from the library.
+
+    Where no two blanks meet, a token never crosses the place before a space or a line break, so the text
+    between two of these always has the same ids.
+    """
 
     def __init__(self, path: str):
         import json
@@ -36,27 +58,32 @@ class Encoder:
         self.by_word = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not config.get("normalizer")
         self.special = [t["content"] for t in config.get("added_tokens", [])]
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.kind.itemsize == 2 else "I"
         self.cut = regex.compile(PIECES).findall
-        self.known: dict[str, bytes] = {}
+        self.blanks_meet = regex.compile(r"\s\s|^\s|\s$").search
+        self.known = Known(self)
+        self.tokenize = self.library.model.tokenize
         self.characters = byte_characters()
+        self.space = chr(self.characters[0x20])
+
+    def cut_blob(self, text: str) -> bytes:
+        out = array(self.code)
+        for p in self.cut(text):
+            out.extend([t.id for t in self.tokenize(p.encode().decode("latin-1").translate(self.characters))])
+        return out.tobytes()
 
     def blob(self, text: str) -> bytes:
         """The ids as unsigned integers of kind."""
+        if not text:
+            return b""
         if not self.by_word or any(s in text for s in self.special):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        pieces = self.cut(text)
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, pieces))
-        except KeyError:
-            pass
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        tokenize, characters, kind = self.library.model.tokenize, self.characters, self.kind
-        for p in pieces:
-            if p not in known:
-                known[p] = np.array([t.id for t in tokenize(p.encode().decode("latin-1").translate(characters))], kind).tobytes()
-        return b"".join(map(known.__getitem__, pieces))
+        if self.blanks_meet(text):
+            return self.cut_blob(text)
+        if len(self.known) > CACHED_WORDS:
+            self.known.clear()
+        first, *rest = text.replace("\n", " \n").split(" ")
+        return self.cut_blob(first) + b"".join(map(self.known.__getitem__, rest))
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(self.blob(text), self.kind)
