@@ -34,6 +34,13 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sonalyze.llm.langid import identify, page_rows, train
+
+    model = train(table(spark, sf_dir, "documents"))
+    return identify(page_rows(table(spark, sf_dir, "pages")), model).withColumnRenamed("id", "page_id")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sonalyze.llm.packing import pack
 
