@@ -106,13 +106,13 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
     """id, language, posterior, n_grams, rejected for each row of rows (id, text, declared, host, site, suffix).
 
     Any column may be null: null text has no trigrams, and other nulls give no evidence. A row is rejected
-    if its text holds no letters' trigram, if und is the most probable, or if no language reaches
+    if its text holds no letter, if und is the most probable, or if no language reaches
     LEAST_POSTERIOR; its language is then und. Equal probabilities go to the first language in the alphabet.
     Repeated rows count and are returned each. Without any labelled document every row is und. An empty
     table gives no rows.
     """
     languages = model.languages
-    table = stored(likelihoods(rows.select(F.col("id").cast("long").alias("id"), "text", F.lower("declared").alias("declared"), "host", "site", "suffix"), model, ["id", "declared", "host", "site", "suffix"]), "langid-rows")
+    table = stored(likelihoods(rows.select(F.col("id").cast("long").alias("id"), "text", F.lower("declared").alias("declared"), "host", "site", "suffix", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered")), model, ["id", "declared", "host", "site", "suffix", "lettered"]), "langid-rows")
     likely = F.array_position("ll", F.array_max("ll")) - 1
     table = table.withColumn("said", F.when(F.col("n_grams") > 0, likely).cast("int"))
     votes = table.where(F.col("said") < len(languages))
@@ -143,7 +143,7 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
     fused = fused.withColumn("top", F.array_max("score")).withColumn("best", (F.array_position("score", F.col("top")) - 1).cast("int"))
     posterior = 1 / F.aggregate("score", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
     fused = fused.withColumn("posterior", posterior)
-    rejected = (F.col("n_grams") == 0) | (F.col("best") == len(languages)) | (F.col("posterior") < LEAST_POSTERIOR)
+    rejected = ~F.col("lettered") | (F.col("best") == len(languages)) | (F.col("posterior") < LEAST_POSTERIOR)
     return fused.select("id", F.when(rejected, F.lit(UND)).otherwise(F.get("names", F.col("best"))).alias("language"), "posterior", "n_grams", rejected.alias("rejected"))
 
 

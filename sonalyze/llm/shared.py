@@ -43,3 +43,19 @@ def remove(spark: SparkSession, path: str) -> None:
 def n_buckets(spark: SparkSession, n_bytes: int, per_bucket: int) -> int:
     """Enough buckets for parts of per_bucket bytes, and for all shuffle partitions."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // per_bucket), 1)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give Python workers this package, where the cluster hasn't installed it."""
+    import zipfile
+    from pathlib import Path
+
+    package = Path(__file__).resolve().parent.parent
+    name = f"{package.name}-shipped.zip"
+    if any(str(f).endswith(name) for f in spark.sparkContext._python_includes):
+        return
+    to = Path(tempfile.mkdtemp(prefix="ship-")) / name
+    with zipfile.ZipFile(to, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(to))
