@@ -23,9 +23,11 @@ from sonalyze.llm import suffixes as S
 from sonalyze.llm import text as X
 from sonalyze.llm.shared import n_buckets
 from sonalyze.llm.sketch import repeats, text_bytes
-from sonalyze.llm.substrings import BLOCK_BYTES, BUCKET_BYTES, joined
+from sonalyze.llm.substrings import BLOCK_BYTES, joined
 
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 19
+#: Bytes of text of which equal contexts are found before they are sent, and that a part is made for.
+LOCAL_BYTES, PART_BYTES = 8 << 20, 8 << 20
 FOUND = "part int, block int, doc binary, start binary, n binary, anchor binary, c1 binary, c2 binary, body binary"
 REMOVED = "block int, doc binary, start binary, n binary"
 
@@ -164,7 +166,7 @@ def dedup_bytes(docs: DataFrame, window: int = 100, max_bits: int = 29) -> DataF
     spark = docs.sparkSession
     docs = docs.drop("n_bytes", "n_removed", "n_spans", "kept")
     total = text_bytes(docs)
-    parts, blocks = n_buckets(spark, total, BUCKET_BYTES), n_buckets(spark, total, BLOCK_BYTES) | 1
+    parts, blocks = n_buckets(spark, total, PART_BYTES), n_buckets(spark, total, BLOCK_BYTES) | 1
 
     def keys(column: pa.Array) -> np.ndarray:
         return np.concatenate([np.empty(0, np.uint64), *(contexts(c, window)[2] for c in X.chunks(column))])
@@ -174,7 +176,7 @@ def dedup_bytes(docs: DataFrame, window: int = 100, max_bits: int = 29) -> DataF
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got: list[list[np.ndarray]] = [[] for _ in range(7)]
-            ids = X.ids(batch.column(0))
+            ids, held = X.ids(batch.column(0)), 0
             for c in X.chunks(batch.column(1)):
                 starts, n, anchor = contexts(c, window)
                 if not len(starts):
@@ -186,20 +188,25 @@ def dedup_bytes(docs: DataFrame, window: int = 100, max_bits: int = 29) -> DataF
                 codes = X.BYTE_CODE[c.data]
                 for out, x in zip(got, (ids[c.first + row], (starts - c.offsets[row]).astype(np.uint32), n.astype(np.uint32), anchor, X.spans(X.prefix(codes, X.BASE_BYTE), starts, ends, X.BASE_BYTE), X.spans(X.prefix(X.mix(codes), X.BASE_ALT), starts, ends, X.BASE_ALT), bodies(c.data, starts, ends - starts))):
                     out.append(x)
-            if not got[0]:
-                continue
-            doc, start, n, anchor, c1, c2, body = map(np.concatenate, got)
-            by, later = earliest(c1, c2, doc, start)
-            gone, own = by[later], by[~later]
-            yield record([(block % parts, block, d, s, k, *[None] * 4) for block, d, s, k in by_block(doc[gone], start[gone], n[gone], blocks)], FOUND)
-            part = ((anchor >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-            own = own[np.argsort(part[own], kind="stable")]
-            lengths = n.astype(np.int64) + window - 1
-            at = np.cumsum(lengths) - lengths
-            edges = X.group_starts(part[own])
-            for a, b in zip(edges[:-1], edges[1:]):
-                mine = own[a:b]
-                yield record([(int(part[mine[0]]), -1, *(x[mine].tobytes() for x in (doc, start, n, anchor, c1, c2)), bodies(body, at[mine], lengths[mine]).tobytes())], FOUND)
+                held += len(c.data)
+                if held > LOCAL_BYTES:
+                    yield from dealt(*map(np.concatenate, got))
+                    got, held = [[] for _ in range(7)], 0
+            if got[0]:
+                yield from dealt(*map(np.concatenate, got))
+
+    def dealt(doc, start, n, anchor, c1, c2, body) -> Iterator[pa.RecordBatch]:
+        by, later = earliest(c1, c2, doc, start)
+        gone, own = by[later], by[~later]
+        yield record([(block % parts, block, d, s, k, *[None] * 4) for block, d, s, k in by_block(doc[gone], start[gone], n[gone], blocks)], FOUND)
+        part = ((X.mix(anchor) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)  # anchors are small hashes
+        own = own[np.argsort(part[own], kind="stable")]
+        lengths = n.astype(np.int64) + window - 1
+        at = np.cumsum(lengths) - lengths
+        edges = X.group_starts(part[own])
+        for a, b in zip(edges[:-1], edges[1:]):
+            mine = own[a:b]
+            yield record([(int(part[mine[0]]), -1, *(x[mine].tobytes() for x in (doc, start, n, anchor, c1, c2)), bodies(body, at[mine], lengths[mine]).tobytes())], FOUND)
 
     def grouped(table: pa.Table) -> pa.Table:
         mine = np.asarray(table.column("block")) < 0

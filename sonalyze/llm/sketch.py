@@ -41,11 +41,8 @@ class Repeats:
 
 
 def cells(keys: np.ndarray, bits: int, row: int) -> np.ndarray:
-    if row:
-        keys = keys * np.uint64((X.BASE_ALT + 2 * row) % 2**64)
-        keys = keys ^ (keys >> np.uint64(32))
-        keys = keys * np.uint64(X.BASE_WORD)
-    return (keys >> np.uint64(64 - bits)).astype(np.uint32)
+    """Keys may be the least of many hashes and so be small; mixed, they fill all cells."""
+    return (X.mix(keys + np.uint64((row + 1) * X.BASE_ALT % 2**64)) >> np.uint64(64 - bits)).astype(np.uint32)
 
 
 def capped(sorted_cells: np.ndarray) -> np.ndarray:
