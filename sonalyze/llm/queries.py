@@ -37,6 +37,39 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents are inserted; the toxic ones are deleted; word counts of the others of low quality are
+    revised to count an end; the deletes are sent twice."""
+    from sonalyze.llm.rollups import Rollup, byte_count, word_count
+    from sonalyze.llm.shared import scratch, stored
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.explode(F.create_map(F.lit("words-1"), word_count(), F.lit("bytes-1"), byte_count())).alias("tokenizer", "n_tokens"))
+    counts = stored(docs, "rollup-counts")
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    own = counts.join(labels, "doc_id")
+    event = lambda df, op, n, old: df.select(F.lit(op).alias("op"), "source", "lang", "tokenizer", n.alias("n_tokens"), old.alias("old_tokens"))
+    n = F.col("n_tokens")
+    rollup = Rollup(spark, scratch(spark, "rollup"))
+    rollup.commit("inserts", event(counts, "insert", n, F.lit(0)))
+    gone = event(own.where("toxic = 1"), "delete", n, F.lit(0))
+    rollup.commit("deletes", gone)
+    rollup.compact()
+    rollup.commit("revisions", event(own.where("toxic = 0 AND quality = 0 AND tokenizer = 'words-1'"), "revise", n + 1, n))
+    rollup.commit("deletes", gone)
+    return rollup.totals()
+
+
+OP4_SQL = r"""
+WITH marks AS (SELECT doc_id, max(toxic) AS toxic, min(quality) AS quality FROM labels GROUP BY doc_id),
+kept AS (
+    SELECT d.source, d.lang, CASE WHEN m.quality = 0 AND m.toxic = 0 THEN 1 ELSE 0 END AS revised,
+        len(list_filter(string_split_regex(coalesce(d.text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS words, strlen(coalesce(d.text, '')) AS bytes
+    FROM documents d LEFT JOIN marks m ON d.doc_id = m.doc_id WHERE m.toxic IS NULL OR m.toxic <> 1)
+SELECT source, lang, 'words-1' AS tokenizer, count(*) AS docs, CAST(sum(words + revised) AS BIGINT) AS tokens FROM kept GROUP BY source, lang
+UNION ALL SELECT source, lang, 'bytes-1', count(*), CAST(sum(bytes) AS BIGINT) FROM kept GROUP BY source, lang
+"""
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sonalyze.llm.langid import identify, page_rows, train
 
@@ -73,4 +106,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_token_counts": OP4_SQL}

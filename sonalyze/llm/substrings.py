@@ -69,11 +69,11 @@ def joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(x.as_py() for x in table.column(name) if x.is_valid), kind)
 
 
-def dedup_substrings(docs: DataFrame, window: int = 20, max_bits: int = 29) -> DataFrame:
+def dedup_substrings(docs: DataFrame, window: int = 20, max_bits: int = 29, rejoin: bool = True) -> DataFrame:
     """docs with text cut to the words that are kept, joined by one space, and n_words and n_removed.
 
     A word goes when a window that covers it starts earlier too: in a smaller doc_id, or earlier in the
-    same document. Windows are judged on the texts given, not on what is left of them. All columns are
+    same document. Without rejoin, a text that loses no word stays as it is. Windows are judged on the texts given, not on what is left of them. All columns are
     kept; n_words and n_removed take the place of columns of that name. Null text is empty, with no
     words, and stays null. Rows of one doc_id count as one document at one place: none of them is
     earlier than the other, and what one loses at a place the other loses there. A null doc_id comes
@@ -147,6 +147,8 @@ def dedup_substrings(docs: DataFrame, window: int = 20, max_bits: int = 29) -> D
             n_removed[rows] = n_words[rows] - np.diff(count[w.bounds])
             kept.append(join_words(c, w, keep))
         body = pa.concat_arrays(kept) if kept else pa.array([], pa.string())
+        if not rejoin:
+            body = pc.if_else(pa.array(n_removed == 0), text.cast(pa.string()), body)
         if text.null_count:
             body = pc.if_else(text.is_valid(), body, pa.scalar(None, pa.string()))
         out = texts.select(names).set_column(at_text, "text", body)
