@@ -89,6 +89,15 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sonalyze.llm.shared import scratch
+    from sonalyze.llm.tokenfile import read_ids, write_ids
+
+    path = scratch(spark, "token-ids")
+    write_ids(table(spark, sf_dir, "documents"), path, BYTE_BPE)
+    return read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sonalyze.llm.bytespans import dedup_bytes
 
