@@ -41,6 +41,12 @@ def block_of(value: str, blocks: int) -> str:
     return f"inline(array({', '.join(cuts)}))"
 
 
+def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a column that is computed once a row, however often lambdas below read it: a generator
+    isn't folded into the expressions that use it."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def find_passages(docs: DataFrame, items: DataFrame, size: int = 5, percent: int = 75, radius: int = 23) -> DataFrame:
     """doc_id, item_id, start, n_words, similarity: for each document and item that it holds, the best window
     (the first of equal ones; start counts words from 0).
@@ -52,35 +58,37 @@ def find_passages(docs: DataFrame, items: DataFrame, size: int = 5, percent: int
     """
     null = F.lit(NULL_ID)
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), null).alias("doc_id"), "text")
-    bench = items.select(F.coalesce(F.col("item_id").cast("long"), null).alias("item_id"), words(F.col("text")).alias("w")).withColumn("item", F.expr(shingles(size))).where(F.size("item") > 0)
+    bench = computed(items.select(F.coalesce(F.col("item_id").cast("long"), null).alias("item_id"), "text"), "w", words(F.col("text")))
+    bench = computed(bench, "item", F.expr(shingles(size))).where(F.size("item") > 0)
     bench = bench.select("item_id", "item", F.size("w").alias("length"), F.size("item").alias("n_item"), F.expr(fingerprint("item")).alias("item_print")).distinct()
     short = bench.where(F.col("length") < size)
     bench = bench.where(F.col("length") >= size)
     known = bench.select(F.explode("item").alias("h"), "item_id", "item", "length", "n_item").distinct()
 
-    cut = docs.withColumn("w", words(F.col("text"))).select("doc_id", F.size("w").alias("n_words"), F.expr(shingles(size)).alias("s"))
+    cut = computed(docs, "w", words(F.col("text"))).where(F.size("w") >= size).select("doc_id", F.size("w").alias("n_words"), F.expr(shingles(size)).alias("s"))
     hits = cut.select("doc_id", "n_words", F.size("s").alias("n_doc"), F.posexplode("s").alias("at", "h")).join(known.select("h", "item_id", "item", "length", "n_item"), "h")
     held = hits.groupBy("doc_id", "n_words", "n_doc", "item_id", "item", "length", "n_item").agg(F.sort_array(F.collect_set("at")).alias("at"))
     # shingles of a window, and how many of them must be shared
     held = held.withColumn("n_window", F.least("n_item", "n_doc")).withColumn("needed", F.ceil(percent * (F.col("n_window") + F.col("n_item")) / (100 + percent)).cast("int")).where(F.size("at") >= F.col("needed"))
     starts = "sequence(greatest(0, at[needed - 1] - n_window + 1), least(at[size(at) - needed], n_doc - n_window))"
     enough = "size(filter(at, p -> p BETWEEN s AND s + n_window - 1)) >= needed"
-    held = held.where("greatest(0, at[needed - 1] - n_window + 1) <= least(at[size(at) - needed], n_doc - n_window)").withColumn("starts", F.expr(f"filter({starts}, s -> {enough})")).where(F.size("starts") > 0)
+    held = held.where("greatest(0, at[needed - 1] - n_window + 1) <= least(at[size(at) - needed], n_doc - n_window)")
+    held = computed(held, "starts", F.expr(f"filter({starts}, s -> {enough})")).where(F.size("starts") > 0)
 
-    texts = docs.join(held.select("doc_id", "item_id", "n_words", "n_window", "starts"), "doc_id").withColumn("w", words(F.col("text"))).where(F.size("w") == F.col("n_words"))
-    texts = texts.withColumn("s", F.expr(shingles(size))).select("doc_id", "item_id", F.expr("inline(transform(starts, x -> struct(x AS start, slice(s, x + 1, n_window) AS window)))"))
-    windows = texts.select("doc_id", "item_id", "start", "window", F.expr(fingerprint("window")).alias("print"))
+    texts = computed(docs.join(held.select("doc_id", "item_id", "n_words", "n_window", "starts"), "doc_id"), "w", words(F.col("text"))).where(F.size("w") == F.col("n_words"))
+    texts = computed(texts, "s", F.expr(shingles(size))).select("doc_id", "item_id", F.expr("inline(transform(starts, x -> struct(x AS start, slice(s, x + 1, n_window) AS window)))"))
+    windows = computed(texts, "print", F.expr(fingerprint("window")))
 
     blocks = radius + 1
     index = bench.select("item_id", "item", "length", "item_print", F.expr(block_of("item_print", blocks)))
     near = windows.select("doc_id", "item_id", "start", "window", "print", F.expr(block_of("print", blocks))).join(index, ["item_id", "block", "bits"])
     near = near.where(f"bit_count(print ^ item_print) <= {radius}").dropDuplicates(["doc_id", "item_id", "start", "window", "item"])
     both = "aggregate(array_distinct(window), 0, (n, h) -> n + least(size(filter(window, x -> x = h)), size(filter(item, x -> x = h))))"
-    found = near.withColumn("shared", F.expr(both)).withColumn("all", F.size("window") + F.size("item") - F.col("shared")).where(100 * F.col("shared") >= percent * F.col("all"))
+    found = computed(near, "shared", F.expr(both)).withColumn("all", F.size("window") + F.size("item") - F.col("shared")).where(100 * F.col("shared") >= percent * F.col("all"))
     best = found.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("start", "length"), F.struct(F.col("shared") / F.col("all"), -F.col("start"))).alias("x"), F.max(F.col("shared") / F.col("all")).alias("similarity"))
     best = best.select("doc_id", "item_id", "x.start", "x.length", "similarity")
     for n in sorted(r[0] for r in short.select("length").distinct().collect()):  # fewer than `size`: their windows have one shingle
-        own = docs.withColumn("w", words(F.col("text"))).where(F.size("w") >= n).select("doc_id", F.posexplode(F.expr(f"transform(sequence(0, size(w) - {n}), i -> xxhash64(array_join(slice(w, i + 1, {n}), ' '), 'short'))")).alias("start", "h"))
+        own = computed(docs, "w", words(F.col("text"))).where(F.size("w") >= n).select("doc_id", F.posexplode(F.expr(f"transform(sequence(0, size(w) - {n}), i -> xxhash64(array_join(slice(w, i + 1, {n}), ' '), 'short'))")).alias("start", "h"))
         same = own.join(short.where(F.col("length") == n).select("item_id", "length", F.col("item")[0].alias("h")), "h")
         best = best.unionByName(same.groupBy("doc_id", "item_id", "length").agg(F.min("start").alias("start"), F.lit(1.0).alias("similarity")))
     return best.select(F.nullif("doc_id", null).alias("doc_id"), F.nullif("item_id", null).alias("item_id"), F.col("start").cast("long").alias("start"), F.col("length").cast("long").alias("n_words"), "similarity")
