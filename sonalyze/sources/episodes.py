@@ -21,7 +21,7 @@ def requests(spark: SparkSession, path: str) -> DataFrame:
     """request_json, stem, folder, body: whole request files. The body is a variant, so one odd value leaves
     the rest readable; it is null where the file is no JSON."""
     at = F.col("_metadata.file_path")
-    rows = spark.read.option("wholetext", True).text(path).select(at.alias("request_json"), F.expr("try_parse_json(value)").alias("body"))
+    rows = spark.read.text(path, wholetext=True).select(at.alias("request_json"), F.expr("try_parse_json(value)").alias("body"))
     name = F.element_at(F.split("request_json", "/"), -1)
     stem = F.when(name.endswith(REQUEST), F.substring(name, F.lit(1), F.length(name) - len(REQUEST)))
     return rows.select("request_json", stem.alias("stem"), F.regexp_replace("request_json", "[^/]*$", "").alias("folder"), "body")

@@ -31,5 +31,5 @@ def logs(spark: SparkSession, paths: list[str], key: str, field: str = "correlat
 
 def scripts(spark: SparkSession, path: str, newest: bool = False) -> DataFrame:
     """path, value, modified of Markdown scripts; the newest alone if asked."""
-    rows = spark.read.option("wholetext", True).option("pathGlobFilter", "*.md").text(path).select(F.col("_metadata.file_path").alias("path"), "value", F.col("_metadata.file_modification_time").alias("modified"))
+    rows = spark.read.option("pathGlobFilter", "*.md").text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value", F.col("_metadata.file_modification_time").alias("modified"))
     return rows.orderBy(F.desc("modified"), F.desc("path")).limit(1) if newest else rows

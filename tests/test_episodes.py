@@ -33,7 +33,7 @@ def test_records(spark):
 
 
 def episode(tmp_path, turns, parts, name="ep.minimax-request.json"):
-    (tmp_path / name).write_text(turns if isinstance(turns, str) else json.dumps({"turns": turns}, ensure_ascii=False), encoding="utf-8")
+    (tmp_path / name).write_text(turns if isinstance(turns, str) else json.dumps({"turns": turns}, ensure_ascii=False, indent=1), encoding="utf-8")
     if parts is not None:
         (tmp_path / "ep.line_parts").mkdir()
         for p in parts:
