@@ -216,7 +216,7 @@ def dedup_bytes(docs: DataFrame, window: int = 100, max_bits: int = 29) -> DataF
         out = [record(list(by_block(*found, blocks)), REMOVED) for found in later_windows(*columns, window)]
         return pa.concat_tables([passed, pa.Table.from_batches(out)])
 
-    removed = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(found, FOUND).groupBy("part").applyInArrow(grouped, REMOVED)
+    removed = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(X.tidied(found), FOUND).groupBy("part").applyInArrow(grouped, REMOVED)
     names = docs.columns
     at_id, at_text = names.index("doc_id"), names.index("text")
 

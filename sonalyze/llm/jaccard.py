@@ -75,7 +75,7 @@ def similar_sets(docs: DataFrame, size: int, percent: int, max_bits: int) -> Dat
         columns = list(zip(*out)) if out else [[]] * 5
         return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:4]), pa.array(columns[4], pa.list_(pa.int64()))], ["doc_id", "n", "s1", "s2", "grams"])
 
-    return docs.mapInArrow(run, SETS)
+    return docs.mapInArrow(X.tidied(run), SETS)
 
 
 def counted(pairs: DataFrame, pieces: DataFrame, percent: int) -> DataFrame:

@@ -74,7 +74,7 @@ def train(labelled: DataFrame, most_languages: int = 64) -> Model:
         n = sum(np.frombuffer(b.as_py(), np.int64) for b in table.column("n"))
         return pa.table({"lang": [key[0].as_py()], "n": pa.array([n.tobytes()], pa.binary())})
 
-    rows = {r["lang"]: np.frombuffer(r["n"], np.int64) for r in labelled.mapInArrow(counts, "lang string, n binary").groupBy("lang").applyInArrow(summed, "lang string, n binary").collect()} if known else {}
+    rows = {r["lang"]: np.frombuffer(r["n"], np.int64) for r in labelled.mapInArrow(X.tidied(counts), "lang string, n binary").groupBy("lang").applyInArrow(summed, "lang string, n binary").collect()} if known else {}
     n = np.array([rows[lang] for lang in known], float).reshape(len(known), BUCKETS)
     p = (n + 0.1) / (n.sum(1, keepdims=True) + 0.1 * BUCKETS)
     return Model(known, np.vstack([np.log(p), np.full((1, BUCKETS), -np.log(BUCKETS))]))
@@ -99,7 +99,7 @@ def likelihoods(rows: DataFrame, model: Model, kept: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(n.astype(np.int64)), pa.array(list(ll), pa.list_(pa.float64()))], [*batch.schema.names[1:], "n_grams", "ll"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*kept).schema.fields)
-    return rows.select("text", *kept).mapInArrow(run, f"{schema}, n_grams long, ll array<double>")
+    return rows.select("text", *kept).mapInArrow(X.tidied(run), f"{schema}, n_grams long, ll array<double>")
 
 
 def identify(rows: DataFrame, model: Model) -> DataFrame:

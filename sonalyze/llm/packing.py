@@ -45,7 +45,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], TOKENS.replace(",", "").split()[::2])
                     out, size = [], 0
 
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce("source", F.lit("")), F.coalesce("text", F.lit(""))).mapInArrow(run, TOKENS)
+    return docs.select(F.col("doc_id").cast("long"), F.coalesce("source", F.lit("")), F.coalesce("text", F.lit(""))).mapInArrow(X.tidied(run, tokens=True), TOKENS)
 
 
 class Mixture:
@@ -110,7 +110,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, s
             for lo in range(0, batch.num_rows, 1000):
                 yield pieces(batch.slice(lo, 1000), mixture)
 
-    return table.join(at.select("part", "source", "queue", F.coalesce("base", F.lit(0)).alias("base")), ["part", "source"]).select("doc_id", "source", "queue", (F.col("base") + F.col("at")).alias("at"), "n", "width", "ids").mapInArrow(run, PIECES)
+    return table.join(at.select("part", "source", "queue", F.coalesce("base", F.lit(0)).alias("base")), ["part", "source"]).select("doc_id", "source", "queue", (F.col("base") + F.col("at")).alias("at"), "n", "width", "ids").mapInArrow(X.tidied(run, tokens=True), PIECES)
 
 
 def pieces(batch: pa.RecordBatch, mixture: Mixture) -> pa.RecordBatch:

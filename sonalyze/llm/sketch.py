@@ -90,7 +90,7 @@ def repeats(docs: DataFrame, keys: Callable[[pa.Array], np.ndarray], expected: i
         bitmap[c[1:][c[1:] == c[:-1]]] = True
         return pa.table({"part": pa.array([part], pa.int32()), "bits": pa.array([np.packbits(bitmap, bitorder="little").tobytes()], pa.binary())})
 
-    sketches = docs.select(F.col(column)).mapInArrow(sketched, "part int, cells binary")
+    sketches = docs.select(F.col(column)).mapInArrow(X.tidied(sketched), "part int, cells binary")
     out = [np.zeros(1 << (bits - 3), np.uint8) for _ in range(rows)]
     size = 1 << (int(shift) - 3)
     for got in sketches.groupBy("part").applyInArrow(merged, "part int, bits binary").toLocalIterator():

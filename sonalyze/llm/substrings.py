@@ -118,7 +118,7 @@ def dedup_substrings(docs: DataFrame, window: int = 20, max_bits: int = 29, rejo
         (_, _, doc, start), later = ordered(joined(windows, "h1", np.uint64), joined(windows, "h2", np.uint64), joined(windows, "doc", np.int64), joined(windows, "start", np.uint32))
         return pa.concat_tables([passed, pa.Table.from_batches([record(list(by_block(doc[later], start[later], blocks)), REMOVED)])])
 
-    removed = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(found, FOUND).groupBy("part").applyInArrow(grouped, REMOVED)
+    removed = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(X.tidied(found), FOUND).groupBy("part").applyInArrow(grouped, REMOVED)
     names = docs.columns
     at_id, at_text = names.index("doc_id"), names.index("text")
 

@@ -6,8 +6,9 @@ one multiplication with an inverse power, so spans of every length cost the same
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+import ctypes
+import sys
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -16,7 +17,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes of text that are worked on at once; a longer document is worked on alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 NULL_ID = -(2**63)
 BASE_BYTE, BASE_WORD, BASE_ALT = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F
 
@@ -219,5 +220,18 @@ def group_starts(*keys: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(new), len(keys[0]))
 
 
-def sha256(data: bytes | memoryview) -> str:
-    return hashlib.sha256(data).hexdigest()
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], tokens: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, which gives free memory back to the system at its end. Executors keep their Python workers, so
+    what one operator leaves is missing to the next: caches of token ids go, but where tokens are cut."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not tokens and (module := sys.modules.get("sonalyze.llm.tokens")):
+            module.release()
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library keeps what it keeps
+            pass
+
+    return tidy

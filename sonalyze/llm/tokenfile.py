@@ -19,9 +19,10 @@ from sonalyze.llm.shared import n_buckets
 from sonalyze.llm.sketch import text_bytes
 from sonalyze.llm.tokens import encoder
 from sonalyze.llm.text import ids as integers
+from sonalyze.llm.text import tidied
 
 #: Ids in a row, unless one document has more; bytes of text that a part is made for.
-ROW_IDS, PART_BYTES = 1 << 22, 24 << 20
+ROW_IDS, PART_BYTES = 1 << 23, 24 << 20
 FILE = "part int, row int, begin long, n_ids long, doc_ids binary, lengths binary, payload binary"
 READ = "doc_id long, part int, begin long, n_tokens long, ids binary"
 
@@ -62,7 +63,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> No
             yield written()
 
     ranged = docs.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
-    ranged.mapInArrow(run, FILE).write.option("compression", "uncompressed").parquet(path)
+    ranged.mapInArrow(tidied(run, tokens=True), FILE).write.option("compression", "uncompressed").parquet(path)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -90,4 +91,5 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     sizes = rows.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = sizes.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     null = F.lit(-(2**63))
-    return rows.mapInArrow(run, READ).join(before, "part").select(F.nullif("doc_id", null).alias("doc_id"), (F.col("before") + F.col("begin")).alias("start"), "n_tokens", "ids")
+    # broadcast: before has one row of two numbers for each part of the file
+    return rows.mapInArrow(tidied(run), READ).join(F.broadcast(before), "part").select(F.nullif("doc_id", null).alias("doc_id"), (F.col("before") + F.col("begin")).alias("start"), "n_tokens", "ids")

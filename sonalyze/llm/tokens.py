@@ -97,3 +97,8 @@ def encoder(path: str) -> Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         _loaded[path] = Encoder(path)
     return _loaded[path]
+
+
+def release() -> None:
+    """Drop the encoders of this worker."""
+    _loaded.clear()
