@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sonalyze.llm import sql
 from sonalyze.llm.shared import ship
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -115,4 +116,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_token_counts": OP4_SQL}
+    return {"op1_decontamination": sql.DECONTAMINATION, "op3_substring_dedup": sql.SUBSTRINGS, "op4_token_counts": OP4_SQL, "op7_embedding_dedup": sql.EMBEDDINGS, "op10_jaccard_join": sql.JACCARD}
