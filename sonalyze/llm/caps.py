@@ -22,11 +22,13 @@ from pyspark.sql import functions as F
 
 from sonalyze.llm import text as X
 from sonalyze.llm.components import components
-from sonalyze.llm.shared import stored
+from sonalyze.llm.shared import n_buckets, stored
 
 #: Filters a vector has on average, and at least; vectors a filter is made for; rows of a tile.
 MEAN_FILTERS, LEAST_FILTERS, FILTER_ROWS, TILE_ROWS = 24, 10, 8, 1024
 MOST_WORDS = 1 << 14
+#: Bytes of rows that a part is made for, at most.
+PART_BYTES = 64 << 20
 ROWS = "label string, dim int, filter long, rep long, copies long, vector binary, filters binary"
 FOUND = "rep long, links long, other long"
 
@@ -79,7 +81,7 @@ def similar_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     sound = F.col("label").isNotNull() & F.coalesce(F.forall("embedding", finite) & F.exists("embedding", lambda x: x != 0), F.lit(False))
     classes = stored(own.where(sound).groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "caps-classes")
-    sizes = classes.groupBy("label", F.size("embedding").alias("dim")).count().groupBy("dim").agg(F.max("count").alias("n")).collect()
+    sizes = classes.groupBy("label", F.size("embedding").alias("dim")).count().groupBy("dim").agg(F.max("count").alias("n"), F.count("*").alias("labels")).collect()
     words = {r["dim"]: int(min(MOST_WORDS, max(8, (r["n"] * MEAN_FILTERS / FILTER_ROWS) ** 0.5))) for r in sizes}
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +109,7 @@ def similar_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     # a row goes to the pairs of tiles (a, b), a <= b, that its own tile is in
     with_ = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, F.col("tile")).alias("a"), F.greatest(t, F.col("tile")).alias("b")))
     dealt = rows.select("*", F.inline(with_))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1) * 4
+    parts = 4 * n_buckets(spark, sum(r["n"] * r["labels"] * MEAN_FILTERS * (8 * r["dim"] + 8 * MEAN_FILTERS) for r in sizes), PART_BYTES)
 
     def linked(table: pa.Table) -> pa.Table:
         out: list[list[np.ndarray]] = [[], [], []]

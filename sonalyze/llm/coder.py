@@ -16,8 +16,9 @@ import numpy as np
 
 U = np.uint64
 BLOCK = 4096
-#: Slots of a block's order-2 and order-1 tables; ids after which byte counts are summed anew.
-SLOTS2, SLOTS1, REFRESH = 4096, 2048, 64
+#: Slots of a block's order-2 and order-1 tables; ids after which byte counts are summed anew, often at first.
+SLOTS2, SLOTS1 = 4096, 2048
+REFRESH = frozenset([0, 16, 48, 112, 240, *range(512, BLOCK, 512)])
 SURE, CLASSES = 4, 4
 ONE, TOP = 1 << 16, U(1 << 32)
 MASK = U(0xFFFFFFFF)
@@ -128,7 +129,7 @@ def encode(ids: np.ndarray, lengths: np.ndarray, n_bytes: int) -> list[bytes]:
     active = np.searchsorted(-lengths, -np.arange(steps), "left")
     for t in range(steps):
         m = int(active[t])
-        if t % REFRESH == 0:
+        if t in REFRESH:
             models.refresh(m)
         x = ids[t, :m]
         models.predict(ids[t - 1, :m] if t else zero[:m], ids[t - 2, :m] if t > 1 else zero[:m])
@@ -184,7 +185,7 @@ def decode(words: list[bytes], lengths: np.ndarray, n_bytes: int) -> np.ndarray:
     active = np.searchsorted(-lengths, -np.arange(steps), "left")
     for t in range(steps):
         m = int(active[t])
-        if t % REFRESH == 0:
+        if t in REFRESH:
             models.refresh(m)
         models.predict(ids[t - 1, :m] if t else zero[:m], ids[t - 2, :m] if t > 1 else zero[:m])
         p2, f1 = models.p2, models.f1
