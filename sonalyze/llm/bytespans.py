@@ -7,6 +7,10 @@ are dealt by their anchor, so that equal strings meet in one part; equal context
 cut into shards of bounded size. A shard's suffix array (Larsson-Sadakane) and common prefixes (Kasai)
 give the classes of equal strings, shards that hold the same anchor are merged by binary search of the
 strings of one in the suffixes of the other, and all but the earliest of a class are removed.
+
+An anchor that very many batches of texts hold (a line that a third of all documents have, in as many
+surroundings) would make one part too large. All tasks know these anchors from the sketches; their strings
+are dealt one by one, by two 64-bit hashes of their own, and grouped exactly by these.
 """
 
 from __future__ import annotations
@@ -23,11 +27,13 @@ from sonalyze.llm import suffixes as S
 from sonalyze.llm import text as X
 from sonalyze.llm.shared import n_buckets
 from sonalyze.llm.sketch import repeats, text_bytes
-from sonalyze.llm.substrings import BLOCK_BYTES, joined
+from sonalyze.llm.substrings import BLOCK_BYTES, joined, ordered
 
 SHARD_BYTES = 1 << 19
 #: Bytes of text of which equal contexts are found before they are sent, and that a part is made for.
 LOCAL_BYTES, PART_BYTES = 8 << 20, 8 << 20
+#: An anchor is hot if the partial sketches hold its cell so often, each twice at most.
+HOT = 128
 FOUND = "part int, block int, doc binary, start binary, n binary, anchor binary, c1 binary, c2 binary, body binary"
 REMOVED = "block int, doc binary, start binary, n binary"
 
@@ -153,7 +159,7 @@ def later_windows(doc: np.ndarray, start: np.ndarray, n: np.ndarray, anchor: np.
         yield runs(*s.removed())
 
 
-def dedup_bytes(docs: DataFrame, window: int = 100, max_bits: int = 29) -> DataFrame:
+def dedup_bytes(docs: DataFrame, window: int = 100, max_bits: int = 29, hot: int = HOT) -> DataFrame:
     """docs with n_bytes, n_removed, n_spans and kept (the bytes that stay, binary).
 
     A byte goes when a string of `window` bytes of its document's UTF-8 text that covers it starts earlier
@@ -171,11 +177,12 @@ def dedup_bytes(docs: DataFrame, window: int = 100, max_bits: int = 29) -> DataF
     def keys(column: pa.Array) -> np.ndarray:
         return np.concatenate([np.empty(0, np.uint64), *(contexts(c, window)[2] for c in X.chunks(column))])
 
-    filter_ = spark.sparkContext.broadcast(repeats(docs, keys, total * 2 // window, rows=2, max_bits=max_bits))
+    filter_ = spark.sparkContext.broadcast(repeats(docs, keys, total * 2 // window, rows=2, max_bits=max_bits, hot=hot))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got: list[list[np.ndarray]] = [[] for _ in range(7)]
+            single: list[list[np.ndarray]] = [[] for _ in range(4)]
             ids, held = X.ids(batch.column(0)), 0
             for c in X.chunks(batch.column(1)):
                 starts, n, anchor = contexts(c, window)
@@ -186,7 +193,15 @@ def dedup_bytes(docs: DataFrame, window: int = 100, max_bits: int = 29) -> DataF
                 row = np.searchsorted(c.offsets, starts, "right") - 1
                 ends = starts + n + window - 1
                 codes = X.BYTE_CODE[c.data]
-                for out, x in zip(got, (ids[c.first + row], (starts - c.offsets[row]).astype(np.uint32), n.astype(np.uint32), anchor, X.spans(X.prefix(codes, X.BASE_BYTE), starts, ends, X.BASE_BYTE), X.spans(X.prefix(X.mix(codes), X.BASE_ALT), starts, ends, X.BASE_ALT), bodies(c.data, starts, ends - starts))):
+                sums, sums2 = X.prefix(codes, X.BASE_BYTE), X.prefix(X.mix(codes), X.BASE_ALT)
+                crowd = filter_.value.is_hot(anchor)
+                if crowd.any():
+                    at = np.repeat(starts[crowd] - (np.cumsum(n[crowd]) - n[crowd]), n[crowd]) + np.arange(n[crowd].sum())
+                    own = np.repeat(row[crowd], n[crowd])
+                    for out, x in zip(single, (X.spans(sums, at, at + window, X.BASE_BYTE), X.spans(sums2, at, at + window, X.BASE_ALT), ids[c.first + own], (at - c.offsets[own]).astype(np.uint32))):
+                        out.append(x)
+                    starts, n, anchor, row, ends = starts[~crowd], n[~crowd], anchor[~crowd], row[~crowd], ends[~crowd]
+                for out, x in zip(got, (ids[c.first + row], (starts - c.offsets[row]).astype(np.uint32), n.astype(np.uint32), anchor, X.spans(sums, starts, ends, X.BASE_BYTE), X.spans(sums2, starts, ends, X.BASE_ALT), bodies(c.data, starts, ends - starts))):
                     out.append(x)
                 held += len(c.data)
                 if held > LOCAL_BYTES:
@@ -194,6 +209,16 @@ def dedup_bytes(docs: DataFrame, window: int = 100, max_bits: int = 29) -> DataF
                     got, held = [[] for _ in range(7)], 0
             if got[0]:
                 yield from dealt(*map(np.concatenate, got))
+            if single[0]:
+                yield from dealt_singly(*map(np.concatenate, single))
+
+    def dealt_singly(h1, h2, doc, start) -> Iterator[pa.RecordBatch]:
+        (h1, h2, doc, start), later = ordered(h1, h2, doc, start)
+        yield record([(block % parts, block, d, s, k, *[None] * 4) for block, d, s, k in by_block(*runs(doc[later], start[later]), blocks)], FOUND)
+        h1, h2, doc, start = h1[~later], h2[~later], doc[~later], start[~later]
+        part = (h1 >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+        edges = np.searchsorted(part, np.arange(parts + 1))
+        yield record([(p, -2, doc[a:b].tobytes(), start[a:b].tobytes(), None, None, h1[a:b].tobytes(), h2[a:b].tobytes(), None) for p, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a], FOUND)
 
     def dealt(doc, start, n, anchor, c1, c2, body) -> Iterator[pa.RecordBatch]:
         by, later = earliest(c1, c2, doc, start)
@@ -209,11 +234,13 @@ def dedup_bytes(docs: DataFrame, window: int = 100, max_bits: int = 29) -> DataF
             yield record([(int(part[mine[0]]), -1, *(x[mine].tobytes() for x in (doc, start, n, anchor, c1, c2)), bodies(body, at[mine], lengths[mine]).tobytes())], FOUND)
 
     def grouped(table: pa.Table) -> pa.Table:
-        mine = np.asarray(table.column("block")) < 0
-        passed = table.filter(pa.array(~mine)).select(["block", "doc", "start", "n"])
-        table = table.filter(pa.array(mine))
+        block = np.asarray(table.column("block"))
+        passed = table.filter(pa.array(block >= 0)).select(["block", "doc", "start", "n"])
+        single = table.filter(pa.array(block == -2))
+        (_, _, doc, start), later = ordered(joined(single, "c1", np.uint64), joined(single, "c2", np.uint64), joined(single, "doc", np.int64), joined(single, "start", np.uint32))
+        table = table.filter(pa.array(block == -1))
         columns = [joined(table, name, kind) for name, kind in (("doc", np.int64), ("start", np.uint32), ("n", np.uint32), ("anchor", np.uint64), ("c1", np.uint64), ("c2", np.uint64), ("body", np.uint8))]
-        out = [record(list(by_block(*found, blocks)), REMOVED) for found in later_windows(*columns, window)]
+        out = [record(list(by_block(*found, blocks)), REMOVED) for found in (runs(doc[later], start[later]), *later_windows(*columns, window))]
         return pa.concat_tables([passed, pa.Table.from_batches(out)])
 
     removed = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(X.tidied(found), FOUND).groupBy("part").applyInArrow(grouped, REMOVED)

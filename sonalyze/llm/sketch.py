@@ -29,16 +29,23 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
 class Repeats:
     """Bitmaps of the cells that hold two keys or more."""
 
-    def __init__(self, bits: int, rows: list[np.ndarray]):
-        self.bits, self.rows = bits, rows
+    def __init__(self, bits: int, rows: list[np.ndarray], hot: np.ndarray | None = None):
+        self.bits, self.rows, self.hot = bits, rows, hot
 
     def may_repeat(self, keys: np.ndarray) -> np.ndarray:
         out = np.ones(len(keys), bool)
         for r, bitmap in enumerate(self.rows):
-            cell = cells(keys, self.bits, r)
-            out &= (bitmap[cell >> np.uint32(3)] >> (cell & np.uint32(7)).astype(np.uint8)) & 1 == 1
+            out &= self._set(bitmap, keys, r)
         return out
 
+    def is_hot(self, keys: np.ndarray) -> np.ndarray:
+        """Keys whose cell many partitions hold; all tasks agree on them."""
+        return self._set(self.hot, keys, 0)
+
+    def _set(self, bitmap: np.ndarray, keys: np.ndarray, row: int) -> np.ndarray:
+        cell = cells(keys, self.bits, row)
+        return (bitmap[cell >> np.uint32(3)] >> (cell & np.uint32(7)).astype(np.uint8)) & 1 == 1
+
 
 def cells(keys: np.ndarray, bits: int, row: int) -> np.ndarray:
     """Keys may be the least of many hashes and so be small; mixed, they fill all cells."""
@@ -67,8 +74,9 @@ def unpacked(blob: bytes) -> np.ndarray:
     return np.cumsum(out, dtype=np.uint32)
 
 
-def repeats(docs: DataFrame, keys: Callable[[pa.Array], np.ndarray], expected: int, rows: int = 1, column: str = "text", max_bits: int = MAX_BITS) -> Repeats:
-    """Sketch keys(texts) over all rows of docs. expected: about how many keys there are."""
+def repeats(docs: DataFrame, keys: Callable[[pa.Array], np.ndarray], expected: int, rows: int = 1, column: str = "text", max_bits: int = MAX_BITS, hot: int | None = None) -> Repeats:
+    """Sketch keys(texts) over all rows of docs. expected: about how many keys there are. hot: a cell that the
+    partial sketches hold so often (twice each at most) is hot; its bitmap is as large as the others."""
     bits = int(np.clip(int(max(1, CELLS_A_KEY * expected - 1)).bit_length(), 16, max_bits))
     parts = max(4, bits - 21)  # of 2**parts ranges of cells
     shift = np.uint32(bits - parts)
@@ -86,14 +94,19 @@ def repeats(docs: DataFrame, keys: Callable[[pa.Array], np.ndarray], expected: i
         part = key[0].as_py()
         low = np.uint32(part & ((1 << parts) - 1)) << shift
         c = np.sort(np.concatenate([unpacked(b.as_py()) for b in table.column("cells")])) - low
+        times = np.bincount(c, minlength=1 << int(shift)) if hot and part >> parts == 0 else None
         bitmap = np.zeros(1 << int(shift), bool)
         bitmap[c[1:][c[1:] == c[:-1]]] = True
-        return pa.table({"part": pa.array([part], pa.int32()), "bits": pa.array([np.packbits(bitmap, bitorder="little").tobytes()], pa.binary())})
+        packed_ = [None if x is None else np.packbits(x, bitorder="little").tobytes() for x in (bitmap, None if times is None else times >= hot)]
+        return pa.table({"part": pa.array([part], pa.int32()), "bits": pa.array(packed_[:1], pa.binary()), "hot": pa.array(packed_[1:], pa.binary())})
 
     sketches = docs.select(F.col(column)).mapInArrow(X.tidied(sketched), "part int, cells binary")
     out = [np.zeros(1 << (bits - 3), np.uint8) for _ in range(rows)]
+    crowded = np.zeros(1 << (bits - 3), np.uint8) if hot else None
     size = 1 << (int(shift) - 3)
-    for got in sketches.groupBy("part").applyInArrow(merged, "part int, bits binary").toLocalIterator():
+    for got in sketches.groupBy("part").applyInArrow(merged, "part int, bits binary, hot binary").toLocalIterator():
         r, i = divmod(got["part"], 1 << parts)
         out[r][i * size : (i + 1) * size] = np.frombuffer(got["bits"], np.uint8)
-    return Repeats(bits, out)
+        if got["hot"] is not None:
+            crowded[i * size : (i + 1) * size] = np.frombuffer(got["hot"], np.uint8)
+    return Repeats(bits, out, crowded)

@@ -53,11 +53,11 @@ def corpus():
     return [*docs, (5000, None), (5001, "")]
 
 
-@pytest.mark.parametrize("window, bits", [(100, 29), (30, 29), (100, 16)])
-def test_against_brute_force(spark, window, bits):
+@pytest.mark.parametrize("window, bits, hot", [(100, 29, 128), (30, 29, 128), (100, 16, 128), (100, 29, 3), (30, 16, 1)])
+def test_against_brute_force(spark, window, bits, hot):
     docs = corpus()
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("doc_id", "text", "'x' kept", "1 part").repartition(5)
-    got = dedup_bytes(df, window, bits).collect()
+    got = dedup_bytes(df, window, bits, hot).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got} == brute(docs, window)
 
 
