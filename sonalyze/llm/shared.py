@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,16 +49,20 @@ def n_buckets(spark: SparkSession, n_bytes: int, per_bucket: int) -> int:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give Python workers this package, where the cluster hasn't installed it."""
-    import zipfile
-    from pathlib import Path
-
+    """Give Python workers this package, where the cluster hasn't installed it: an archive in the shared folder."""
     package = Path(__file__).resolve().parent.parent
     name = f"{package.name}-shipped.zip"
-    if any(str(f).endswith(name) for f in spark.sparkContext._python_includes):
+    if name in spark.sparkContext._python_includes:
         return
-    to = Path(tempfile.mkdtemp(prefix="ship-")) / name
-    with zipfile.ZipFile(to, "w") as z:
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
         for f in sorted(package.rglob("*.py")):
             z.write(f, f.relative_to(package.parent))
-    spark.sparkContext.addPyFile(str(to))
+    to = f"{scratch(spark, 'package')}/{name}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(to)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place)
+    try:
+        stream.write(bytearray(held.getvalue()))
+    finally:
+        stream.close()
+    spark.sparkContext.addPyFile(to)
