@@ -30,6 +30,27 @@ def dedup(rows: DataFrame, key: Column, order: str) -> DataFrame:
     return keyed.join(first, "dedup_key", "left").withColumn("kept", F.col("dedup_key").isNull() | (F.col(order) == F.col("_first"))).drop("_first")
 
 
+def fetch_state(pages: DataFrame) -> DataFrame:
+    """pages with state: failed (nothing came), updated, skipped or new; by rules of our own on the address."""
+    url = F.col("url")
+    return pages.withColumn("state", F.when(F.col("html").isNull(), "failed").when(url.contains("?page="), "updated").when(url.contains("#"), "skipped").otherwise("new"))
+
+
+def fetch_counts(pages: DataFrame) -> DataFrame:
+    """Items of each state, and apart from them the sources (hosts) they are of."""
+    host = F.lower(F.regexp_extract("url", r"^[A-Za-z]+://([^/:?#]+)", 1))
+    return fetch_state(pages).groupBy("state").agg(F.count("*").alias("items"), F.count_distinct(host).alias("sources"))
+
+
+def metadata_reasons(pages: DataFrame) -> DataFrame:
+    """Why pages are metadata duplicates: an equal address came before (same_url), or one that differs in parts
+    that don't count (same_address)."""
+    own = metadata_dedup(pages)
+    first = own.groupBy("url").agg(F.min("page_id").alias("first_page"))
+    gone = own.where(~F.col("kept")).join(first, "url")
+    return reasons(gone.withColumn("why", F.when(F.col("page_id") == F.col("first_page"), "same_address").otherwise("same_url")), "metadata_dedup", "why")
+
+
 def metadata_dedup(pages: DataFrame) -> DataFrame:
     return dedup(pages, normalized_url(F.col("url")), "page_id")
 
@@ -104,7 +125,7 @@ def reasons(rows: DataFrame, stage: str, reason: str) -> DataFrame:
 
 def funnel(docs: DataFrame, pages: DataFrame, labels: DataFrame) -> DataFrame:
     """The funnel of one run over fetched pages and documents: a row for each of the eight stages."""
-    fetched = pages.withColumn("state", F.when(F.col("html").isNull(), "failed").when(F.col("url").contains("?page="), "updated").when(F.col("url").contains("#"), "skipped").otherwise("new"))
+    fetched = fetch_state(pages)
     is_ = lambda c, v: F.col(c) == v
     known = classify(docs, labels)
     relevant = known.where(is_("relevance", "relevant"))

@@ -401,6 +401,19 @@ def news_metadata_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.metadata_dedup(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "dedup_key", "kept")
 
 
+@query("SELECT CASE WHEN html IS NULL THEN 'failed' WHEN contains(url, '?page=') THEN 'updated' WHEN contains(url, '#') THEN 'skipped' ELSE 'new' END AS state, count(*) AS items, count(DISTINCT lower(regexp_extract(url, '^[A-Za-z]+://([^/:?#]+)', 1))) AS sources FROM pages GROUP BY 1")
+def news_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: items, and sources apart from them"""
+    return N.fetch_counts(table(spark, sf_dir, "pages"))
+
+
+@query(f"WITH p AS ({PAGES_SQL}), m AS (SELECT *, min(page_id) OVER (PARTITION BY k) AS one, min(page_id) OVER (PARTITION BY url) AS same FROM p) SELECT 'metadata_dedup' AS stage_key, CASE WHEN page_id = same THEN 'same_address' ELSE 'same_url' END AS reason, count(*) AS n FROM m WHERE page_id <> one GROUP BY ALL")
+def news_dedup_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Breakdown by reason"""
+    doubled = table(spark, sf_dir, "pages").select("page_id", "url")
+    return N.metadata_reasons(doubled)
+
+
 @query(f"SELECT doc_id, sha256({TEXT_SQL}) AS dedup_key, doc_id = min(doc_id) OVER (PARTITION BY {TEXT_SQL}) AS kept FROM documents")
 def news_content_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact, on normalized text"""
