@@ -24,6 +24,8 @@ from sonalyze.llm.shared import stored
 from sonalyze.llm.tokens import encoder
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
+#: Rows of (part, source) that are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 100_000
 TOKENS = "doc_id long, source string, part int, at long, n long, width int, ids binary"
 
 
@@ -110,7 +112,10 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, s
             for lo in range(0, batch.num_rows, 1000):
                 yield pieces(batch.slice(lo, 1000), mixture)
 
-    return table.join(at.select("part", "source", "queue", F.coalesce("base", F.lit(0)).alias("base")), ["part", "source"]).select("doc_id", "source", "queue", (F.col("base") + F.col("at")).alias("at"), "n", "width", "ids").mapInArrow(X.tidied(run, tokens=True), PIECES)
+    at = at.select("part", "source", "queue", F.coalesce("base", F.lit(0)).alias("base"))
+    if at.count() <= BROADCAST_ROWS:
+        at = F.broadcast(at)
+    return table.join(at, ["part", "source"]).select("doc_id", "source", "queue", (F.col("base") + F.col("at")).alias("at"), "n", "width", "ids").mapInArrow(X.tidied(run, tokens=True), PIECES)
 
 
 def pieces(batch: pa.RecordBatch, mixture: Mixture) -> pa.RecordBatch:

@@ -12,6 +12,9 @@ CACHED_WORDS = 1_000_000
 #: token crosses one of these pieces.
 PIECES = r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Marks that end words; a run of them is one piece.
+ENDS = ".,;:!?"
+
 _loaded: dict[str, "Encoder"] = {}
 
 
@@ -32,6 +35,8 @@ class Known(dict):
         e = self.encoder
         if chunk.isalpha():  # one piece
             found = array(e.code, [t.id for t in e.tokenize(e.space + (chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(e.characters)))]).tobytes()
+        elif (word := chunk.rstrip(ENDS)) and word.isalpha():  # the word, and the marks as another piece
+            found = self[word] + e.marks(chunk[len(word) :])
         else:
             found = e.cut_blob(chunk if chunk[:1] == "\n" else " " + chunk)
         self[chunk] = found
@@ -60,8 +65,8 @@ class Encoder:
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.cut = regex.compile(PIECES).findall
-        self.blanks_meet = regex.compile(r"\s\s|^\s|\s$").search
         self.known = Known(self)
+        self.ends: dict[str, bytes] = {}
         self.tokenize = self.library.model.tokenize
         self.characters = byte_characters()
         self.space = chr(self.characters[0x20])
@@ -72,16 +77,24 @@ class Encoder:
             out.extend([t.id for t in self.tokenize(p.encode().decode("latin-1").translate(self.characters))])
         return out.tobytes()
 
+    def marks(self, text: str) -> bytes:
+        if text not in self.ends:
+            self.ends[text] = self.cut_blob(text)
+        return self.ends[text]
+
     def blob(self, text: str) -> bytes:
         """The ids as unsigned integers of kind."""
         if not text:
             return b""
         if not self.by_word or any(s in text for s in self.special):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        if self.blanks_meet(text):
+        flat = text.replace("\n", " ")
+        # printable: its only blanks are spaces
+        if "  " in flat or flat[0] == " " or flat[-1] == " " or not flat.isprintable():
             return self.cut_blob(text)
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
+            self.ends.clear()
         first, *rest = text.replace("\n", " \n").split(" ")
         return self.cut_blob(first) + b"".join(map(self.known.__getitem__, rest))
 
