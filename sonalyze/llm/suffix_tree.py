@@ -2,9 +2,10 @@
 
 Counts of all training words are kept by hash range in a stored table; only words that make up at least
 1 / HOT of the training tokens are broadcast (HOT of them at most). The tree's symbols are the words with
-1 / ALPHABET of the tokens or more, the end of a text, and one symbol for all other words. A context of
-one or two symbols is a state if it makes up 1 / STATES of the tokens and its next-symbol distribution
-diverges from that of its longest retained suffix. Distributions are smoothed by absolute discounting into
+1 / ALPHABET of the tokens or more, the end of a text, and one symbol for all other words. A context is a
+state if it makes up 1 / STATES of the tokens and its next-symbol distribution diverges from that of its
+longest retained suffix. Contexts of one and two symbols are counted all, longer ones behind a state that
+is one symbol shorter, length by length until none diverges. Distributions are smoothed by absolute discounting into
 that suffix, down to the add-constant word distribution, which also shares out the symbol for other words,
 so every model sums to one. Each token is scored in its longest suffix state. All bounds are shares of the
 training tokens: the word table grows with the corpus, what is broadcast is bounded by the parameters.
@@ -124,30 +125,55 @@ class Model:
         text[w.bounds[1:] + np.arange(n_texts)] = np.arange(n_texts)
         return symbol, text, at, is_hot
 
-    def history(self, symbol: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Contexts of one and two symbols before each token as numbers; -1: the text has fewer."""
-        size = len(self.root)
-        same1, same2 = np.zeros(len(text), bool), np.zeros(len(text), bool)
-        same1[1:] = text[1:] == text[:-1]
-        same2[2:] = text[2:] == text[:-2]
-        one = np.where(same1, np.roll(symbol, 1), size - 1)  # the end symbol stands before a text
-        two = np.where(same1, np.where(same2, np.roll(symbol, 2), size - 1) * size + one, -1)
-        return one, two
+    def histories(self, symbol: np.ndarray, text: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        return histories([level.contexts for level in self.levels], len(self.root), symbol, text)
+
+    def probability(self, k: int, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Of each symbol after its context of k + 1 symbols, in the longest suffix that is a state."""
+        size, chain = len(self.root), [context]
+        for j in range(k, 0, -1):
+            chain.append(chain[-1] % size if j == 1 else self.levels[j - 1].contexts[chain[-1] // size])
+        p = self.root[symbol]
+        for level, own in zip(self.levels, reversed(chain)):
+            state, known = looked_up(level.contexts, own)
+            cell, there = looked_up(level.cells, own * size + symbol)
+            if len(level.contexts):
+                p = np.where(known, p * level.left[state] + np.where(there, level.mass[cell] if len(level.mass) else 0.0, 0.0), p)
+        return p
 
     def log_probabilities(self, symbol: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 of the probability of each symbol in its longest suffix state, and that state's length."""
-        p, depth = self.root[symbol], np.zeros(len(symbol), np.int8)
-        for k, (level, context) in enumerate(zip(self.levels, self.history(symbol, text)), 1):
+        p, depth = self.root[symbol], np.zeros(len(symbol), np.int32)
+        for k, (level, (rows, context)) in enumerate(zip(self.levels, self.histories(symbol, text)), 1):
             state, known = looked_up(level.contexts, context)
             if not known.any():
                 continue
-            rows = np.flatnonzero(known)
-            cell, there = looked_up(level.cells, context[rows] * len(self.root) + symbol[rows])
-            p[rows] = p[rows] * level.left[state[rows]] + np.where(there, level.mass[cell] if len(level.mass) else 0.0, 0.0)
+            rows, context, state = rows[known], context[known], state[known]
+            cell, there = looked_up(level.cells, context * len(self.root) + symbol[rows])
+            p[rows] = p[rows] * level.left[state] + np.where(there, level.mass[cell] if len(level.mass) else 0.0, 0.0)
             depth[rows] = k
         return np.log10(p), depth
 
 
+def histories(contexts: list[np.ndarray], size: int, symbol: np.ndarray, text: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each length: the tokens with a context of so many symbols before them, and its number. The end
+    symbol stands before a text. Contexts of one and two symbols are numbered by these, a longer one by its
+    farthest symbol and its suffix among contexts, whose states alone are lengthened; the last length is
+    that which would come next."""
+    edges = X.group_starts(text)
+    place = np.arange(len(text)) - np.repeat(edges[:-1], np.diff(edges))
+    rows, context = np.arange(len(text)), np.zeros(len(text), np.int64)
+    for k in range(max(len(contexts) + 1, 2)):
+        keep = place[rows] >= k
+        if k > 1:
+            context, known = looked_up(contexts[k - 1], context)
+            keep &= known
+        rows, context = rows[keep], context[keep]
+        far = np.where(place[rows] > k, symbol[rows - k - 1], size - 1)
+        context = far * size + context if k == 1 else context * size + far
+        yield rows, context
+
+
 def learn(docs: DataFrame, parts: int) -> tuple[Model, DataFrame]:
     spark = docs.sparkSession
     table = word_counts(docs, parts)
@@ -179,21 +205,58 @@ def learn(docs: DataFrame, parts: int) -> tuple[Model, DataFrame]:
     shared = spark.sparkContext.broadcast(model)
     size, state_least, cell_least = len(root), max(2, -(-tokens // STATES)), max(2, -(-tokens // CELLS))
 
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = np.dtype("<u2" if size < 1 << 16 else "<u4")
+
+    def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             train = np.array([not held_out(k) for k in batch.column(0).to_pylist()], bool)
-            found: list[list[np.ndarray]] = [[], []]
             for c in X.chunks(batch.column(1)):
                 s, text, _, _ = shared.value.symbols(X.words(c, lower=True), c.n)
-                for out, context in zip(found, shared.value.history(s, text)):
-                    out.append((context * size + s)[(context >= 0) & train[c.first + text]])
-            for k, keys in enumerate(found):
-                key, n = counted(np.concatenate([np.empty(0, np.int64), *keys]))
-                part = key // size % parts
-                by = np.argsort(part, kind="stable")
-                edges = np.searchsorted(part[by], np.arange(parts + 1))
-                full = np.flatnonzero(np.diff(edges))
-                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([k] * len(full), pa.int32()), *(pa.array([x[by[edges[p] : edges[p + 1]]].tobytes() for p in full], pa.binary()) for x in (key, n.astype("<u4")))], ["part", "level", "key", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([s[train[c.first + text]].astype(kind).tobytes()], pa.binary())], ["symbols"])
+
+    texts = stored(docs.mapInArrow(X.tidied(symbols), "symbols binary"), "lm-symbols")
+    while len(model.levels) < 2 or len(model.levels[-1].contexts):  # until no context is worth lengthening
+        lengths = range(len(model.levels), max(len(model.levels) + 1, 2))
+        got = cells(texts, [level.contexts for level in model.levels], lengths, size, kind, parts, state_least, cell_least)
+        for k in lengths:
+            own = [r for r in got if r["level"] == k]
+            context, total, cell, n = (np.frombuffer(b"".join(r[name] for r in own), np.int64) for name in ("context", "total", "cell", "n"))
+            by = np.argsort(context)
+            context, total = context[by], total[by]
+            by = np.argsort(cell)
+            model.levels.append(pruned(model, k, context, total, cell[by], n[by]))
+    while len(model.levels) > 2 and not len(model.levels[-1].contexts):
+        model.levels.pop()
+    return model, table
+
+
+def cells(texts: DataFrame, states: list[np.ndarray], lengths: range, size: int, kind: np.dtype, parts: int, state_least: int, cell_least: int) -> list:
+    """Counted contexts, from 0 for one symbol on, and the symbols after them, behind the states so far."""
+    known = texts.sparkSession.sparkContext.broadcast(states)
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list[np.ndarray]] = {k: [] for k in lengths}
+        held = 0
+        for batch in batches:
+            for blob in batch.column(0):
+                s = np.frombuffer(blob.as_py(), kind).astype(np.int64)
+                ends = np.cumsum(s == size - 1)
+                for k, (_, context), rows in ((k, h, h[0]) for k, h in enumerate(histories(known.value, size, s, ends - (s == size - 1))) if k in found):
+                    found[k].append(context * size + s[rows])
+                    held += len(rows)
+                if held > 1 << 22:
+                    yield from dealt(found)
+                    found, held = {k: [] for k in lengths}, 0
+        yield from dealt(found)
+
+    def dealt(found: dict[int, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for k, keys in found.items():
+            key, n = counted(np.concatenate([np.empty(0, np.int64), *keys]))
+            part = key // size % parts
+            by = np.argsort(part, kind="stable")
+            edges = np.searchsorted(part[by], np.arange(parts + 1))
+            full = np.flatnonzero(np.diff(edges))
+            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([k] * len(full), pa.int32()), *(pa.array([x[by[edges[p] : edges[p + 1]]].tobytes() for p in full], pa.binary()) for x in (key, n.astype("<u4")))], ["part", "level", "key", "n"])
 
     def summed(key: tuple, got: pa.Table) -> pa.Table:
         cell, n = counted(blobs(got, "key", np.int64), blobs(got, "n", np.uint32).astype(np.int64))
@@ -203,15 +266,7 @@ def learn(docs: DataFrame, parts: int) -> tuple[Model, DataFrame]:
         keep = np.repeat(live, np.diff(edges)) & (n >= cell_least)
         return pa.table({"level": pa.array([key[1].as_py()], pa.int32()), **{name: pa.array([x.tobytes()], pa.binary()) for name, x in (("context", (cell // size)[edges[:-1]][live]), ("total", total[live]), ("cell", cell[keep]), ("n", n[keep]))}})
 
-    got = docs.mapInArrow(X.tidied(contexts), "part int, level int, key binary, n binary").groupBy("part", "level").applyInArrow(summed, "level int, context binary, total binary, cell binary, n binary").collect()
-    for k in range(2):
-        own = [r for r in got if r["level"] == k]
-        context, total, cell, n = (np.frombuffer(b"".join(r[name] for r in own), np.int64) for name in ("context", "total", "cell", "n"))
-        by = np.argsort(context)
-        context, total = context[by], total[by]
-        by = np.argsort(cell)
-        model.levels.append(pruned(model, k, context, total, cell[by], n[by]))
-    return model, table
+    return texts.mapInArrow(X.tidied(contexts), "part int, level int, key binary, n binary").groupBy("part", "level").applyInArrow(summed, "level int, context binary, total binary, cell binary, n binary").collect()
 
 
 def pruned(model: Model, k: int, context: np.ndarray, total: np.ndarray, cell: np.ndarray, n: np.ndarray) -> Level:
@@ -221,13 +276,9 @@ def pruned(model: Model, k: int, context: np.ndarray, total: np.ndarray, cell: n
     mass = np.maximum(n - DISCOUNT, 0) / total[owner] if len(cell) else np.empty(0)
     left = 1 - np.bincount(owner, mass, len(context))
     suffix = model.root[cell % size]
-    if k:
-        one = cell // size % size
-        state, known = looked_up(model.levels[0].contexts, one)
-        at, there = looked_up(model.levels[0].cells, one * size + cell % size)
-        if len(model.levels[0].contexts):
-            own = np.where(there, model.levels[0].mass[at] if len(model.levels[0].mass) else 0.0, 0.0)
-            suffix = np.where(known, suffix * model.levels[0].left[state] + own, suffix)
+    if k and len(cell):
+        own = cell // size
+        suffix = model.probability(k - 1, own % size if k == 1 else model.levels[k - 1].contexts[own // size], cell % size)
     p = mass + left[owner] * suffix if len(cell) else mass
     # n log p/q over the cells, and over the rest, whose ratio is that of what is left
     rest = np.maximum(total - np.bincount(owner, n, len(context)), 0)

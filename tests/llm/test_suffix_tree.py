@@ -63,3 +63,22 @@ def test_repeated_rows_null_ids_and_no_rows(spark):
     got = M.score(df).collect()
     assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == [(0, 3), (3, 3), (3, 3)] and len({r.score for r in got}) == 1
     assert M.score(df.limit(0)).count() == 0
+
+
+def test_contexts_grow_while_they_diverge(spark):
+    rng = random.Random(4)
+    docs = []
+    for i in range(300):
+        out = rng.choices("ab", k=4)
+        for _ in range(60):  # each of the last four words tells something of the next
+            out.append("a" if rng.random() < 1 / (1 + math.exp(-sum(2 if w == "a" else -2 for w in out[-4:]))) else "b")
+        docs.append((i, " ".join(out)))
+    model, _ = M.learn(spark.createDataFrame(docs, "doc_id long, text string"), 4)
+    size = len(model.root)
+    assert len(model.levels) >= 4 and all(len(level.contexts) for level in model.levels)
+    past = np.array([[*rng.choices(range(size), k=7), x] for _ in range(200) for x in range(size)])
+    past[:, :7] = np.repeat(past[::size, :7], size, 0)
+    log_p, depth = model.log_probabilities(past.ravel(), np.repeat(np.arange(len(past)), 8))
+    assert (10 ** log_p[7::8]).reshape(-1, size).sum(1) == pytest.approx(1) and depth.max() >= 4
+    known = [model.log_probabilities(np.array(s), np.zeros(5, int))[0][-1] for s in ([0, 0, 1, 1, 0], [1, 1, 1, 1, 0])]
+    assert abs(known[0] - known[1]) > 0.3  # the same two words before, others before these
