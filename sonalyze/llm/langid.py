@@ -21,6 +21,8 @@ from sonalyze.llm import text as X
 from sonalyze.llm.shared import stored
 
 BUCKETS = 1 << 16
+#: Languages whose likelihoods are broadcast at once (64 MB); more are scored block by block. Buckets of a row of counts.
+BLOCK, PIECE = 128, 1 << 10
 #: Trigrams whose evidence counts in full; longer texts are tempered to as many, as trigrams aren't independent.
 FULL_WEIGHT = 200.0
 #: How often a declared language is right; rows of evidence that a broader level is worth; prior of und.
@@ -48,58 +50,97 @@ def trigrams(c: X.Chunk) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
+    """All languages, and the trigram counts of each in a stored table of pieces."""
+
     languages: list[str]
-    log_p: np.ndarray
+    table: DataFrame
+
+    def log_p(self, lo: int, hi: int) -> np.ndarray:
+        known = self.languages[lo:hi]
+        n, number = np.zeros((len(known), BUCKETS)), {lang: i for i, lang in enumerate(known)}
+        for r in self.table.where(F.col("lang").isin(known)).collect() if known else []:
+            n[number[r["lang"]], r["piece"] * PIECE : (r["piece"] + 1) * PIECE] = np.frombuffer(r["n"], np.int64)
+        return np.log((n + 0.1) / (n.sum(1, keepdims=True) + 0.1 * BUCKETS))
 
 
-def train(labelled: DataFrame, most_languages: int = 64) -> Model:
-    """labelled has text and lang; rows without either teach nothing. The most frequent languages, at most
-    most_languages of them, become classes, which bounds the model."""
+def train(labelled: DataFrame) -> Model:
+    """labelled has text and lang; rows without either teach nothing. Every other lang is a class."""
     labelled = labelled.where("text is not null and lang is not null and lang <> ''").select("text", F.lower("lang").alias("lang"))
-    known = [r["lang"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()]
-    known.sort()
+
+    def dealt(held: dict[str, np.ndarray]) -> pa.RecordBatch:
+        full = [(lang, p, n[p * PIECE : (p + 1) * PIECE]) for lang, n in held.items() for p in range(BUCKETS // PIECE)]
+        full = [(lang, p, n.tobytes()) for lang, p, n in full if not p or n.any()]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in full], t) for i, t in enumerate((pa.string(), pa.int32(), pa.binary()))], ["lang", "piece", "n"])
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(known), BUCKETS), np.int64)
-        number = {lang: i for i, lang in enumerate(known)}
+        held: dict[str, np.ndarray] = {}
         for batch in batches:
-            label = np.array([number.get(x, -1) for x in batch.column(1).to_pylist()], np.int64)
+            labels = batch.column(1).to_pylist()
             for c in X.chunks(batch.column(0)):
                 bucket, row = trigrams(c)
-                own = label[c.first + row]
-                total += np.bincount((own * BUCKETS + bucket)[own >= 0], minlength=total.size).reshape(total.shape)
-        yield pa.RecordBatch.from_arrays([pa.array(known, pa.string()), pa.array([t.tobytes() for t in total], pa.binary())], ["lang", "n"])
+                names = sorted(set(labels[c.first : c.first + c.n]))
+                number = {lang: i for i, lang in enumerate(names)}
+                own = np.array([number[x] for x in labels[c.first : c.first + c.n]], np.int64)[row]
+                for lo in range(0, len(names), BLOCK):
+                    block = names[lo : lo + BLOCK]
+                    here = (own >= lo) & (own < lo + BLOCK)
+                    total = np.bincount((own[here] - lo) * BUCKETS + bucket[here], minlength=len(block) * BUCKETS).reshape(-1, BUCKETS)
+                    for lang, n in zip(block, total):
+                        held[lang] = held.get(lang, 0) + n
+                    if len(held) > BLOCK:
+                        yield dealt(held)
+                        held = {}
+        yield dealt(held)
 
     def summed(key: tuple, table: pa.Table) -> pa.Table:
         n = sum(np.frombuffer(b.as_py(), np.int64) for b in table.column("n"))
-        return pa.table({"lang": [key[0].as_py()], "n": pa.array([n.tobytes()], pa.binary())})
+        return pa.table({"lang": [key[0].as_py()], "piece": pa.array([key[1].as_py()], pa.int32()), "n": pa.array([n.tobytes()], pa.binary())})
 
-    rows = {r["lang"]: np.frombuffer(r["n"], np.int64) for r in labelled.mapInArrow(X.tidied(counts), "lang string, n binary").groupBy("lang").applyInArrow(summed, "lang string, n binary").collect()} if known else {}
-    n = np.array([rows[lang] for lang in known], float).reshape(len(known), BUCKETS)
-    p = (n + 0.1) / (n.sum(1, keepdims=True) + 0.1 * BUCKETS)
-    return Model(known, np.vstack([np.log(p), np.full((1, BUCKETS), -np.log(BUCKETS))]))
+    schema = "lang string, piece int, n binary"
+    table = stored(labelled.mapInArrow(X.tidied(counts), schema).groupBy("lang", "piece").applyInArrow(summed, schema), "langid-counts")
+    return Model(sorted(r["lang"] for r in table.where("piece = 0").select("lang").collect()), table)
 
 
 def likelihoods(rows: DataFrame, model: Model, kept: list[str]) -> DataFrame:
-    """The columns kept, with n_grams and ll: the tempered log-likelihood of the text in each class."""
-    log_p = rows.sparkSession.sparkContext.broadcast(model.log_p)
-    size = len(model.languages) + 1
+    """The columns kept, with n_grams and ll: the tempered log-likelihood of the text in each class, und the
+    last. Languages beyond BLOCK take further passes over the texts."""
+    rows, n = rows.select("text", *kept), len(model.languages)
+    for lo in range(0, max(n, 1), BLOCK):
+        last = lo + BLOCK >= n
+        rows = block_likelihoods(rows, model.log_p(lo, lo + BLOCK), last)
+        if not last:
+            rows = stored(rows, "langid-block")
+    return rows.select(*kept, "n_grams", "ll")
+
+
+def block_likelihoods(rows: DataFrame, log_p: np.ndarray, last: bool) -> DataFrame:
+    """Rows with the likelihoods in further languages behind those in ll, if any; the last have no text, but n_grams."""
+    shared = rows.sparkSession.sparkContext.broadcast(np.vstack([log_p, np.full((1, BUCKETS), -np.log(BUCKETS))]) if last else log_p)
+    size, own = len(log_p) + last, [c for c in rows.columns if c not in ("text", "ll")]
+    more = "ll" in rows.columns
+    rows = rows.select("text", *own, *(["ll"] if more else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = np.zeros(batch.num_rows)
-            ll = np.zeros((batch.num_rows, size))
-            for c in X.chunks(batch.column(0)):
-                bucket, row = trigrams(c)
-                at = slice(c.first, c.first + c.n)
-                n[at] = np.bincount(row, minlength=c.n)
-                for k in range(size):
-                    ll[at, k] = np.bincount(row, log_p.value[k][bucket], c.n)
-            ll *= np.minimum(1, FULL_WEIGHT / np.maximum(n, 1))[:, None]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(n.astype(np.int64)), pa.array(list(ll), pa.list_(pa.float64()))], [*batch.schema.names[1:], "n_grams", "ll"])
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*kept).schema.fields)
-    return rows.select("text", *kept).mapInArrow(X.tidied(run), f"{schema}, n_grams long, ll array<double>")
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 4096):
+                batch = whole.slice(begin, 4096)
+                n, ll = np.zeros(batch.num_rows), np.zeros((batch.num_rows, size))
+                for c in X.chunks(batch.column(0)):
+                    bucket, row = trigrams(c)
+                    at = slice(c.first, c.first + c.n)
+                    n[at] = np.bincount(row, minlength=c.n)
+                    for k in range(size):
+                        ll[at, k] = np.bincount(row, shared.value[k][bucket], c.n)
+                ll *= np.minimum(1, FULL_WEIGHT / np.maximum(n, 1))[:, None]
+                if more:
+                    ll = np.hstack([batch.column(len(own) + 1).flatten().to_numpy().reshape(batch.num_rows, -1), ll])
+                found = pa.ListArray.from_arrays(pa.array(np.arange(len(ll) + 1) * ll.shape[1], pa.int32()), pa.array(ll.ravel()))
+                columns = {c: batch.column(i) for i, c in enumerate(["text", *own])} | {"n_grams": pa.array(n.astype(np.int64)), "ll": found}
+                columns.pop("text" if last else "n_grams")
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in own]
+    return rows.mapInArrow(X.tidied(run), ", ".join([*kinds, "n_grams long", "ll array<double>"] if last else ["text string", *kinds, "ll array<double>"]))
 
 
 def identify(rows: DataFrame, model: Model) -> DataFrame:
@@ -116,30 +157,35 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
     likely = F.array_position("ll", F.array_max("ll")) - 1
     table = table.withColumn("said", F.when(F.col("n_grams") > 0, likely).cast("int"))
     votes = table.where(F.col("said") < len(languages))
-    each = [F.count_if(F.col("said") == k).cast("double") for k in range(len(languages))]
-    counts = F.array(*each) if each else F.array().cast("array<double>")
+    n_languages = len(languages)
+    counts = F.expr(f"transform(sequence(0, {n_languages - 1}), k -> coalesce(try_element_at(m, k), 0D))" if languages else "cast(array() as array<double>)")
+
+    def tallied(level: str) -> DataFrame:
+        """c: rows of each language by level; and the least site."""
+        each = votes.where(f"{level} is not null").groupBy(F.col(level).alias("level"), "said").agg(F.count("*").cast("double").alias("n"), F.min("site").alias("site"))
+        each = each.groupBy("level").agg(F.map_from_entries(F.collect_list(F.struct("said", "n"))).alias("m"), F.min("site").alias("site"))
+        return each.select("level", counts.alias("c"), "site")
 
     def smoothed(own: Column, above: Column) -> Column:
         """Counts of a level, with those of the level above as LEVEL_ROWS further rows."""
         total = F.aggregate(own, F.lit(0.0), lambda a, x: a + x) + LEVEL_ROWS
         return F.transform(F.zip_with(own, above, lambda x, p: x + LEVEL_ROWS * p), lambda x: x / total)
 
-    even = F.array(*[F.lit(1.0 / max(len(languages), 1))] * len(languages)).cast("array<double>")
-    whole = votes.agg(counts.alias("c")).select(smoothed(F.col("c"), even).alias("p_all"))
-    [p_all] = [r["p_all"] for r in whole.collect()]
-    base = F.array(*[F.lit(float(p)) for p in p_all]).cast("array<double>")
-    site = votes.where("site is not null").groupBy("site").agg(counts.alias("c")).select("site", smoothed(F.col("c"), base).alias("p_site"))
-    host = votes.where("host is not null").groupBy("host").agg(counts.alias("c"), F.min("site").alias("site")).join(site, "site", "left")
+    whole = {r["said"]: r["count"] for r in votes.groupBy("said").count().collect()}
+    p_all = [(whole.get(k, 0) + LEVEL_ROWS * (1.0 / n_languages)) / (sum(whole.values()) + LEVEL_ROWS) for k in range(n_languages)]
+    base = F.array(*[F.lit(p) for p in p_all]).cast("array<double>")
+    site = tallied("site").select(F.col("level").alias("site"), smoothed(F.col("c"), base).alias("p_site"))
+    host = tallied("host").withColumnRenamed("level", "host").join(site, "site", "left")
     host = host.select("host", smoothed(F.col("c"), F.coalesce("p_site", base)).alias("p_host"))
-    suffix = votes.where("suffix is not null").groupBy("suffix").agg(counts.alias("c")).select("suffix", smoothed(F.col("c"), base).alias("p_suffix"))
+    suffix = tallied("suffix").select(F.col("level").alias("suffix"), smoothed(F.col("c"), base).alias("p_suffix"))
     own = table.join(host, "host", "left").join(site, "site", "left").join(suffix, "suffix", "left")
     prior = F.coalesce("p_host", "p_site", base)
     names = F.array(*[F.lit(x) for x in languages]).cast("array<string>")
     wrong = (1 - DECLARED_RIGHT) / max(len(languages) - 1, 1)
     # the suffix tells by how much it raises a language over the whole collection
-    score = F.expr("transform(names, (x, k) -> ll[k] + ln(prior[k]) + coalesce(ln(p_suffix[k] / base[k]), 0D) + CASE WHEN array_contains(names, declared) THEN IF(x = declared, ln({0}D), ln({1}D)) ELSE 0D END)".format(DECLARED_RIGHT, wrong))
-    und = F.col("ll")[len(languages)] + float(np.log(UND_PRIOR)) + F.when(F.array_contains("names", F.col("declared")), F.lit(float(np.log(wrong)))).otherwise(0.0)
-    fused = own.withColumns({"names": names, "prior": prior, "base": base}).withColumn("score", F.concat(score, F.array(und)))
+    score = F.expr("transform(names, (x, k) -> ll[k] + ln(prior[k]) + coalesce(ln(p_suffix[k] / base[k]), 0D) + CASE WHEN named THEN IF(x = declared, ln({0}D), ln({1}D)) ELSE 0D END)".format(DECLARED_RIGHT, wrong))
+    und = F.col("ll")[len(languages)] + float(np.log(UND_PRIOR)) + F.when(F.col("named"), F.lit(float(np.log(wrong)))).otherwise(0.0)
+    fused = own.withColumns({"names": names, "prior": prior, "base": base, "named": F.array_contains(names, F.col("declared"))}).withColumn("score", F.concat(score, F.array(und)))
     fused = fused.withColumn("top", F.array_max("score")).withColumn("best", (F.array_position("score", F.col("top")) - 1).cast("int"))
     posterior = 1 / F.aggregate("score", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
     fused = fused.withColumn("posterior", posterior)

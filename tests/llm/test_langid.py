@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from sonalyze.llm import langid
 from sonalyze.llm.langid import UND, document_rows, identify, page_rows, train
 
 PARTS = {"en": ["the", "tion", "ing", "and", "of", "her"], "de": ["der", "ung", "sch", "über", "ein", "ich"], "es": ["ción", "los", "que", "ado", "ñ", "para"]}
@@ -49,3 +50,17 @@ def test_no_rows_and_no_labels(spark, model):
     assert identify(document_rows(docs), model).count() == 3
     none = train(docs.select("text", "lang").limit(0))
     assert {r.language for r in identify(document_rows(docs), none).collect()} == {UND}
+
+
+def test_every_labelled_language_is_a_class(spark, monkeypatch):
+    rng = random.Random(5)
+    own = {f"l{i:02}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=3)) for _ in range(6)] for i in range(70)}
+    say = lambda lang, n: " ".join("".join(rng.choices(own[lang], k=2)) for _ in range(n))
+    labelled = spark.createDataFrame([(say(lang, 40), lang) for i, lang in enumerate(own) for _ in range(1 + (i < 64))], "text string, lang string")
+    docs = spark.createDataFrame([(i, say(lang, 12), None, None) for i, lang in enumerate(own)], "doc_id long, text string, lang string, source string")
+    whole = {r.id: r for r in identify(document_rows(docs), train(labelled)).collect()}
+    assert [whole[i].language for i in range(70)] == list(own)
+    monkeypatch.setattr(langid, "BLOCK", 16)
+    blocks = {r.id: r for r in identify(document_rows(docs), train(labelled)).collect()}
+    assert blocks.keys() == whole.keys() and all(blocks[i].language == whole[i].language for i in whole)
+    assert all(blocks[i].posterior == pytest.approx(whole[i].posterior) for i in whole)
