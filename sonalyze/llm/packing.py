@@ -26,6 +26,8 @@ from sonalyze.llm.tokens import encoder
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
 #: Rows of (part, source) that are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 100_000
+#: Tokens that one task orders by due time, where there are more queues than tasks are given.
+BLOCK_TOKENS = 1 << 20
 TOKENS = "doc_id long, source string, part int, at long, n long, width int, ids binary"
 
 
@@ -87,25 +89,26 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, s
 
     docs has doc_id, source, text; other columns are not read. shares: the target proportion of tokens
     by source; by default each source's own share of the corpus, with which all queues end together; a
-    source that shares leaves out gets the least share named. The most_queues - 1 longest sources have
-    a queue each, all others are one queue, which bounds the tables that tasks are given.
+    source that shares leaves out gets the least share named. Every source has
+    a queue. Up to most_queues, tasks are given all queues; beyond, tokens are dealt by their due times.
     Null text is the end id alone, null source the source ''. Repeated rows are packed each. An empty
     table gives no piece. Whole texts of any length are cut across windows.
     """
     spark = docs.sparkSession
     table = stored(tokenized(docs, tokenizer, end_id), "pack-tokens")
     by_part = table.groupBy("part", "source").agg(F.sum("n").alias("n"))
-    ranked = by_part.groupBy("source").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "source").limit(most_queues).collect()
-    own = [r["source"] for r in (ranked if len(ranked) < most_queues else ranked[: most_queues - 1])]
+    own = [r["source"] for r in by_part.groupBy("source").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "source").limit(most_queues + 1).collect()]
+    if len(own) > most_queues:
+        return by_due_time(table, by_part, window, shares)
     number = {s: i for i, s in enumerate(own)}
-    at = by_part.withColumn("queue", F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in number.items() for x in kv]), F.col("source")) if number else F.lit(None).cast("int"), F.lit(len(own))))
+    at = by_part.withColumn("queue", F.element_at(F.create_map(*[F.lit(x) for kv in number.items() for x in kv]), F.col("source")) if number else F.lit(None).cast("int"))
     at = at.withColumn("base", F.sum("n").over(Window.partitionBy("queue").orderBy("part", "source").rowsBetween(Window.unboundedPreceding, -1)))
     lengths = {r["queue"]: r["n"] for r in at.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
     if not lengths:
         return spark.createDataFrame([], PIECES)
     sizes = [lengths[q] for q in sorted(lengths)]
     least = min(shares.values()) if shares else 0
-    mixture = Mixture(sizes, [shares.get(s, least) for s in [*own, None][: len(sizes)]] if shares else [float(n) for n in sizes], window)
+    mixture = Mixture(sizes, [shares.get(s, least) for s in own] if shares else [float(n) for n in sizes], window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,3 +152,90 @@ def pieces(batch: pa.RecordBatch, mixture: Mixture) -> pa.RecordBatch:
     crc = list(map(zlib.crc32, map(data.__getitem__, map(slice, begin.tolist(), (begin + (high - low) * 4).tolist()))))
     columns = [keys.take(pa.array(own)), low - at[own], high - low, crc, n[own], edges[window], before + low - served[window, queue[own]], sources.take(pa.array(own))]
     return pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k == 7 else pa.int64()) for k, c in enumerate(columns)], PIECES.replace(",", "").split()[::2])
+
+
+def by_due_time(table: DataFrame, by_part: DataFrame, window: int, shares: Mapping[str, float] | None) -> DataFrame:
+    """Pieces as of pack, for any number of queues. Time is cut so that about BLOCK_TOKENS fall due in each
+    block; texts are cut at the blocks and dealt to them. A block's tokens follow those of the blocks before,
+    and its own order gives their windows. Tokens due at one moment are in one block, by source."""
+    spark = table.sparkSession
+    queues = by_part.groupBy("source").agg(F.sum("n").alias("size"))
+    if shares:
+        named = spark.createDataFrame([(s, float(p)) for s, p in shares.items()], "source string, p double")
+        queues = queues.join(named, "source", "left").withColumn("p", F.coalesce("p", F.lit(float(min(shares.values())))))
+    else:
+        queues = queues.withColumn("p", F.col("size").cast("double"))
+    queues = stored(queues, "pack-queues")
+    ends = queues.withColumn("end", F.col("size") / F.col("p")).groupBy(F.floor(F.log2("end") * 16).alias("bin")).agg(F.sum("p").alias("p"), F.sum("size").alias("n"), F.max("end").alias("end")).orderBy("end").collect()
+    total, rate, served, time = sum(r["n"] for r in ends), sum(r["p"] for r in ends), [0.0], [0.0]
+    for r in ends:
+        served.append(served[-1] + max(rate, 0) * (r["end"] - time[-1]))
+        time.append(r["end"])
+        rate -= r["p"]
+    targets = np.arange(1, -(-total // BLOCK_TOKENS)) * BLOCK_TOKENS
+    cuts = np.unique(np.interp(targets * (served[-1] / total), served, time))
+
+    def parts(at: np.ndarray, n: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Row, block, first token and end of each part of the texts."""
+        first = np.searchsorted(cuts, (at + 0.5) / p, "right")
+        count = np.searchsorted(cuts, (at + n - 0.5) / p, "right") - first + 1
+        row = np.repeat(np.arange(len(n)), count)
+        step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        block, low, high = first[row] + step, at[row], at[row] + n[row]
+        inner = np.flatnonzero(step > 0)
+        cut, share = cuts[block[inner] - 1], p[row[inner]]
+        begin = np.ceil(cut * share - 0.5).astype(np.int64)
+        begin -= (begin - 0.5) / share >= cut  # as the division rounds
+        begin += (begin + 0.5) / share < cut
+        low[inner] = begin
+        high[inner - 1] = begin
+        full = high > low
+        return row[full], block[full], low[full], high[full]
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, block, low, high = parts(*(batch.column(i).to_numpy() for i in range(3)))
+            n = np.bincount(block, high - low).astype(np.int64)
+            full = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(n[full])], ["block", "n"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 1000):
+                batch = whole.slice(lo, 1000)
+                at, n, p, width = (batch.column(i).to_numpy() for i in range(4))
+                row, block, low, high = parts(at, n, p)
+                blobs = batch.column(6).to_pylist()
+                ids = [blobs[r][a:b] for r, a, b in zip(row.tolist(), ((low - at[row]) * width[row]).tolist(), ((high - at[row]) * width[row]).tolist())]
+                columns = [block, low, high - low, low - at[row], n[row], p[row], width[row], batch.column(4).take(pa.array(row)), batch.column(5).take(pa.array(row)), pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
+
+    schema = "block long, at long, n long, start long, doc_tokens long, p double, width int, doc_id long, source string, ids binary"
+    names = schema.replace(",", "").split()[::2]
+    base = by_part.withColumn("base", F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part", "source", "base").join(queues.select("source", "p"), "source")
+    rows = table.join(base, ["part", "source"]).withColumn("at", F.col("base") + F.col("at"))
+    counted = {r["block"]: r["n"] for r in rows.select("at", "n", "p").mapInArrow(sizes, "block long, n long").groupBy("block").agg(F.sum("n").alias("n")).collect()}
+    before = np.cumsum([0, *(counted.get(k, 0) for k in range(len(cuts) + 1))])
+
+    def packed(key: tuple, got: pa.Table) -> pa.Table:
+        begun = int(before[key[0].as_py()])
+        at, n, start, doc_tokens, p, width = (got.column(c).to_numpy() for c in ("at", "n", "start", "doc_tokens", "p", "width"))
+        sources = got.column("source").to_pylist()
+        number = {s: i for i, s in enumerate(sorted(set(sources)))}
+        queue = np.array([number[s] for s in sources], np.int64)
+        row, first = np.repeat(np.arange(len(n)), n), np.cumsum(n) - n
+        token = at[row] + np.arange(len(row)) - first[row]
+        rank = np.empty(len(row), np.int64)
+        rank[np.lexsort((queue[row], (token + 0.5) / p[row]))] = begun + np.arange(len(row))
+        edges = X.group_starts(row, rank // window)
+        begin, length = edges[:-1], np.diff(edges)
+        own, place = row[begin], rank[begin] // window
+        by = np.lexsort((token[begin], queue[own], place))
+        offset = np.empty(len(begin), np.int64)
+        offset[by] = (begun + np.cumsum(length[by]) - length[by]) % window
+        data = memoryview(np.concatenate([np.frombuffer(b.as_buffer(), "<u2" if k == 2 else "<u4").astype("<u4") for b, k in zip(got.column("ids"), width)])).cast("B")
+        crc = [zlib.crc32(data[a:b]) for a, b in zip((begin * 4).tolist(), (edges[1:] * 4).tolist())]
+        keys, named = (got.column(c).take(pa.array(own)) for c in ("doc_id", "source"))
+        return pa.table([keys, start[own] + begin - first[own], length, pa.array(crc, pa.int64()), doc_tokens[own], place, offset, named], PIECES.replace(",", "").split()[::2])
+
+    return rows.select("at", "n", "p", "width", "doc_id", "source", "ids").mapInArrow(X.tidied(cut, tokens=True), schema).groupBy("block").applyInArrow(packed, PIECES)

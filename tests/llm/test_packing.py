@@ -4,6 +4,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from sonalyze.llm import packing
 from sonalyze.llm.packing import Mixture, pack
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,3 +52,19 @@ def test_shares_hold_in_every_window():
 
 def test_empty(spark):
     assert pack(spark.createDataFrame([], "doc_id long, source string, text string"), PATH).count() == 0
+
+
+def test_more_sources_than_queues_keep_their_shares(spark, monkeypatch):
+    docs = [(i, f"s{i % 12:02}", f"word{i} and more " * (8 + i % 12), "x") for i in range(96)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, text string, length string").repartition(3)
+    monkeypatch.setattr(packing, "BLOCK_TOKENS", 500)
+    for shares in (None, {"s03": 0.5, "s07": 0.3, "s00": 0.01}):
+        served = []
+        for most in (1024, 4):
+            got = pack(df, PATH, 64, shares=shares, most_queues=most).collect()
+            check(got, docs, 64)
+            n = np.zeros((1 + max(r.sequence_id for r in got), 12), int)
+            for r in got:
+                n[r.sequence_id, int(r.source[1:])] += r.length
+            served.append(np.cumsum(n, 0))
+        assert abs(served[0] - served[1]).max() <= 1
