@@ -4,7 +4,8 @@ A document's windows have as many words as the item they are held against. A win
 item shares most of its word shingles, so positions that share none are no candidates; of the others, windows
 that hold enough shared positions are fingerprinted (SimHash of their shingles, each as often as it occurs).
 Fingerprints within the radius agree in at least one of radius + 1 blocks of bits, so a join on blocks misses
-none of them. Pairs within the radius are verified by the weighted similarity of their shingles: the sum of
+none of them. Where a window or an item repeats a shingle, one shingle may turn many bits, so fingerprints
+tell nothing and such pairs are all verified. Pairs within the radius are verified by the weighted similarity of their shingles: the sum of
 the lesser counts over the sum of the greater.
 """
 
@@ -35,10 +36,10 @@ def fingerprint(hashes: str) -> str:
 
 
 def block_of(value: str, blocks: int) -> str:
-    """(block, bits) of a fingerprint cut into `blocks` runs of bits."""
+    """(block, bits) of a fingerprint cut into `blocks` runs of bits, and block -1, where all meet."""
     edges = [k * BITS // blocks for k in range(blocks + 1)]
     cuts = (f"struct({k} AS block, shiftrightunsigned({value}, {a}) & {(1 << b - a) - 1}L AS bits)" for k, (a, b) in enumerate(zip(edges, edges[1:])))
-    return f"inline(array({', '.join(cuts)}))"
+    return f"inline(array(struct(-1 AS block, 0L AS bits), {', '.join(cuts)}))"
 
 
 def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -77,12 +78,12 @@ def find_passages(docs: DataFrame, items: DataFrame, size: int = 5, percent: int
 
     texts = computed(docs.join(held.select("doc_id", "item_id", "n_words", "n_window", "starts"), "doc_id"), "w", words(F.col("text"))).where(F.size("w") == F.col("n_words"))
     texts = computed(texts, "s", F.expr(shingles(size))).select("doc_id", "item_id", F.expr("inline(transform(starts, x -> struct(x AS start, slice(s, x + 1, n_window) AS window)))"))
-    windows = computed(texts, "print", F.expr(fingerprint("window")))
+    windows = computed(computed(texts, "print", F.expr(fingerprint("window"))), "repeats", F.expr("size(array_distinct(window)) < size(window)"))
 
     blocks = radius + 1
-    index = bench.select("item_id", "item", "length", "item_print", F.expr(block_of("item_print", blocks)))
-    near = windows.select("doc_id", "item_id", "start", "window", "print", F.expr(block_of("print", blocks))).join(index, ["item_id", "block", "bits"])
-    near = near.where(f"bit_count(print ^ item_print) <= {radius}").dropDuplicates(["doc_id", "item_id", "start", "window", "item"])
+    index = bench.select("item_id", "item", "length", "item_print", F.expr("size(array_distinct(item)) < size(item)").alias("item_repeats"), F.expr(block_of("item_print", blocks)))
+    near = windows.select("doc_id", "item_id", "start", "window", "print", "repeats", F.expr(block_of("print", blocks))).join(index, ["item_id", "block", "bits"])
+    near = near.where(f"IF(block < 0, repeats OR item_repeats, bit_count(print ^ item_print) <= {radius})").dropDuplicates(["doc_id", "item_id", "start", "window", "item"])
     both = "aggregate(array_distinct(window), 0, (n, h) -> n + least(size(filter(window, x -> x = h)), size(filter(item, x -> x = h))))"
     found = computed(near, "shared", F.expr(both)).withColumn("all", F.size("window") + F.size("item") - F.col("shared")).where(100 * F.col("shared") >= percent * F.col("all"))
     best = found.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("start", "length"), F.struct(F.col("shared") / F.col("all"), -F.col("start"))).alias("x"), F.max(F.col("shared") / F.col("all")).alias("similarity"))

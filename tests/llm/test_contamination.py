@@ -67,3 +67,11 @@ def test_plan_has_no_python(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = find_passages(docs, docs.withColumnRenamed("doc_id", "item_id"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_runs_of_equal_words(spark):
+    own = " ".join(f"w{i}" for i in range(604))
+    items = spark.createDataFrame([(k, own + f" {mark}" * 100) for k, mark in enumerate("-*~", 1)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, own + f" {mark}" * 100) for k, mark in enumerate("=_.", 1)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.start, r.similarity) for r in find_passages(docs, items).collect()}
+    assert got == {(i, k, 0, 0.75) for i in (1, 2, 3) for k in (1, 2, 3)}
