@@ -202,11 +202,15 @@ PLACE = U64((1 << 26) - 1)
 
 def anchors(grams: np.ndarray, width: int) -> np.ndarray:
     """Place of the least of each `width` consecutive grams. It depends on those grams alone, so equal
-    windows have their anchors at equal distances."""
+    windows have their anchors at equal distances. Stretches that overlap keep places within their bits."""
     if len(grams) < width:
         return np.empty(0, np.int64)
-    tagged = (grams & ~PLACE) | np.arange(len(grams), dtype=U64)
-    return (sliding_min(tagged, width) & PLACE).astype(np.int64)
+    size, out = int(PLACE) + 1, []
+    for lo in range(0, len(grams) - width + 1, size - width + 1):
+        part = grams[lo : lo + size]
+        tagged = (part & ~PLACE) | np.arange(len(part), dtype=U64)
+        out.append((sliding_min(tagged, width) & PLACE).astype(np.int64) + lo)
+    return np.concatenate(out) if len(out) > 1 else out[0]
 
 
 def group_starts(*keys: np.ndarray) -> np.ndarray:

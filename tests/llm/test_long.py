@@ -1,8 +1,10 @@
 """Texts longer than any chunk."""
 
+import numpy as np
 import public_tokenizers
 import pytest
 
+from sonalyze.llm import text as X
 from sonalyze.llm.bytespans import dedup_bytes
 from sonalyze.llm.contamination import find_passages
 from sonalyze.llm.jaccard import similar_groups
@@ -45,3 +47,10 @@ def test_tokens(spark, docs, tmp_path):
     sizes = {r.doc_id: r.n_tokens for r in read_ids(spark, f"{tmp_path}/ids").collect()}
     pieces = pack(docs, PATH).groupBy("doc_id").agg({"length": "sum", "doc_tokens": "max"}).collect()
     assert {r.doc_id: r["sum(length)"] for r in pieces} == sizes == {r.doc_id: r["max(doc_tokens)"] for r in pieces}
+
+
+def test_anchors_beyond_the_bits_of_a_place(monkeypatch):
+    monkeypatch.setattr(X, "PLACE", X.U64(63))
+    grams = np.random.default_rng(1).integers(0, 1 << 12, 300, np.uint64) << X.U64(6)
+    for n in (9, 10, 63, 64, 65, 118, 119, 300):
+        assert X.anchors(grams[:n], 10).tolist() == [i + int(np.argmin(grams[i : i + 10])) for i in range(n - 9)]
