@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
+import hashlib
+import importlib.metadata
+import sys
+import types
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from sonalyze.operators.review import FAILED
 
 Generate = Callable[[str], list[dict]]
-_loaded: dict[tuple[str, str], Generate] = {}
+#: The models of a worker, by loader, model and device, are held in a module of this name.
+HELD = "_speech_models"
+
+
+def library_version(library: str = "funasr") -> str:
+    """The installed version, as the raw records name it."""
+    try:
+        return importlib.metadata.version(library)
+    except importlib.metadata.PackageNotFoundError:
+        return "unknown"
 
 
 @dataclass(frozen=True)
@@ -24,7 +38,7 @@ class Detector:
     model: str = "iic/SenseVoiceSmall"
     device: str = "cpu"
     name: str = "SenseVoiceSmall"
-    version: str = "unknown"
+    version: str = field(default_factory=library_version)
     output_type: str = "asr_ser_aed"
     options: dict = field(default_factory=dict, compare=False)
 
@@ -54,20 +68,22 @@ def funasr_model(model: str, device: str) -> Generate:
 
 def detect(lines: DataFrame, detector: Detector, path: str = "audio_path") -> DataFrame:
     """lines with raw_output and error, and unavailable set where the model failed on a line. Lines that are
-    unavailable already are passed on; a failure on one line leaves the others as they are."""
+    unavailable already are passed on; a failure on one line leaves the others as they are. The model is loaded
+    before a worker's first line, and a model that can't be loaded ends the job."""
     schema = T.StructType([*(f for f in lines.schema.fields if f.name not in ("raw_output", "error")), T.StructField("raw_output", T.StringType()), T.StructField("error", T.StringType())])
+    key = (hashlib.sha256(cloudpickle.dumps(detector.load)).hexdigest(), detector.model, detector.device)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key = (detector.model, detector.device)
+        held = sys.modules.setdefault(HELD, types.ModuleType(HELD)).__dict__
         for batch in batches:
+            if len(batch) and key not in held:
+                held[key] = detector.load(detector.model, detector.device)
             out, errors, reasons = [], [], []
             for where, reason in zip(batch[path], batch["unavailable"]):
                 text = error = None
                 if reason is None:
                     try:
-                        if key not in _loaded:
-                            _loaded[key] = detector.load(*key)
-                        found = _loaded[key](where)
+                        found = held[key](where)
                         text = str(found[0].get("text", "")) if found else ""
                     except Exception as e:  # one line's fault is that line's record
                         error, reason = str(e), FAILED

@@ -80,7 +80,8 @@ def chinese_number(text: Column) -> Column:
 
 def normalize_numbers(text: Column) -> Column:
     """Arabic digits before 万 or 亿 are written out, in one pass; then each run of Chinese numerals becomes
-    its value. Digits are appended as text, so their number is not limited."""
+    its value. Digits are appended as text, so their number is not limited. A text without a numeral stays
+    as it is, and isn't cut up."""
 
     def written_out(part: Column) -> Column:
         digits = F.regexp_replace(F.translate(F.regexp_replace(part, "[万亿]$", ""), OTHER_DIGITS, THEIR_VALUES), "^0+", "")
@@ -88,7 +89,8 @@ def normalize_numbers(text: Column) -> Column:
         return F.when(part.rlike(r"^\p{Nd}+[万亿]$"), F.when(digits == "", "0").otherwise(F.concat(digits, zeros))).otherwise(part)
 
     arabic = _map_segments(text, r"(\p{Nd}+[万亿]|\p{Nd}+|\P{Nd}+)", written_out)
-    return _map_segments(arabic, f"([{NUMERALS}]+|[^{NUMERALS}]+)", lambda part: F.when(part.rlike(f"^[{NUMERALS}]"), chinese_number(part).cast("string")).otherwise(part))
+    chinese = _map_segments(arabic, f"([{NUMERALS}]+|[^{NUMERALS}]+)", lambda part: F.when(part.rlike(f"^[{NUMERALS}]"), chinese_number(part).cast("string")).otherwise(part))
+    return F.when(text.rlike(f"[{NUMERALS}]"), chinese).otherwise(text)
 
 
 def normalize(text: Column) -> Column:

@@ -173,6 +173,18 @@ def tasks_added(before: DataFrame, after: DataFrame) -> DataFrame:
     return change(after, before, "added").unionByName(change(before, after, "lost"))
 
 
+def lock_retries(attempts: DataFrame, most: int = 3) -> DataFrame:
+    """Of attempts to take a lock or to write the ledger (run_id, attempt_no from 1, outcome: done or conflict), a
+    row for each run: how often it tried, whether it got through within `most` tries, whether it tried after that
+    or beyond the bound (a violation), and its exit code, null while it may still try."""
+    first = F.min(F.when(F.col("outcome") == "done", F.col("attempt_no")))
+    out = attempts.groupBy("run_id").agg(F.count("*").alias("attempts"), F.max("attempt_no").alias("last"), first.alias("done_at"))
+    done = F.coalesce(F.col("done_at") <= most, F.lit(False))
+    over = (F.col("last") > most) | F.coalesce(F.col("last") > F.col("done_at"), F.lit(False))
+    code = F.when(done, EXIT_SUCCESS).when(F.col("last") >= most, EXIT_AUDIT)
+    return out.select("run_id", "attempts", done.alias("acquired"), over.alias("out_of_bounds"), code.alias("exit_code"))
+
+
 def monitoring(tasks: DataFrame) -> DataFrame:
     """A row for each command of tasks (command, run_id, exit_code, overdue, design): runs, tasks beyond one for
     a run, audit failures, overdue tasks, findings, and whether the rollout may go on."""

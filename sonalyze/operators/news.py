@@ -36,6 +36,14 @@ def fetch_state(pages: DataFrame) -> DataFrame:
     return pages.withColumn("state", F.when(F.col("html").isNull(), "failed").when(url.contains("?page="), "updated").when(url.contains("#"), "skipped").otherwise("new"))
 
 
+def compared(items: DataFrame, history: DataFrame) -> DataFrame:
+    """Items (link, title) with state, by what earlier runs have (link, title): failed without a link, new, skipped
+    where nothing changed, else updated. Links are unique in history."""
+    known = history.select("link", F.col("title").alias("_title"), F.lit(True).alias("_known"))
+    state = F.when(F.col("link").isNull(), "failed").when(F.col("_known").isNull(), "new").when(F.col("title").eqNullSafe(F.col("_title")), "skipped").otherwise("updated")
+    return items.join(known, "link", "left").withColumn("state", state).drop("_title", "_known")
+
+
 def fetch_counts(pages: DataFrame) -> DataFrame:
     """Items of each state, and apart from them the sources (hosts) they are of."""
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z]+://([^/:?#]+)", 1))
@@ -171,9 +179,12 @@ def candidates(docs: DataFrame, day: list[str], domain: str, rank: str, hook: Co
 def rhythm(picks: DataFrame, archive: DataFrame, days: int = 14) -> DataFrame:
     """picks (day, topic, score) with the score lowered by how lately the archive (date, topic) had the topic.
     Our own reading of a reinforcement rhythm."""
-    last = picks.join(archive, "topic", "left").where("date IS NULL OR date < day").groupBy("day", "topic", "score").agg(F.max("date").alias("last"))
+    none = F.lit(None).cast("date")
+    days_ = picks.select("topic", "day", none.alias("date")).union(archive.select("topic", F.col("date").alias("day"), "date")).groupBy("topic", "day").agg(F.max("date").alias("date"))
+    before = Window.partitionBy("topic").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)  # a row a day
+    last = days_.select("topic", "day", F.max("date").over(before).alias("last"))
     gap = F.datediff("day", "last")
-    return picks.join(last, ["day", "topic", "score"], "left").withColumn("adjusted", F.when(gap <= days, F.col("score") * gap / days).otherwise(F.col("score")))
+    return picks.join(last, ["day", "topic"], "left").withColumn("adjusted", F.when(gap <= days, F.col("score") * gap / days).otherwise(F.col("score")))
 
 
 def diversity(chosen: DataFrame, by: list[str], source: str, official: Column) -> DataFrame:

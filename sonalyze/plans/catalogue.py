@@ -609,11 +609,11 @@ def pronunciation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH p AS (SELECT DISTINCT CAST(ts AS DATE) AS day, event_type AS topic, 10.0::DOUBLE AS score FROM events WHERE event_id % 10 = 0), a AS (SELECT DISTINCT CAST(ts AS DATE) AS date, event_type AS topic FROM events WHERE event_id % 10 = 1),
+WITH p AS (SELECT DISTINCT CAST(ts AS DATE) AS day, event_type AS topic, 10.0::DOUBLE AS score FROM events WHERE event_id % 2 = 0), a AS (SELECT DISTINCT CAST(ts AS DATE) AS date, event_type AS topic FROM events WHERE event_id % 2 = 1),
 l AS (SELECT p.day, p.topic, p.score, max(a.date) AS last FROM p LEFT JOIN a ON p.topic = a.topic AND a.date < p.day GROUP BY ALL) SELECT day, topic, score, CASE WHEN last IS NULL OR day - last > 14 THEN score ELSE score * (day - last) / 14 END AS adjusted FROM l""")
 def topic_rhythm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """N10, our own reading"""
+    """N10, our own reading: even events are picks, odd ones the archive"""
     e = table(spark, sf_dir, "events")
-    picks = e.where("event_id % 10 = 0").select(F.to_date("ts").alias("day"), F.col("event_type").alias("topic"), F.lit(10.0).alias("score")).distinct()
-    archive = e.where("event_id % 10 = 1").select(F.to_date("ts").alias("date"), F.col("event_type").alias("topic")).distinct()
+    picks = e.where("event_id % 2 = 0").select(F.to_date("ts").alias("day"), F.col("event_type").alias("topic"), F.lit(10.0).alias("score")).distinct()
+    archive = e.where("event_id % 2 = 1").select(F.to_date("ts").alias("date"), F.col("event_type").alias("topic")).distinct()
     return N.rhythm(picks, archive).select("day", "topic", "score", "adjusted")

@@ -5,11 +5,13 @@ from __future__ import annotations
 import csv
 import io
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonalyze.functions.detectors import Detector, default_device, detect, funasr_model
+from sonalyze.functions.speech import CER_THRESHOLD
 from sonalyze.operators import review as R
 
 # Names of the files of an episode, and the speaker of a turn that names none.
@@ -17,10 +19,17 @@ REQUEST, PARTS, RAW = ".minimax-request.json", ".line_parts", ".emotion_raw.json
 UNKNOWN_SPEAKER = "未知"
 
 
+def plain(uri: str | Column) -> str | Column:
+    """Local files by their path alone; others keep their address."""
+    if isinstance(uri, str):
+        return re.sub(r"^file:/+", "/", uri)
+    return F.when(uri.startswith("file:"), F.regexp_replace(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), "^file:/+", "/")).otherwise(uri)
+
+
 def requests(spark: SparkSession, path: str) -> DataFrame:
     """request_json, stem, folder, body: whole request files. The body is a variant, so one odd value leaves
     the rest readable; it is null where the file is no JSON."""
-    at = F.col("_metadata.file_path")
+    at = plain(F.col("_metadata.file_path"))
     rows = spark.read.text(path, wholetext=True).select(at.alias("request_json"), F.expr("try_parse_json(value)").alias("body"))
     name = F.element_at(F.split("request_json", "/"), -1)
     stem = F.when(name.endswith(REQUEST), F.substring(name, F.lit(1), F.length(name) - len(REQUEST)))
@@ -54,14 +63,23 @@ def turns(found: DataFrame) -> DataFrame:
 
 
 def audio_parts(spark: SparkSession, folder: str) -> DataFrame:
-    """folder, stem, file_name of the line audio under a folder. Contents are not read; empty files are none."""
-    rows = spark.read.format("binaryFile").option("pathGlobFilter", "*.mp3").option("recursiveFileLookup", True).load(folder).select("path")
-    split = F.regexp_extract_all("path", F.lit(r"^(.*/)([^/]*)\.line_parts/([^/]*)$"), F.lit(0))
-    part = lambda k: F.regexp_extract("path", r"^(.*/)([^/]*)\.line_parts/([^/]*)$", k)
-    return rows.where(F.size(split) > 0).select(part(1).alias("folder"), part(2).alias("stem"), part(3).alias("file_name"))
+    """folder, stem, file_name of the line audio under a folder: what Spark's own listing finds, empty files too,
+    as a file that is there is no missing one. Contents are not read."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.mp3").option("recursiveFileLookup", True).load(folder).inputFiles()
+    path = plain(F.col("path"))
+    part = lambda k: F.regexp_extract(path, r"^(.*/)([^/]*)\.line_parts/([^/]*)$", k)
+    rows = spark.createDataFrame([(x,) for x in listed], "path string")
+    return rows.select(part(1).alias("folder"), part(2).alias("stem"), part(3).alias("file_name")).where("file_name <> ''")
+
+
+def review_episodes(spark: SparkSession, found: DataFrame, files: DataFrame, detector: Detector, threshold: float = CER_THRESHOLD) -> DataFrame:
+    """The records of all episodes of found (requests()) at once, with audio of files (audio_parts())."""
+    lines = R.attach_audio(turns(found), files, ["folder", "stem"])
+    lines = lines.withColumn("audio_path", F.concat("folder", "stem", F.lit(f"{PARTS}/"), "file_name"))
+    return R.review(detect(lines, detector), threshold)
 
 
-def review_episode(spark: SparkSession, request: str, detector: Detector | None = None, round_number: int = 1) -> dict[str, str | int]:
+def review_episode(spark: SparkSession, request: str, detector: Detector | None = None, round_number: int = 1, threshold: float = CER_THRESHOLD) -> dict[str, str | int]:
     """Review one episode and write its three files beside the request. Its request, turns, name and audio
     folder are checked, in this order, before any model is loaded. An episode is small: its files are written
     by the driver, through the file system of the request."""
@@ -79,8 +97,8 @@ def review_episode(spark: SparkSession, request: str, detector: Detector | None
     detector = detector or Detector(funasr_model, device=default_device())
     names = [(stem, s.getPath().getName()) for s in fs.listStatus(parts) if s.isFile()]
     files = spark.createDataFrame(names, "stem string, file_name string")
-    lines = R.attach_audio(turns(found), files, ["stem"]).withColumn("audio_path", F.concat(F.lit(f"{parts}/".removeprefix("file:")), "file_name"))
-    records = R.review(detect(lines, detector)).cache()
+    lines = R.attach_audio(turns(found), files, ["stem"]).withColumn("audio_path", F.concat(F.lit(plain(f"{parts}/")), "file_name"))
+    records = R.review(detect(lines, detector), threshold).cache()
     raw = R.raw_records(records, F.col("stem"), round_number, detector.provenance).orderBy("line_id")
     queue = R.listening_queue(records)
     [plan] = R.fix_plans(records, ["request_json"], round_number).collect()
@@ -89,7 +107,7 @@ def review_episode(spark: SparkSession, request: str, detector: Detector | None
     put(spark, out["review_path"], queue_csv(queue))
     put(spark, out["fix_plan_path"], json.dumps(plan.asDict(recursive=True), ensure_ascii=False, indent=2))
     records.unpersist()
-    return out | {"review_required": plan["review_required"]}
+    return {k: plain(v) for k, v in out.items()} | {"review_required": plan["review_required"]}
 
 
 def jsonl(rows: DataFrame) -> str:

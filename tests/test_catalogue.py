@@ -3,6 +3,7 @@ import datetime
 import duckdb
 import pytest
 
+from sonalyze.plans import file_queries  # noqa: F401: it registers its queries
 from sonalyze.plans.catalogue import ORACLE, QUERIES
 
 AT = "/root/testdata/sf0.001"

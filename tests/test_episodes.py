@@ -3,7 +3,7 @@ import json
 
 import pytest
 
-from sonalyze.functions.detectors import Detector
+from sonalyze.functions.detectors import Detector, library_version
 from sonalyze.operators import review as R
 from sonalyze.sources import episodes as E
 
@@ -87,6 +87,27 @@ def test_errors_come_before_the_model(spark, tmp_path, turns, parts, name, error
         E.review_episode(spark, episode(tmp_path, turns, parts, name), Detector(load))
 
 
+def test_a_model_that_cannot_be_loaded_ends_the_job_and_writes_nothing(spark, tmp_path):
+    def load(model, device):
+        raise RuntimeError("no such library")
+
+    with pytest.raises(Exception, match="no such library"):
+        E.review_episode(spark, episode(tmp_path, [{"speaker": "a"}, {"speaker": "b"}], ["01_a.mp3"]), Detector(load))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["ep.line_parts", "ep.minimax-request.json"]
+
+
+def test_paths_are_plain_and_loaders_do_not_share_models(spark, tmp_path):
+    path = episode(tmp_path, [{"speaker": "a b+%", "text": "你好"}], [])
+    (tmp_path / "ep.line_parts" / "01_a b+%.mp3").write_bytes(b"")  # empty, but there
+    one = E.review_episode(spark, path, Detector(fake({"01": "你好"})))
+    assert one["raw_path"] == f"{tmp_path}/ep.emotion_raw.jsonl" and one["review_required"] == 0
+    assert json.loads((tmp_path / "ep.fix_plan_round1.json").read_text(encoding="utf-8"))["request_json"] == path
+    assert E.review_episode(spark, path, Detector(fake({"01": "再见"})))["review_required"] == 1
+    assert json.loads((tmp_path / "ep.emotion_raw.jsonl").read_text(encoding="utf-8"))["detectors"][0]["funasr_version"] == library_version()
+    assert [tuple(r) for r in E.audio_parts(spark, str(tmp_path)).collect()] == [(f"{tmp_path}/", "ep", "01_a b+%.mp3")]
+    assert library_version("pyspark")[0].isdigit() and library_version("no such library") == "unknown"
+
+
 def test_part_names_and_listing(spark, tmp_path):
     episode(tmp_path, [{}], ["01_a.mp3", "x.txt"])
     assert [(r.stem, r.file_name) for r in E.audio_parts(spark, str(tmp_path)).collect()] == [("ep", "01_a.mp3")]
