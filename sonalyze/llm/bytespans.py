@@ -1,16 +1,17 @@
 """Removal of byte strings that occur earlier in the corpus, by suffix arrays.
 
 Each string of `window` bytes has an anchor, the least hashed of the shorter strings in it, which equal
-strings share at the same distance. A run of strings with one anchor is a context. Count-min sketches
-tell which anchors may be repeated; contexts of the others hold nothing that repeats. The contexts left
-are dealt by their anchor, so that equal strings meet in one part; equal contexts are one. Each part is
+strings share at the same distance. A run of strings with one anchor is a context. Count-min sketches,
+merged by range of cells, tell which anchors may be repeated; contexts of the others hold nothing that
+repeats. The contexts left are dealt by their anchor, so that equal strings meet in one part; equal contexts are one. Each part is
 cut into shards of bounded size. A shard's suffix array (Larsson-Sadakane) and common prefixes (Kasai)
 give the classes of equal strings, shards that hold the same anchor are merged by binary search of the
 strings of one in the suffixes of the other, and all but the earliest of a class are removed.
 
-An anchor that very many batches of texts hold (a line that a third of all documents have, in as many
-surroundings) would make one part too large. All tasks know these anchors from the sketches; their strings
-are dealt one by one, by two 64-bit hashes of their own, and grouped exactly by these.
+An anchor that very many blocks of texts hold (a line that a third of all documents have, in as many
+surroundings) would make one part too large. The sketches, which have two cells a key at any size, tell all
+tasks these anchors by their counts; their strings are dealt one by one, by two 64-bit hashes of their own,
+and grouped exactly by these.
 """
 
 from __future__ import annotations
@@ -25,17 +26,18 @@ from pyspark.sql import types as T
 
 from sonalyze.llm import suffixes as S
 from sonalyze.llm import text as X
-from sonalyze.llm.shared import n_buckets
-from sonalyze.llm.sketch import repeats, text_bytes
-from sonalyze.llm.substrings import BLOCK_BYTES, joined, ordered
+from sonalyze.llm.shared import n_buckets, stored
+from sonalyze.llm.sketch import Blocks, Sketch, text_bytes
+from sonalyze.llm.substrings import by_block, joined, later, named, parted, placed, record
 
 SHARD_BYTES = 1 << 19
-#: Bytes of text of which equal contexts are found before they are sent, and that a part is made for.
-LOCAL_BYTES, PART_BYTES = 8 << 20, 8 << 20
-#: An anchor is hot if the partial sketches hold its cell so often, each twice at most.
-HOT = 128
-FOUND = "part int, block int, doc binary, start binary, n binary, anchor binary, c1 binary, c2 binary, body binary"
-REMOVED = "block int, doc binary, start binary, n binary"
+#: Bytes of text that a part is made for.
+PART_BYTES = 8 << 20
+#: An anchor is hot if its count in the sketches, two a block at most, is 2 ** HOT or more.
+HOT = 7
+#: what 0: contexts for a part; 1: strings of hot anchors, with hashes c1 and c2; 2: runs of strings to be removed.
+FOUND = "part int, block int, what int, row binary, start binary, n binary, anchor binary, c1 binary, c2 binary, body binary, rows binary, docs binary"
+REMOVED = "block int, row binary, start binary, n binary"
 
 
 def contexts(c: X.Chunk, window: int) -> tuple[np.ndarray, ...]:
@@ -50,39 +52,16 @@ def contexts(c: X.Chunk, window: int) -> tuple[np.ndarray, ...]:
     return starts[new], np.diff(np.append(new, len(starts))), grams[place[new]]
 
 
-def by_block(doc: np.ndarray, start: np.ndarray, n: np.ndarray, blocks: int) -> Iterator[tuple]:
-    block = np.mod(doc, blocks)
-    by = np.argsort(block, kind="stable")
-    block, columns = block[by], (doc[by], start[by], n[by])
-    edges = X.group_starts(block)
-    for a, b in zip(edges[:-1], edges[1:]):
-        yield int(block[a]), *(x[a:b].tobytes() for x in columns)
-
-
-def record(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    names, kinds = schema.replace(",", "").split()[::2], schema.replace(",", "").split()[1::2]
-    columns = list(zip(*rows)) if rows else [[] for _ in names]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k == "int" else pa.binary()) for c, k in zip(columns, kinds, strict=True)], names)
-
-
 def bodies(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The bytes of the spans, one after another."""
     ends = np.cumsum(lengths)
     return data[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
 
 
-def earliest(c1: np.ndarray, c2: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order by content and place, and in it which rows start after the first of their content."""
-    by = np.lexsort((start, doc, c2, c1))
-    edges = X.group_starts(c1[by], c2[by])
-    first = by[np.repeat(edges[:-1], np.diff(edges))]
-    return by, (doc[by] != doc[first]) | (start[by] != start[first])
-
-
 class Shard:
     """Classes of equal windows in some contexts, in suffix order, with the first place of each."""
 
-    def __init__(self, body: np.ndarray, n: np.ndarray, doc: np.ndarray, start: np.ndarray, window: int):
+    def __init__(self, body: np.ndarray, n: np.ndarray, doc: np.ndarray, start: np.ndarray, at_row: np.ndarray, window: int):
         lengths = n + window - 1
         at = np.cumsum(lengths) - lengths
         data = body
@@ -95,6 +74,7 @@ class Shard:
         number = np.cumsum(prefix < window)[mine]
         self.place = sa[mine]
         self.edges = X.group_starts(number)
+        self.row = at_row[context[self.place]]
         self.doc, self.start = doc[context[self.place]], start[context[self.place]] + inner[self.place]
         self.cls = np.repeat(np.arange(len(self.edges) - 1), np.diff(self.edges))
         by = np.lexsort((self.start, self.doc, self.cls))[self.edges[:-1]]
@@ -114,29 +94,26 @@ class Shard:
 
     def removed(self) -> tuple[np.ndarray, np.ndarray]:
         doc, start = self.least[:, self.cls]
-        later = (self.doc != doc) | (self.start != start)
-        return self.doc[later], self.start[later]
+        gone = (self.doc != doc) | (self.start != start)
+        return self.row[gone], self.start[gone]
 
 
-def runs(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Consecutive starts as (doc, first, count)."""
-    by = np.lexsort((start, doc))
-    doc, start = doc[by], start[by]
-    new = np.append(True, (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)) if len(doc) else np.empty(0, bool)
+def runs(row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Consecutive starts as (row, first, count)."""
+    by = np.lexsort((start, row))
+    row, start = row[by], start[by].astype(np.int64)
+    new = np.append(True, (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)) if len(row) else np.empty(0, bool)
     at = np.flatnonzero(new)
-    return doc[at], start[at].astype(np.uint32), np.diff(np.append(at, len(doc))).astype(np.uint32)
+    return row[at], start[at].astype(np.uint32), np.diff(np.append(at, len(row))).astype(np.uint32)
 
 
-def later_windows(doc: np.ndarray, start: np.ndarray, n: np.ndarray, anchor: np.ndarray, c1: np.ndarray, c2: np.ndarray, body: np.ndarray, window: int, shard_bytes: int = SHARD_BYTES) -> Iterator[tuple[np.ndarray, ...]]:
-    """Of the contexts of one part, the windows that start earlier too, as (doc, first start, count)."""
+def later_windows(doc: np.ndarray, row: np.ndarray, start: np.ndarray, n: np.ndarray, anchor: np.ndarray, c1: np.ndarray, c2: np.ndarray, body: np.ndarray, window: int, shard_bytes: int = SHARD_BYTES) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of the contexts of one part, the windows that start earlier too, as (row, first start, count)."""
     start = start.astype(np.int64)
-    by, later = earliest(c1, c2, doc, start)
-    gone, own = by[later], by[~later]
-    yield doc[gone], start[gone].astype(np.uint32), n[gone].astype(np.uint32)
+    by, gone = later(c1, c2, doc, start)
+    gone, own = by[gone], by[~gone]
+    yield row[gone], start[gone].astype(np.uint32), n[gone].astype(np.uint32)
     own = own[np.argsort(anchor[own], kind="stable")]
-    if len(own):  # repeated rows of a document are equal contexts at one place
-        same = np.append(False, (c1[own[1:]] == c1[own[:-1]]) & (c2[own[1:]] == c2[own[:-1]]))
-        own = own[~same]
     edges = X.group_starts(anchor[own])
     own = own[np.repeat(np.diff(edges) > 1, np.diff(edges))]
     n = n.astype(np.int64)
@@ -147,7 +124,7 @@ def later_windows(doc: np.ndarray, start: np.ndarray, n: np.ndarray, anchor: np.
     open_: list[tuple[Shard, np.uint64]] = []
     for a, b in zip(cuts[:-1], cuts[1:]):
         mine = own[a:b]
-        shard = Shard(bodies(body, at[mine], lengths[mine]), n[mine], doc[mine], start[mine], window)
+        shard = Shard(bodies(body, at[mine], lengths[mine]), n[mine], doc[mine], start[mine], row[mine], window)
         if open_ and open_[-1][1] != anchor[mine[0]]:
             for s, _ in open_:
                 yield runs(*s.removed())
@@ -159,110 +136,110 @@ def later_windows(doc: np.ndarray, start: np.ndarray, n: np.ndarray, anchor: np.
         yield runs(*s.removed())
 
 
-def dedup_bytes(docs: DataFrame, window: int = 100, max_bits: int = 29, hot: int = HOT) -> DataFrame:
+def dedup_bytes(docs: DataFrame, window: int = 100, max_bits: int = 62, hot: int = HOT) -> DataFrame:
     """docs with n_bytes, n_removed, n_spans and kept (the bytes that stay, binary).
 
     A byte goes when a string of `window` bytes of its document's UTF-8 text that covers it starts earlier
     too: in a smaller doc_id, or earlier in the same document. n_spans counts the maximal runs of removed
     bytes. Strings are judged on the texts given. All columns are kept; the four new ones take the place of
-    columns of that name. Null text is empty. Rows of one doc_id count as one document at one place: none
-    of them is earlier than the other, and what one loses at a place the other loses there. A null doc_id
-    comes before all others.
+    columns of that name. Null text is empty. Rows of one doc_id are one document at one place: of equal
+    strings that start at the same byte, neither is earlier. A null doc_id comes before all others.
     """
-    spark = docs.sparkSession
     docs = docs.drop("n_bytes", "n_removed", "n_spans", "kept")
     total = text_bytes(docs)
-    parts, blocks = n_buckets(spark, total, PART_BYTES), n_buckets(spark, total, BLOCK_BYTES) | 1
+    parts, blocks = n_buckets(docs.sparkSession, total, PART_BYTES), Blocks(docs.select("doc_id", "text"), total)
 
     def keys(column: pa.Array) -> np.ndarray:
         return np.concatenate([np.empty(0, np.uint64), *(contexts(c, window)[2] for c in X.chunks(column))])
 
-    filter_ = spark.sparkContext.broadcast(repeats(docs, keys, total * 2 // window, rows=2, max_bits=max_bits, hot=hot))
-
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got: list[list[np.ndarray]] = [[] for _ in range(7)]
-            single: list[list[np.ndarray]] = [[] for _ in range(4)]
-            ids, held = X.ids(batch.column(0)), 0
-            for c in X.chunks(batch.column(1)):
-                starts, n, anchor = contexts(c, window)
-                if not len(starts):
-                    continue
-                live = filter_.value.may_repeat(anchor)
-                starts, n, anchor = starts[live], n[live], anchor[live]
-                row = np.searchsorted(c.offsets, starts, "right") - 1
-                ends = starts + n + window - 1
-                codes = X.BYTE_CODE[c.data]
-                sums, sums2 = X.prefix(codes, X.BASE_BYTE), X.prefix(X.mix(codes), X.BASE_ALT)
-                crowd = filter_.value.is_hot(anchor)
-                if crowd.any():
-                    at = np.repeat(starts[crowd] - (np.cumsum(n[crowd]) - n[crowd]), n[crowd]) + np.arange(n[crowd].sum())
-                    own = np.repeat(row[crowd], n[crowd])
-                    for out, x in zip(single, (X.spans(sums, at, at + window, X.BASE_BYTE), X.spans(sums2, at, at + window, X.BASE_ALT), ids[c.first + own], (at - c.offsets[own]).astype(np.uint32))):
-                        out.append(x)
-                    starts, n, anchor, row, ends = starts[~crowd], n[~crowd], anchor[~crowd], row[~crowd], ends[~crowd]
-                for out, x in zip(got, (ids[c.first + row], (starts - c.offsets[row]).astype(np.uint32), n.astype(np.uint32), anchor, X.spans(sums, starts, ends, X.BASE_BYTE), X.spans(sums2, starts, ends, X.BASE_ALT), bodies(c.data, starts, ends - starts))):
+    sketch = Sketch(blocks, keys, total * 2 // window, rows=2, max_bits=max_bits)
+
+    def found(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+        block, (ids, texts), repeats = key[0].as_py(), blocks.distinct(table), sketch.heard(answers)
+        got: list[list[np.ndarray]] = [[np.empty(0, k)] for k in (np.uint32, np.uint32, np.uint32, np.uint64, np.uint64, np.uint64, np.uint8)]
+        single: list[list[np.ndarray]] = [[np.empty(0, k)] for k in (np.uint64, np.uint64, np.uint32, np.uint32)]
+        for c in X.chunks(texts):
+            starts, n, anchor = contexts(c, window)
+            if not len(starts):
+                continue
+            level = repeats.level(anchor)
+            live = level > 0
+            starts, n, anchor, crowd = starts[live], n[live], anchor[live], level[live] >= hot
+            row = np.searchsorted(c.offsets, starts, "right") - 1
+            ends = starts + n + window - 1
+            codes = X.BYTE_CODE[c.data]
+            sums, sums2 = X.prefix(codes, X.BASE_BYTE), X.prefix(X.mix(codes), X.BASE_ALT)
+            if crowd.any():
+                at = np.repeat(starts[crowd] - (np.cumsum(n[crowd]) - n[crowd]), n[crowd]) + np.arange(n[crowd].sum())
+                own = np.repeat(row[crowd], n[crowd])
+                for out, x in zip(single, (X.spans(sums, at, at + window, X.BASE_BYTE), X.spans(sums2, at, at + window, X.BASE_ALT), (c.first + own).astype(np.uint32), (at - c.offsets[own]).astype(np.uint32))):
                     out.append(x)
-                held += len(c.data)
-                if held > LOCAL_BYTES:
-                    yield from dealt(*map(np.concatenate, got))
-                    got, held = [[] for _ in range(7)], 0
-            if got[0]:
-                yield from dealt(*map(np.concatenate, got))
-            if single[0]:
-                yield from dealt_singly(*map(np.concatenate, single))
-
-    def dealt_singly(h1, h2, doc, start) -> Iterator[pa.RecordBatch]:
-        (h1, h2, doc, start), later = ordered(h1, h2, doc, start)
-        yield record([(block % parts, block, d, s, k, *[None] * 4) for block, d, s, k in by_block(*runs(doc[later], start[later]), blocks)], FOUND)
-        h1, h2, doc, start = h1[~later], h2[~later], doc[~later], start[~later]
-        part = (h1 >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-        edges = np.searchsorted(part, np.arange(parts + 1))
-        yield record([(p, -2, doc[a:b].tobytes(), start[a:b].tobytes(), None, None, h1[a:b].tobytes(), h2[a:b].tobytes(), None) for p, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a], FOUND)
-
-    def dealt(doc, start, n, anchor, c1, c2, body) -> Iterator[pa.RecordBatch]:
-        by, later = earliest(c1, c2, doc, start)
-        gone, own = by[later], by[~later]
-        yield record([(block % parts, block, d, s, k, *[None] * 4) for block, d, s, k in by_block(doc[gone], start[gone], n[gone], blocks)], FOUND)
+                starts, n, anchor, row, ends = starts[~crowd], n[~crowd], anchor[~crowd], row[~crowd], ends[~crowd]
+            for out, x in zip(got, ((c.first + row).astype(np.uint32), (starts - c.offsets[row]).astype(np.uint32), n.astype(np.uint32), anchor, X.spans(sums, starts, ends, X.BASE_BYTE), X.spans(sums2, starts, ends, X.BASE_ALT), bodies(c.data, starts, ends - starts))):
+                out.append(x)
+        return record([*dealt(block, ids, *map(np.concatenate, got)), *dealt_singly(block, ids, *map(np.concatenate, single))], FOUND)
+
+    def removal(block: int, row: np.ndarray, start: np.ndarray, n: np.ndarray) -> list[tuple]:
+        return [(block % parts, block, 2, row.tobytes(), start.tobytes(), n.tobytes(), *[None] * 6)] if len(row) else []
+
+    def dealt_singly(block, ids, h1, h2, row, start) -> Iterator[tuple]:
+        by, gone = later(h1, h2, ids[row], start)
+        yield from removal(block, *runs(row[by[gone]], start[by[gone]]))
+        by = by[~gone]
+        part = ((h1[by] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        for p, at in parted(part):
+            mine = by[at]
+            yield p, block, 1, row[mine].tobytes(), start[mine].tobytes(), None, None, h1[mine].tobytes(), h2[mine].tobytes(), None, *named(row[mine], ids)
+
+    def dealt(block, ids, row, start, n, anchor, c1, c2, body) -> Iterator[tuple]:
+        by, gone = later(c1, c2, ids[row], start)
+        yield from removal(block, row[by[gone]], start[by[gone]], n[by[gone]])
+        own = by[~gone]
         part = ((X.mix(anchor) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)  # anchors are small hashes
         own = own[np.argsort(part[own], kind="stable")]
         lengths = n.astype(np.int64) + window - 1
-        at = np.cumsum(lengths) - lengths
-        edges = X.group_starts(part[own])
-        for a, b in zip(edges[:-1], edges[1:]):
-            mine = own[a:b]
-            yield record([(int(part[mine[0]]), -1, *(x[mine].tobytes() for x in (doc, start, n, anchor, c1, c2)), bodies(body, at[mine], lengths[mine]).tobytes())], FOUND)
+        begin = np.cumsum(lengths) - lengths
+        for p, at in parted(part[own]):
+            mine = own[at]
+            yield p, block, 0, *(x[mine].tobytes() for x in (row, start, n, anchor, c1, c2)), bodies(body, begin[mine], lengths[mine]).tobytes(), *named(row[mine], ids)
 
     def grouped(table: pa.Table) -> pa.Table:
-        block = np.asarray(table.column("block"))
-        passed = table.filter(pa.array(block >= 0)).select(["block", "doc", "start", "n"])
-        single = table.filter(pa.array(block == -2))
-        (_, _, doc, start), later = ordered(joined(single, "c1", np.uint64), joined(single, "c2", np.uint64), joined(single, "doc", np.int64), joined(single, "start", np.uint32))
-        table = table.filter(pa.array(block == -1))
-        columns = [joined(table, name, kind) for name, kind in (("doc", np.int64), ("start", np.uint32), ("n", np.uint32), ("anchor", np.uint64), ("c1", np.uint64), ("c2", np.uint64), ("body", np.uint8))]
-        out = [record(list(by_block(*found, blocks)), REMOVED) for found in (runs(doc[later], start[later]), *later_windows(*columns, window))]
-        return pa.concat_tables([passed, pa.Table.from_batches(out)])
-
-    removed = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(X.tidied(found), FOUND).groupBy("part").applyInArrow(grouped, REMOVED)
-    names = docs.columns
-    at_id, at_text = names.index("doc_id"), names.index("text")
+        what = table.column("what").to_numpy()
+        out = [table.filter(pa.array(what == 2)).select(["block", "row", "start", "n"])]
+
+        def told(at: np.ndarray, start: np.ndarray, n: np.ndarray) -> pa.Table:
+            return record(list(by_block(at >> 32, (at & 0xFFFFFFFF).astype(np.uint32), start, n)), REMOVED)
+
+        single = table.filter(pa.array(what == 1))
+        block, row, doc = placed(single)
+        at, start = (block.astype(np.int64) << 32) | row, joined(single, "start", np.uint32)
+        by, gone = later(joined(single, "c1", np.uint64), joined(single, "c2", np.uint64), doc, start)
+        out.append(told(*runs(at[by[gone]], start[by[gone]])))
+        table = table.filter(pa.array(what == 0))
+        block, row, doc = placed(table)
+        columns = [joined(table, name, kind) for name, kind in (("start", np.uint32), ("n", np.uint32), ("anchor", np.uint64), ("c1", np.uint64), ("c2", np.uint64), ("body", np.uint8))]
+        out += [told(*x) for x in later_windows(doc, (block.astype(np.int64) << 32) | row, *columns, window)]
+        return pa.concat_tables(out)
+
+    strings = blocks.grouped().cogroup(sketch.answers().groupBy("block")).applyInArrow(found, FOUND)
+    removed = stored(strings.groupBy("part").applyInArrow(grouped, REMOVED), "spans-removed")
+    whole = Blocks(docs, total)
+    names, at_text = whole.names, whole.at_text
 
     def cut(texts: pa.Table, gone: pa.Table) -> pa.Table:
-        doc, start, n = joined(gone, "doc", np.int64), joined(gone, "start", np.uint32).astype(np.int64), joined(gone, "n", np.uint32).astype(np.int64)
-        by = np.argsort(doc, kind="stable")
-        doc, start, n = doc[by], start[by], n[by]
-        own = X.ids(texts.column(at_id))
-        low, high = np.searchsorted(doc, own, "left"), np.searchsorted(doc, own, "right")
-        counts, kept = [np.zeros(len(own), np.int64) for _ in range(3)], []
+        row, start, n = joined(gone, "row", np.uint32), joined(gone, "start", np.uint32).astype(np.int64), joined(gone, "n", np.uint32).astype(np.int64)
+        by = np.argsort(row, kind="stable")
+        row, start, n = row[by], start[by], n[by]
+        number = whole.ranks(texts)[1]
+        low, high = np.searchsorted(row, number, "left"), np.searchsorted(row, number, "right")
+        counts, kept = [np.zeros(len(number), np.int64) for _ in range(3)], []
         for c in X.chunks(texts.column(at_text)):
             cover = np.zeros(len(c.data) + 1, np.int32)
             for i in range(c.n):
                 a, b = low[c.first + i], high[c.first + i]
                 if b > a:
-                    size = c.offsets[i + 1] - c.offsets[i]
-                    fits = start[a:b] + n[a:b] + window - 1 <= size
-                    np.add.at(cover, c.offsets[i] + start[a:b][fits], 1)
-                    np.add.at(cover, c.offsets[i] + (start[a:b] + n[a:b])[fits] + window - 1, -1)
+                    np.add.at(cover, c.offsets[i] + start[a:b], 1)
+                    np.add.at(cover, c.offsets[i] + start[a:b] + n[a:b] + window - 1, -1)
             off = np.cumsum(cover[:-1]) > 0
             begins = off.copy()
             begins[1:] &= ~off[:-1]
@@ -274,11 +251,10 @@ def dedup_bytes(docs: DataFrame, window: int = 100, max_bits: int = 29, hot: int
             counts[2][rows] = np.diff(np.append(0, np.cumsum(begins))[c.offsets])
             stay = np.append(0, np.cumsum(~off))[c.offsets].astype(np.int32)
             kept.append(pa.Array.from_buffers(pa.binary(), c.n, [None, pa.py_buffer(stay.tobytes()), pa.py_buffer(c.data[~off].tobytes())]))
-        out = texts.select(names)
+        out = texts.select(list(range(len(names))))
         for name, x in zip(("n_bytes", "n_removed", "n_spans"), counts):
             out = out.append_column(name, pa.array(x))
         return out.append_column("kept", pa.concat_arrays(kept) if kept else pa.array([], pa.binary()))
 
     schema = T.StructType([*docs.schema.fields, *(T.StructField(x, T.LongType()) for x in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept", T.BinaryType())])
-    block = F.pmod(F.coalesce(F.col("doc_id").cast("long"), F.lit(X.NULL_ID)), F.lit(blocks)).cast("int")
-    return docs.groupBy(block.alias("block")).cogroup(removed.groupBy("block")).applyInArrow(cut, schema)
+    return whole.grouped().cogroup(removed.groupBy("block")).applyInArrow(cut, schema)

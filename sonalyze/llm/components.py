@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sonalyze.llm.shared import cut
+
 
 def components(links: DataFrame) -> DataFrame:
     """links: a, b long. Returns id and component (the least id reachable) of each id that has a link.
@@ -14,12 +16,12 @@ def components(links: DataFrame) -> DataFrame:
     gone. No links give an empty result.
     """
     links = links.where("a <> b").select(F.col("a").cast("long"), F.col("b").cast("long"))
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    labels = both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("c")).checkpoint()
+    both = cut(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = cut(both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("c")))
     while True:
         near = both.join(labels.select(F.col("id").alias("b"), "c"), "b").groupBy(F.col("a").alias("id")).agg(F.min("c").alias("m"))
         hooked = labels.join(near, "id").select("id", "c", F.least("c", "m").alias("h"))
-        jumped = hooked.join(hooked.select(F.col("id").alias("h"), F.col("h").alias("to")), "h").select("id", "c", F.least("h", "to").alias("now")).checkpoint()
+        jumped = cut(hooked.join(hooked.select(F.col("id").alias("h"), F.col("h").alias("to")), "h").select("id", "c", F.least("h", "to").alias("now")))
         labels = jumped.select("id", F.col("now").alias("c"))
         if jumped.where("now <> c").isEmpty():
             return labels.withColumnRenamed("c", "component")

@@ -1,15 +1,17 @@
 """Groups of documents with similar sets of word n-grams, found exactly.
 
-1. A count-min sketch of all n-grams tells which may be in two documents. A document links only if
-   three quarters (the threshold) of its n-grams are shared, so all others are set apart.
-2. Equal sets are one class, and only its representative goes on.
-3. Prefix filter over the global order (rarest first): two similar sets share an n-gram of their
-   first n - ceil(t n) + 1.
+1. A count-min sketch of all n-grams, dealt by range of cells, tells each block of texts which of its n-grams may
+   be in two documents, and in about how many. A document links only if three quarters (the threshold) of its
+   n-grams are shared, so all others are set apart.
+2. Equal sets are one class, and only its first row goes on.
+3. Prefix filter over the global order (rarest first, by the sketch): two similar sets share an n-gram of their
+   first n - ceil(t n) + 1, at places that leave room for the overlap they need.
 4. Candidate pairs are counted by vertical partitioning: the order of the n-grams' hashes is cut into
    fragments, each fragment's overlap of a pair is counted by itself, and the counts are summed per pair.
 
-Large groups of near copies make no square of pairs: two rounds link documents to one leader for each
-shared n-gram; after them only pairs between different components remain, and all of those are counted.
+Large groups of near copies make no square of pairs: two rounds link sets to one leader for each shared
+n-gram; after them only pairs between different components remain, and all of those are counted, those of a
+frequent n-gram dealt out as pairs of tiles. Joins on n-grams and on sets are salted.
 """
 
 from __future__ import annotations
@@ -23,11 +25,13 @@ from pyspark.sql import functions as F
 
 from sonalyze.llm import text as X
 from sonalyze.llm.components import components
-from sonalyze.llm.shared import stored
-from sonalyze.llm.sketch import repeats, text_bytes
+from sonalyze.llm.shared import cut, discard, stored
+from sonalyze.llm.sketch import Blocks, Sketch, text_bytes
 
-FRAGMENTS = 8
-SETS = "doc_id long, n long, s1 long, s2 long, grams array<long>"
+FRAGMENTS, SALTS = 8, 16
+#: Sets of one n-gram that a task pairs.
+TILE_ROWS = 500
+SETS = "doc_id long, row long, n long, s1 long, s2 long, before int, prefix array<long>, grams array<long>"
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -47,97 +51,112 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
 
 
 def similar_sets(docs: DataFrame, size: int, percent: int, max_bits: int) -> DataFrame:
-    """A row for each document; grams only where the document may link, once for each set and task."""
+    """A row for each document, by which row differs from others (row). Where it may link and is the first of its set
+    in its block, its n-grams by hash (grams) and its prefix, which begins behind `before` n-grams of its own."""
+    n_bytes = text_bytes(docs)
+    blocks = Blocks(docs.select("doc_id", "text"), n_bytes)
 
     def keys(column: pa.Array) -> np.ndarray:
         return np.concatenate([np.empty(0, np.uint64), *shingle_sets(column, size)])
 
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    filter_ = docs.sparkSession.sparkContext.broadcast(repeats(docs, keys, text_bytes(docs) // 6, max_bits=max_bits))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sent: set[tuple[int, int]] = set()
-            ids, out, held = X.ids(batch.column(0)), [], 0
-            for i, found in enumerate(shingle_sets(batch.column(1), size)):
-                s1, s2 = int(X.mix(found ^ np.uint64(X.BASE_BYTE)).sum(dtype=np.uint64)), int(X.mix(found ^ np.uint64(X.BASE_ALT)).sum(dtype=np.uint64))
-                live = len(found) and (s1, s2) not in sent and 100 * int(filter_.value.may_repeat(found).sum()) >= percent * len(found)
-                if live:
+    sketch = Sketch(blocks, keys, n_bytes // 6, max_bits=max_bits)
+
+    def run(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+        (ids, texts), number, repeats = blocks.distinct(table), blocks.ranks(table)[1], sketch.heard(answers)
+        begun, sent, out = key[0].as_py() << 32, set(), []
+        for i, found in enumerate(shingle_sets(texts, size)):
+            s1, s2 = (int(X.mix(found ^ np.uint64(base)).sum(dtype=np.uint64)) for base in (X.BASE_BYTE, X.BASE_ALT))
+            n, before, prefix, grams = len(found), None, None, None
+            if n and (s1, s2) not in sent:
+                level = repeats.level(found)
+                shared = int((level > 0).sum())
+                if 100 * shared >= percent * n:
                     sent.add((s1, s2))
-                    held += len(found)
-                out.append((ids[i], len(found), s1 - (s1 >> 63 << 64), s2 - (s2 >> 63 << 64), found.view(np.int64) if live else None))
-                if held > 1 << 19:
-                    yield rows(out)
-                    out, held = [], 0
-            yield rows(out)
-
-    def rows(out: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*out)) if out else [[]] * 5
-        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:4]), pa.array(columns[4], pa.list_(pa.int64()))], ["doc_id", "n", "s1", "s2", "grams"])
-
-    return docs.mapInArrow(X.tidied(run), SETS)
-
-
-def counted(pairs: DataFrame, pieces: DataFrame, percent: int) -> DataFrame:
+                    order = np.argsort(level, kind="stable")  # by count and hash; what occurs once comes first
+                    before = n - shared
+                    prefix, grams = found[order[before : n - -(-n * percent // 100) + 1]].view(np.int64), found.view(np.int64)
+            out.append((int(ids[i]), begun + i, n, s1 - (s1 >> 63 << 64), s2 - (s2 >> 63 << 64), before, prefix, grams))
+        held = {i: out[i] for i in range(len(out))}
+        rows, seen = [], set()
+        for i in number.tolist():  # equal rows: the first alone has n-grams
+            rows.append(held[i] if i not in seen else (*held[i][:5], None, None, None))
+            seen.add(i)
+        columns = list(zip(*rows))
+        kinds = [*[pa.int64()] * 5, pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], SETS.replace(",", "").split()[::2])
+
+    return blocks.grouped().cogroup(sketch.answers().groupBy("block")).applyInArrow(run, SETS)
+
+
+def counted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b, na, nb), those that are similar: overlaps by fragment, summed per pair."""
-    a = pieces.select(F.col("rep").alias("a"), "fragment", F.col("part").alias("part_a"))
-    b = pieces.select(F.col("rep").alias("b"), "fragment", F.col("part").alias("part_b"))
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
+    split = F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)), lambda f: F.struct(f.alias("fragment"), F.filter("grams", lambda g: F.shiftrightunsigned(g, 61) == f).alias("part")))
+    pieces = sets.select("v", "grams").join(needed, "v", "left_semi").select("v", F.inline(split)).where(F.size("part") > 0)
+    a = pieces.select(F.col("v").alias("a"), "fragment", F.col("part").alias("part_a"))
+    b = pieces.select(F.col("v").alias("b"), "fragment", F.col("part").alias("part_b"))
     overlaps = pairs.join(a, "a").join(b, ["b", "fragment"]).select("a", "b", "na", "nb", F.size(F.array_intersect("part_a", "part_b")).alias("shared"))
-    common = F.sum("shared")
-    return overlaps.groupBy("a", "b", "na", "nb").agg(common.alias("shared")).where(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
+    common = F.col("shared")
+    return overlaps.groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared")).where(100 * common >= percent * (F.col("na") + F.col("nb") - common)).select("a", "b")
 
 
-def similar_groups(docs: DataFrame, size: int = 5, percent: int = 75, max_bits: int = 29) -> DataFrame:
+def candidates(prefixes: DataFrame, labels: DataFrame, percent: int, last: bool) -> DataFrame:
+    """Pairs (a, b, na, nb) of sets in different components that share an n-gram early enough: with the leader of
+    each n-gram, or, in the last round, with all."""
+    # a similar pair shares at least `common` n-grams, so the first they share stands this early in both
+    common = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
+    fits = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.col("pa") <= F.col("na") - common + 1) & (F.col("pb") <= F.col("nb") - common + 1)
+    labelled = prefixes.join(labels.withColumnRenamed("id", "v"), "v", "left").withColumn("component", F.coalesce("component", "v"))
+    mixed = labelled.groupBy("g").agg(F.min(F.struct("component", "at", "v", "n")).alias("lead"), F.max("component").alias("most"), F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("tiles")).where("lead.component <> most")
+    salted = labelled.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    mixed = mixed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    open_ = salted.join(mixed, ["g", "salt"])
+    if last:
+        # a row goes to the pairs of tiles (s, t), s <= t, that its own tile is in
+        tiled = open_.withColumn("own", F.pmod(F.xxhash64("v", F.lit(1)), F.col("tiles")).cast("int"))
+        tiled = tiled.select("g", "v", "n", "component", "at", "own", F.inline(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, "own").alias("s"), F.greatest(t, "own").alias("t")))))
+        other = tiled.selectExpr("g", "s", "t", "v b", "n nb", "component cb", "at pb", "own ob")
+        both = tiled.selectExpr("g", "s", "t", "v a", "n na", "component ca", "at pa", "own oa").join(other, ["g", "s", "t"])
+        pairs = both.where(F.expr("a < b AND ca <> cb AND (s = t OR oa <> ob)") & fits)
+    else:
+        pairs = open_.where("component <> lead.component").selectExpr("v a", "n na", "at pa", "lead.v b", "lead.n nb", "lead.at pb").where(fits)
+        pairs = pairs.selectExpr("least(a, b) a", "greatest(a, b) b", "if(a < b, na, nb) na", "if(a < b, nb, na) nb")
+    return pairs.select("a", "b", "na", "nb").distinct()
+
+
+def similar_groups(docs: DataFrame, size: int = 5, percent: int = 75, max_bits: int = 62) -> DataFrame:
     """doc_id, n_shingles and component_id: the least doc_id reachable by links, itself included.
 
     docs has doc_id and text; other columns are not read. Words are lower-cased A-Z. Two documents link
     when 100 * shared shingles >= percent * all their shingles. A null or empty text, or one without
-    words, has no shingle and links with nothing. Repeated rows give a row each. A null doc_id comes
-    before all others, so component_id is null in its group. Any number of equal or similar documents is
-    linked, without caps.
+    words, has no shingle and links with nothing. Repeated rows give a row each; rows of one doc_id with different
+    texts are different documents of that name. A null doc_id comes before all others, so component_id is null
+    in its group. Any number of equal or similar documents is linked, without caps.
     """
     spark = docs.sparkSession
-    sets = stored(similar_sets(docs, size, percent, max_bits), "jaccard-sets")
-    classes = sets.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
-    live = sets.where("grams is not null").groupBy("s1", "s2").agg(F.first("n").alias("n"), F.first("grams").alias("grams")).join(classes, ["s1", "s2"]).select("rep", "n", "grams")
-    live = stored(live, "jaccard-live")
-    grams = live.select("rep", "n", F.explode("grams").alias("g"))
-    shared = grams.groupBy("g").agg(F.count("*").alias("df")).where("df > 1")
-    ordered = grams.join(shared, "g").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("order"))
-    needed = F.ceil(F.col("n") * percent / 100).cast("int")
-    # n-grams of one document come first in the order and use up places of the prefix
-    length = (F.col("n") - needed + 1 - (F.col("n") - F.size("order"))).cast("int")
-    prefixes = ordered.where(length > 0).select("rep", "n", F.posexplode(F.slice("order", F.lit(1), length)).alias("at", "x"), (F.col("n") - F.size("order")).alias("before")).select("rep", "n", F.col("x.g").alias("g"), (F.col("before") + F.col("at") + 1).alias("at"))
-    prefixes = stored(prefixes, "jaccard-prefixes")
-    near = prefixes.select("rep").distinct()
-    cut = F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)), lambda f: F.struct(f.alias("fragment"), F.filter("grams", lambda g: F.shiftrightunsigned(g, 61) == f).alias("part")))
-    pieces = live.join(near, "rep", "left_semi").select("rep", F.inline(cut)).where(F.size("part") > 0)
-    pieces = stored(pieces, "jaccard-pieces")
+    full = stored(similar_sets(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(X.NULL_ID)).alias("doc_id"), "text"), size, percent, max_bits), "jaccard-sets")
+    lead = F.min(F.struct("doc_id", "row")).alias("lead")
+    classes = cut(full.where("n > 0").groupBy("s1", "s2").agg(lead, F.count("*").alias("copies")).select("s1", "s2", F.col("lead.doc_id").alias("least"), F.col("lead.row").alias("v"), "copies"))
+    sets = stored(full.where("grams IS NOT NULL").select(F.col("row").alias("v"), "n", "before", "prefix", "grams").join(classes.select("v"), "v", "left_semi"), "jaccard-live")
+    documents = stored(full.select("doc_id", "n", "s1", "s2"), "jaccard-documents")
+    discard(full)
+    prefixes = sets.select("v", "n", "before", F.posexplode("prefix").alias("i", "g")).select("v", "n", "g", (F.col("before") + F.col("i") + 1).alias("at"))
 
     tested = spark.createDataFrame([], "a long, b long")
     links = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "id long, component long")
-    # a similar pair shares at least `common` n-grams, so the first they share stands this early in both
-    common = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
-    fits = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.col("pa") <= F.col("na") - common + 1) & (F.col("pb") <= F.col("nb") - common + 1)
     for last in (False, False, True):
-        labelled = prefixes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        mixed = labelled.groupBy("g").agg(F.min(F.struct("component", "at", "rep", "n")).alias("lead"), F.max("component").alias("most")).where("lead.component <> most")
-        if last:
-            open_ = labelled.join(mixed.select("g"), "g", "left_semi")
-            other = open_.selectExpr("g", "rep b", "n nb", "component cb", "at pb")
-            pairs = open_.selectExpr("g ga", "rep a", "n na", "component ca", "at pa").join(other, F.expr("ga = g AND a < b AND ca <> cb") & fits)
-        else:
-            pairs = labelled.join(mixed, "g").where("component <> lead.component").selectExpr("rep a", "n na", "at pa", "lead.rep b", "lead.n nb", "lead.at pb").where(fits)
-            pairs = pairs.selectExpr("least(a, b) a", "greatest(a, b) b", "if(a < b, na, nb) na", "if(a < b, nb, na) nb")
-        pairs = pairs.select("a", "b", "na", "nb").distinct().join(tested, ["a", "b"], "left_anti").checkpoint()
+        pairs = cut(candidates(prefixes, labels, percent, last).join(tested, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             continue
         tested = tested.union(pairs.select("a", "b"))
-        links = links.union(counted(pairs, pieces, percent)).checkpoint()
+        links = cut(links.union(counted(pairs, sets, percent)))
         labels = components(links)
 
-    member = sets.select("doc_id", "n", "s1", "s2").join(classes, ["s1", "s2"], "left").withColumn("rep", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc_id")))
-    found = member.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+    # the least doc_id of a component is that of one of its classes
+    named = labels.join(classes.select(F.col("v").alias("id"), "least"), "id")
+    named = named.join(named.groupBy("component").agg(F.min("least").alias("component_id")), "component").select(F.col("id").alias("v"), "component_id")
+    moved = classes.join(named, "v", "left").where("copies > 1 OR component_id IS NOT NULL").select("s1", "s2", F.coalesce("component_id", "least").alias("component_id"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    found = documents.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).join(moved, ["s1", "s2", "salt"], "left")
     null = F.lit(X.NULL_ID)
-    return found.select(F.nullif("doc_id", null).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif(F.coalesce("component", "rep"), null).alias("component_id"))
+    return found.select(F.nullif("doc_id", null).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif(F.coalesce("component_id", "doc_id"), null).alias("component_id"))

@@ -1,55 +1,87 @@
-"""Count-min sketches that tell which keys may occur more than once.
+"""Count-min sketches that tell which keys may occur more than once, dealt by range of cells.
 
-Each partition sketches its keys: the cells they fall in, with counts up to two. The sketches are
-merged by cell range, and of the merged counts one bit a cell is kept: two or more. A count never
-falls below the true one, so a key whose cell is clear occurs once at most. The bitmaps are broadcast;
-rows * 2**max_bits bits bound their size whatever the input. Beyond that size the filter lets more keys
-through, and loses none.
+Rows are in blocks by the hash of their id and text. Each block sketches its keys: the cells they fall in,
+with counts up to two. A task merges the counts of one range of cells over all blocks, and answers each block
+with those of its own cells that count two or more, and with the logarithm of the count. A merged count
+never falls below the true one, so a key whose cell isn't in the answer occurs once at most. There are two
+cells a key at any size of the corpus, no task holds more than a range, and nothing is broadcast or collected.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from sonalyze.llm import text as X
+from sonalyze.llm.shared import n_buckets
 
-CELLS_A_KEY = 2
-MAX_BITS = 29
+CELLS_A_KEY, RANGE_BITS = 2, 23
+#: Bytes of text that a block is made for.
+BLOCK_BYTES = 8 << 20
+ASKED = "range long, block int, cells binary"
+ANSWERS = "block int, range long, cells binary, level binary"
 
 
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(column))).first()[0] or 0
 
 
-class Repeats:
-    """Bitmaps of the cells that hold two keys or more."""
+class Blocks:
+    """docs (doc_id, text and others) in blocks by the hash of doc_id and text: rows equal in both are in one
+    block, whatever the partitioning, and copies under one id are spread as other rows are."""
 
-    def __init__(self, bits: int, rows: list[np.ndarray], hot: np.ndarray | None = None):
-        self.bits, self.rows, self.hot = bits, rows, hot
+    def __init__(self, docs: DataFrame, n_bytes: int, block_bytes: int = BLOCK_BYTES):
+        self.names, self.n = docs.columns, n_buckets(docs.sparkSession, n_bytes, block_bytes)
+        taken = {c.lower() for c in self.names}
+        self.key, self.block = next((f"key{i}", f"block{i}") for i in range(2 * len(taken) + 1) if not taken & {f"key{i}", f"block{i}"})
+        self.docs = docs.withColumn(self.key, F.xxhash64(F.col("doc_id").cast("long"), "text"))
+        self.at_id, self.at_text = self.names.index("doc_id"), self.names.index("text")
 
-    def may_repeat(self, keys: np.ndarray) -> np.ndarray:
-        out = np.ones(len(keys), bool)
-        for r, bitmap in enumerate(self.rows):
-            out &= self._set(bitmap, keys, r)
-        return out
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "docs"}  # workers have the rows
+
+    def grouped(self) -> GroupedData:
+        return self.docs.groupBy(F.pmod(F.col(self.key), F.lit(self.n)).cast("int").alias(self.block))
 
-    def is_hot(self, keys: np.ndarray) -> np.ndarray:
-        """Keys whose cell many partitions hold; all tasks agree on them."""
-        return self._set(self.hot, keys, 0)
+    def ranks(self, table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of a block that differ in id or text, in order, and each row's number among them. It is
+        the same whenever the block is put together again."""
+        ids, keys = X.ids(table.column(self.at_id)), table.column(len(self.names)).to_numpy()
+        by = np.lexsort((keys, ids))
+        edges = X.group_starts(ids[by], keys[by])
+        number = np.empty(len(by), np.int64)
+        number[by] = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+        return by[edges[:-1]], number
 
-    def _set(self, bitmap: np.ndarray, keys: np.ndarray, row: int) -> np.ndarray:
-        cell = cells(keys, self.bits, row)
-        return (bitmap[cell >> np.uint32(3)] >> (cell & np.uint32(7)).astype(np.uint8)) & 1 == 1
+    def distinct(self, table: pa.Table) -> tuple[np.ndarray, pa.Array]:
+        """Ids and texts of the rows that differ."""
+        first, _ = self.ranks(table)
+        return X.ids(table.column(self.at_id))[first], X.plain(table.column(self.at_text)).take(pa.array(first))
+
+
+class Repeats:
+    """The cells of one block's keys that hold two keys or more, by row of the sketch, and their counts' logarithms."""
+
+    def __init__(self, bits: int, rows: list[tuple[np.ndarray, np.ndarray]]):
+        self.bits, self.rows = bits, rows
+
+    def level(self, keys: np.ndarray) -> np.ndarray:
+        """0: occurs once; else the logarithm of the count, at least 1. It depends on the key alone."""
+        out = np.full(len(keys), 255, np.uint8)
+        for r, (known, level) in enumerate(self.rows):
+            c = cells(keys, self.bits, r)
+            at = np.minimum(np.searchsorted(known, c), max(len(known) - 1, 0))
+            out = np.minimum(out, np.where(known[at] == c, level[at], 0) if len(known) else 0)
+        return out
 
 
 def cells(keys: np.ndarray, bits: int, row: int) -> np.ndarray:
     """Keys may be the least of many hashes and so be small; mixed, they fill all cells."""
-    return (X.mix(keys + np.uint64((row + 1) * X.BASE_ALT % 2**64)) >> np.uint64(64 - bits)).astype(np.uint32)
+    return X.mix(keys + np.uint64((row + 1) * X.BASE_ALT % 2**64)) >> np.uint64(64 - bits)
 
 
 def capped(sorted_cells: np.ndarray) -> np.ndarray:
@@ -74,39 +106,50 @@ def unpacked(blob: bytes) -> np.ndarray:
     return np.cumsum(out, dtype=np.uint32)
 
 
-def repeats(docs: DataFrame, keys: Callable[[pa.Array], np.ndarray], expected: int, rows: int = 1, column: str = "text", max_bits: int = MAX_BITS, hot: int | None = None) -> Repeats:
-    """Sketch keys(texts) over all rows of docs. expected: about how many keys there are. hot: a cell that the
-    partial sketches hold so often (twice each at most) is hot; its bitmap is as large as the others."""
-    bits = int(np.clip(int(max(1, CELLS_A_KEY * expected - 1)).bit_length(), 16, max_bits))
-    parts = max(4, bits - 21)  # of 2**parts ranges of cells
-    shift = np.uint32(bits - parts)
+class Sketch:
+    """A sketch of keys(texts) of all blocks; expected: about how many keys there are."""
+
+    def __init__(self, blocks: Blocks, keys: Callable[[pa.Array], np.ndarray], expected: int, rows: int = 1, max_bits: int = 62):
+        self.blocks, self.keys, self.rows = blocks, keys, rows
+        self.bits = int(np.clip(int(max(1, CELLS_A_KEY * expected - 1)).bit_length(), 12, max_bits))
+        self.range_bits = min(RANGE_BITS, max(self.bits - 4, 1))
+
+    def answers(self) -> DataFrame:
+        """For each block, its cells that may hold more than one key."""
+        blocks, keys, rows, bits, range_bits = self.blocks, self.keys, self.rows, self.bits, self.range_bits
+        shift, names = np.uint64(range_bits), [x.replace(",", "").split()[::2] for x in (ASKED, ANSWERS)]
 
-    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = keys(batch.column(0))
+        def ask(key: tuple, table: pa.Table) -> pa.Table:
+            found, out = keys(blocks.distinct(table)[1]), []
             for r in range(rows):
                 c = capped(np.sort(cells(found, bits, r)))
-                edges = np.searchsorted(c, np.arange((1 << parts) + 1, dtype=np.uint64) << np.uint64(shift))
-                full = np.flatnonzero(np.diff(edges))
-                yield pa.RecordBatch.from_arrays([pa.array((r << parts) + full, pa.int32()), pa.array([packed(c[edges[i] : edges[i + 1]]) for i in full], pa.binary())], ["part", "cells"])
-
-    def merged(key: tuple, table: pa.Table) -> pa.Table:
-        part = key[0].as_py()
-        low = np.uint32(part & ((1 << parts) - 1)) << shift
-        c = np.sort(np.concatenate([unpacked(b.as_py()) for b in table.column("cells")])) - low
-        times = np.bincount(c, minlength=1 << int(shift)) if hot and part >> parts == 0 else None
-        bitmap = np.zeros(1 << int(shift), bool)
-        bitmap[c[1:][c[1:] == c[:-1]]] = True
-        packed_ = [None if x is None else np.packbits(x, bitorder="little").tobytes() for x in (bitmap, None if times is None else times >= hot)]
-        return pa.table({"part": pa.array([part], pa.int32()), "bits": pa.array(packed_[:1], pa.binary()), "hot": pa.array(packed_[1:], pa.binary())})
-
-    sketches = docs.select(F.col(column)).mapInArrow(X.tidied(sketched), "part int, cells binary")
-    out = [np.zeros(1 << (bits - 3), np.uint8) for _ in range(rows)]
-    crowded = np.zeros(1 << (bits - 3), np.uint8) if hot else None
-    size = 1 << (int(shift) - 3)
-    for got in sketches.groupBy("part").applyInArrow(merged, "part int, bits binary, hot binary").toLocalIterator():
-        r, i = divmod(got["part"], 1 << parts)
-        out[r][i * size : (i + 1) * size] = np.frombuffer(got["bits"], np.uint8)
-        if got["hot"] is not None:
-            crowded[i * size : (i + 1) * size] = np.frombuffer(got["hot"], np.uint8)
-    return Repeats(bits, out, crowded)
+                part = c >> shift
+                edges, c = X.group_starts(part), (c & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.uint32)
+                out += [((r << bits - range_bits) + int(part[a]), packed(c[a:b])) for a, b in zip(edges[:-1], edges[1:])]
+            return pa.table([pa.array([x[0] for x in out], pa.int64()), pa.array([key[0].as_py()] * len(out), pa.int32()), pa.array([x[1] for x in out], pa.binary())], names[0])
+
+        def answer(key: tuple, table: pa.Table) -> pa.Table:
+            held = [unpacked(b.as_py()) for b in table.column("cells")]
+            c = np.sort(np.concatenate(held))
+            edges = X.group_starts(c)
+            level = np.zeros(1 << range_bits, np.uint8)
+            level[c[edges[:-1]]] = np.log2(np.diff(edges)).astype(np.uint8)
+            out = []
+            for block, c in zip(table.column("block").to_pylist(), held):
+                c = c[level[c] > 0]
+                if len(c):
+                    c = c[np.append(True, c[1:] != c[:-1])]
+                    out.append((block, packed(c), level[c].tobytes()))
+            return pa.table([pa.array([x[0] for x in out], pa.int32()), pa.array([key[0].as_py()] * len(out), pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())], names[1])
+
+        return blocks.grouped().applyInArrow(ask, ASKED).groupBy("range").applyInArrow(answer, ANSWERS)
+
+    def heard(self, answers: pa.Table) -> Repeats:
+        """What the answers to one block say."""
+        part, rows = answers.column("range").to_numpy(), []
+        by = np.argsort(part)
+        for r in range(self.rows):
+            mine = by[part[by] >> self.bits - self.range_bits == r]
+            got = [np.empty(0, np.uint64), *(unpacked(answers.column("cells")[i].as_py()) + (np.uint64(int(part[i]) & (1 << self.bits - self.range_bits) - 1) << np.uint64(self.range_bits)) for i in mine.tolist())]
+            rows.append((np.concatenate(got), np.frombuffer(b"".join(answers.column("level")[i].as_py() for i in mine.tolist()), np.uint8)))
+        return Repeats(self.bits, rows)

@@ -3,9 +3,9 @@
 A window is `window` consecutive words. Its anchor is the least hashed of the shorter word runs in it,
 which equal windows share at the same distance, so the windows of a text have far fewer anchors than
 windows and a window occurs no more often than its anchor. First pass: count-min sketches of the
-anchors, merged. Second pass: windows whose anchor is estimated repeated, and no others, are grouped
-exactly by two independent 64-bit hashes of their words, and every window but the earliest of its
-group marks its words.
+anchors, merged by range of cells. Second pass: windows whose anchor is estimated repeated, and no others,
+are grouped exactly by two independent 64-bit hashes of their words, and every window but the earliest of
+its group marks its words. All passes read the texts by block, from one shuffle.
 """
 
 from __future__ import annotations
@@ -21,12 +21,14 @@ from pyspark.sql import types as T
 
 from sonalyze.llm import text as X
 from sonalyze.llm.shared import n_buckets
-from sonalyze.llm.sketch import repeats, text_bytes
+from sonalyze.llm.sketch import Blocks, Sketch, text_bytes
 
-#: Bytes of text a bucket of windows, or of documents, is made for.
-BUCKET_BYTES, BLOCK_BYTES = 16 << 20, 4 << 20
-FOUND = "part int, block int, h1 binary, h2 binary, doc binary, start binary"
-REMOVED = "block int, doc binary, start binary"
+#: Bytes of text a part of windows is made for.
+PART_BYTES = 16 << 20
+#: Windows of a block for a part (known false), or to be removed from it (known true). row: of the block's rows;
+#: rows and docs: the ids of those that occur.
+FOUND = "part int, block int, known boolean, h1 binary, h2 binary, row binary, start binary, rows binary, docs binary"
+REMOVED = "block int, row binary, start binary"
 
 
 def anchored(w: X.Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -41,95 +43,117 @@ def anchored(w: X.Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return starts, grams[place[new]], np.cumsum(new) - 1
 
 
-def ordered(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """The windows sorted by hash and place, and which of them start after the first of their group."""
+def later(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the windows by hash and place, and which of them, so ordered, start after the first of their group."""
     by = np.lexsort((start, doc, h2, h1))
-    h1, h2, doc, start = h1[by], h2[by], doc[by], start[by]
-    edges = X.group_starts(h1, h2)
-    first = np.repeat(edges[:-1], np.diff(edges))
-    return [h1, h2, doc, start], (doc != doc[first]) | (start != start[first])
+    edges = X.group_starts(h1[by], h2[by])
+    first = by[np.repeat(edges[:-1], np.diff(edges))]
+    return by, (doc[by] != doc[first]) | (start[by] != start[first])
 
 
-def by_block(doc: np.ndarray, start: np.ndarray, blocks: int) -> Iterator[tuple[int, bytes, bytes]]:
-    block = np.mod(doc, blocks)
-    by = np.lexsort((start, doc, block))
-    block, doc, start = block[by], doc[by], start[by]
-    edges = X.group_starts(block)
+def by_block(block: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    """Columns of what belongs to each block."""
+    by = np.argsort(block, kind="stable")
+    edges = X.group_starts(block[by])
     for a, b in zip(edges[:-1], edges[1:]):
-        yield int(block[a]), doc[a:b].tobytes(), start[a:b].tobytes()
+        yield int(block[by[a]]), *(x[by[a:b]].tobytes() for x in columns)
 
 
-def record(rows: list[tuple], schema: str) -> pa.RecordBatch:
+KINDS = {"int": pa.int32(), "boolean": pa.bool_()}
+
+
+def record(rows: list[tuple], schema: str) -> pa.Table:
     names, kinds = schema.replace(",", "").split()[::2], schema.replace(",", "").split()[1::2]
     columns = list(zip(*rows)) if rows else [[] for _ in names]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k == "int" else pa.binary()) for c, k in zip(columns, kinds, strict=True)], names)
+    return pa.table([pa.array(c, KINDS.get(k, pa.binary())) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+def parted(part: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """The runs of a sorted array."""
+    edges = X.group_starts(part)
+    return ((int(part[a]), slice(a, b)) for a, b in zip(edges[:-1], edges[1:]))
+
+
+def named(row: np.ndarray, ids: np.ndarray) -> tuple[bytes, bytes]:
+    """The rows that occur, and their ids."""
+    rows = np.unique(row)
+    return rows.astype(np.uint32).tobytes(), ids[rows].tobytes()
 
 
 def joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(x.as_py() for x in table.column(name) if x.is_valid), kind)
 
 
-def dedup_substrings(docs: DataFrame, window: int = 20, max_bits: int = 29, rejoin: bool = True) -> DataFrame:
+def placed(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all windows or contexts in a part: block, row, and the id of the row's document."""
+    rows = [np.frombuffer(x.as_py(), np.uint32) for x in table.column("row")]
+    docs = [np.frombuffer(d.as_py(), np.int64)[np.searchsorted(np.frombuffer(k.as_py(), np.uint32), r)] for r, k, d in zip(rows, table.column("rows"), table.column("docs"))]
+    block = np.repeat(table.column("block").to_numpy(), [len(r) for r in rows])
+    return block, np.concatenate([np.empty(0, np.uint32), *rows]), np.concatenate([np.empty(0, np.int64), *docs])
+
+
+def dedup_substrings(docs: DataFrame, window: int = 20, max_bits: int = 62, rejoin: bool = True) -> DataFrame:
     """docs with text cut to the words that are kept, joined by one space, and n_words and n_removed.
 
     A word goes when a window that covers it starts earlier too: in a smaller doc_id, or earlier in the
     same document. Without rejoin, a text that loses no word stays as it is. Windows are judged on the texts given, not on what is left of them. All columns are
     kept; n_words and n_removed take the place of columns of that name. Null text is empty, with no
-    words, and stays null. Rows of one doc_id count as one document at one place: none of them is
-    earlier than the other, and what one loses at a place the other loses there. A null doc_id comes
-    before all others.
+    words, and stays null. Rows of one doc_id are one document at one place: of equal windows that start at
+    the same word, neither is earlier. A null doc_id comes before all others.
     """
-    spark = docs.sparkSession
     docs = docs.drop("n_words", "n_removed")
     size = text_bytes(docs)
-    parts, blocks = n_buckets(spark, size, BUCKET_BYTES), n_buckets(spark, size, BLOCK_BYTES) | 1
+    parts, blocks = n_buckets(docs.sparkSession, size, PART_BYTES), Blocks(docs, size)
 
     def keys(column: pa.Array) -> np.ndarray:
         return np.concatenate([np.empty(0, np.uint64), *(anchored(X.words(c), window)[1] for c in X.chunks(column))])
 
-    filter_ = spark.sparkContext.broadcast(repeats(docs, keys, size // 40, rows=2, max_bits=max_bits))
-
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got: list[list[np.ndarray]] = [[], [], [], []]
-            keys_ = X.ids(batch.column(0))
-            for c in X.chunks(batch.column(1)):
-                w = X.words(c)
-                starts, grams, which = anchored(w, window)
-                if not len(starts):
-                    continue
-                starts = starts[filter_.value.may_repeat(grams)[which]]
-                ends, row = starts + window, w.text[starts]
-                for out, x in zip(got, (X.spans(X.prefix(w.codes, X.BASE_WORD), starts, ends, X.BASE_WORD), X.spans(X.prefix(X.mix(w.codes), X.BASE_ALT), starts, ends, X.BASE_ALT), keys_[c.first + row], (starts - w.bounds[row]).astype(np.uint32))):
-                    out.append(x)
-            if not got[0]:
+    sketch = Sketch(blocks, keys, size // 40, rows=2, max_bits=max_bits)
+
+    def found(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+        block, (ids, texts), repeats = key[0].as_py(), blocks.distinct(table), sketch.heard(answers)
+        got: list[list[np.ndarray]] = [[np.empty(0, k)] for k in (np.uint64, np.uint64, np.uint32, np.uint32)]
+        for c in X.chunks(texts):
+            w = X.words(c)
+            starts, grams, which = anchored(w, window)
+            if not len(starts):
                 continue
-            (h1, h2, doc, start), later = ordered(*map(np.concatenate, got))
-            yield record([(block % parts, block, None, None, d, s) for block, d, s in by_block(doc[later], start[later], blocks)], FOUND)
-            h1, h2, doc, start = h1[~later], h2[~later], doc[~later], start[~later]
-            part = (h1 >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)  # in order, as h1 is
-            edges = np.searchsorted(part, np.arange(parts + 1))
-            yield record([(p, -1, *(x[a:b].tobytes() for x in (h1, h2, doc, start))) for p, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a], FOUND)
+            starts = starts[(repeats.level(grams) > 0)[which]]
+            ends, row = starts + window, w.text[starts]
+            for out, x in zip(got, (X.spans(X.prefix(w.codes, X.BASE_WORD), starts, ends, X.BASE_WORD), X.spans(X.prefix(X.mix(w.codes), X.BASE_ALT), starts, ends, X.BASE_ALT), (c.first + row).astype(np.uint32), (starts - w.bounds[row]).astype(np.uint32))):
+                out.append(x)
+        h1, h2, row, start = map(np.concatenate, got)
+        by, gone = later(h1, h2, ids[row], start)
+        known, by = by[gone], by[~gone]
+        out = [(block % parts, block, True, None, None, row[known].tobytes(), start[known].tobytes(), None, None)] if len(known) else []
+        part = ((h1[by] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)  # in order, as h1 is
+        for p, at in parted(part):
+            mine = by[at]
+            out.append((p, block, False, *(x[mine].tobytes() for x in (h1, h2, row, start)), *named(row[mine], ids)))
+        return record(out, FOUND)
 
     def grouped(table: pa.Table) -> pa.Table:
-        mine = np.asarray(table.column("block")) < 0
-        passed = table.filter(pa.array(~mine)).select(["block", "doc", "start"])
-        windows = table.filter(pa.array(mine))
-        (_, _, doc, start), later = ordered(joined(windows, "h1", np.uint64), joined(windows, "h2", np.uint64), joined(windows, "doc", np.int64), joined(windows, "start", np.uint32))
-        return pa.concat_tables([passed, pa.Table.from_batches([record(list(by_block(doc[later], start[later], blocks)), REMOVED)])])
-
-    removed = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(X.tidied(found), FOUND).groupBy("part").applyInArrow(grouped, REMOVED)
-    names = docs.columns
-    at_id, at_text = names.index("doc_id"), names.index("text")
+        known = table.column("known")
+        passed = table.filter(known).select(["block", "row", "start"])
+        windows = table.filter(pc.invert(known))
+        block, row, doc = placed(windows)
+        h1, h2, start = joined(windows, "h1", np.uint64), joined(windows, "h2", np.uint64), joined(windows, "start", np.uint32)
+        by, gone = later(h1, h2, doc, start)
+        gone = by[gone]
+        return pa.concat_tables([passed, record(list(by_block(block[gone], row[gone], start[gone])), REMOVED)])
+
+    windows = blocks.grouped().cogroup(sketch.answers().groupBy("block")).applyInArrow(found, FOUND)
+    removed = windows.groupBy("part").applyInArrow(grouped, REMOVED)
+    names, at_text = blocks.names, blocks.at_text
 
     def cut(texts: pa.Table, gone: pa.Table) -> pa.Table:
-        doc, start = joined(gone, "doc", np.int64), joined(gone, "start", np.uint32)
-        by = np.argsort(doc, kind="stable")
-        doc, start = doc[by], start[by].astype(np.int64)
-        own = X.ids(texts.column(at_id))
+        row, start = joined(gone, "row", np.uint32), joined(gone, "start", np.uint32)
+        by = np.argsort(row, kind="stable")
+        row, start = row[by], start[by].astype(np.int64)
+        number = blocks.ranks(texts)[1]
         text = X.plain(texts.column(at_text))
-        low, high = np.searchsorted(doc, own, "left"), np.searchsorted(doc, own, "right")
-        kept, n_words, n_removed = [], np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
+        low, high = np.searchsorted(row, number, "left"), np.searchsorted(row, number, "right")
+        kept, n_words, n_removed = [], np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
         for c in X.chunks(text):
             w = X.words(c)
             cover = np.zeros(len(w.starts) + 1, np.int32)
@@ -137,7 +161,6 @@ def dedup_substrings(docs: DataFrame, window: int = 20, max_bits: int = 29, rejo
                 a, b = low[c.first + i], high[c.first + i]
                 if b > a:
                     at = w.bounds[i] + start[a:b]
-                    at = at[at + window <= w.bounds[i + 1]]
                     np.add.at(cover, at, 1)
                     np.add.at(cover, at + window, -1)
             keep = np.cumsum(cover[:-1]) == 0
@@ -151,12 +174,11 @@ def dedup_substrings(docs: DataFrame, window: int = 20, max_bits: int = 29, rejo
             body = pc.if_else(pa.array(n_removed == 0), text.cast(pa.string()), body)
         if text.null_count:
             body = pc.if_else(text.is_valid(), body, pa.scalar(None, pa.string()))
-        out = texts.select(names).set_column(at_text, "text", body)
+        out = texts.select(list(range(len(names)))).set_column(at_text, "text", body)
         return out.append_column("n_words", pa.array(n_words)).append_column("n_removed", pa.array(n_removed))
 
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-    block = F.pmod(F.coalesce(F.col("doc_id").cast("long"), F.lit(X.NULL_ID)), F.lit(blocks)).cast("int")
-    return docs.groupBy(block.alias("block")).cogroup(removed.groupBy("block")).applyInArrow(cut, schema)
+    return blocks.grouped().cogroup(removed.groupBy("block")).applyInArrow(cut, schema)
 
 
 def join_words(c: X.Chunk, w: X.Words, keep: np.ndarray) -> pa.Array:

@@ -53,7 +53,7 @@ def corpus():
     return [*docs, (5000, None), (5001, "")]
 
 
-@pytest.mark.parametrize("window, bits, hot", [(100, 29, 128), (30, 29, 128), (100, 16, 128), (100, 29, 3), (30, 16, 1)])
+@pytest.mark.parametrize("window, bits, hot", [(100, 62, 7), (30, 62, 7), (100, 7, 9), (100, 62, 1), (30, 7, 1)])
 def test_against_brute_force(spark, window, bits, hot):
     docs = corpus()
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("doc_id", "text", "'x' kept", "1 part").repartition(5)
@@ -72,7 +72,7 @@ def test_shards_of_one_anchor_are_merged():
     body = np.concatenate(bodies)
     code = np.arange(200, dtype=np.uint64)
     got = set()
-    for doc, start, count in later_windows(np.array(docs), np.zeros(200, np.uint32), np.full(200, n, np.uint32), np.zeros(200, np.uint64), code, code, body, window, shard_bytes=1500):
+    for doc, start, count in later_windows(np.array(docs), np.array(docs), np.zeros(200, np.uint32), np.full(200, n, np.uint32), np.zeros(200, np.uint64), code, code, body, window, shard_bytes=1500):
         got |= {(int(d), int(s) + k) for d, s, m in zip(doc, start, count) for k in range(m)}
     seen, want = {}, set()
     for d, b in enumerate(bodies):

@@ -49,7 +49,7 @@ def corpus():
     return [(i * 7, t) for i, t in enumerate(docs)]
 
 
-@pytest.mark.parametrize("bits", [29, 16])
+@pytest.mark.parametrize("bits", [62, 8])
 def test_against_brute_force(spark, bits):
     docs = corpus()
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("doc_id", "text", "1 n", "'x' component_id").repartition(4)
@@ -65,3 +65,19 @@ def test_null_ids_repeated_rows_and_no_rows(spark):
 def test_components_of_a_long_path(spark):
     df = spark.range(50).selectExpr("id a", "id + 1 b").union(spark.createDataFrame([(100, 99), (7, 7)], "a long, b long"))
     assert {r.id: r.component for r in components(df).collect()} == {**{i: 0 for i in range(51)}, 99: 99, 100: 99}
+
+
+def test_tiles_pair_all_sets_of_a_frequent_ngram(spark, monkeypatch):
+    import sonalyze.llm.jaccard as J
+
+    monkeypatch.setattr(J, "TILE_ROWS", 2)
+    prefixes = spark.createDataFrame([(v, 10, 5, 1) for v in range(9)], "v long, n long, g long, at int")
+    got = [tuple(r) for r in J.candidates(prefixes, spark.createDataFrame([(1, 0), (0, 0)], "id long, component long"), 75, True).collect()]
+    assert sorted(got) == [(a, b, 10, 10) for a in range(9) for b in range(a + 1, 9) if (a, b) != (0, 1)]
+
+
+def test_texts_that_share_a_doc_id_are_documents_of_their_own(spark):
+    one, two = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(40))
+    df = spark.createDataFrame([(5, one), (5, two), (3, two), (9, one + " "), (9, None)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in similar_groups(df).collect())
+    assert got == [(3, 36, 3), (5, 26, 5), (5, 36, 3), (9, 0, 9), (9, 26, 5)]

@@ -38,7 +38,7 @@ def corpus():
     return [*docs, (5000, None), (5001, ""), (5002, " \x0b ")]
 
 
-@pytest.mark.parametrize("window, bits", [(20, 29), (5, 29), (20, 16)])
+@pytest.mark.parametrize("window, bits", [(20, 62), (5, 62), (20, 7)])
 def test_against_brute_force(spark, window, bits):
     docs = corpus()
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("doc_id", "text", "'x' block", "1 part", "2 n_words").repartition(5)
