@@ -1,12 +1,13 @@
 """Benchmark passages in documents, with DataFrame expressions only.
 
-A document's windows have as many words as the item they are held against. A window that is similar to an
-item shares most of its word shingles, so positions that share none are no candidates; of the others, windows
-that hold enough shared positions are fingerprinted (SimHash of their shingles, each as often as it occurs).
-Fingerprints within the radius agree in at least one of radius + 1 blocks of bits, so a join on blocks misses
-none of them. Where a window or an item repeats a shingle, one shingle may turn many bits, so fingerprints
-tell nothing and such pairs are all verified. Pairs within the radius are verified by the weighted similarity of their shingles: the sum of
-the lesser counts over the sum of the greater.
+A document's windows have as many words as the items they are held against. First, positions whose word shingle
+is in any item are found; windows with fewer of them than a similar item of their size needs are none. All others
+are fingerprinted (SimHash of their shingles, each as often as it occurs), by sums of packed counters. Fingerprints
+within the radius agree in at least one of radius + 1 blocks of bits, so a join with the items' fingerprints on
+size, block and bits names the items of each window, and misses none within the radius. Where a window or an item
+repeats a shingle, one shingle may turn many bits, so fingerprints tell nothing: a window that repeats one is held
+against all items of its size, and such an item against all windows of its size. Pairs within the radius are
+verified by the weighted similarity of their shingles: the sum of the lesser counts over the sum of the greater.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from sonalyze.llm.text import NULL_ID
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BITS = 64
+#: Positions of a document that are worked on at once.
+STEP = 1024
 
 
 def words(text: Column) -> Column:
@@ -35,11 +38,38 @@ def fingerprint(hashes: str) -> str:
     return f"aggregate(sequence(0, {BITS - 1}), 0L, (f, b) -> f | shiftleft(CAST(2 * aggregate({hashes}, 0L, (n, h) -> n + (shiftright(h, b) & 1L)) > size({hashes}) AS BIGINT), b))"
 
 
-def block_of(value: str, blocks: int) -> str:
-    """(block, bits) of a fingerprint cut into `blocks` runs of bits, and block -1, where all meet."""
-    edges = [k * BITS // blocks for k in range(blocks + 1)]
-    cuts = (f"struct({k} AS block, shiftrightunsigned({value}, {a}) & {(1 << b - a) - 1}L AS bits)" for k, (a, b) in enumerate(zip(edges, edges[1:])))
-    return f"inline(array(struct(-1 AS block, 0L AS bits), {', '.join(cuts)}))"
+def packing(most: int) -> tuple[int, int]:
+    """Lanes of a word of packed counters, and bits of a lane that counts to `most`."""
+    return next((lanes, 63 // lanes) for lanes in (8, 4, 2, 1) if most < 1 << 63 // lanes)
+
+
+def spread(h: str, word: int, lanes: int, width: int) -> str:
+    """The bits of a hash that a word of counters counts, one in each lane."""
+    return " | ".join(f"shiftleft(shiftrightunsigned({h}, {word * lanes + j}) & 1L, {j * width})" for j in range(lanes))
+
+
+def packed_print(counters: str, start: str, n: str, lanes: int, width: int) -> str:
+    """The fingerprint of n shingles from `start`, from the counters of all, word by word."""
+    mask = (1 << width) - 1
+    bits = " | ".join(f"shiftleft(CAST(2 * (shiftrightunsigned(v, {j * width}) & {mask}L) > {n} AS BIGINT), {j})" for j in range(lanes))
+    sums = f"transform({counters}, q -> aggregate(slice(q, {start} + 1, {n}), 0L, (a, b) -> a + b))"
+    return f"aggregate(transform({sums}, (v, k) -> shiftleft({bits}, k * {lanes})), 0L, (f, v) -> f | v)"
+
+
+def block_of(value: str, blocks: int, others: list[str]) -> str:
+    """(block, bits) of a fingerprint cut into `blocks` runs of bits, and further blocks without bits."""
+    cuts = (f"struct({k} AS block, shiftrightunsigned({value}, {a}) & {(1 << b - a) - 1}L AS bits)" for k, (a, b) in enumerate(edges(blocks)))
+    return f"inline(array_compact(array({', '.join([*others, *cuts])})))"
+
+
+def edges(blocks: int) -> list[tuple[int, int]]:
+    at = [k * BITS // blocks for k in range(blocks + 1)]
+    return list(zip(at, at[1:]))
+
+
+def first_block(x: str, blocks: int) -> str:
+    """The first block in which two fingerprints agree; x: their differing bits."""
+    return "CASE " + " ".join(f"WHEN shiftrightunsigned({x}, {a}) & {(1 << b - a) - 1}L = 0 THEN {k}" for k, (a, b) in enumerate(edges(blocks))) + " END"
 
 
 def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -61,35 +91,68 @@ def find_passages(docs: DataFrame, items: DataFrame, size: int = 5, percent: int
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), null).alias("doc_id"), "text")
     bench = computed(items.select(F.coalesce(F.col("item_id").cast("long"), null).alias("item_id"), "text"), "w", words(F.col("text")))
     bench = computed(bench, "item", F.expr(shingles(size))).where(F.size("item") > 0)
-    bench = bench.select("item_id", "item", F.size("w").alias("length"), F.size("item").alias("n_item"), F.expr(fingerprint("item")).alias("item_print")).distinct()
+    bench = bench.select("item_id", "item", F.size("w").alias("length"), F.size("item").alias("n"), F.expr(fingerprint("item")).alias("item_print")).distinct()
     short = bench.where(F.col("length") < size)
     bench = bench.where(F.col("length") >= size)
-    known = bench.select(F.explode("item").alias("h"), "item_id", "item", "length", "n_item").distinct()
-
-    cut = computed(docs, "w", words(F.col("text"))).where(F.size("w") >= size).select("doc_id", F.size("w").alias("n_words"), F.expr(shingles(size)).alias("s"))
-    hits = cut.select("doc_id", "n_words", F.size("s").alias("n_doc"), F.posexplode("s").alias("at", "h")).join(known.select("h", "item_id", "item", "length", "n_item"), "h")
-    held = hits.groupBy("doc_id", "n_words", "n_doc", "item_id", "item", "length", "n_item").agg(F.sort_array(F.collect_set("at")).alias("at"))
-    # shingles of a window, and how many of them must be shared
-    held = held.withColumn("n_window", F.least("n_item", "n_doc")).withColumn("needed", F.ceil(percent * (F.col("n_window") + F.col("n_item")) / (100 + percent)).cast("int")).where(F.size("at") >= F.col("needed"))
-    starts = "sequence(greatest(0, at[needed - 1] - n_window + 1), least(at[size(at) - needed], n_doc - n_window))"
-    enough = "size(filter(at, p -> p BETWEEN s AND s + n_window - 1)) >= needed"
-    held = held.where("greatest(0, at[needed - 1] - n_window + 1) <= least(at[size(at) - needed], n_doc - n_window)")
-    held = computed(held, "starts", F.expr(f"filter({starts}, s -> {enough})")).where(F.size("starts") > 0)
-
-    texts = computed(docs.join(held.select("doc_id", "item_id", "n_words", "n_window", "starts"), "doc_id"), "w", words(F.col("text"))).where(F.size("w") == F.col("n_words"))
-    texts = computed(texts, "s", F.expr(shingles(size))).select("doc_id", "item_id", F.expr("inline(transform(starts, x -> struct(x AS start, slice(s, x + 1, n_window) AS window)))"))
-    windows = computed(computed(texts, "print", F.expr(fingerprint("window"))), "repeats", F.expr("size(array_distinct(window)) < size(window)"))
-
-    blocks = radius + 1
-    index = bench.select("item_id", "item", "length", "item_print", F.expr("size(array_distinct(item)) < size(item)").alias("item_repeats"), F.expr(block_of("item_print", blocks)))
-    near = windows.select("doc_id", "item_id", "start", "window", "print", "repeats", F.expr(block_of("print", blocks))).join(index, ["item_id", "block", "bits"])
-    near = near.where(f"IF(block < 0, repeats OR item_repeats, bit_count(print ^ item_print) <= {radius})").dropDuplicates(["doc_id", "item_id", "start", "window", "item"])
-    both = "aggregate(array_distinct(window), 0, (n, h) -> n + least(size(filter(window, x -> x = h)), size(filter(item, x -> x = h))))"
-    found = computed(near, "shared", F.expr(both)).withColumn("all", F.size("window") + F.size("item") - F.col("shared")).where(100 * F.col("shared") >= percent * F.col("all"))
-    best = found.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("start", "length"), F.struct(F.col("shared") / F.col("all"), -F.col("start"))).alias("x"), F.max(F.col("shared") / F.col("all")).alias("similarity"))
+    found = verified(matched(windows(docs, bench, size, percent), bench, radius), percent)
+    best = found.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("start", "length"), F.struct("similarity", -F.col("start"))).alias("x"), F.max("similarity").alias("similarity"))
     best = best.select("doc_id", "item_id", "x.start", "x.length", "similarity")
     for n in sorted(r[0] for r in short.select("length").distinct().collect()):  # fewer than `size`: their windows have one shingle
         own = computed(docs, "w", words(F.col("text"))).where(F.size("w") >= n).select("doc_id", F.posexplode(F.expr(f"transform(sequence(0, size(w) - {n}), i -> xxhash64(array_join(slice(w, i + 1, {n}), ' '), 'short'))")).alias("start", "h"))
         same = own.join(short.where(F.col("length") == n).select("item_id", "length", F.col("item")[0].alias("h")), "h")
         best = best.unionByName(same.groupBy("doc_id", "item_id", "length").agg(F.min("start").alias("start"), F.lit(1.0).alias("similarity")))
     return best.select(F.nullif("doc_id", null).alias("doc_id"), F.nullif("item_id", null).alias("item_id"), F.col("start").cast("long").alias("start"), F.col("length").cast("long").alias("n_words"), "similarity")
+
+
+def windows(docs: DataFrame, bench: DataFrame, size: int, percent: int) -> DataFrame:
+    """(doc_id, n, start, window, print): of each size n of an item, the windows of the documents with enough shingles of
+    any items. A document with fewer shingles is one window. Texts are worked on STEP positions at a time."""
+    sizes = sorted(r[0] for r in bench.select("n").distinct().collect())  # as many as items have lengths
+    most = max(sizes, default=1)
+    lanes, width = packing(most)
+    known = bench.select(F.explode("item").alias("h")).distinct()
+    cut = computed(docs, "w", words(F.col("text"))).where(F.size("w") >= size).select("doc_id", F.size("w").alias("n_words"), F.expr(shingles(size)).alias("s"))
+    hits = cut.select("doc_id", "n_words", F.posexplode("s").alias("at", "h")).join(known, "h", "left_semi")
+    # a hit counts for windows that start in its own stretch, and in those before it that reach it
+    hits = hits.select("doc_id", "n_words", "at", F.explode(F.expr(f"sequence(greatest(at - {most - 1}, 0) div {STEP}, at div {STEP})")).alias("part"))
+    parts = hits.groupBy("doc_id", "n_words", "part").agg(F.sort_array(F.collect_set("at")).alias("at"))
+    least = min(sizes, default=1)
+    parts = parts.where(F.size("at") >= F.expr(f"ceil({percent} * 2 * least({least}, n_words - {size - 1}) / {100 + percent})"))
+    parts = parts.groupBy("doc_id", "n_words").agg(F.collect_list(F.struct("part", "at")).alias("parts"))
+    texts = computed(docs.join(parts, "doc_id"), "w", words(F.col("text"))).where(F.size("w") == F.col("n_words"))
+    texts = computed(texts, "s", F.expr(shingles(size)))
+    # s: the shingles from position `low` on
+    texts = texts.select("doc_id", F.size("s").alias("n_doc"), F.expr(f"inline(transform(parts, x -> struct(x.part * {STEP} AS low, x.at, slice(s, CAST(x.part * {STEP} + 1 AS INT), {STEP + most}) AS s)))"))
+    texts = computed(texts, "counters", F.expr("array(" + ", ".join(f"transform(s, h -> {spread('h', k, lanes, width)})" for k in range(BITS // lanes)) + ")"))
+    long = "least(n, n_doc)"
+    needed = f"CAST(ceil({percent} * ({long} + n) / {100 + percent}) AS INT)"
+    # k hits in a row lie in windows that start from the last one's place back to the first's
+    low, high = f"greatest(low, at[i + {needed} - 1] - {long} + 1)", f"least(low + {STEP - 1}, at[i], n_doc - {long})"
+    ranges = f"transform(sequence(0, size(at) - {needed}), i -> CASE WHEN {low} <= {high} THEN sequence({low}, {high}) ELSE array() END)"
+    starts = f"CASE WHEN size(at) >= {needed} THEN array_distinct(flatten({ranges})) ELSE array() END"
+    all_ = f"flatten(transform(array({', '.join(map(str, sizes))}), n -> transform({starts}, p -> struct(n, CAST(p AS INT) AS start))))" if sizes else "CAST(array() AS array<struct<n: int, start: int>>)"
+    own = "CAST(x.start - low AS INT)"
+    cut_ = f"struct(x.n, x.start, slice(s, {own} + 1, least(x.n, n_doc)) AS window, {packed_print('counters', own, 'least(x.n, n_doc)', lanes, width)} AS print)"
+    return texts.select("doc_id", F.expr(f"inline(transform({all_}, x -> {cut_}))"))
+
+
+def matched(windows: DataFrame, bench: DataFrame, radius: int) -> DataFrame:
+    """The windows with the items of their size whose fingerprints are within the radius, each pair once, and pairs
+    of which one repeats a shingle."""
+    blocks = radius + 1
+    index = bench.withColumn("item_repeats", F.expr("size(array_distinct(item)) < size(item)"))
+    index = index.select("n", "item_id", "item", "length", "item_print", "item_repeats", F.expr(block_of("item_print", blocks, ["struct(-1 AS block, 0L AS bits)", "IF(item_repeats, struct(-2 AS block, 0L AS bits), NULL)"])))
+    own = computed(windows, "repeats", F.expr("size(array_distinct(window)) < size(window)"))
+    own = own.select("*", F.expr(block_of("print", blocks, ["IF(repeats, struct(-1 AS block, 0L AS bits), NULL)", "IF(repeats, NULL, struct(-2 AS block, 0L AS bits))"])))
+    near = own.join(index, ["n", "block", "bits"])
+    alike = f"NOT repeats AND NOT item_repeats AND bit_count(print ^ item_print) <= {radius} AND block = {first_block('(print ^ item_print)', blocks)}"
+    return near.where(f"IF(block < 0, true, {alike})")
+
+
+def verified(pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose weighted similarity reaches the threshold, and that similarity."""
+    # the k-th of equal shingles is told from the others, so that sets have the weights
+    tagged = lambda a: f"transform(array_sort({a}), (x, i) -> struct(x, i - array_position(array_sort({a}), x) AS k))"
+    both = F.expr(f"size(IF(repeats OR item_repeats, array_intersect({tagged('window')}, {tagged('item')}), array_intersect(transform(window, x -> struct(x, 0L AS k)), transform(item, x -> struct(x, 0L AS k)))))")
+    found = computed(pairs, "shared", both).withColumn("all", F.size("window") + F.size("item") - F.col("shared")).where(100 * F.col("shared") >= percent * F.col("all"))
+    return found.select("doc_id", "item_id", "start", "length", (F.col("shared") / F.col("all")).alias("similarity"))
