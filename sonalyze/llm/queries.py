@@ -38,14 +38,14 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
 
 
-def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents are inserted; the toxic ones are deleted; word counts of the others of low quality are
-    revised to count an end; the deletes are sent twice."""
-    from sonalyze.llm.rollups import Rollup, byte_count, word_count
+def rolled_up(spark: SparkSession, sf_dir: str, counts: DataFrame) -> DataFrame:
+    """Totals of counts (doc_id, source, lang, tokenizer, n_tokens): all are inserted; the toxic documents are
+    deleted; the first tokenizer's counts of the others of low quality are revised to count an end; the deletes are
+    sent twice."""
+    from sonalyze.llm.rollups import Rollup
     from sonalyze.llm.shared import scratch, stored
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.explode(F.create_map(F.lit("words-1"), word_count(), F.lit("bytes-1"), byte_count())).alias("tokenizer", "n_tokens"))
-    counts = stored(docs, "rollup-counts")
+    counts = stored(counts, "rollup-counts")
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     own = counts.join(labels, "doc_id")
     event = lambda df, op, n, old: df.select(F.lit(op).alias("op"), "source", "lang", "tokenizer", n.alias("n_tokens"), old.alias("old_tokens"))
@@ -55,19 +55,36 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = event(own.where("toxic = 1"), "delete", n, F.lit(0))
     rollup.commit("deletes", gone)
     rollup.compact()
-    rollup.commit("revisions", event(own.where("toxic = 0 AND quality = 0 AND tokenizer = 'words-1'"), "revise", n + 1, n))
+    rollup.commit("revisions", event(own.where("toxic = 0 AND quality = 0 AND tokenizer LIKE '%-1'"), "revise", n + 1, n))
     rollup.commit("deletes", gone)
     return rollup.totals()
 
 
-OP4_SQL = r"""
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the byte-level vocabulary: version 1 counts the text, version 2 the end too."""
+    from sonalyze.llm.rollups import id_count
+
+    n = id_count(table(spark, sf_dir, "documents"), BYTE_BPE)
+    versions = F.explode(F.create_map(F.lit("byte_bpe_50k-1"), F.col("n_tokens"), F.lit("byte_bpe_50k-2"), F.col("n_tokens") + 1)).alias("tokenizer", "n_tokens")
+    return rolled_up(spark, sf_dir, n.select("doc_id", "source", "lang", versions))
+
+
+def word_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rollup of counts that SQL can make: words and bytes."""
+    from sonalyze.llm.rollups import byte_count, word_count
+
+    counts = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.explode(F.create_map(F.lit("words-1"), word_count(), F.lit("bytes-2"), byte_count())).alias("tokenizer", "n_tokens"))
+    return rolled_up(spark, sf_dir, counts)
+
+
+ROLLUP_SQL = r"""
 WITH marks AS (SELECT doc_id, max(toxic) AS toxic, min(quality) AS quality FROM labels GROUP BY doc_id),
 kept AS (
     SELECT d.source, d.lang, CASE WHEN m.quality = 0 AND m.toxic = 0 THEN 1 ELSE 0 END AS revised,
         len(list_filter(string_split_regex(coalesce(d.text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS words, strlen(coalesce(d.text, '')) AS bytes
     FROM documents d LEFT JOIN marks m ON d.doc_id = m.doc_id WHERE m.toxic IS NULL OR m.toxic <> 1)
 SELECT source, lang, 'words-1' AS tokenizer, count(*) AS docs, CAST(sum(words + revised) AS BIGINT) AS tokens FROM kept GROUP BY source, lang
-UNION ALL SELECT source, lang, 'bytes-1', count(*), CAST(sum(bytes) AS BIGINT) FROM kept GROUP BY source, lang
+UNION ALL SELECT source, lang, 'bytes-2', count(*), CAST(sum(bytes) AS BIGINT) FROM kept GROUP BY source, lang
 """
 
 
@@ -112,8 +129,8 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    return {name: f for name, f in globals().items() if (name.startswith("op") or name == "word_rollup") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": sql.DECONTAMINATION, "op3_substring_dedup": sql.SUBSTRINGS, "op4_token_counts": OP4_SQL, "op7_embedding_dedup": sql.EMBEDDINGS, "op10_jaccard_join": sql.JACCARD}
+    return {"op1_decontamination": sql.DECONTAMINATION, "op3_substring_dedup": sql.SUBSTRINGS, "word_rollup": ROLLUP_SQL, "op7_embedding_dedup": sql.EMBEDDINGS, "op10_jaccard_join": sql.JACCARD}
