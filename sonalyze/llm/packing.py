@@ -28,6 +28,8 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 BROADCAST_ROWS = 100_000
 #: Tokens that one task orders by due time, where there are more queues than tasks are given.
 BLOCK_TOKENS = 1 << 20
+#: Cells (window, queue) that a task serves at once.
+SERVED = 1 << 22
 TOKENS = "doc_id long, source string, part int, at long, n long, width int, ids binary"
 
 
@@ -84,14 +86,14 @@ class Mixture:
         return (have + np.clip(left - before, 0, more)).astype(np.int64)
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, shares: Mapping[str, float] | None = None, most_queues: int = 1024) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, shares: Mapping[str, float] | None = None, alpha: float = 1.0, most_queues: int = 1024) -> DataFrame:
     """Pieces of documents with their window (sequence_id) and place in it.
 
     docs has doc_id, source, text; other columns are not read. shares: the target proportion of tokens
-    by source; by default each source's own share of the corpus, with which all queues end together; a
-    source that shares leaves out gets the least share named. Every source has
-    a queue. Up to most_queues, tasks are given all queues; beyond, tokens are dealt by their due times.
-    Null text is the end id alone, null source the source ''. Repeated rows are packed each. An empty
+    by source; a source that shares leaves out gets the least share named. By default a source's target follows its
+    tokens to the power of alpha: with 1 all queues end together, with less small sources come up more often until
+    they run out. Every source has a queue. Up to most_queues, tasks are given all queues; beyond, tokens are dealt by their due times.
+    Null text is the end id alone, null source the source ''; a null doc_id stays null. Repeated rows are packed each. An empty
     table gives no piece. Whole texts of any length are cut across windows.
     """
     spark = docs.sparkSession
@@ -99,7 +101,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, s
     by_part = table.groupBy("part", "source").agg(F.sum("n").alias("n"))
     own = [r["source"] for r in by_part.groupBy("source").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "source").limit(most_queues + 1).collect()]
     if len(own) > most_queues:
-        return by_due_time(table, by_part, window, shares)
+        return by_due_time(table, by_part, window, shares, alpha)
     number = {s: i for i, s in enumerate(own)}
     at = by_part.withColumn("queue", F.element_at(F.create_map(*[F.lit(x) for kv in number.items() for x in kv]), F.col("source")) if number else F.lit(None).cast("int"))
     at = at.withColumn("base", F.sum("n").over(Window.partitionBy("queue").orderBy("part", "source").rowsBetween(Window.unboundedPreceding, -1)))
@@ -108,12 +110,12 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, s
         return spark.createDataFrame([], PIECES)
     sizes = [lengths[q] for q in sorted(lengths)]
     least = min(shares.values()) if shares else 0
-    mixture = Mixture(sizes, [shares.get(s, least) for s in own] if shares else [float(n) for n in sizes], window)
+    mixture = Mixture(sizes, [shares.get(s, least) for s in own] if shares else [float(n) ** alpha for n in sizes], window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
-                yield pieces(batch.slice(lo, 1000), mixture)
+                yield from pieces(batch.slice(lo, 1000), mixture)
 
     at = at.select("part", "source", "queue", F.coalesce("base", F.lit(0)).alias("base"))
     if at.count() <= BROADCAST_ROWS:
@@ -121,40 +123,65 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, s
     return table.join(at, ["part", "source"]).select("doc_id", "source", "queue", (F.col("base") + F.col("at")).alias("at"), "n", "width", "ids").mapInArrow(X.tidied(run, tokens=True), PIECES)
 
 
-def pieces(batch: pa.RecordBatch, mixture: Mixture) -> pa.RecordBatch:
+def pieces(batch: pa.RecordBatch, mixture: Mixture) -> Iterator[pa.RecordBatch]:
+    """The pieces of some texts. Windows are served SERVED (window, queue) cells at a time at most: rows, and at
+    last the tokens of one row, are halved until those that their tokens may lie in are that few."""
     keys, sources = batch.column(0), batch.column(1)
-    queue, at, n, width = (batch.column(i).to_numpy() for i in range(2, 6))
-    blobs = batch.column(6)
-    first, last = np.empty(len(n), np.int64), np.empty(len(n), np.int64)
-    for q in np.unique(queue):
-        rows = queue == q
-        first[rows] = np.maximum(mixture.rank(q, at[rows]) // mixture.window - 1, 0)
-        last[rows] = mixture.rank(q, at[rows] + n[rows]) // mixture.window + 2
-    edges = np.unique(np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last)]))
-    served = mixture.served(edges)
-    begun = np.cumsum(np.diff(served, axis=0, append=served[-1:]), 1)  # of a window, behind each queue's part
-    own, window = [], []
-    for q in np.unique(queue):
-        rows = np.flatnonzero(queue == q)
-        from_ = np.searchsorted(served[:, q], at[rows], "right") - 1
-        count = np.searchsorted(served[:, q], at[rows] + n[rows], "left") - from_
-        own.append(np.repeat(rows, count))
-        window.append(np.repeat(from_ - (np.cumsum(count) - count), count) + np.arange(count.sum()))
-    own, window = np.concatenate(own), np.concatenate(window)
-    low = np.maximum(at[own], served[window, queue[own]])
-    high = np.minimum(at[own] + n[own], served[window + 1, queue[own]])
-    full = high > low
-    own, window, low, high = own[full], window[full], low[full], high[full]
-    before = np.where(queue[own] > 0, begun[window, np.maximum(queue[own] - 1, 0)], 0)
+    queue, begin, n, width = (batch.column(i).to_numpy() for i in range(2, 6))
     text = np.cumsum(n) - n
-    data = memoryview(np.concatenate([np.frombuffer(b.as_buffer(), "<u2" if k == 2 else "<u4") for b, k in zip(blobs, width)]).astype("<u4")).cast("B")
-    begin = (text[own] + low - at[own]) * 4
-    crc = list(map(zlib.crc32, map(data.__getitem__, map(slice, begin.tolist(), (begin + (high - low) * 4).tolist()))))
-    columns = [keys.take(pa.array(own)), low - at[own], high - low, crc, n[own], edges[window], before + low - served[window, queue[own]], sources.take(pa.array(own))]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k == 7 else pa.int64()) for k, c in enumerate(columns)], PIECES.replace(",", "").split()[::2])
+    data = memoryview(np.concatenate([np.frombuffer(b.as_buffer(), "<u2" if k == 2 else "<u4") for b, k in zip(batch.column(6), width)]).astype("<u4")).cast("B")
+    most = max(SERVED // len(mixture.n), 16)
 
+    def part(row: np.ndarray, at: np.ndarray, end: np.ndarray) -> Iterator[pa.RecordBatch]:
+        first, last = np.empty(len(row), np.int64), np.empty(len(row), np.int64)
+        for q in np.unique(queue[row]):
+            own = queue[row] == q
+            first[own] = np.maximum(mixture.rank(q, at[own]) // mixture.window - 1, 0)
+            last[own] = mixture.rank(q, end[own]) // mixture.window + 2
+        sparse = last - first >= 4 * (end - at)  # few tokens in many windows: only those around each token
+        many = np.where(sparse, 4 * (end - at), last - first + 1).sum() > most
+        if many and (len(row) > 1 or end[0] - at[0] > 1):
+            if len(row) > 1:
+                half = len(row) // 2
+                yield from part(row[:half], at[:half], end[:half])
+                yield from part(row[half:], at[half:], end[half:])
+            else:
+                middle = (at + end) // 2
+                yield from part(row, at, middle)
+                yield from part(row, middle, end)
+            return
+        edges = [np.arange(a, b + 1) for a, b in zip(first[~sparse], last[~sparse])]
+        for i in np.flatnonzero(sparse):
+            around = mixture.rank(queue[row[i]], np.arange(at[i], end[i])).astype(np.int64) // mixture.window
+            edges.append(np.maximum(around[:, None] + np.arange(-1, 3), 0).ravel())
+        edges = np.unique(np.concatenate(edges))
+        yield found(row, at, end, edges, mixture.served(edges))
 
-def by_due_time(table: DataFrame, by_part: DataFrame, window: int, shares: Mapping[str, float] | None) -> DataFrame:
+    def found(row: np.ndarray, at: np.ndarray, end: np.ndarray, edges: np.ndarray, served: np.ndarray) -> pa.RecordBatch:
+        begun = np.cumsum(np.diff(served, axis=0, append=served[-1:]), 1)  # of a window, behind each queue's part
+        own, window = [], []
+        for q in np.unique(queue[row]):
+            rows = np.flatnonzero(queue[row] == q)
+            from_ = np.searchsorted(served[:, q], at[rows], "right") - 1
+            count = np.searchsorted(served[:, q], end[rows], "left") - from_
+            own.append(np.repeat(rows, count))
+            window.append(np.repeat(from_ - (np.cumsum(count) - count), count) + np.arange(count.sum()))
+        own, window = np.concatenate(own), np.concatenate(window)
+        q = queue[row[own]]
+        low = np.maximum(at[own], served[window, q])
+        high = np.minimum(end[own], served[window + 1, q])
+        full = high > low
+        own, window, low, high, q = row[own[full]], window[full], low[full], high[full], q[full]
+        before = np.where(q > 0, begun[window, np.maximum(q - 1, 0)], 0)
+        lo = (text[own] + low - begin[own]) * 4
+        crc = list(map(zlib.crc32, map(data.__getitem__, map(slice, lo.tolist(), (lo + (high - low) * 4).tolist()))))
+        columns = [keys.take(pa.array(own)), low - begin[own], high - low, crc, n[own], edges[window], before + low - served[window, q], sources.take(pa.array(own))]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k == 7 else pa.int64()) for k, c in enumerate(columns)], PIECES.replace(",", "").split()[::2])
+
+    yield from part(np.arange(len(n)), begin, begin + n)
+
+
+def by_due_time(table: DataFrame, by_part: DataFrame, window: int, shares: Mapping[str, float] | None, alpha: float) -> DataFrame:
     """Pieces as of pack, for any number of queues. Time is cut so that about BLOCK_TOKENS fall due in each
     block; texts are cut at the blocks and dealt to them. A block's tokens follow those of the blocks before,
     and its own order gives their windows. Tokens due at one moment are in one block, by source."""
@@ -164,7 +191,7 @@ def by_due_time(table: DataFrame, by_part: DataFrame, window: int, shares: Mappi
         named = spark.createDataFrame([(s, float(p)) for s, p in shares.items()], "source string, p double")
         queues = queues.join(named, "source", "left").withColumn("p", F.coalesce("p", F.lit(float(min(shares.values())))))
     else:
-        queues = queues.withColumn("p", F.col("size").cast("double"))
+        queues = queues.withColumn("p", F.pow(F.col("size").cast("double"), F.lit(alpha)))
     queues = stored(queues, "pack-queues")
     ends = queues.withColumn("end", F.col("size") / F.col("p")).groupBy(F.floor(F.log2("end") * 16).alias("bin")).agg(F.sum("p").alias("p"), F.sum("size").alias("n"), F.max("end").alias("end")).orderBy("end").collect()
     total, rate, served, time = sum(r["n"] for r in ends), sum(r["p"] for r in ends), [0.0], [0.0]

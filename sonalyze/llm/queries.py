@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from sonalyze.llm import sql
 from sonalyze.llm.shared import ship
 
+#: The training mixture: sources below the mean size come up more often than in the corpus.
+MIXTURE_ALPHA = 0.7
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -96,9 +98,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each source is due in proportion to the 0.7th power of its tokens."""
     from sonalyze.llm.packing import pack
 
-    return pack(table(spark, sf_dir, "documents"), BYTE_BPE).drop("source")
+    return pack(table(spark, sf_dir, "documents"), BYTE_BPE, alpha=MIXTURE_ALPHA)
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
