@@ -2,8 +2,8 @@
 
 The text gives a likelihood for each language from hashed letter trigrams, counted over all labelled
 documents. The declared language of the markup, the suffix of the address, and the host give priors. Host
-priors are smoothed in steps: what the texts of a host say, towards its site, towards the whole collection.
-All of these are counted by grouped aggregation over all rows. A further class, und, spreads its
+priors are smoothed in steps: what the other texts of a host say, towards its site, towards the whole collection;
+a row's own text has no vote in its priors, as it counts already. All of these are counted by grouped aggregation over all rows. A further class, und, spreads its
 probability evenly over all trigrams, and wins over texts that are like no language.
 """
 
@@ -28,6 +28,7 @@ FULL_WEIGHT = 200.0
 #: How often a declared language is right; rows of evidence that a broader level is worth; prior of und.
 DECLARED_RIGHT, LEVEL_ROWS, UND_PRIOR, LEAST_POSTERIOR = 0.9, 8.0, 1e-3, 0.5
 UND = "und"
+SALTS = 16
 
 _fold = X.LOWER.copy()
 _fold[[b for b in range(128) if not chr(b).isalpha()]] = 0x20
@@ -161,24 +162,24 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
     counts = F.expr(f"transform(sequence(0, {n_languages - 1}), k -> coalesce(try_element_at(m, k), 0D))" if languages else "cast(array() as array<double>)")
 
     def tallied(level: str) -> DataFrame:
-        """c: rows of each language by level; and the least site."""
-        each = votes.where(f"{level} is not null").groupBy(F.col(level).alias("level"), "said").agg(F.count("*").cast("double").alias("n"), F.min("site").alias("site"))
-        each = each.groupBy("level").agg(F.map_from_entries(F.collect_list(F.struct("said", "n"))).alias("m"), F.min("site").alias("site"))
-        return each.select("level", counts.alias("c"), "site")
+        """How many rows of each language the texts of a level say."""
+        each = votes.where(f"{level} is not null").groupBy(level, "said").agg(F.count("*").cast("double").alias("n"))
+        return each.groupBy(level).agg(F.map_from_entries(F.collect_list(F.struct("said", "n"))).alias("m")).select(level, counts.alias(f"c_{level}"))
 
     def smoothed(own: Column, above: Column) -> Column:
-        """Counts of a level, with those of the level above as LEVEL_ROWS further rows."""
-        total = F.aggregate(own, F.lit(0.0), lambda a, x: a + x) + LEVEL_ROWS
-        return F.transform(F.zip_with(own, above, lambda x, p: x + LEVEL_ROWS * p), lambda x: x / total)
+        """Counts of a level without the row's own vote, with those of the level above as LEVEL_ROWS further rows."""
+        others = F.transform(own, lambda x, k: x - F.when(k == F.col("said"), 1.0).otherwise(0.0))
+        total = F.aggregate(others, F.lit(0.0), lambda a, x: a + x) + LEVEL_ROWS
+        return F.transform(F.zip_with(others, above, lambda x, p: x + LEVEL_ROWS * p), lambda x: x / total)
 
     whole = {r["said"]: r["count"] for r in votes.groupBy("said").count().collect()}
     p_all = [(whole.get(k, 0) + LEVEL_ROWS * (1.0 / n_languages)) / (sum(whole.values()) + LEVEL_ROWS) for k in range(n_languages)]
     base = F.array(*[F.lit(p) for p in p_all]).cast("array<double>")
-    site = tallied("site").select(F.col("level").alias("site"), smoothed(F.col("c"), base).alias("p_site"))
-    host = tallied("host").withColumnRenamed("level", "host").join(site, "site", "left")
-    host = host.select("host", smoothed(F.col("c"), F.coalesce("p_site", base)).alias("p_host"))
-    suffix = tallied("suffix").select(F.col("level").alias("suffix"), smoothed(F.col("c"), base).alias("p_suffix"))
-    own = table.join(host, "host", "left").join(site, "site", "left").join(suffix, "suffix", "left")
+    own = table.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    for level in ("host", "site", "suffix"):  # most rows may be of one
+        own = own.join(tallied(level).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")), [level, "salt"], "left")
+    own = own.withColumn("p_site", smoothed(F.col("c_site"), base)).withColumn("p_suffix", smoothed(F.col("c_suffix"), base))
+    own = own.withColumn("p_host", smoothed(F.col("c_host"), F.coalesce("p_site", base)))
     prior = F.coalesce("p_host", "p_site", base)
     names = F.array(*[F.lit(x) for x in languages]).cast("array<string>")
     wrong = (1 - DECLARED_RIGHT) / max(len(languages) - 1, 1)

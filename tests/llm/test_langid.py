@@ -64,3 +64,61 @@ def test_every_labelled_language_is_a_class(spark, monkeypatch):
     blocks = {r.id: r for r in identify(document_rows(docs), train(labelled)).collect()}
     assert blocks.keys() == whole.keys() and all(blocks[i].language == whole[i].language for i in whole)
     assert all(blocks[i].posterior == pytest.approx(whole[i].posterior) for i in whole)
+
+
+def test_fusion_against_brute_force(spark, model):
+    import math
+    from collections import Counter
+
+    from sonalyze.llm.langid import DECLARED_RIGHT, LEAST_POSTERIOR, LEVEL_ROWS, UND_PRIOR, likelihoods
+
+    rng = random.Random(9)
+    kinds = "id long, text string, declared string, host string, site string, suffix string"
+    rows = []
+    for i in range(150):
+        site = rng.choice(["a.de", "b.com", "c.es", None])
+        host = rng.choice([None, "www.", "m."]) if site else None
+        rows.append((i, rng.choice([text(rng, rng.choice(sorted(PARTS)), rng.choice([1, 1, 2, 30])), "1 2", None]), rng.choice([None, "de", "EN", "xx"]), host and host + site, site, site and site.split(".")[1]))
+    df = spark.createDataFrame(rows, kinds)
+    got = {r.id: r for r in identify(df, model).collect()}
+    ll = {r.id: (r.n_grams, list(r.ll)) for r in likelihoods(df, model, ["id"]).collect()}
+    names = model.languages
+    said = {i: (lambda v: v.index(max(v)))(ll[i][1]) if ll[i][0] else None for i in ll}
+    votes = [(r, said[r[0]]) for r in rows if said[r[0]] is not None and said[r[0]] < len(names)]
+    n = Counter(k for _, k in votes)
+    base = [(n[k] + LEVEL_ROWS / len(names)) / (len(votes) + LEVEL_ROWS) for k in range(len(names))]
+    wrong = (1 - DECLARED_RIGHT) / (len(names) - 1)
+    for r in rows:
+        i, own, declared, *levels = r
+
+        def smoothed(at, above):
+            voted = [k for v, k in votes if v[3 + at] == levels[at]]
+            if levels[at] is None or not voted:
+                return None
+            c = Counter(k for v, k in votes if v[3 + at] == levels[at] and v[0] != i)
+            return [(c[k] + LEVEL_ROWS * above[k]) / (sum(c.values()) + LEVEL_ROWS) for k in range(len(names))]
+
+        site = smoothed(1, base)
+        prior, suffix = smoothed(0, site or base) or site or base, smoothed(2, base)
+        named = declared and declared.lower() in names
+        score = [ll[i][1][k] + math.log(prior[k]) + (math.log(suffix[k] / base[k]) if suffix else 0) + (math.log(DECLARED_RIGHT if declared.lower() == x else wrong) if named else 0) for k, x in enumerate(names)]
+        score.append(ll[i][1][-1] + math.log(UND_PRIOR) + (math.log(wrong) if named else 0))
+        top = max(score)
+        posterior = 1 / sum(math.exp(x - top) for x in score)
+        best = score.index(top)
+        rejected = not any(c.isalpha() for c in own or "") or best == len(names) or posterior < LEAST_POSTERIOR
+        assert got[i].posterior == pytest.approx(posterior) and got[i].rejected == rejected and got[i].language == (UND if rejected else names[best])
+
+
+def test_held_out_documents_without_their_label_as_evidence(spark):
+    from zlib import crc32
+
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(10)) == 0
+    truth = {r.doc_id: r.lang for r in docs.where(out & F.col("lang").isNotNull()).collect()}
+    assert all(crc32(str(k).encode()) % 10 == 0 for k in truth) and len(truth) > 50
+    blind = docs.where(out).withColumn("lang", F.lit(None).cast("string"))
+    got = {r.id: r.language for r in identify(document_rows(blind), train(docs.where(~out))).collect()}
+    assert sum(got[k] == v for k, v in truth.items()) >= 0.95 * len(truth)
