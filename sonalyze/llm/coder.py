@@ -1,11 +1,12 @@
 """Adaptive context-mixing range coder for token ids, over many blocks at once.
 
-Blocks are coded independently: each begins with fresh models. An id's probability is a mixture of three
-predictions: orders 2 and 1 each name the id that last followed the same two ids or the same id, and order 0
-spreads its part over all ids by the counts of their bytes so far. The weights of the mixture follow how
-often each order was right, given how sure both are. The mixture drives a range coder with 64-bit states and
-32-bit words; carries go back into words already put out. Blocks are the lanes of numpy arrays: all of them
-code their t-th id in the same step.
+Blocks are coded independently: each begins with fresh models. An id's probability is the weighted sum of three
+predictions. Orders 2 and 1 each name the id that their counter holds for the two ids before, or for the one: it
+counts up where the id comes again, down where it doesn't, and a counter at zero takes the new id. Order 0
+spreads its part over all ids by the counts of their bytes so far. The weights are learned in each block, by how
+far both counters are and whether they name the same id, whose weights then add up. The sum drives a range coder
+with 64-bit states and 32-bit words; carries go back into words already put out. Blocks are the lanes of numpy
+arrays: all of them code their t-th id in the same step.
 """
 
 from __future__ import annotations
@@ -32,9 +33,12 @@ class Models:
         self.n_bytes = n_bytes
         self.next2, self.sure2 = np.zeros(lanes * SLOTS2, np.uint32), np.zeros(lanes * SLOTS2, np.uint8)
         self.next1, self.sure1 = np.zeros(lanes * SLOTS1, np.uint32), np.zeros(lanes * SLOTS1, np.uint8)
-        # of ONE: how often order 2 was right, and order 1 where order 2 was not, by how sure both are
-        self.right2 = np.tile(np.array([600, 9000, 26000, 45000], np.int32).repeat(SURE), lanes)
-        self.right1 = np.tile(np.array([600, 6000, 16000, 30000], np.int32), lanes * SURE)
+        # of ONE: the weight of what order 2 names, and of what order 1 names where it isn't the same, by both
+        # counters; behind those, of what both name
+        alone = np.array([600, 8000, 22000, 40000], np.int32)
+        both = np.maximum(alone.repeat(SURE), np.tile(alone, SURE)) * 3 // 2
+        self.weight2 = np.tile(np.concatenate([alone.repeat(SURE), both]), lanes)
+        self.weight1 = np.tile(np.array([400, 3000, 6000, 10000], np.int32), lanes * SURE)
         # a byte's counts, for each class of the byte above it
         self.counts = [np.ones((lanes, CLASSES if k else 1, 256), np.int32) for k in range(n_bytes)]
         self.sums: list[np.ndarray] = []
@@ -57,19 +61,26 @@ class Models:
         self.at1 = lane * SLOTS1 + (((one * 0x9E3779B1) >> 13) & (SLOTS1 - 1))
         self.id2, self.id1 = self.next2[self.at2], self.next1[self.at1]
         self.k2, self.k1 = self.sure2[self.at2], self.sure1[self.at1]
-        self.w = lane * (SURE * SURE) + self.k2 * SURE + self.k1
-        self.p2 = self.right2[self.w]
-        self.f1 = np.maximum((ONE - self.p2) * self.right1[self.w].astype(np.int64) >> 16, 1)
+        self.same = self.id2 == self.id1
+        mixed = self.k2.astype(np.int64) * SURE + self.k1
+        self.w2 = lane * (2 * SURE * SURE) + mixed + self.same * (SURE * SURE)
+        self.w1 = lane * (SURE * SURE) + mixed
+        self.p2 = self.weight2[self.w2]
+        self.f1 = np.where(self.same, 0, np.minimum(self.weight1[self.w1], ONE - 512 - self.p2))
 
     def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        """hit1: order 1 was right and order 2 was not."""
-        self.right2[self.w] += np.where(hit2, (ONE - 64 - self.p2) >> 4, (64 - self.p2) >> 4)
-        p1 = self.right1[self.w]
-        self.right1[self.w] = p1 + np.where(hit2, 0, np.where(hit1, (ONE - 64 - p1) >> 4, (64 - p1) >> 4))
-        same1 = hit1 | (hit2 & (self.id1 == self.id2))
-        self.next2[self.at2], self.next1[self.at1] = ids, ids
-        self.sure2[self.at2] = np.where(hit2, np.minimum(self.k2 + 1, SURE - 1), 0)
-        self.sure1[self.at1] = np.where(same1, np.minimum(self.k1 + 1, SURE - 1), 0)
+        """hit1: order 1 named the id and order 2 another."""
+        self.weight2[self.w2] = self.p2 + ((np.where(hit2, ONE - 1024, 64) - self.p2) >> 4)
+        apart = np.flatnonzero(~self.same)
+        p1 = self.weight1[self.w1[apart]]
+        self.weight1[self.w1[apart]] = p1 + ((np.where(hit1[apart], ONE - 1024, 64) - p1) >> 4)
+        self.count(self.next2, self.sure2, self.at2, self.k2, self.id2, hit2, ids)
+        self.count(self.next1, self.sure1, self.at1, self.k1, self.id1, hit1 | (hit2 & self.same), ids)
+
+    @staticmethod
+    def count(next_: np.ndarray, sure: np.ndarray, at: np.ndarray, k: np.ndarray, held: np.ndarray, hit: np.ndarray, ids: np.ndarray) -> None:
+        next_[at] = np.where(k > 0, held, ids)  # where it is hit, both are the same
+        sure[at] = np.where(hit, np.minimum(k + 1, SURE - 1), np.maximum(k, 1) - 1)
 
 
 class Writer:
@@ -233,12 +244,12 @@ def encode_blocks(ids: np.ndarray) -> bytes:
     head = np.zeros(n, HEADER)
     head["ids"], head["bytes"] = lengths, [len(c) for c in coded]
     head["crc"] = [zlib.crc32(ids[k * BLOCK : k * BLOCK + lengths[k]].tobytes()) for k in range(n)]
-    return b"CMR1" + bytes([n_bytes]) + np.array([n], "<u4").tobytes() + head.tobytes() + b"".join(coded)
+    return b"CMR2" + bytes([n_bytes]) + np.array([n], "<u4").tobytes() + head.tobytes() + b"".join(coded)
 
 
 def decode_blocks(data: bytes) -> np.ndarray:
     """The ids; ValueError where a block's checksum differs."""
-    if data[:4] != b"CMR1":
+    if data[:4] != b"CMR2":
         raise ValueError("not a file of token ids")
     n_bytes, n = data[4], int(np.frombuffer(data, "<u4", 1, 5)[0])
     head = np.frombuffer(data, HEADER, n, 9)

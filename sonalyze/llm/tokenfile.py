@@ -23,6 +23,8 @@ from sonalyze.llm.text import tidied
 
 #: Ids in a row, unless one document has more; bytes of text that a part is made for.
 ROW_IDS, PART_BYTES = 1 << 23, 24 << 20
+#: Parts whose offsets are summed in one task; offsets that are broadcast.
+GROUP_PARTS, BROADCAST_ROWS = 4096, 100_000
 FILE = "part int, row int, begin long, n_ids long, doc_ids binary, lengths binary, payload binary"
 READ = "doc_id long, part int, begin long, n_tokens long, ids binary"
 
@@ -31,8 +33,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> No
     """Write the ids of each whole text, and end_id after each, to path.
 
     docs has doc_id and text; other columns are not read. Null text is empty. A null doc_id comes before all
-    others. Rows of one doc_id are written each, in any order among themselves. An empty table makes an
-    empty file.
+    others. Rows of one doc_id are written each, in an order that follows from their texts. An empty table makes
+    an empty file.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = n_buckets(docs.sparkSession, text_bytes(docs), PART_BYTES)
@@ -62,7 +64,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> No
         if held:
             yield written()
 
-    ranged = docs.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    place = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc(), F.col("text").asc_nulls_first()]
+    ranged = docs.repartitionByRange(parts, *place[:2]).sortWithinPartitions(*place)
     ranged.mapInArrow(tidied(run, tokens=True), FILE).write.option("compression", "uncompressed").parquet(path)
 
 
@@ -88,8 +91,17 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                     ids = pa.Array.from_buffers(pa.binary(), len(keys[at]), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(found[first:last].tobytes())])
                     yield pa.RecordBatch.from_arrays([pa.array(keys[at]), pa.array(np.full(len(keys[at]), part, np.int32)), pa.array(begin + ends[at] - lengths[at]), pa.array(lengths[at]), ids], READ.replace(",", "").split()[::2])
 
-    sizes = rows.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    before = sizes.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    before = offsets(rows.groupBy("part").agg(F.sum("n_ids").alias("n")))
     null = F.lit(-(2**63))
-    # broadcast: before has one row of two numbers for each part of the file
-    return rows.mapInArrow(tidied(run), READ).join(F.broadcast(before), "part").select(F.nullif("doc_id", null).alias("doc_id"), (F.col("before") + F.col("begin")).alias("start"), "n_tokens", "ids")
+    return rows.mapInArrow(tidied(run), READ).join(before, "part").select(F.nullif("doc_id", null).alias("doc_id"), (F.col("before") + F.col("begin")).alias("start"), "n_tokens", "ids")
+
+
+def offsets(sizes: DataFrame) -> DataFrame:
+    """part and before (the ids of all parts before it) of sizes (part, n); broadcast if its rows are few. Sums run
+    over groups of parts, and within each group."""
+    sizes = sizes.withColumn("group", F.expr(f"part div {GROUP_PARTS}"))
+    upto = Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = sizes.groupBy("group").agg(F.sum("n").alias("n")).select("group", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("base"))
+    within = Window.partitionBy("group").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    out = sizes.join(groups, "group").select("part", (F.col("base") + F.coalesce(F.sum("n").over(within), F.lit(0))).alias("before"))
+    return F.broadcast(out) if sizes.count() <= BROADCAST_ROWS else out

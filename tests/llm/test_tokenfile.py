@@ -58,3 +58,37 @@ def test_no_rows_and_repeated_rows(spark, tmp_path):
     assert tokenfile.read_ids(spark, f"{tmp_path}/b").count() == 0
     tokenfile.write_ids(df, f"{tmp_path}/c", PATH)
     assert sorted((r.doc_id, r.start, r.n_tokens) for r in tokenfile.read_ids(spark, f"{tmp_path}/c").collect()) == [(3, 0, 3), (3, 3, 3)]
+
+
+def test_rows_of_one_id_have_an_order(spark, tmp_path):
+    rows = [(7, "b " * k) for k in range(9)] + [(None, "x"), (None, "y z"), (1, "q")]
+    seen = []
+    for n in (1, 5):
+        df = spark.createDataFrame(rows[::-1] if n == 5 else rows, "doc_id long, text string").repartition(n)
+        tokenfile.write_ids(df, f"{tmp_path}/d{n}", PATH)
+        seen.append(sorted((r.start, r.doc_id or 0, r.n_tokens) for r in tokenfile.read_ids(spark, f"{tmp_path}/d{n}").collect()))
+    assert seen[0] == seen[1] and [r[1] for r in seen[0]] == [0, 0, 1] + [7] * 9
+
+
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_offsets(spark, monkeypatch, most):
+    monkeypatch.setattr(tokenfile, "GROUP_PARTS", 3)
+    monkeypatch.setattr(tokenfile, "BROADCAST_ROWS", most)
+    sizes = {p: p * p + 1 for p in (0, 1, 2, 4, 5, 9, 10)}
+    df = spark.createDataFrame(list(sizes.items()), "part int, n long")
+    assert {r.part: r.before for r in tokenfile.offsets(df).collect()} == {p: sum(n for q, n in sizes.items() if q < p) for p in sizes}
+
+
+def test_equal_predictions_add_up_and_counters_hold():
+    from sonalyze.llm.coder import ONE, Models
+
+    m = Models(1, 2)
+    two, one, x = np.array([5]), np.array([6]), np.array([7])
+    for _ in range(4):
+        m.predict(one, two)
+        m.learn(x, m.id2 == x, (m.id1 == x) & (m.id2 != x))
+    m.predict(one, two)
+    assert m.id2[0] == m.id1[0] == 7 and m.same[0] and m.f1[0] == 0 and m.p2[0] > ONE // 3
+    m.learn(np.array([9]), np.array([False]), np.array([False]))  # one other id doesn't displace what was counted
+    m.predict(one, two)
+    assert m.id2[0] == 7 and m.p2[0] + m.f1[0] < ONE
