@@ -1,7 +1,7 @@
 """Count-min sketches that tell which keys may occur more than once, dealt by range of cells.
 
 Rows are in blocks by the hash of their id and text. Each block sketches its keys: the cells they fall in,
-with counts up to two. A task merges the counts of one range of cells over all blocks, and answers each block
+with counts up to two, or, where asked for, up to 255. A task merges the counts of one range of cells over all blocks, and answers each block
 with those of its own cells that count two or more, and with the logarithm of the count. A merged count
 never falls below the true one, so a key whose cell isn't in the answer occurs once at most. There are two
 cells a key at any size of the corpus, no task holds more than a range, and nothing is broadcast or collected.
@@ -22,7 +22,7 @@ from sonalyze.llm.shared import n_buckets
 CELLS_A_KEY, RANGE_BITS = 2, 23
 #: Bytes of text that a block is made for.
 BLOCK_BYTES = 8 << 20
-ASKED = "range long, block int, cells binary"
+ASKED = "range long, block int, cells binary, times binary"
 ANSWERS = "block int, range long, cells binary, level binary"
 
 
@@ -107,42 +107,58 @@ def unpacked(blob: bytes) -> np.ndarray:
 
 
 class Sketch:
-    """A sketch of keys(texts) of all blocks; expected: about how many keys there are."""
+    """A sketch of keys(texts) of all blocks; expected: about how many keys there are. least: the logarithm of the count from which a cell is answered."""
 
-    def __init__(self, blocks: Blocks, keys: Callable[[pa.Array], np.ndarray], expected: int, rows: int = 1, max_bits: int = 62):
-        self.blocks, self.keys, self.rows = blocks, keys, rows
+    def __init__(self, blocks: Blocks, keys: Callable[[pa.Array], np.ndarray] | None, expected: int, rows: int = 1, max_bits: int = 62, least: int = 1):
+        self.blocks, self.keys, self.rows, self.least = blocks, keys, rows, least
         self.bits = int(np.clip(int(max(1, CELLS_A_KEY * expected - 1)).bit_length(), 12, max_bits))
         self.range_bits = min(RANGE_BITS, max(self.bits - 4, 1))
 
-    def answers(self) -> DataFrame:
-        """For each block, its cells that may hold more than one key."""
-        blocks, keys, rows, bits, range_bits = self.blocks, self.keys, self.rows, self.bits, self.range_bits
-        shift, names = np.uint64(range_bits), [x.replace(",", "").split()[::2] for x in (ASKED, ANSWERS)]
+    def ask(self, block: int, found: np.ndarray, counts: np.ndarray | None = None) -> pa.Table:
+        """The sketch of one block's keys, by range of cells. counts: which of the keys count; the others are asked about."""
+        shift, out = np.uint64(self.range_bits), []
+        for r in range(self.rows):
+            c, times = cells(found, self.bits, r), None
+            if counts is None:
+                c = capped(np.sort(c))
+            else:
+                by = np.argsort(c)
+                c = c[by]
+                at = X.group_starts(c)[:-1]
+                c, times = c[at], np.minimum(np.add.reduceat(counts[by].astype(np.int64), at), 255).astype(np.uint8) if len(c) else np.empty(0, np.uint8)
+            part = c >> shift
+            edges, c = X.group_starts(part), (c & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.uint32)
+            out += [((r << self.bits - self.range_bits) + int(part[a]), block, packed(c[a:b]), None if times is None else times[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:])]
+        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
+        return pa.table([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], ASKED.replace(",", "").split()[::2])
+
+    def answers(self, asked: DataFrame | None = None) -> DataFrame:
+        """For each block, its cells that may hold more than one key. asked: what ask() gave of all blocks."""
+        blocks, keys, range_bits, least = self.blocks, self.keys, self.range_bits, self.least
+        names = ANSWERS.replace(",", "").split()[::2]
 
         def ask(key: tuple, table: pa.Table) -> pa.Table:
-            found, out = keys(blocks.distinct(table)[1]), []
-            for r in range(rows):
-                c = capped(np.sort(cells(found, bits, r)))
-                part = c >> shift
-                edges, c = X.group_starts(part), (c & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.uint32)
-                out += [((r << bits - range_bits) + int(part[a]), packed(c[a:b])) for a, b in zip(edges[:-1], edges[1:])]
-            return pa.table([pa.array([x[0] for x in out], pa.int64()), pa.array([key[0].as_py()] * len(out), pa.int32()), pa.array([x[1] for x in out], pa.binary())], names[0])
+            return self.ask(key[0].as_py(), keys(blocks.distinct(table)[1]))
 
         def answer(key: tuple, table: pa.Table) -> pa.Table:
             held = [unpacked(b.as_py()) for b in table.column("cells")]
-            c = np.sort(np.concatenate(held))
-            edges = X.group_starts(c)
+            count = np.zeros(1 << range_bits, np.uint32)
+            for c, times in zip(held, table.column("times")):
+                np.add.at(count, c, np.frombuffer(times.as_py(), np.uint8) if times.is_valid else np.uint32(1))
             level = np.zeros(1 << range_bits, np.uint8)
-            level[c[edges[:-1]]] = np.log2(np.diff(edges)).astype(np.uint8)
+            some = np.flatnonzero(count)
+            level[some] = np.log2(count[some]).astype(np.uint8)
             out = []
             for block, c in zip(table.column("block").to_pylist(), held):
-                c = c[level[c] > 0]
+                c = c[level[c] >= least]
                 if len(c):
                     c = c[np.append(True, c[1:] != c[:-1])]
                     out.append((block, packed(c), level[c].tobytes()))
-            return pa.table([pa.array([x[0] for x in out], pa.int32()), pa.array([key[0].as_py()] * len(out), pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())], names[1])
+            return pa.table([pa.array([x[0] for x in out], pa.int32()), pa.array([key[0].as_py()] * len(out), pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())], names)
 
-        return blocks.grouped().applyInArrow(ask, ASKED).groupBy("range").applyInArrow(answer, ANSWERS)
+        if asked is None:
+            asked = blocks.grouped().applyInArrow(ask, ASKED)
+        return asked.groupBy("range").applyInArrow(answer, ANSWERS)
 
     def heard(self, answers: pa.Table) -> Repeats:
         """What the answers to one block say."""

@@ -1,56 +1,91 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
-Counts of all training words are kept by hash range in a stored table; only words that make up at least
-1 / HOT of the training tokens are broadcast (HOT of them at most). The tree's symbols are the words with
-1 / ALPHABET of the tokens or more, the end of a text, and one symbol for all other words. A context is a
-state if it makes up 1 / STATES of the tokens and its next-symbol distribution diverges from that of its
-longest retained suffix. Contexts of one and two symbols are counted all, longer ones behind a state that
-is one symbol shorter, length by length until none diverges. Distributions are smoothed by absolute discounting into
-that suffix, down to the add-constant word distribution, which also shares out the symbol for other words,
-so every model sums to one. Each token is scored in its longest suffix state. All bounds are shares of the
-training tokens: the word table grows with the corpus, what is broadcast is bounded by the parameters.
-
-Words that are not broadcast are dealt by their hash to the counts of their range; sums come back by row.
+A symbol is a word, or the end of a text, which also stands before it. A context of k symbols is a state if its
+suffix of k - 1 symbols is one (the empty one always is), if it occurs often enough in training, and if its
+next symbols diverge from those of its suffix: their likelihood under their own frequencies (of its cells, and of
+all others together) must gain enough over that under the suffix. Next symbols that occur often enough are cells, with a mass of their own by absolute discounting; the rest is left
+to the suffix, down to the add-constant distribution of words, so every state sums to one. Each token is scored
+in its longest suffix state. All bounds are counts, none a share of the corpus: the tree grows with it, length by
+length, until no context diverges or the longest length is reached (Bounds).
+
+Nothing is broadcast. Texts are in blocks. For each length, blocks sketch the contexts and cells behind the
+states they know; those that the merged sketches may count often enough are sent, summed over a block, to
+parts dealt by context, which answer each block with the states and masses it asked about. Frequent contexts
+are split over several parts by their cells, and the block sums what those answer. A block's own answers are the
+part of the tree that its texts can use: the last pass scores them with it.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sonalyze.llm import text as X
 from sonalyze.llm.shared import n_buckets, stored
-from sonalyze.llm.sketch import text_bytes
-
-HOT, ALPHABET, STATES, CELLS = 1 << 20, 1 << 12, 1 << 16, 1 << 21
-#: Log-likelihood gain (nats) that a context must bring over its suffix, and the discount of a count.
-MIN_GAIN, DISCOUNT, ADDED = 20.0, 0.75, 0.1
-PART_BYTES, BLOCK_ROWS_BYTES = 16 << 20, 64 << 20
+from sonalyze.llm.sketch import Blocks, Sketch, text_bytes
+
+DISCOUNT, ADDED = 0.75, 0.1
+#: Parts that a split context is dealt to, at most.
+MOST_PARTS = 64
+BLOCK_BYTES, PART_BYTES = 8 << 20, 16 << 20
+END = np.uint64(0x5851F42D4C957F2D)
+STEP, CELL, STATE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, state_share double"
+#: What a block is told. Level 0: codes and counts of words; k: contexts, their sums and cells; -1: the sketch.
+TOLD = "block int, level int, range long, c1 binary, c2 binary, c3 binary, c4 binary"
+WORDS = "part int, block int, code binary, n binary"
+#: Of a block's contexts in a part: slots (the context, and behind it its number among the parts of a split one),
+#: that number and one (0: not split), occurrences, and how many cells each has; the cells, their counts, and their
+#: probabilities in the suffix.
+CELLS = "part int, block int, slot binary, split binary, total binary, size binary, cell binary, n binary, p binary"
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """Occurrences of a state, and of a next symbol with a mass of its own; nats that a state must gain over its
+    suffix; symbols of the longest context. A context that the sketches count 2 ** hot times or more is split."""
+
+    state: int = 64
+    cell: int = 8
+    gain: float = 20.0
+    depth: int = 6
+    hot: int = 20
+
+    @staticmethod
+    def level(n: int) -> int:
+        """That of the sketches for counts from n on, or somewhat fewer."""
+        return n.bit_length() - 1
 
 
 def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(str("" if doc_id is None else doc_id).encode()) % 10 == 0
 
 
-def counted(x: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct values, sorted, and how often each occurs."""
-    if weights is None:
-        x = np.sort(x)
-        edges = X.group_starts(x)
-        return x[edges[:-1]], np.diff(edges)
-    by = np.argsort(x)
-    x, weights = x[by], weights[by]
-    edges = X.group_starts(x)
-    return x[edges[:-1]], np.add.reduceat(weights, edges[:-1]) if len(x) else weights
+def names(schema: str) -> list[str]:
+    return schema.replace(",", "").split()[::2]
+
+
+def rows_of(schema: str, rows: list[tuple]) -> pa.Table:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    columns = list(zip(*rows)) if rows else [[]] * len(names(schema))
+    return pa.table([pa.array(c, kinds[k]) for c, k in zip(columns, schema.replace(",", "").split()[1::2], strict=True)], names(schema))
+
+
+def joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(x.as_py() for x in table.column(name) if x.is_valid), kind)
+
+
+def summed(key: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct keys, sorted, and sums of the weights of each."""
+    by = np.argsort(key, kind="stable")
+    edges = X.group_starts(key[by])[:-1]
+    return key[by][edges], *(np.add.reduceat(w[by], edges) if len(key) else w for w in weights)
 
 
 def looked_up(table: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,233 +97,264 @@ def looked_up(table: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def part_of(code: np.ndarray, parts: int) -> np.ndarray:
-    return ((code >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-
-
-def blobs(table: pa.Table, name: str, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(x.as_py() for x in table.column(name) if x.is_valid), kind)
-
+    return ((X.mix(code) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
-def word_counts(docs: DataFrame, parts: int) -> DataFrame:
-    """Training words by hash range: codes and counts, and how many training texts there are (in n_texts)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            train = np.array([not held_out(k) for k in batch.column(0).to_pylist()], bool)
-            codes = [w.codes[train[c.first + w.text]] for c in X.chunks(batch.column(1)) for w in (X.words(c, lower=True),)]
-            code, n = counted(np.concatenate([np.empty(0, np.uint64), *codes]))
-            edges = np.searchsorted(part_of(code, parts), np.arange(parts + 1))
-            full = [p for p in range(parts) if edges[p + 1] > edges[p] or not p]
-            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([code[edges[p] : edges[p + 1]].tobytes() for p in full], pa.binary()), pa.array([n[edges[p] : edges[p + 1]].astype("<u4").tobytes() for p in full], pa.binary()), pa.array([0 if p else int(train.sum()) for p in full], pa.int64())], ["part", "code", "n", "n_texts"])
-
-    def merged(key: tuple, table: pa.Table) -> pa.Table:
-        code, n = counted(blobs(table, "code", np.uint64), blobs(table, "n", np.uint32).astype(np.int64))
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "code": pa.array([code.tobytes()], pa.binary()), "n": pa.array([n.tobytes()], pa.binary()), "n_texts": [pc.sum(table.column("n_texts")).as_py() or 0], "tokens": [int(n.sum())], "words": [len(code)]})
-
-    return stored(docs.mapInArrow(X.tidied(run), "part int, code binary, n binary, n_texts long").groupBy("part").applyInArrow(merged, "part int, code binary, n binary, n_texts long, tokens long, words long"), "lm-words")
+def cell_of(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    return X.mix(context ^ X.mix(symbol + CELL))
 
 
 @dataclass
 class Level:
-    """States of one context length: sorted contexts, what they leave to their suffix, discounted cells."""
+    """States of one length: contexts, and what each leaves to its suffix; cells and their masses."""
 
     contexts: np.ndarray
     left: np.ndarray
     cells: np.ndarray
     mass: np.ndarray
 
+    @classmethod
+    def of(cls, answers: pa.Table, least: float) -> Level:
+        """What several parts answered about one context is summed, in the order of the parts."""
+        answers = answers.sort_by("range")
+        context, sums, cell, mass = (joined(answers, c, k) for c, k in (("c1", np.uint64), ("c2", np.float64), ("c3", np.uint64), ("c4", np.float64)))
+        by = np.argsort(context, kind="stable")
+        edges = X.group_starts(context[by])[:-1]
+        sums = sums.reshape(-1, 5)[by]
+        context, total = context[by[edges]], sums[edges, 4]
+        own = np.add.reduceat(sums[:, :4], edges) if len(edges) else sums[:, :4]
+        keep = gained(own, total) >= least
+        by = np.argsort(cell)
+        return cls(context[keep], 1 - own[keep, 0], cell[by], mass[by])
+
+
+def gained(own: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """own: of a context's cells the sums of mass, n log(n / (total p)), n and p."""
+    rest = np.maximum(total - own[:, 2], 0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        others = rest * np.log(rest / (total * np.maximum(1 - own[:, 3], 1e-9)))
+    return own[:, 1] + np.where(rest > 0, others, 0)
+
 
 @dataclass
-class Model:
+class Tree:
+    """The part of the tree that a block's texts can use."""
+
     tokens: int
     words: int
-    ends: int
-    hot: np.ndarray
-    hot_n: np.ndarray
-    symbol: np.ndarray
-    root: np.ndarray
-    levels: list[Level]
-
-    @property
-    def denominator(self) -> float:
-        return self.tokens + ADDED * (self.words + 1)
-
-    def symbols(self, w: X.Words, n_texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Each text's symbols with its end: symbol, text, index of the hot word, whether the word is hot."""
-        at, is_hot = looked_up(self.hot, w.codes)
-        size = len(self.root)
-        place = np.arange(len(w.codes)) + w.text
-        symbol = np.full(len(w.codes) + n_texts, size - 1)
-        symbol[place] = np.where(is_hot, self.symbol[at] if len(self.hot) else size - 2, size - 2)
-        text = np.empty(len(symbol), np.int64)
-        text[place] = w.text
-        text[w.bounds[1:] + np.arange(n_texts)] = np.arange(n_texts)
-        return symbol, text, at, is_hot
-
-    def histories(self, symbol: np.ndarray, text: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        return histories([level.contexts for level in self.levels], len(self.root), symbol, text)
-
-    def probability(self, k: int, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """Of each symbol after its context of k + 1 symbols, in the longest suffix that is a state."""
-        size, chain = len(self.root), [context]
-        for j in range(k, 0, -1):
-            chain.append(chain[-1] % size if j == 1 else self.levels[j - 1].contexts[chain[-1] // size])
-        p = self.root[symbol]
-        for level, own in zip(self.levels, reversed(chain)):
-            state, known = looked_up(level.contexts, own)
-            cell, there = looked_up(level.cells, own * size + symbol)
-            if len(level.contexts):
-                p = np.where(known, p * level.left[state] + np.where(there, level.mass[cell] if len(level.mass) else 0.0, 0.0), p)
-        return p
-
-    def log_probabilities(self, symbol: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 of the probability of each symbol in its longest suffix state, and that state's length."""
-        p, depth = self.root[symbol], np.zeros(len(symbol), np.int32)
-        for k, (level, (rows, context)) in enumerate(zip(self.levels, self.histories(symbol, text)), 1):
+    codes: np.ndarray
+    counts: np.ndarray
+    levels: list[Level] = field(default_factory=list)
+
+    @classmethod
+    def of(cls, answers: pa.Table, learner: Learner) -> Tree:
+        level = answers.column("level").to_numpy()
+        own = answers.filter(pa.array(level == 0))
+        code, n = joined(own, "c1", np.uint64), joined(own, "c2", np.int64)
+        by = np.argsort(code)
+        return cls(learner.tokens, learner.words, code[by], n[by], [Level.of(answers.filter(pa.array(level == k)), learner.bounds.gain) for k in range(1, learner.depth + 1)])
+
+    def count(self, symbol: np.ndarray) -> np.ndarray:
+        at, known = looked_up(self.codes, symbol)
+        return np.where(known, self.counts[at] if len(self.counts) else 0, 0)
+
+    def base(self, n: np.ndarray) -> np.ndarray:
+        return (n + ADDED) / (self.tokens + ADDED * (self.words + 1))
+
+    def read(self, s: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Length by length, the tokens whose context the tree knows so far, their probabilities up to then, and the
+        next longer contexts; s has the end first. At last all probabilities: (length, rows, p, context)."""
+        p = self.base(self.count(s[1:]))
+        depth = np.zeros(len(p), np.int64)
+        rows, context = np.arange(len(p)), np.full(len(p), STEP)
+        for k, level in enumerate([*self.levels, None], 1):
+            fits = place[rows] >= k - 1
+            rows, context = rows[fits], context[fits]
+            context = X.mix(context * STEP + s[rows + 1 - k])
+            if level is None:
+                yield k, rows, p[rows], context
+                break
             state, known = looked_up(level.contexts, context)
-            if not known.any():
-                continue
             rows, context, state = rows[known], context[known], state[known]
-            cell, there = looked_up(level.cells, context * len(self.root) + symbol[rows])
+            cell, there = looked_up(level.cells, cell_of(context, s[rows + 1]))
             p[rows] = p[rows] * level.left[state] + np.where(there, level.mass[cell] if len(level.mass) else 0.0, 0.0)
             depth[rows] = k
-        return np.log10(p), depth
-
-
-def histories(contexts: list[np.ndarray], size: int, symbol: np.ndarray, text: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each length: the tokens with a context of so many symbols before them, and its number. The end
-    symbol stands before a text. Contexts of one and two symbols are numbered by these, a longer one by its
-    farthest symbol and its suffix among contexts, whose states alone are lengthened; the last length is
-    that which would come next."""
-    edges = X.group_starts(text)
-    place = np.arange(len(text)) - np.repeat(edges[:-1], np.diff(edges))
-    rows, context = np.arange(len(text)), np.zeros(len(text), np.int64)
-    for k in range(max(len(contexts) + 1, 2)):
-        keep = place[rows] >= k
-        if k > 1:
-            context, known = looked_up(contexts[k - 1], context)
-            keep &= known
-        rows, context = rows[keep], context[keep]
-        far = np.where(place[rows] > k, symbol[rows - k - 1], size - 1)
-        context = far * size + context if k == 1 else context * size + far
-        yield rows, context
-
-
-def learn(docs: DataFrame, parts: int) -> tuple[Model, DataFrame]:
-    spark = docs.sparkSession
-    table = word_counts(docs, parts)
-    tokens, words, ends = table.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0)), F.coalesce(F.sum("n_texts"), F.lit(0))).first()
-    tokens, words = tokens + ends, words + (ends > 0)
-    least = max(1, -(-tokens // HOT))
-
-    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [[], []]
-            for code, n in zip(batch.column(0), batch.column(1)):
-                n = np.frombuffer(n.as_py(), np.int64)
-                got[0].append(np.frombuffer(code.as_py(), np.uint64)[n >= least].tobytes())
-                got[1].append(n[n >= least].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in got], ["code", "n"])
-
-    rows = table.select("code", "n").mapInArrow(frequent, "code binary, n binary").collect()
-    hot, hot_n = (np.frombuffer(b"".join(r[i] for r in rows), kind) for i, kind in ((0, np.uint64), (1, np.int64)))
-    by = np.argsort(hot)
-    hot, hot_n = hot[by], hot_n[by]
-    chosen = np.flatnonzero(hot_n * ALPHABET >= tokens)
-    symbol = np.full(len(hot), len(chosen))
-    symbol[chosen] = np.arange(len(chosen))
-    model = Model(tokens, words, ends, hot, hot_n, symbol, np.empty(0), [])
-    root = np.append(hot_n[chosen], [0, ends]).astype(float)
-    root = (root + ADDED) / model.denominator
-    root[-2] = max(1 - (root.sum() - root[-2]), ADDED / model.denominator)
-    model.root = root
-    shared = spark.sparkContext.broadcast(model)
-    size, state_least, cell_least = len(root), max(2, -(-tokens // STATES)), max(2, -(-tokens // CELLS))
-
-    kind = np.dtype("<u2" if size < 1 << 16 else "<u4")
-
-    def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            train = np.array([not held_out(k) for k in batch.column(0).to_pylist()], bool)
-            for c in X.chunks(batch.column(1)):
-                s, text, _, _ = shared.value.symbols(X.words(c, lower=True), c.n)
-                yield pa.RecordBatch.from_arrays([pa.array([s[train[c.first + text]].astype(kind).tobytes()], pa.binary())], ["symbols"])
-
-    texts = stored(docs.mapInArrow(X.tidied(symbols), "symbols binary"), "lm-symbols")
-    while len(model.levels) < 2 or len(model.levels[-1].contexts):  # until no context is worth lengthening
-        lengths = range(len(model.levels), max(len(model.levels) + 1, 2))
-        got = cells(texts, [level.contexts for level in model.levels], lengths, size, kind, parts, state_least, cell_least)
-        for k in lengths:
-            own = [r for r in got if r["level"] == k]
-            context, total, cell, n = (np.frombuffer(b"".join(r[name] for r in own), np.int64) for name in ("context", "total", "cell", "n"))
-            by = np.argsort(context)
-            context, total = context[by], total[by]
-            by = np.argsort(cell)
-            model.levels.append(pruned(model, k, context, total, cell[by], n[by]))
-    while len(model.levels) > 2 and not len(model.levels[-1].contexts):
-        model.levels.pop()
-    return model, table
-
-
-def cells(texts: DataFrame, states: list[np.ndarray], lengths: range, size: int, kind: np.dtype, parts: int, state_least: int, cell_least: int) -> list:
-    """Counted contexts, from 0 for one symbol on, and the symbols after them, behind the states so far."""
-    known = texts.sparkSession.sparkContext.broadcast(states)
-
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, list[np.ndarray]] = {k: [] for k in lengths}
-        held = 0
-        for batch in batches:
-            for blob in batch.column(0):
-                s = np.frombuffer(blob.as_py(), kind).astype(np.int64)
-                ends = np.cumsum(s == size - 1)
-                for k, (_, context), rows in ((k, h, h[0]) for k, h in enumerate(histories(known.value, size, s, ends - (s == size - 1))) if k in found):
-                    found[k].append(context * size + s[rows])
-                    held += len(rows)
-                if held > 1 << 22:
-                    yield from dealt(found)
-                    found, held = {k: [] for k in lengths}, 0
-        yield from dealt(found)
-
-    def dealt(found: dict[int, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        for k, keys in found.items():
-            key, n = counted(np.concatenate([np.empty(0, np.int64), *keys]))
-            part = key // size % parts
+        yield 0, depth, p, s[1:]
+
+
+def symbols(c: X.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The end, and then each text's words and its end; of all but the first, the text and the place in it."""
+    w = X.words(c, lower=True)
+    s = np.full(len(w.codes) + c.n + 1, END)
+    s[1 + np.arange(len(w.codes)) + w.text] = w.codes
+    sizes = np.diff(w.bounds) + 1
+    text = np.repeat(np.arange(c.n), sizes)
+    return s, text, np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def training(table: pa.Table) -> np.ndarray:
+    return np.array([not held_out(k) for k in table.column(0).to_pylist()], bool)
+
+
+class Learner:
+    """The passes over the texts; what workers run needs no table."""
+
+    def __init__(self, docs: DataFrame, bounds: Bounds):
+        self.bounds, self.depth = bounds, 0  # symbols of the longest contexts so far
+        self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        self.size = text_bytes(self.docs)
+        self.blocks, self.parts = Blocks(self.docs, self.size, BLOCK_BYTES), n_buckets(docs.sparkSession, self.size, PART_BYTES)
+        self.told: list[DataFrame] = []
+        self.tokens = self.words = 0
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("docs", "told")}
+
+    def answers(self) -> DataFrame:
+        out = self.told[0]
+        for t in self.told[1:]:
+            out = out.unionByName(t)
+        return out
+
+    def count_words(self) -> None:
+        """Each block learns how often its symbols occur in training."""
+
+        def ask(key: tuple, table: pa.Table) -> pa.Table:
+            train, code, n = training(table), [], []
+            for c in X.chunks(table.column(1)):
+                s, text, _ = symbols(c)
+                got = summed(s[1:], train[c.first + text].astype(np.int64))
+                code.append(got[0])
+                n.append(got[1])
+            code, n = summed(np.concatenate(code), np.concatenate(n))
+            part = part_of(code, self.parts)
             by = np.argsort(part, kind="stable")
-            edges = np.searchsorted(part[by], np.arange(parts + 1))
-            full = np.flatnonzero(np.diff(edges))
-            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([k] * len(full), pa.int32()), *(pa.array([x[by[edges[p] : edges[p + 1]]].tobytes() for p in full], pa.binary()) for x in (key, n.astype("<u4")))], ["part", "level", "key", "n"])
-
-    def summed(key: tuple, got: pa.Table) -> pa.Table:
-        cell, n = counted(blobs(got, "key", np.int64), blobs(got, "n", np.uint32).astype(np.int64))
-        edges = X.group_starts(cell // size)
-        total = np.add.reduceat(n, edges[:-1]) if len(cell) else n
-        live = total >= state_least
-        keep = np.repeat(live, np.diff(edges)) & (n >= cell_least)
-        return pa.table({"level": pa.array([key[1].as_py()], pa.int32()), **{name: pa.array([x.tobytes()], pa.binary()) for name, x in (("context", (cell // size)[edges[:-1]][live]), ("total", total[live]), ("cell", cell[keep]), ("n", n[keep]))}})
-
-    return texts.mapInArrow(X.tidied(contexts), "part int, level int, key binary, n binary").groupBy("part", "level").applyInArrow(summed, "level int, context binary, total binary, cell binary, n binary").collect()
-
-
-def pruned(model: Model, k: int, context: np.ndarray, total: np.ndarray, cell: np.ndarray, n: np.ndarray) -> Level:
-    """Discounted distributions of the contexts whose gain over their suffix is large enough."""
-    size = len(model.root)
-    owner = np.searchsorted(context, cell // size)
-    mass = np.maximum(n - DISCOUNT, 0) / total[owner] if len(cell) else np.empty(0)
-    left = 1 - np.bincount(owner, mass, len(context))
-    suffix = model.root[cell % size]
-    if k and len(cell):
-        own = cell // size
-        suffix = model.probability(k - 1, own % size if k == 1 else model.levels[k - 1].contexts[own // size], cell % size)
-    p = mass + left[owner] * suffix if len(cell) else mass
-    # n log p/q over the cells, and over the rest, whose ratio is that of what is left
-    rest = np.maximum(total - np.bincount(owner, n, len(context)), 0)
-    gain = np.bincount(owner, n * np.log(p / suffix) if len(cell) else None, len(context)) + rest * np.log(np.maximum(left, 1e-12))
-    keep = gain >= MIN_GAIN
-    mine = keep[owner] if len(cell) else np.empty(0, bool)
-    return Level(context[keep], left[keep], cell[mine], mass[mine])
-
-
-def score(docs: DataFrame) -> DataFrame:
+            edges = X.group_starts(part[by])
+            return rows_of(WORDS, [(int(part[by[a]]), key[0].as_py(), code[by[a:b]].tobytes(), n[by[a:b]].astype("<u4").tobytes()) for a, b in zip(edges[:-1], edges[1:])])
+
+        def answer(key: tuple, table: pa.Table) -> pa.Table:
+            code, n = summed(joined(table, "code", np.uint64), joined(table, "n", np.uint32).astype(np.int64))
+            out = [(-1, 0, int(n.sum()), None, None, None, None), (-2, 0, int((n > 0).sum()), None, None, None, None)]
+            for block, own in zip(table.column("block").to_pylist(), table.column("code")):
+                out.append((block, 0, key[0].as_py(), own.as_py(), n[np.searchsorted(code, np.frombuffer(own.as_py(), np.uint64))].tobytes(), None, None))
+            return rows_of(TOLD, out)
+
+        told = stored(self.blocks.grouped().applyInArrow(ask, WORDS).groupBy("part").applyInArrow(answer, TOLD), "tree-words")
+        sums = {r["block"]: r["n"] for r in told.where("block < 0").groupBy("block").agg(F.sum("range").alias("n")).collect()}
+        self.tokens, self.words = sums.get(-1, 0), sums.get(-2, 0)
+        self.told.append(told.where("block >= 0"))
+
+    def grow(self) -> bool:
+        """Contexts that are one symbol longer; whether there are any."""
+        level, bounds, parts = self.depth + 1, self.bounds, self.parts
+        least = bounds.level(bounds.state)
+        sketch = Sketch(self.blocks, None, 2 * max(self.tokens, 1), least=min(least, bounds.level(bounds.cell)))
+
+        def longer(table: pa.Table, answers: pa.Table) -> tuple[np.ndarray, ...]:
+            """Contexts, cells and suffix probabilities of all tokens behind a state, and which are of training."""
+            tree, train, out = Tree.of(answers, self), training(table), [[np.empty(0, np.uint64)], [np.empty(0, np.uint64)], [np.empty(0)], [np.empty(0, bool)]]
+            for c in X.chunks(table.column(1)):
+                s, text, place = symbols(c)
+                _, rows, p, context = next(x for x in tree.read(s, place) if x[0] == level)
+                for o, x in zip(out, (context, cell_of(context, s[rows + 1]), p, train[c.first + text[rows]])):
+                    o.append(x)
+            return tuple(map(np.concatenate, out))
+
+        def ask(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+            context, cell, _, train = longer(table, answers)
+            return sketch.ask(key[0].as_py(), np.concatenate([context ^ STATE, cell]), np.concatenate([train, train]))
+
+        def candidates(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+            heard = answers.filter(pa.array(answers.column("level").to_numpy() == -1))
+            repeats = sketch.heard(pa.table([heard.column("range"), heard.column("c1"), heard.column("c2")], ["range", "cells", "level"]))
+            context, cell, p, train = longer(table, answers)
+            by = np.argsort(context, kind="stable")
+            edges = X.group_starts(context[by])
+            often = repeats.level(context[by[edges[:-1]]] ^ STATE)
+            keep = np.repeat(often >= least, np.diff(edges))
+            by, often = by[keep], often[often >= least]
+            if not len(by):
+                return rows_of(CELLS, [])
+            edges = X.group_starts(context[by])
+            contexts, total = context[by[edges[:-1]]], np.add.reduceat(train[by].astype(np.int64), edges[:-1])
+            owner = np.repeat(np.arange(len(contexts)), np.diff(edges))
+            live = repeats.level(cell[by]) >= bounds.level(bounds.cell)
+            by, owner = by[live], owner[live]
+            order = np.argsort(cell[by], kind="stable")  # a cell has one context
+            by, owner = by[order], owner[order]
+            at = X.group_starts(cell[by])
+            first = by[at[:-1]]
+            cells, n, p, owner = cell[first], np.add.reduceat(train[by].astype(np.int64), at[:-1]) if len(by) else np.empty(0, np.int64), p[first], owner[at[:-1]] if len(by) else owner
+            # a frequent context goes to several parts, each with some of its cells
+            split = np.minimum(1 << np.clip(often.astype(np.int64) - bounds.hot + 1, 0, 62), MOST_PARTS)
+            copy = np.repeat(np.arange(len(contexts)), split)
+            which = np.arange(len(copy)) - np.repeat(np.cumsum(split) - split, split)
+            slot = (np.cumsum(split) - split)[owner] + (cells % split[owner].astype(np.uint64)).astype(np.int64)
+            slots, number = contexts[copy] + which.astype(np.uint64), np.where(split[copy] > 1, which + 1, 0).astype(np.uint8)
+            part = part_of(slots, parts)
+            order = np.argsort(part, kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            sizes = np.bincount(place[slot], minlength=len(order))
+            by = np.argsort(place[slot], kind="stable")
+            begin = np.append(0, np.cumsum(sizes))
+            out, edges = [], X.group_starts(part[order])
+            for a, b in zip(edges[:-1], edges[1:]):
+                mine, own = order[a:b], by[begin[a] : begin[b]]
+                out.append((int(part[order[a]]), key[0].as_py(), slots[mine].tobytes(), number[mine].tobytes(), total[copy[mine]].astype("<u4").tobytes(), sizes[a:b].astype("<u4").tobytes(), cells[own].tobytes(), n[own].astype("<u4").tobytes(), p[own].astype("<f4").tobytes()))
+            return rows_of(CELLS, out)
+
+        def decide(key: tuple, table: pa.Table) -> pa.Table:
+            sent = joined(table, "slot", np.uint64)
+            by = np.argsort(sent, kind="stable")
+            edges = X.group_starts(sent[by])[:-1]
+            slot, split = sent[by[edges]], joined(table, "split", np.uint8)[by[edges]]
+            total = np.add.reduceat(joined(table, "total", np.uint32).astype(np.int64)[by], edges)
+            owner = np.repeat(sent, joined(table, "size", np.uint32))
+            cell, n = joined(table, "cell", np.uint64), joined(table, "n", np.uint32).astype(np.int64)
+            by = np.argsort(cell, kind="stable")
+            edges = X.group_starts(cell[by])[:-1]
+            n = np.add.reduceat(n[by], edges) if len(by) else n
+            cell, owner, p = cell[by[edges]], np.searchsorted(slot, owner[by[edges]]), joined(table, "p", np.float32)[by[edges]].astype(np.float64)
+            keep = (n >= bounds.cell) & (total[owner] >= bounds.state) if len(cell) else np.empty(0, bool)
+            cell, n, owner, p = cell[keep], n[keep], owner[keep], p[keep]
+            mass = (n - DISCOUNT) / total[owner] if len(cell) else np.empty(0)
+            gain = n * np.log(n / (total[owner] * p)) if len(cell) else np.empty(0)
+            own = np.stack([np.bincount(owner, x, len(slot)) for x in (mass, gain, n, p)], 1)
+            good = (total >= bounds.state) & ((split > 0) | (gained(own, total) >= bounds.gain))
+            context, sums, out = slot - np.maximum(split, 1) + np.uint64(1), np.column_stack([own, total]), []
+            for block, asked, cells in zip(table.column("block").to_pylist(), table.column("slot"), table.column("cell")):
+                at = np.searchsorted(slot, np.frombuffer(asked.as_py(), np.uint64))
+                at = at[good[at]]
+                index, there = looked_up(cell, np.frombuffer(cells.as_py(), np.uint64))
+                index = index[there]
+                index = index[good[owner[index]]] if len(index) else index
+                if len(at):
+                    out.append((block, level, key[0].as_py(), context[at].tobytes(), sums[at].astype(np.float64).tobytes(), cell[index].tobytes(), mass[index].tobytes()))
+            return rows_of(TOLD, out)
+
+        known = self.answers()
+        asked = self.blocks.grouped().cogroup(known.groupBy("block")).applyInArrow(ask, "range long, block int, cells binary, times binary")
+        none = F.lit(None).cast("binary")
+        heard = sketch.answers(asked).select("block", F.lit(-1).alias("level"), "range", F.col("cells").alias("c1"), F.col("level").alias("c2"), none.alias("c3"), none.alias("c4"))
+        sent = self.blocks.grouped().cogroup(known.unionByName(heard).groupBy("block")).applyInArrow(candidates, CELLS)
+        told = stored(sent.groupBy("part").applyInArrow(decide, TOLD), f"tree-{level}")
+        if told.isEmpty():
+            return False
+        self.told.append(told)
+        self.depth = level
+        return True
+
+
+def learn(docs: DataFrame, bounds: Bounds) -> Learner:
+    learner = Learner(docs, bounds)
+    learner.count_words()
+    while learner.depth < bounds.depth and learner.grow():
+        pass
+    return learner
+
+
+def score(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     """A row for each document with its log10 probability under the tree (score) and under the words'
     add-constant distribution (base_score).
 
@@ -297,99 +363,19 @@ def score(docs: DataFrame) -> DataFrame:
     Null and empty texts are the end alone. Repeated rows are scored and counted each. state_share is the
     part of the tokens that a state of one symbol or more scored. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    size = text_bytes(docs)
-    parts, blocks = n_buckets(spark, size, PART_BYTES), n_buckets(spark, size, BLOCK_ROWS_BYTES)
-    model, table = learn(docs, parts)
-    shared = spark.sparkContext.broadcast(model)
-    fields = [("row", np.int64), ("doc", np.int64), ("has_id", np.int8), ("tokens", np.int64), ("known", np.int64), ("base", np.float64), ("score", np.float64), ("deep", np.int64)]
-    names = [f for f, _ in fields]
-    partial = "block int, " + ", ".join(f"{f} binary" for f in names)
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, at = shared.value, TaskContext.get().partitionId() << 40
-        log_d, log_hot = np.log10(model.denominator), np.log10(model.hot_n + ADDED)
-        other = len(model.root) - 2
-        end = np.log10(model.ends + ADDED)
-        for batch in batches:
-            n_rows = batch.num_rows
-            own = {f: np.zeros(n_rows, kind) for f, kind in fields}
-            own["row"] = at + np.arange(n_rows)
-            own["doc"], own["has_id"] = X.ids(batch.column(0)), np.asarray(batch.column(0).is_valid()).astype(np.int8)
-            cold: list[list[np.ndarray]] = [[np.empty(0, np.uint64)], [np.empty(0, np.int64)]]
-            for c in X.chunks(batch.column(1)):
-                w = X.words(c, lower=True)
-                s, text, hot, is_hot = model.symbols(w, c.n)
-                rows = slice(c.first, c.first + c.n)
-                own["tokens"][rows] = np.diff(w.bounds) + 1
-                own["known"][rows] = np.bincount(w.text[is_hot], minlength=c.n) + (model.ends > 0)
-                log_n = np.where(is_hot, log_hot[hot] if len(log_hot) else 0.0, 0.0)
-                own["base"][rows] = np.bincount(w.text, log_n, c.n) + end - own["tokens"][rows] * log_d
-                log_p, depth = model.log_probabilities(s, text)
-                rare = np.zeros(len(w.codes), bool)
-                rare[:] = s[np.arange(len(w.codes)) + w.text] == other
-                own["score"][rows] = np.bincount(text, log_p, c.n) + np.bincount(w.text[rare], log_n[rare] - log_d - np.log10(model.root[other]), c.n)
-                own["deep"][rows] = np.bincount(text, depth > 0, c.n)
-                cold[0].append(w.codes[~is_hot])
-                cold[1].append(at + c.first + w.text[~is_hot])
-            at += n_rows
-            yield record(by_block(own, blocks), None)
-            code, row = map(np.concatenate, cold)
-            part = part_of(code, parts)
-            by = np.argsort(part, kind="stable")
-            edges = np.searchsorted(part[by], np.arange(parts + 1))
-            for p in np.flatnonzero(np.diff(edges)):
-                mine = by[edges[p] : edges[p + 1]]
-                low = row[mine].min()
-                yield record([(int(p), int(low), code[mine].tobytes(), (row[mine] - low).astype("<u4").tobytes())], "code")
-
-    def by_block(own: dict[str, np.ndarray], blocks: int) -> list[tuple]:
-        block = np.mod(own["row"] >> 7, blocks)
-        by = np.argsort(block, kind="stable")
-        edges = X.group_starts(block[by])
-        return [(int(block[by[a]]), *(own[f][by[a:b]].tobytes() for f in names)) for a, b in zip(edges[:-1], edges[1:])]
-
-    emitted = "part int, block int, low long, code binary, at binary, " + ", ".join(f"{f} binary" for f in names)
-
-    def record(rows: list[tuple], kind: str | None) -> pa.RecordBatch:
-        n, none = len(rows), [None] * len(rows)
-        if kind:
-            columns = [[r[0] for r in rows], none, [r[1] for r in rows], [r[2] for r in rows], [r[3] for r in rows], *[none] * len(names)]
-        else:
-            columns = [[r[0] % parts for r in rows], [r[0] for r in rows], none, none, none, *([r[i + 1] for r in rows] for i in range(len(names)))]
-        kinds = [pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * (n * 0 + 2 + len(names))]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], emitted.replace(",", "").split()[::2])
-
-    def counted_cold(postings: pa.Table, counts: pa.Table) -> pa.Table:
-        local = np.asarray(postings.column("block").is_valid())
-        out = [postings.filter(pa.array(local)).select(["block", *names])]
-        code, n = blobs(counts, "code", np.uint64), blobs(counts, "n", np.int64)
-        got: list[list[np.ndarray]] = [[], [], []]
-        rest = postings.filter(pa.array(~local))
-        for low, codes, rows in zip(rest.column("low"), rest.column("code"), rest.column("at")):
-            at, there = looked_up(code, np.frombuffer(codes.as_py(), np.uint64))
-            c = np.where(there, n[at] if len(n) else 0, 0)
-            rows = np.frombuffer(rows.as_py(), "<u4").astype(np.int64)
-            present = np.flatnonzero(np.bincount(rows))
-            for o, x in zip(got, (low.as_py() + present, np.bincount(rows, np.log10(c + ADDED))[present], np.bincount(rows, c > 0)[present].astype(np.int64))):
-                o.append(x)
-        if got[0]:
-            row, sums, known = map(np.concatenate, got)
-            own = {f: np.zeros(len(row), kind) for f, kind in fields} | {"row": row, "base": sums, "score": sums, "known": known}
-            rows_ = by_block(own, blocks)
-            out.append(pa.table([pa.array([r[i] for r in rows_], pa.int32() if not i else pa.binary()) for i in range(len(names) + 1)], ["block", *names]))
-        return pa.concat_tables(out)
-
-    def finished(got: pa.Table) -> pa.Table:
-        own = {f: blobs(got, f, kind) for f, kind in fields}
-        by = np.argsort(own["row"], kind="stable")
-        edges = X.group_starts(own["row"][by])
-        total = {f: np.add.reduceat(own[f][by], edges[:-1]) if f != "has_id" else np.maximum.reduceat(own[f][by], edges[:-1]) for f in names if f != "row"} if len(by) else {f: own[f] for f in names}
-        valid = total["has_id"] == 1
-        doc = pa.array(total["doc"], pa.int64(), mask=~valid)
-        return pa.table({"doc_id": doc, "held_out": pa.array([held_out(k) for k in doc.to_pylist()], pa.bool_()), "n_tokens": total["tokens"], "n_known": total["known"], "train_tokens": np.full(len(valid), shared.value.tokens), "base_score": total["base"], "score": total["score"], "state_share": total["deep"] / np.maximum(total["tokens"], 1)})
-
-    postings = docs.mapInArrow(X.tidied(scored), emitted)
-    sums = postings.groupBy("part").cogroup(table.select("part", "code", "n").groupBy("part")).applyInArrow(counted_cold, partial)
-    return sums.groupBy("block").applyInArrow(finished, SCORES)
+    learner = learn(docs, bounds)
+
+    def scored(table: pa.Table, answers: pa.Table) -> pa.Table:
+        tree, n_rows = Tree.of(answers, learner), table.num_rows
+        own = {f: np.zeros(n_rows, k) for f, k in (("tokens", np.int64), ("known", np.int64), ("base", np.float64), ("score", np.float64), ("deep", np.int64))}
+        for c in X.chunks(table.column(1)):
+            s, text, place = symbols(c)
+            *_, (_, length, p, symbol) = tree.read(s, place)
+            n = tree.count(symbol)
+            rows = slice(c.first, c.first + c.n)
+            for f, x in (("tokens", None), ("known", n > 0), ("base", np.log10(tree.base(n))), ("score", np.log10(p)), ("deep", length > 0)):
+                own[f][rows] = np.bincount(text, x, c.n)
+        ids = table.column(0)
+        return pa.table({"doc_id": ids, "held_out": pa.array(~training(table)), "n_tokens": own["tokens"], "n_known": own["known"], "train_tokens": np.full(n_rows, learner.tokens), "base_score": own["base"], "score": own["score"], "state_share": own["deep"] / np.maximum(own["tokens"], 1)})
+
+    return learner.blocks.grouped().cogroup(learner.answers().groupBy("block")).applyInArrow(scored, SCORES)

@@ -2,6 +2,7 @@ import math
 import random
 import re
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -27,58 +28,112 @@ def corpus():
     return docs
 
 
-@pytest.mark.parametrize("hot", [1 << 20, 200])
-def test_scores(spark, monkeypatch, hot):
-    docs = corpus()
-    monkeypatch.setattr(M, "HOT", hot)
-    monkeypatch.setattr(M, "ALPHABET", 60)
-    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("doc_id", "text", "1 part", "'x' score").repartition(4)
-    got = {r.doc_id: r for r in M.score(df).collect()}
-    counts = Counter(t for k, x in docs if not M.held_out(k) for t in tokens(x))
+def brute(docs, bounds):
+    """Scores by the definition, with dictionaries."""
+    texts = {i: tokens(x) for i, (_, x) in enumerate(docs)}
+    train = [i for i, (k, _) in enumerate(docs) if not M.held_out(k)]
+    counts = Counter(t for i in train for t in texts[i])
     n, v = sum(counts.values()), len(counts)
-    assert len(got) == len(docs)
-    for k, x in docs:
-        ts, r = tokens(x), got[k]
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (M.held_out(k), len(ts), sum(counts[t] > 0 for t in ts), n)
-        assert r.base_score == pytest.approx(sum(math.log10((counts[t] + 0.1) / (n + 0.1 * (v + 1))) for t in ts))
-    out = [r for r in got.values() if r.held_out]
-    assert sum(r.score for r in out) > sum(r.base_score for r in out) + 50
-    assert max(r.state_share for r in out) > 0.5
-
-
-def test_every_state_sums_to_one(spark, monkeypatch):
-    monkeypatch.setattr(M, "ALPHABET", 60)
-    model, _ = M.learn(spark.createDataFrame(corpus(), "doc_id long, text string"), 4)
-    size = len(model.root)
-    assert model.root.sum() == pytest.approx(1) and len(model.levels[0].contexts) and len(model.levels[1].contexts)
-    for first in range(size):
-        for second in range(size):
-            symbols = np.array([[first, second, x] for x in range(size)]).ravel()
-            log_p, _ = model.log_probabilities(symbols, np.repeat(np.arange(size), 3))
-            assert (10 ** log_p[2::3]).sum() == pytest.approx(1)
+    base = lambda t: (counts[t] + 0.1) / (n + 0.1 * (v + 1))
+    states = {(): None}
 
+    def probability(past, t):
+        """In the longest suffix state of past, nearest symbol first."""
+        p, length = base(t), 0
+        for k in range(1, len(past) + 1):
+            if past[:k] not in states:
+                break
+            left, mass = states[past[:k]]
+            p, length = p * left + mass.get(t, 0.0), k
+        return p, length
 
-def test_repeated_rows_null_ids_and_no_rows(spark):
-    df = spark.createDataFrame([(None, "a b"), (3, "a b"), (3, "a b")], "doc_id long, text string")
-    got = M.score(df).collect()
-    assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == [(0, 3), (3, 3), (3, 3)] and len({r.score for r in got}) == 1
-    assert M.score(df.limit(0)).count() == 0
+    def pasts(ts):
+        for at in range(len(ts)):
+            yield at, tuple([*ts[:at][::-1], None])
 
+    for k in range(1, bounds.depth + 1):
+        follow = {}
+        for i in train:
+            for at, past in pasts(texts[i]):
+                if len(past) >= k and past[: k - 1] in states:
+                    follow.setdefault(past[:k], Counter())[texts[i][at]] += 1
+        new = {}
+        for context, c in follow.items():
+            total, cells = sum(c.values()), {t: m for t, m in c.items() if m >= bounds.cell}
+            if total < bounds.state:
+                continue
+            p = {t: float(np.float32(probability(context[: k - 1], t)[0])) for t in cells}
+            gain, rest = sum(m * math.log(m / (total * p[t])) for t, m in cells.items()), total - sum(cells.values())
+            if rest:
+                gain += rest * math.log(rest / (total * max(1 - sum(p.values()), 1e-9)))
+            if gain >= bounds.gain:
+                mass = {t: (m - 0.75) / total for t, m in cells.items()}
+                new[context] = 1 - sum(mass.values()), mass
+        if not new:
+            break
+        states |= new
+    out = []
+    for i, (key, _) in enumerate(docs):
+        got = [probability(past[: bounds.depth], texts[i][at]) for at, past in pasts(texts[i])]
+        out.append((key, M.held_out(key), len(got), sum(counts[t] > 0 for t in texts[i]), n, sum(math.log10(base(t)) for t in texts[i]), sum(math.log10(p) for p, _ in got), sum(k > 0 for _, k in got) / len(got)))
+    return out, states
 
-def test_contexts_grow_while_they_diverge(spark):
-    rng = random.Random(4)
-    docs = []
-    for i in range(300):
-        out = rng.choices("ab", k=4)
-        for _ in range(60):  # each of the last four words tells something of the next
-            out.append("a" if rng.random() < 1 / (1 + math.exp(-sum(2 if w == "a" else -2 for w in out[-4:]))) else "b")
-        docs.append((i, " ".join(out)))
-    model, _ = M.learn(spark.createDataFrame(docs, "doc_id long, text string"), 4)
-    size = len(model.root)
-    assert len(model.levels) >= 4 and all(len(level.contexts) for level in model.levels)
-    past = np.array([[*rng.choices(range(size), k=7), x] for _ in range(200) for x in range(size)])
-    past[:, :7] = np.repeat(past[::size, :7], size, 0)
-    log_p, depth = model.log_probabilities(past.ravel(), np.repeat(np.arange(len(past)), 8))
-    assert (10 ** log_p[7::8]).reshape(-1, size).sum(1) == pytest.approx(1) and depth.max() >= 4
-    known = [model.log_probabilities(np.array(s), np.zeros(5, int))[0][-1] for s in ([0, 0, 1, 1, 0], [1, 1, 1, 1, 0])]
-    assert abs(known[0] - known[1]) > 0.3  # the same two words before, others before these
+
+def close(got, want):
+    got, want = (sorted(map(tuple, rows), key=lambda r: tuple(r[:4]) + (round(r[5], 6),)) for rows in (got, want))
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    for a, b in zip(got, want):
+        assert a[5:] == pytest.approx(b[5:])
+
+
+SMALL = M.Bounds(state=8, cell=2, gain=2.0, depth=4)
+
+
+@pytest.mark.parametrize("bounds, parts", [(M.Bounds(), 4), (SMALL, 4), (replace(SMALL, hot=3), 3), (replace(SMALL, state=5, cell=3, depth=1), 1)])
+def test_scores_against_brute_force(spark, monkeypatch, bounds, parts):
+    docs = corpus()
+    monkeypatch.setattr(M, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(M, "PART_BYTES", 9000)
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("doc_id", "text", "1 part", "'x' score").repartition(parts)
+    want, states = brute(docs, bounds)
+    close(M.score(df, bounds).collect(), want)
+    assert len(states) >= 8 and max(map(len, states)) >= min(bounds.depth, 2)
+
+
+def test_the_tree_grows_with_the_corpus():
+    rng = random.Random(3)
+    sizes = []
+    for n in (40, 400):
+        words = rng.choices(range(n), k=80 * n)
+        docs = [(i, " ".join(f"w{x} v{x}" for x in words[i::50])) for i in range(50)]
+        sizes.append(len(brute(docs, M.Bounds())[1]))
+    assert sizes[1] > 5 * sizes[0]
+
+
+def test_every_state_sums_to_one():
+    rng = np.random.default_rng(2)
+    codes, counts = np.sort(rng.integers(1, 1 << 60, 50, np.uint64)), rng.integers(1, 9, 50)
+    tree = M.Tree(int(counts.sum()), 50, codes, counts)
+    ask = lambda past: np.array([list(tree.read(np.array([past, x], np.uint64), np.zeros(1, int)))[-1][2][0] for x in codes])
+    rest = 0.1 / (tree.tokens + 0.1 * 51)  # of words that training hasn't
+    context = M.X.mix(np.array([M.STEP]) * M.STEP + codes[3])
+    cells = M.cell_of(context, codes[5:9])
+    by = np.argsort(cells)
+    assert ask(codes[3]).sum() + rest == pytest.approx(1)
+    tree.levels = [M.Level(context, np.array([0.4]), cells[by], np.array([0.3, 0.1, 0.1, 0.1])[by])]
+    assert ask(codes[3]).sum() + 0.4 * rest == pytest.approx(1) and ask(codes[4]).sum() + rest == pytest.approx(1)
+
+
+def test_held_out_words_are_likelier_in_contexts(spark):
+    docs = spark.createDataFrame(corpus(), "doc_id long, text string")
+    out = [r for r in M.score(docs).collect() if r.held_out]
+    assert sum(r.score for r in out) > sum(r.base_score for r in out) + 50 and max(r.state_share for r in out) > 0.5
+
+
+def test_repeated_rows_null_ids_and_no_rows(spark):
+    docs = [(None, "a b"), (3, "a b"), (3, "a b"), (3, "c"), (3, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = M.score(df, SMALL).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == [(0, 3), (3, 1), (3, 2), (3, 3), (3, 3)]
+    close([(r.doc_id or 0, *r[1:]) for r in got], [(r[0] or 0, *r[1:]) for r in brute(docs, SMALL)[0]])
+    assert M.score(df.limit(0)).count() == 0
