@@ -57,19 +57,41 @@ def test_null_ids_and_no_rows(spark):
     assert caps.similar_vectors(df.limit(0)).count() == 0
 
 
-def test_recall_at_the_threshold():
-    rng = np.random.default_rng(1)
-    x = rng.standard_normal((3000, 64))
+def pairs_at(rng, n, dim, cosine):
+    x = rng.standard_normal((n, dim))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    y = rng.standard_normal((3000, 64))
+    y = rng.standard_normal((n, dim))
     y -= (x * y).sum(1, keepdims=True) * x
-    y = 0.98 * x + np.sqrt(1 - 0.98**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
-    code = caps.Code(64, 112)
+    return x, cosine * x + np.sqrt(1 - cosine**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("dim, words, n, least", [(16, 112, 1000, 0.98), (64, 112, 1000, 0.98), (768, 112, 500, 0.98), (16, 1732, 300, 0.9), (64, 1732, 300, 0.95), (768, 1732, 200, 0.95), (64, 16384, 60, 0.85)])
+def test_recall_at_the_threshold(dim, words, n, least):
+    x, y = pairs_at(np.random.default_rng(1), n, dim, 0.98)
+    code = caps.Code(dim, words)
     one, two = list(code.decode(x)), list(code.decode(y))
-    assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in zip(one, two)]) > 0.995
-    assert 10 < np.mean([len(a) for a in one]) < 40
-    scores = (x[:20] @ code.rotation)[:, : code.cut] @ code.halves[0].T
-    right = (x[:20] @ code.rotation)[:, code.cut :] @ code.halves[1].T
-    for k in range(20):
+    assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in zip(one, two)]) > least
+    sizes = [len(a) for a in one]
+    assert 6 <= np.mean(sizes) < 30 and np.mean(np.array(sizes) > caps.LEAST_FILTERS) > 0.2  # caps, no nearest words
+    scores, right = code.scores(x[:10])
+    for k in range(10 if words < 2000 else 0):
         want = np.flatnonzero((scores[k][:, None] + right[k]).ravel() >= code.height)
         assert len(want) < caps.LEAST_FILTERS or one[k].tolist() == want.tolist()
+
+
+def test_common_before():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    lists = [sorted(rng.choice(30, rng.integers(0, 9), replace=False).tolist()) for _ in range(40)]
+    i, j = np.nonzero(np.triu(np.ones((40, 40)), 1))
+    for f in (0, 7, 30):
+        want = [bool({x for x in lists[a] if x < f} & {*lists[b]}) for a, b in zip(i, j)]
+        assert caps.common_before(pa.array([[], *lists], pa.list_(pa.int32())).slice(1), f, i, j).tolist() == want
+
+
+def test_vectors_of_doubles_and_ids_that_repeat(spark):
+    a, b = [1.0, 1e200, 0.0], [1.0, 1e200, 1e199]
+    df = spark.createDataFrame([(4, a, "x"), (4, b, "x"), (4, [3.0, 0.0, 0.0], "x"), (9, b, "y"), (7, [2.0, 2e200, 0.0], "x")], "vec_id long, embedding array<double>, label string")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in caps.similar_vectors(df).collect())
+    assert got == [(4, 0, 4), (4, 2, 4), (4, 2, 4), (7, 2, 4), (9, 0, 9)]
