@@ -1,8 +1,8 @@
 """Benchmark passages in documents, with DataFrame expressions only.
 
 A document's windows have as many words as the items they are held against. First, positions whose word shingle
-is in any item are found; windows with fewer of them than a similar item of their size needs are none. All others
-are fingerprinted (SimHash of their shingles, each as often as it occurs), by sums of packed counters. Fingerprints
+is in any item of a size are found; windows of that size with fewer of them than a similar item needs are none. All
+others are fingerprinted (SimHash of their shingles, each as often as it occurs), by sums of packed counters. Fingerprints
 within the radius agree in at least one of radius + 1 blocks of bits, so a join with the items' fingerprints on
 size, block and bits names the items of each window, and misses none within the radius. Where a window or an item
 repeats a shingle, one shingle may turn many bits, so fingerprints tell nothing: a window that repeats one is held
@@ -106,34 +106,31 @@ def find_passages(docs: DataFrame, items: DataFrame, size: int = 5, percent: int
 
 def windows(docs: DataFrame, bench: DataFrame, size: int, percent: int) -> DataFrame:
     """(doc_id, n, start, window, print): of each size n of an item, the windows of the documents with enough shingles of
-    any items. A document with fewer shingles is one window. Texts are worked on STEP positions at a time."""
-    sizes = sorted(r[0] for r in bench.select("n").distinct().collect())  # as many as items have lengths
-    most = max(sizes, default=1)
+    any items of that size. A document with fewer shingles is one window. Texts are worked on STEP positions at a time."""
+    most = bench.agg(F.max("n")).first()[0] or 1
     lanes, width = packing(most)
-    known = bench.select(F.explode("item").alias("h")).distinct()
+    known = bench.select(F.explode("item").alias("h"), "n").distinct()
     cut = computed(docs, "w", words(F.col("text"))).where(F.size("w") >= size).select("doc_id", F.size("w").alias("n_words"), F.expr(shingles(size)).alias("s"))
-    hits = cut.select("doc_id", "n_words", F.posexplode("s").alias("at", "h")).join(known, "h", "left_semi")
+    hits = cut.select("doc_id", "n_words", F.posexplode("s").alias("at", "h")).join(known, "h")
     # a hit counts for windows that start in its own stretch, and in those before it that reach it
-    hits = hits.select("doc_id", "n_words", "at", F.explode(F.expr(f"sequence(greatest(at - {most - 1}, 0) div {STEP}, at div {STEP})")).alias("part"))
-    parts = hits.groupBy("doc_id", "n_words", "part").agg(F.sort_array(F.collect_set("at")).alias("at"))
-    least = min(sizes, default=1)
-    parts = parts.where(F.size("at") >= F.expr(f"ceil({percent} * 2 * least({least}, n_words - {size - 1}) / {100 + percent})"))
-    parts = parts.groupBy("doc_id", "n_words").agg(F.collect_list(F.struct("part", "at")).alias("parts"))
+    hits = hits.select("doc_id", "n_words", "n", "at", F.explode(F.expr(f"sequence(greatest(at - n + 1, 0) div {STEP}, at div {STEP})")).alias("part"))
+    parts = hits.groupBy("doc_id", "n_words", "n", "part").agg(F.sort_array(F.collect_set("at")).alias("at"))
+    parts = parts.withColumn("long", F.expr(f"least(n, n_words - {size - 1})"))
+    parts = parts.withColumn("needed", F.expr(f"CAST(ceil({percent} * (long + n) / {100 + percent}) AS INT)")).where("size(at) >= needed")
+    # windows with so many hits start between these
+    parts = parts.withColumn("low", F.expr(f"CAST(greatest(part * {STEP}, at[needed - 1] - long + 1) AS INT)"))
+    parts = parts.withColumn("high", F.expr(f"CAST(least(part * {STEP} + {STEP - 1}, at[size(at) - needed], n_words - {size - 1} - long) AS INT)")).where("low <= high")
+    parts = parts.groupBy("doc_id", "n_words").agg(F.collect_list(F.struct("n", "at", "long", "needed", "low", "high")).alias("parts"))
     texts = computed(docs.join(parts, "doc_id"), "w", words(F.col("text"))).where(F.size("w") == F.col("n_words"))
     texts = computed(texts, "s", F.expr(shingles(size)))
     # s: the shingles from position `low` on
-    texts = texts.select("doc_id", F.size("s").alias("n_doc"), F.expr(f"inline(transform(parts, x -> struct(x.part * {STEP} AS low, x.at, slice(s, CAST(x.part * {STEP} + 1 AS INT), {STEP + most}) AS s)))"))
+    texts = texts.select("doc_id", F.expr("inline(transform(parts, x -> struct(x.n, x.at, x.long, x.needed, x.low, x.high, slice(s, x.low + 1, x.high - x.low + x.long) AS s)))"))
     texts = computed(texts, "counters", F.expr("array(" + ", ".join(f"transform(s, h -> {spread('h', k, lanes, width)})" for k in range(BITS // lanes)) + ")"))
-    long = "least(n, n_doc)"
-    needed = f"CAST(ceil({percent} * ({long} + n) / {100 + percent}) AS INT)"
-    # k hits in a row lie in windows that start from the last one's place back to the first's
-    low, high = f"greatest(low, at[i + {needed} - 1] - {long} + 1)", f"least(low + {STEP - 1}, at[i], n_doc - {long})"
-    ranges = f"transform(sequence(0, size(at) - {needed}), i -> CASE WHEN {low} <= {high} THEN sequence({low}, {high}) ELSE array() END)"
-    starts = f"CASE WHEN size(at) >= {needed} THEN array_distinct(flatten({ranges})) ELSE array() END"
-    all_ = f"flatten(transform(array({', '.join(map(str, sizes))}), n -> transform({starts}, p -> struct(n, CAST(p AS INT) AS start))))" if sizes else "CAST(array() AS array<struct<n: int, start: int>>)"
-    own = "CAST(x.start - low AS INT)"
-    cut_ = f"struct(x.n, x.start, slice(s, {own} + 1, least(x.n, n_doc)) AS window, {packed_print('counters', own, 'least(x.n, n_doc)', lanes, width)} AS print)"
-    return texts.select("doc_id", F.expr(f"inline(transform({all_}, x -> {cut_}))"))
+    # needed hits in a row lie in the windows that start from the last one's place back to the first's
+    first, last = "greatest(low, at[i + needed - 1] - long + 1)", "least(high, at[i])"
+    ranges = f"transform(sequence(0, size(at) - needed), i -> CASE WHEN {first} <= {last} THEN sequence({first}, {last}) ELSE array() END)"
+    own = f"struct(n, x AS start, slice(s, x - low + 1, long) AS window, {packed_print('counters', '(x - low)', 'long', lanes, width)} AS print)"
+    return texts.select("doc_id", F.expr(f"inline(transform(array_distinct(flatten({ranges})), x -> {own}))"))
 
 
 def matched(windows: DataFrame, bench: DataFrame, radius: int) -> DataFrame:

@@ -75,3 +75,40 @@ def test_runs_of_equal_words(spark):
     docs = spark.createDataFrame([(k, own + f" {mark}" * 100) for k, mark in enumerate("=_.", 1)], "doc_id long, text string")
     got = {(r.doc_id, r.item_id, r.start, r.similarity) for r in find_passages(docs, items).collect()}
     assert got == {(i, k, 0, 0.75) for i in (1, 2, 3) for k in (1, 2, 3)}
+
+
+def test_long_texts_with_many_hits_in_bounded_steps(spark, monkeypatch):
+    import sonalyze.llm.contamination as C
+
+    rng = random.Random(6)
+    items = [(i, " ".join(f"q{rng.randrange(400)}" for _ in range(n))) for i, n in enumerate((12, 30, 30, 55, 140, 300))]
+    words = []
+    for _ in range(60):
+        passage = split(rng.choice(items)[1])
+        k = rng.randrange(len(passage))
+        passage[k : k + 2] = ["edit"] * rng.randrange(3)
+        words += passage + [f"w{rng.randrange(50)}" for _ in range(rng.randrange(30))]
+    docs = [(1, " ".join(words)), (2, items[5][1] + " " + items[5][1][:300]), (3, " ".join(split(items[4][1])[3:]))]
+    a, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = brute(docs, items)
+    for step in (1024, 64):
+        monkeypatch.setattr(C, "STEP", step)
+        assert {(r.doc_id, r.item_id): (r.start, r.similarity) for r in find_passages(a, b).collect()} == want
+    assert len(want) >= 6
+
+
+def test_packed_fingerprints_are_those_of_the_definition(spark):
+    import sonalyze.llm.contamination as C
+    from pyspark.sql import functions as F
+
+    rng = random.Random(7)
+    for n in (3, 40, 127, 128, 700):
+        lanes, width = C.packing(n)
+        rows = [([rng.getrandbits(64) - (1 << 63) for _ in range(n + 5)],) for _ in range(3)]
+        df = spark.createDataFrame(rows, "s array<long>")
+        df = C.computed(df, "counters", F.expr("array(" + ", ".join(f"transform(s, h -> {C.spread('h', k, lanes, width)})" for k in range(64 // lanes)) + ")"))
+        got = df.select("s", F.expr(C.packed_print("counters", "2", str(n), lanes, width)).alias("a"), F.expr(f"slice(s, 3, {n})").alias("w")).select("a", F.expr(C.fingerprint("w")).alias("b"), "w").collect()
+        for r in got:
+            bits = [sum(h >> k & 1 for h in r.w) * 2 > n for k in range(64)]
+            value = sum(1 << k for k, x in enumerate(bits) if x)
+            assert r.a == r.b == value - (value >> 63 << 64)
