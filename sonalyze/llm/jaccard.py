@@ -10,7 +10,7 @@
    fragments, each fragment's overlap of a pair is counted by itself, and the counts are summed per pair.
 
 Large groups of near copies make no square of pairs: two rounds link sets to one leader for each shared
-n-gram; after them only pairs between different components remain, and all of those are counted, those of a
+n-gram; after them only pairs that aren't known to be connected remain, and all of those are counted, those of a
 frequent n-gram dealt out as pairs of tiles. Joins on n-grams and on sets are salted.
 """
 
@@ -28,7 +28,7 @@ from sonalyze.llm.components import components
 from sonalyze.llm.shared import cut, discard, stored
 from sonalyze.llm.sketch import Blocks, Sketch, text_bytes
 
-FRAGMENTS, SALTS = 8, 16
+FRAGMENTS, SALTS, LEADER_SALTS = 8, 16, 4
 #: Sets of one n-gram that a task pairs.
 TILE_ROWS = 500
 SETS = "doc_id long, row long, n long, s1 long, s2 long, before int, prefix array<long>, grams array<long>"
@@ -90,23 +90,27 @@ def similar_sets(docs: DataFrame, size: int, percent: int, max_bits: int) -> Dat
 
 def counted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b, na, nb), those that are similar: overlaps by fragment, summed per pair."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("v"))
     split = F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)), lambda f: F.struct(f.alias("fragment"), F.filter("grams", lambda g: F.shiftrightunsigned(g, 61) == f).alias("part")))
     pieces = sets.select("v", "grams").join(needed, "v", "left_semi").select("v", F.inline(split)).where(F.size("part") > 0)
-    a = pieces.select(F.col("v").alias("a"), "fragment", F.col("part").alias("part_a"))
+    # a leader is in very many pairs
+    a = pieces.select(F.col("v").alias("a"), "fragment", F.col("part").alias("part_a"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(LEADER_SALTS - 1).cast("long"))).alias("salt"))
+    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(LEADER_SALTS)))
     b = pieces.select(F.col("v").alias("b"), "fragment", F.col("part").alias("part_b"))
-    overlaps = pairs.join(a, "a").join(b, ["b", "fragment"]).select("a", "b", "na", "nb", F.size(F.array_intersect("part_a", "part_b")).alias("shared"))
+    overlaps = pairs.join(a, ["a", "salt"]).join(b, ["b", "fragment"]).select("a", "b", "na", "nb", F.size(F.array_intersect("part_a", "part_b")).alias("shared"))
     common = F.col("shared")
     return overlaps.groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared")).where(100 * common >= percent * (F.col("na") + F.col("nb") - common)).select("a", "b")
 
 
-def candidates(prefixes: DataFrame, labels: DataFrame, percent: int, last: bool) -> DataFrame:
+def candidates(prefixes: DataFrame, labels: DataFrame | None, percent: int, last: bool) -> DataFrame:
     """Pairs (a, b, na, nb) of sets in different components that share an n-gram early enough: with the leader of
     each n-gram, or, in the last round, with all."""
     # a similar pair shares at least `common` n-grams, so the first they share stands this early in both
     common = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
     fits = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.col("pa") <= F.col("na") - common + 1) & (F.col("pb") <= F.col("nb") - common + 1)
-    labelled = prefixes.join(labels.withColumnRenamed("id", "v"), "v", "left").withColumn("component", F.coalesce("component", "v"))
+    labelled = prefixes.withColumn("component", F.col("v"))
+    if labels is not None:
+        labelled = prefixes.join(labels.withColumnRenamed("id", "v"), "v", "left").withColumn("component", F.coalesce("component", "v"))
     mixed = labelled.groupBy("g").agg(F.min(F.struct("component", "at", "v", "n")).alias("lead"), F.max("component").alias("most"), F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("tiles")).where("lead.component <> most")
     salted = labelled.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
     mixed = mixed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
@@ -121,7 +125,7 @@ def candidates(prefixes: DataFrame, labels: DataFrame, percent: int, last: bool)
     else:
         pairs = open_.where("component <> lead.component").selectExpr("v a", "n na", "at pa", "lead.v b", "lead.n nb", "lead.at pb").where(fits)
         pairs = pairs.selectExpr("least(a, b) a", "greatest(a, b) b", "if(a < b, na, nb) na", "if(a < b, nb, na) nb")
-    return pairs.select("a", "b", "na", "nb").distinct()
+    return pairs.select("a", "b", "na", "nb").dropDuplicates(["a", "b"])
 
 
 def similar_groups(docs: DataFrame, size: int = 5, percent: int = 75, max_bits: int = 62) -> DataFrame:
@@ -142,16 +146,21 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 75, max_bits:
     discard(full)
     prefixes = sets.select("v", "n", "before", F.posexplode("prefix").alias("i", "g")).select("v", "n", "g", (F.col("before") + F.col("i") + 1).alias("at"))
 
-    tested = spark.createDataFrame([], "a long, b long")
-    links = spark.createDataFrame([], "a long, b long")
-    labels = spark.createDataFrame([], "id long, component long")
-    for last in (False, False, True):
-        pairs = cut(candidates(prefixes, labels, percent, last).join(tested, ["a", "b"], "left_anti"))
+    none = spark.createDataFrame([], "a long, b long")
+    links, tested, labels = none, None, None
+    for turn in range(3):
+        pairs = candidates(prefixes, labels, percent, turn == 2)
+        pairs = cut(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             continue
-        tested = tested.union(pairs.select("a", "b"))
-        links = cut(links.union(counted(pairs, sets, percent)))
-        labels = components(links)
+        own = pairs.select("a", "b")
+        tested = own if tested is None else tested.union(own)
+        new = cut(counted(pairs, sets, percent))
+        if turn == 2 and new.isEmpty():
+            continue
+        links = links.union(new)
+        labels = components(links, 1 if turn == 0 else None)
+    labels = spark.createDataFrame([], "id long, component long") if labels is None else labels
 
     # the least doc_id of a component is that of one of its classes
     named = labels.join(classes.select(F.col("v").alias("id"), "least"), "id")
