@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 STAGES = ["fetch", "metadata_dedup", "classify", "fulltext", "content_dedup", "cluster", "score", "safety"]
 TIERS = ["default", "sensitive", "redline"]
+#: Letters of a word that can name an event; tasks that the rows of one key are spread over.
+TERM, SALTS = 4, 16
 
 
 def normalized_url(url: Column) -> Column:
@@ -23,11 +25,12 @@ def normalized_text(text: Column) -> Column:
 
 
 def dedup(rows: DataFrame, key: Column, order: str) -> DataFrame:
-    """rows with dedup_key and kept: the first in order of each key. Keys meet by a grouped minimum, so a key
-    that most rows share is no large group; rows without a key are all kept."""
-    keyed = rows.withColumn("dedup_key", key)
-    first = keyed.groupBy("dedup_key").agg(F.min(order).alias("_first"))
-    return keyed.join(first, "dedup_key", "left").withColumn("kept", F.col("dedup_key").isNull() | (F.col(order) == F.col("_first"))).drop("_first")
+    """rows with dedup_key and kept: the first in order of each key. Keys meet by a grouped minimum, and rows that
+    are of one key, or of none, in SALTS tasks; rows without a key are all kept."""
+    keyed = rows.withColumn("dedup_key", key).withColumn("_salt", F.pmod(F.xxhash64(order), F.lit(SALTS)))
+    first = keyed.where("dedup_key IS NOT NULL").groupBy("dedup_key").agg(F.min(order).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    first = first.select("dedup_key", "_first", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt"))
+    return keyed.join(first, ["dedup_key", "_salt"], "left").withColumn("kept", F.coalesce(F.col(order) == F.col("_first"), F.lit(True))).drop("_first", "_salt")
 
 
 def fetch_state(pages: DataFrame) -> DataFrame:
@@ -89,10 +92,19 @@ def fulltext(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def cluster(docs: DataFrame) -> DataFrame:
-    """docs with event_id: articles whose first two normalized words and language agree tell one event. Without
-    two words an article is unhandled (null)."""
-    head = F.regexp_extract(normalized_text(F.col("text")), r"^(\S+ \S+)", 1)
-    return docs.withColumn("event_id", F.when(head != "", F.concat_ws(":", "lang", head)))
+    """docs (doc_id, lang, text) with event_id. Of an article's distinct words of TERM letters and more, over its
+    whole text, the rarest that another article of its language has too names its event (of equally rare ones the
+    first in order): articles that share it tell one event. Without such a word an article is unhandled (null)."""
+    own = F.coalesce("lang", F.lit(""))
+    terms = F.filter(F.array_distinct(F.split(normalized_text(F.col("text")), " ")), lambda w: F.length(w) >= TERM)
+    words = docs.select("doc_id", own.alias("_lang"), F.explode(terms).alias("_word"))
+    shared = words.groupBy("_lang", "_word").agg(F.count("*").alias("_n")).where("_n > 1")
+    # a word that most articles have meets them in SALTS tasks
+    shared = shared.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt"))
+    named = words.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).join(shared, ["_lang", "_word", "_salt"])
+    best = named.groupBy("doc_id").agg(F.min(F.struct("_n", "_lang", "_word")).alias("_best"))
+    out = docs.join(best, "doc_id", "left").withColumn("event_id", F.concat_ws(":", "_best._lang", "_best._word"))
+    return out.withColumn("event_id", F.when(F.col("_best").isNotNull(), F.col("event_id"))).drop("_best")
 
 
 def score(docs: DataFrame) -> DataFrame:

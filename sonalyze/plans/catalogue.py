@@ -392,7 +392,15 @@ URL_SQL = r"lower(regexp_extract(bare, '^([^/]*)', 1)) || regexp_replace(regexp_
 PAGES_SQL = rf"SELECT page_id, url, html, {URL_SQL} AS k FROM (SELECT *, regexp_replace(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z]+://(www\.|m\.)?', '') AS bare FROM pages)"
 TEXT_SQL = r"trim(regexp_replace(lower(text), '[ \t\n\x0B\f\r]+', ' ', 'g'), ' ')"
 KNOWN_SQL = "SELECT d.*, l.quality, l.toxic, CASE WHEN n_chars < 200 THEN 'irrelevant' WHEN l.quality IS NULL THEN 'uncertain' WHEN l.quality = 0 THEN 'irrelevant' ELSE 'relevant' END AS relevance, CASE WHEN n_chars < 200 THEN 'too_short' WHEN l.quality IS NULL THEN 'no_evidence' WHEN l.quality = 0 THEN 'rule_excluded' ELSE 'labelled' END AS reason FROM documents d LEFT JOIN (SELECT doc_id, min(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id"
-EVENT_SQL = rf"CASE WHEN regexp_extract({TEXT_SQL}, '^(\S+ \S+)', 1) <> '' THEN lang || ':' || regexp_extract({TEXT_SQL}, '^(\S+ \S+)', 1) END"
+
+
+def events_sql(articles: str) -> str:
+    """doc_id and event_id of articles."""
+    return rf"""SELECT a.doc_id, event_id FROM {articles} a LEFT JOIN (
+        WITH w AS (SELECT doc_id, lang, unnest(list_filter(list_distinct(string_split({TEXT_SQL}, ' ')), lambda x: length(x) >= 4)) AS word FROM {articles}),
+        f AS (SELECT lang, word, count(*) AS df FROM w GROUP BY ALL HAVING count(*) > 1)
+        SELECT doc_id, w.lang || ':' || arg_min(w.word, {{'n': df, 'w': w.word}}) AS event_id FROM w JOIN f ON w.lang = f.lang AND w.word = f.word GROUP BY doc_id, w.lang) x ON x.doc_id = a.doc_id"""
+
 
 
 @query(f"WITH p AS ({PAGES_SQL}) SELECT page_id, k AS dedup_key, page_id = min(page_id) OVER (PARTITION BY k) AS kept FROM p")
@@ -439,13 +447,13 @@ def news_fulltext(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.fulltext(table(spark, sf_dir, "documents").select("text")).groupBy(F.col("fetch").alias("outcome")).agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
 
 
-@query(f"WITH e AS (SELECT {EVENT_SQL} AS event_id FROM documents) SELECT event_id, count(*) AS articles FROM e GROUP BY event_id")
+@query(f"WITH e AS ({events_sql('documents')}) SELECT event_id, count(*) AS articles FROM e GROUP BY event_id")
 def news_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles of each event, and those of none"""
-    return N.cluster(table(spark, sf_dir, "documents").select("text", "lang")).groupBy("event_id").agg(F.count("*").alias("articles"))
+    return N.cluster(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).groupBy("event_id").agg(F.count("*").alias("articles"))
 
 
-@query(f"WITH e AS (SELECT doc_id, {EVENT_SQL} AS event_id FROM documents), h AS (SELECT DISTINCT event_id FROM e WHERE doc_id % 2 = 0 AND event_id IS NOT NULL), o AS (SELECT DISTINCT event_id FROM e WHERE doc_id % 2 = 1 AND event_id IS NOT NULL) SELECT count(*) FILTER (WHERE h.event_id IS NULL) AS new_events, count(h.event_id) AS reused_events FROM o LEFT JOIN h USING (event_id)")
+@query(f"WITH e AS ({events_sql('documents')}), h AS (SELECT DISTINCT event_id FROM e WHERE doc_id % 2 = 0 AND event_id IS NOT NULL), o AS (SELECT DISTINCT event_id FROM e WHERE doc_id % 2 = 1 AND event_id IS NOT NULL) SELECT count(*) FILTER (WHERE h.event_id IS NULL) AS new_events, count(h.event_id) AS reused_events FROM o LEFT JOIN h USING (event_id)")
 def news_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New and reused events, in their own unit"""
     e = N.cluster(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
@@ -468,7 +476,7 @@ def news_safety(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(rf"""
-WITH p AS ({PAGES_SQL}), known AS ({KNOWN_SQL}), rel AS (SELECT * FROM known WHERE relevance = 'relevant'), there AS (SELECT *, {EVENT_SQL} AS event_id, min(doc_id) OVER (PARTITION BY {TEXT_SQL}) = doc_id AS kept FROM rel WHERE trim(text) <> ''), uniq AS (SELECT * FROM there WHERE kept),
+WITH p AS ({PAGES_SQL}), known AS ({KNOWN_SQL}), rel AS (SELECT * FROM known WHERE relevance = 'relevant'), there AS (SELECT *, min(doc_id) OVER (PARTITION BY {TEXT_SQL}) = doc_id AS kept FROM rel WHERE trim(text) <> ''), uniq AS (SELECT * FROM there WHERE kept), ev AS ({events_sql('uniq')}),
 st AS (SELECT CASE WHEN html IS NULL THEN 'failed' WHEN contains(url, '?page=') THEN 'updated' WHEN contains(url, '#') THEN 'skipped' ELSE 'new' END AS state FROM pages), md AS (SELECT page_id = min(page_id) OVER (PARTITION BY k) AS kept FROM p)
 SELECT stage_key, input, output, explained, input - explained AS residual FROM (
 SELECT 'fetch' AS stage_key, count(*) AS input, count(*) FILTER (WHERE state = 'new') AS output, count(*) AS explained FROM st UNION ALL
@@ -476,7 +484,7 @@ SELECT 'metadata_dedup', count(*), count(*) FILTER (WHERE kept), count(*) FROM m
 SELECT 'classify', count(*), count(*) FILTER (WHERE relevance = 'relevant'), count(*) FROM known UNION ALL
 SELECT 'fulltext', count(*), count(*) FILTER (WHERE trim(text) <> ''), count(*) FROM rel UNION ALL
 SELECT 'content_dedup', count(*), count(*) FILTER (WHERE kept), count(*) FROM there UNION ALL
-SELECT 'cluster', count(*), count(event_id), count(*) FROM uniq UNION ALL
+SELECT 'cluster', count(*), count(event_id), count(*) FROM ev UNION ALL
 SELECT 'score', count(*), count(*) FILTER (WHERE quality IS NOT NULL AND n_chars > 0), count(*) FROM uniq UNION ALL
 SELECT 'safety', count(*), count(*) FILTER (WHERE coalesce(toxic, 0) <> 1), count(*) FROM uniq)""")
 def news_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
