@@ -9,8 +9,8 @@ from sonalyze.llm.contamination import find_passages
 from sonalyze.llm.jaccard import similar_groups
 from sonalyze.llm.langid import document_rows, identify, train
 from sonalyze.llm.packing import pack
-from sonalyze.llm.queries import BYTE_BPE
-from sonalyze.llm.shared import ship, stored
+from sonalyze.llm.queries import BYTE_BPE, MIXTURE_ALPHA
+from sonalyze.llm.shared import discard, ship, stored
 from sonalyze.llm.substrings import dedup_substrings
 
 #: No SQL expresses the stages; tests hold them against brute force.
@@ -45,17 +45,22 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents in sequences of 2048 tokens."""
+    """The pieces of the documents in sequences of 2048 tokens, the sources in proportion to the 0.7th power of their
+    tokens. A null text is its end alone, a null source a source of its own; repeated rows are packed each."""
     ship(spark)
-    return pack(docs, BYTE_BPE)
+    return pack(docs, BYTE_BPE, alpha=MIXTURE_ALPHA)
 
 
 STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("repeated_passages", repeated_passages), ("decontamination", decontamination), ("packing", packing)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir, each written and read again."""
+    """All stages over the documents of sf_dir, each written and read again; what a stage has read is removed. Rows
+    without doc_id are judged by their text where a stage can, and else stay; rows that repeat a doc_id stay or go
+    together; columns beyond those of documents are passed on."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if k:
+            discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)

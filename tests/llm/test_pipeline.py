@@ -39,3 +39,28 @@ def test_no_rows(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert P.run(spark, str(tmp_path)).count() == 0
+
+
+def test_odd_rows_and_clashing_columns(spark, tmp_path):
+    rng = random.Random(7)
+    passage = words(rng, 40)
+    long = " ".join(f"the{i % 977}ther{i}" for i in range(60_000))
+    docs = [(i, words(rng, 60), "en", "s", 0) for i in range(12)]
+    docs += [(None, docs[0][1], "en", None, 0), (None, None, None, None, None), (3, words(rng, 30) + " " + passage, "en", "s", 0), (3, words(rng, 30) + " " + passage, "en", "s", 0)]
+    docs += [(50, long, "en", "s", 0), (51, long, "en", "s", 0), (52, words(rng, 20) + " " + passage, "en", "s", 0), (6, docs[6][1], "en", "s", 0), (60, "", "en", "s", 0)]
+    extra = "CAST(1 AS INT) AS n_words, 'x' AS component_id, 2L AS start, 'k' AS key0, 'b' AS block0, array(1) AS block, 3 AS n_removed"
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", extra.split(", ")[0], *extra.split(", ")[1:]).repartition(3)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, None), (None, ""), (2, words(rng, 30))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    before, seen = df, []
+    for name, stage in P.STAGES[:-1]:
+        before = stored(stage(spark, before, str(tmp_path)), name)
+        assert before.columns == df.columns or name == "repeated_passages" and set(before.columns) <= set(df.columns)
+        seen.append(sorted((-1 if r.doc_id is None else r.doc_id, r.text or "") for r in before.collect()))
+    packed = P.STAGES[-1][1](spark, before, str(tmp_path))
+    ids = [[k for k, _ in rows] for rows in seen]
+    assert ids[0].count(-1) == 2 and ids[0].count(3) == 3 and 60 not in ids[0]  # empty, and without a language
+    assert 51 not in ids[1] and ids[1].count(-1) == 2 and 0 not in ids[1] and ids[1].count(6) == 2  # the null id comes first
+    texts = [t for k, t in seen[2] if k in (3, 52)]
+    assert sum(passage in t for t in texts) == 2 and len(texts) == 4  # both rows of id 3 start it at one word
+    assert ids[3] == ids[2] and {-1 if r.doc_id is None else r.doc_id for r in packed.collect()} == {*ids[3]}
