@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
@@ -67,18 +68,27 @@ class Repeats:
     """The cells of one block's keys that hold two keys or more, by row of the sketch, and their counts' logarithms."""
 
     def __init__(self, bits: int, rows: list[tuple[np.ndarray, np.ndarray]]):
-        self.bits, self.rows = bits, rows
+        self.bits, self.rows = bits, [(Places(known), np.append(level, np.uint8(0))) for known, level in rows]
 
     def level(self, keys: np.ndarray) -> np.ndarray:
         """0: occurs once; else the logarithm of the count, at least 1. It depends on the key alone."""
         out = np.full(len(keys), 255, np.uint8)
         for r, (known, level) in enumerate(self.rows):
-            c = cells(keys, self.bits, r)
-            at = np.minimum(np.searchsorted(known, c), max(len(known) - 1, 0))
-            out = np.minimum(out, np.where(known[at] == c, level[at], 0) if len(known) else 0)
+            out = np.minimum(out, level[known.of(cells(keys, self.bits, r))])
         return out
 
 
+class Places:
+    """Where values stand among others that are distinct, by hash: lookups in any order cost the same."""
+
+    def __init__(self, values: np.ndarray):
+        self.index = pd.Index(values, dtype=np.uint64)
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        """The place of each; -1: none."""
+        return self.index.get_indexer(pd.Index(x, dtype=np.uint64)) if len(self.index) and len(x) else np.full(len(x), -1)
+
+
 def cells(keys: np.ndarray, bits: int, row: int) -> np.ndarray:
     """Keys may be the least of many hashes and so be small; mixed, they fill all cells."""
     return X.mix(keys + np.uint64((row + 1) * X.BASE_ALT % 2**64)) >> np.uint64(64 - bits)
@@ -132,29 +142,33 @@ class Sketch:
         kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
         return pa.table([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], ASKED.replace(",", "").split()[::2])
 
+    def answer(self, part: int, table: pa.Table) -> pa.Table:
+        """What the merged counts of one range of cells tell the blocks that have cells in it."""
+        held = [unpacked(b.as_py()) for b in table.column("cells")]
+        count = np.zeros(1 << self.range_bits, np.uint32)
+        for c, times in zip(held, table.column("times")):
+            np.add.at(count, c, np.frombuffer(times.as_py(), np.uint8) if times.is_valid else np.uint32(1))
+        level = np.zeros(1 << self.range_bits, np.uint8)
+        some = np.flatnonzero(count)
+        level[some] = np.log2(count[some]).astype(np.uint8)
+        out = []
+        for block, c in zip(table.column("block").to_pylist(), held):
+            c = c[level[c] >= self.least]
+            if len(c):
+                c = c[np.append(True, c[1:] != c[:-1])]
+                out.append((block, packed(c), level[c].tobytes()))
+        columns = ([x[0] for x in out], [part] * len(out), [x[1] for x in out], [x[2] for x in out])
+        return pa.table([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], ANSWERS.replace(",", "").split()[::2])
+
     def answers(self, asked: DataFrame | None = None) -> DataFrame:
         """For each block, its cells that may hold more than one key. asked: what ask() gave of all blocks."""
-        blocks, keys, range_bits, least = self.blocks, self.keys, self.range_bits, self.least
-        names = ANSWERS.replace(",", "").split()[::2]
+        blocks, keys = self.blocks, self.keys
 
         def ask(key: tuple, table: pa.Table) -> pa.Table:
             return self.ask(key[0].as_py(), keys(blocks.distinct(table)[1]))
 
         def answer(key: tuple, table: pa.Table) -> pa.Table:
-            held = [unpacked(b.as_py()) for b in table.column("cells")]
-            count = np.zeros(1 << range_bits, np.uint32)
-            for c, times in zip(held, table.column("times")):
-                np.add.at(count, c, np.frombuffer(times.as_py(), np.uint8) if times.is_valid else np.uint32(1))
-            level = np.zeros(1 << range_bits, np.uint8)
-            some = np.flatnonzero(count)
-            level[some] = np.log2(count[some]).astype(np.uint8)
-            out = []
-            for block, c in zip(table.column("block").to_pylist(), held):
-                c = c[level[c] >= least]
-                if len(c):
-                    c = c[np.append(True, c[1:] != c[:-1])]
-                    out.append((block, packed(c), level[c].tobytes()))
-            return pa.table([pa.array([x[0] for x in out], pa.int32()), pa.array([key[0].as_py()] * len(out), pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())], names)
+            return self.answer(key[0].as_py(), table)
 
         if asked is None:
             asked = blocks.grouped().applyInArrow(ask, ASKED)

@@ -1,25 +1,26 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
 A symbol is a word, or the end of a text, which also stands before it. A context of k symbols is a state if its
-suffix of k - 1 symbols is one (the empty one always is), if it occurs often enough in training, and if its
-next symbols diverge from those of its suffix: their likelihood under their own frequencies (of its cells, and of
-all others together) must gain enough over that under the suffix. Next symbols that occur often enough are cells, with a mass of their own by absolute discounting; the rest is left
-to the suffix, down to the add-constant distribution of words, so every state sums to one. Each token is scored
-in its longest suffix state. All bounds are counts, none a share of the corpus: the tree grows with it, length by
-length, until no context diverges or the longest length is reached (Bounds).
-
-Nothing is broadcast. Texts are in blocks. For each length, blocks sketch the contexts and cells behind the
-states they know; those that the merged sketches may count often enough are sent, summed over a block, to
-parts dealt by context, which answer each block with the states and masses it asked about. Frequent contexts
-are split over several parts by their cells, and the block sums what those answer. A block's own answers are the
-part of the tree that its texts can use: the last pass scores them with it.
+suffix of k - 1 symbols is one (the empty one always is), if it occurs often enough in training, and if its next
+symbols diverge from those of its suffix: their likelihood under their own frequencies (of its cells, and of all
+others together) must gain enough over that under the suffix's frequencies. Next symbols that occur often enough
+are cells, with a mass of their own by absolute discounting; the rest is left to the suffix, down to the
+add-constant distribution of words, so every state sums to one. Each token is scored in its longest suffix state.
+All bounds are counts, none a share of the corpus: the tree grows with it (Bounds).
+
+Nothing is broadcast. Texts are in blocks, which are read five times:
+1. words are counted exactly, and runs of two and three symbols sketched, by range of cells;
+2. longer runs are sketched, where all runs of three in them may be frequent;
+3. runs that may be frequent are counted exactly;
+4. the counts of a run, of its beginning and of its end give each token's gain in each context; a block sums them
+   by context, and parts dealt by context sum over blocks: a frequent context is a row a block;
+5. texts are scored with the states, counts and words that their block was told of.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,54 +28,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sonalyze.llm import text as X
-from sonalyze.llm.shared import n_buckets, stored
-from sonalyze.llm.sketch import Blocks, Sketch, text_bytes
+from sonalyze.llm.shared import discard, n_buckets, stored
+from sonalyze.llm.sketch import ASKED, Blocks, Places, Sketch, text_bytes
 
 DISCOUNT, ADDED = 0.75, 0.1
-#: Parts that a split context is dealt to, at most.
-MOST_PARTS = 64
+#: Bytes of text that a block, and a part of words, runs or contexts, are made for.
 BLOCK_BYTES, PART_BYTES = 8 << 20, 16 << 20
 END = np.uint64(0x5851F42D4C957F2D)
-STEP, CELL, STATE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, state_share double"
-#: What a block is told. Level 0: codes and counts of words; k: contexts, their sums and cells; -1: the sketch.
-TOLD = "block int, level int, range long, c1 binary, c2 binary, c3 binary, c4 binary"
-WORDS = "part int, block int, code binary, n binary"
-#: Of a block's contexts in a part: slots (the context, and behind it its number among the parts of a split one),
-#: that number and one (0: not split), occurrences, and how many cells each has; the cells, their counts, and their
-#: probabilities in the suffix.
-CELLS = "part int, block int, slot binary, split binary, total binary, size binary, cell binary, n binary, p binary"
+#: What a block is told: values and what there is to know of them, by kind.
+TOLD = "block int, kind int, range long, c1 binary, c2 binary"
+SHORT, LONG, WORDS, RUNS, STATES = range(5)
+SENT = "part int, block int, value binary, n binary"
+#: Contexts: occurrences; over the tokens behind them in a block that are cells: how many, and sums of one by the
+#: cell's count, of the token's gain, and of the suffix's frequency by the cell's count.
+SUMS = "part int, block int, context binary, total binary, n binary, cells binary, gain binary, p binary"
 
 
 @dataclass(frozen=True)
 class Bounds:
     """Occurrences of a state, and of a next symbol with a mass of its own; nats that a state must gain over its
-    suffix; symbols of the longest context. A context that the sketches count 2 ** hot times or more is split."""
+    suffix; symbols of the longest context."""
 
     state: int = 64
     cell: int = 8
     gain: float = 20.0
-    depth: int = 6
-    hot: int = 20
-
-    @staticmethod
-    def level(n: int) -> int:
-        """That of the sketches for counts from n on, or somewhat fewer."""
-        return n.bit_length() - 1
+    depth: int = 5
 
 
 def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(str("" if doc_id is None else doc_id).encode()) % 10 == 0
 
 
-def names(schema: str) -> list[str]:
-    return schema.replace(",", "").split()[::2]
-
-
 def rows_of(schema: str, rows: list[tuple]) -> pa.Table:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
-    columns = list(zip(*rows)) if rows else [[]] * len(names(schema))
-    return pa.table([pa.array(c, kinds[k]) for c, k in zip(columns, schema.replace(",", "").split()[1::2], strict=True)], names(schema))
+    kinds, words = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}, schema.replace(",", "").split()
+    columns = list(zip(*rows)) if rows else [[]] * (len(words) // 2)
+    return pa.table([pa.array(c, kinds[k]) for c, k in zip(columns, words[1::2], strict=True)], words[::2])
 
 
 def joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
@@ -83,274 +72,279 @@ def joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
 
 def summed(key: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, ...]:
     """The distinct keys, sorted, and sums of the weights of each."""
-    by = np.argsort(key, kind="stable")
+    by = np.argsort(key)
     edges = X.group_starts(key[by])[:-1]
-    return key[by][edges], *(np.add.reduceat(w[by], edges) if len(key) else w for w in weights)
-
-
-def looked_up(table: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index in the sorted table, and whether the value is there."""
-    if not len(table):
-        return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
-    at = np.minimum(np.searchsorted(table, x), len(table) - 1)
-    return at, table[at] == x
-
-
-def part_of(code: np.ndarray, parts: int) -> np.ndarray:
-    return ((X.mix(code) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-
-
-def cell_of(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-    return X.mix(context ^ X.mix(symbol + CELL))
-
-
-@dataclass
-class Level:
-    """States of one length: contexts, and what each leaves to its suffix; cells and their masses."""
-
-    contexts: np.ndarray
-    left: np.ndarray
-    cells: np.ndarray
-    mass: np.ndarray
-
-    @classmethod
-    def of(cls, answers: pa.Table, least: float) -> Level:
-        """What several parts answered about one context is summed, in the order of the parts."""
-        answers = answers.sort_by("range")
-        context, sums, cell, mass = (joined(answers, c, k) for c, k in (("c1", np.uint64), ("c2", np.float64), ("c3", np.uint64), ("c4", np.float64)))
-        by = np.argsort(context, kind="stable")
-        edges = X.group_starts(context[by])[:-1]
-        sums = sums.reshape(-1, 5)[by]
-        context, total = context[by[edges]], sums[edges, 4]
-        own = np.add.reduceat(sums[:, :4], edges) if len(edges) else sums[:, :4]
-        keep = gained(own, total) >= least
-        by = np.argsort(cell)
-        return cls(context[keep], 1 - own[keep, 0], cell[by], mass[by])
-
-
-def gained(own: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """own: of a context's cells the sums of mass, n log(n / (total p)), n and p."""
-    rest = np.maximum(total - own[:, 2], 0)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        others = rest * np.log(rest / (total * np.maximum(1 - own[:, 3], 1e-9)))
-    return own[:, 1] + np.where(rest > 0, others, 0)
-
-
-@dataclass
-class Tree:
-    """The part of the tree that a block's texts can use."""
-
-    tokens: int
-    words: int
-    codes: np.ndarray
-    counts: np.ndarray
-    levels: list[Level] = field(default_factory=list)
-
-    @classmethod
-    def of(cls, answers: pa.Table, learner: Learner) -> Tree:
-        level = answers.column("level").to_numpy()
-        own = answers.filter(pa.array(level == 0))
-        code, n = joined(own, "c1", np.uint64), joined(own, "c2", np.int64)
-        by = np.argsort(code)
-        return cls(learner.tokens, learner.words, code[by], n[by], [Level.of(answers.filter(pa.array(level == k)), learner.bounds.gain) for k in range(1, learner.depth + 1)])
-
-    def count(self, symbol: np.ndarray) -> np.ndarray:
-        at, known = looked_up(self.codes, symbol)
-        return np.where(known, self.counts[at] if len(self.counts) else 0, 0)
-
-    def base(self, n: np.ndarray) -> np.ndarray:
-        return (n + ADDED) / (self.tokens + ADDED * (self.words + 1))
-
-    def read(self, s: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """Length by length, the tokens whose context the tree knows so far, their probabilities up to then, and the
-        next longer contexts; s has the end first. At last all probabilities: (length, rows, p, context)."""
-        p = self.base(self.count(s[1:]))
-        depth = np.zeros(len(p), np.int64)
-        rows, context = np.arange(len(p)), np.full(len(p), STEP)
-        for k, level in enumerate([*self.levels, None], 1):
-            fits = place[rows] >= k - 1
-            rows, context = rows[fits], context[fits]
-            context = X.mix(context * STEP + s[rows + 1 - k])
-            if level is None:
-                yield k, rows, p[rows], context
-                break
-            state, known = looked_up(level.contexts, context)
-            rows, context, state = rows[known], context[known], state[known]
-            cell, there = looked_up(level.cells, cell_of(context, s[rows + 1]))
-            p[rows] = p[rows] * level.left[state] + np.where(there, level.mass[cell] if len(level.mass) else 0.0, 0.0)
-            depth[rows] = k
-        yield 0, depth, p, s[1:]
-
-
-def symbols(c: X.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The end, and then each text's words and its end; of all but the first, the text and the place in it."""
-    w = X.words(c, lower=True)
-    s = np.full(len(w.codes) + c.n + 1, END)
-    s[1 + np.arange(len(w.codes)) + w.text] = w.codes
-    sizes = np.diff(w.bounds) + 1
-    text = np.repeat(np.arange(c.n), sizes)
-    return s, text, np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-
-
-def training(table: pa.Table) -> np.ndarray:
-    return np.array([not held_out(k) for k in table.column(0).to_pylist()], bool)
+    return key[by[edges]], *(np.add.reduceat(w[by], edges) if len(key) else w for w in weights)
+
+
+def dealt(value: np.ndarray, parts: int, *columns: np.ndarray) -> list[tuple]:
+    """(part, values, columns) as bytes."""
+    part = ((X.mix(value) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    by = np.argsort(part, kind="stable")
+    edges = X.group_starts(part[by])
+    return [(int(part[by[a]]), *(x[by[a:b]].tobytes() for x in (value, *columns))) for a, b in zip(edges[:-1], edges[1:])]
+
+
+class Symbols:
+    """The symbols of a block's rows: s has the end first, then each text's words and its end; of all but the first,
+    the row and the place in it, and whether it is of training."""
+
+    def __init__(self, table: pa.Table):
+        s, row, place = [np.array([END])], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for c in X.chunks(table.column(1)):
+            w = X.words(c, lower=True)
+            own, sizes = np.full(len(w.codes) + c.n, END), np.diff(w.bounds) + 1
+            own[np.arange(len(w.codes)) + w.text] = w.codes
+            s.append(own)
+            row.append(np.repeat(np.arange(c.first, c.first + c.n), sizes))
+            place.append(np.arange(len(own)) - np.repeat(np.cumsum(sizes) - sizes, sizes))
+        self.s, self.row, self.place = map(np.concatenate, (s, row, place))
+        self.training = np.array([not held_out(k) for k in table.column(0).to_pylist()], bool)
+        self.train = self.training[self.row]
+        self.sums = X.prefix(self.s, X.BASE_WORD)
+        self.inverse = X.inverse_powers(X.BASE_WORD, len(self.sums))
+
+    def __len__(self) -> int:
+        return len(self.row)
+
+    def runs(self, n: int, at: np.ndarray) -> np.ndarray:
+        """Hashes of the n symbols up to and with each token; one symbol is its own hash."""
+        if n == 1:
+            return self.s[at + 1]
+        begin = at + 2 - n
+        return X.mix((self.sums[at + 2] - self.sums[begin]) * self.inverse[begin] + np.uint64(n))
+
+    def whole(self, n: int) -> np.ndarray:
+        """The tokens before which there are n - 1 symbols of their text, the end before it among them."""
+        return np.flatnonzero(self.place >= n - 2)
+
+
+def spread(value: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, sums of `of` for each, and each value's index among them."""
+    by = np.argsort(value)
+    edges = X.group_starts(value[by])
+    index = np.empty(len(value), np.int64)
+    index[by] = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    return value[by[edges[:-1]]], np.add.reduceat(of[by].astype(np.int64), edges[:-1]) if len(by) else np.empty(0, np.int64), index
+
+
+def in_a_row(at: np.ndarray, size: int) -> np.ndarray:
+    """How many of the marked tokens stand in a row up to each token."""
+    marked = np.zeros(size, bool)
+    marked[at] = True
+    place = np.arange(size)
+    return place - np.maximum.accumulate(np.where(marked, -1, place))
 
 
 class Learner:
     """The passes over the texts; what workers run needs no table."""
 
     def __init__(self, docs: DataFrame, bounds: Bounds):
-        self.bounds, self.depth = bounds, 0  # symbols of the longest contexts so far
-        self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        self.size = text_bytes(self.docs)
-        self.blocks, self.parts = Blocks(self.docs, self.size, BLOCK_BYTES), n_buckets(docs.sparkSession, self.size, PART_BYTES)
-        self.told: list[DataFrame] = []
+        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        size, self.bounds = text_bytes(docs), bounds
+        self.blocks, self.parts = Blocks(docs, size, BLOCK_BYTES), n_buckets(docs.sparkSession, size, PART_BYTES)
+        # about a word in six bytes; words of held-out texts are asked about
+        self.short, self.long = (Sketch(self.blocks, None, n * size // 6, least=bounds.cell.bit_length() - 1) for n in (2, max(bounds.depth - 2, 1)))
+        self.told: dict[int, DataFrame] = {}
         self.tokens = self.words = 0
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("docs", "told")}
-
-    def answers(self) -> DataFrame:
-        out = self.told[0]
-        for t in self.told[1:]:
-            out = out.unionByName(t)
-        return out
+        return {k: v for k, v in self.__dict__.items() if k != "told"}
 
-    def count_words(self) -> None:
-        """Each block learns how often its symbols occur in training."""
+    def with_answers(self, *kinds: int):
+        """The blocks with what they were told of these kinds."""
+        out = self.told[kinds[0]]
+        for k in kinds[1:]:
+            out = out.unionByName(self.told[k])
+        return self.blocks.grouped().cogroup(out.groupBy("block"))
 
+    def sketch_words(self) -> None:
         def ask(key: tuple, table: pa.Table) -> pa.Table:
-            train, code, n = training(table), [], []
-            for c in X.chunks(table.column(1)):
-                s, text, _ = symbols(c)
-                got = summed(s[1:], train[c.first + text].astype(np.int64))
-                code.append(got[0])
-                n.append(got[1])
-            code, n = summed(np.concatenate(code), np.concatenate(n))
-            part = part_of(code, self.parts)
-            by = np.argsort(part, kind="stable")
-            edges = X.group_starts(part[by])
-            return rows_of(WORDS, [(int(part[by[a]]), key[0].as_py(), code[by[a:b]].tobytes(), n[by[a:b]].astype("<u4").tobytes()) for a, b in zip(edges[:-1], edges[1:])])
+            own, block = Symbols(table), key[0].as_py()
+            code, n = summed(own.s[1:], own.train.astype(np.int64))
+            out = [(-1 - p, block, a, b) for p, a, b in dealt(code, self.parts, n.astype("<u4"))]
+            at = [own.whole(n) for n in (2, 3)[: self.bounds.depth]]
+            keys = [own.runs(n, t) for n, t in zip((2, 3), at)]
+            words = pa.table([pa.array([r[i] for r in out], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary()))], ASKED.replace(",", "").split()[::2])
+            return pa.concat_tables([words, self.short.ask(block, np.concatenate(keys), np.concatenate([own.train[t] for t in at]))])
 
         def answer(key: tuple, table: pa.Table) -> pa.Table:
-            code, n = summed(joined(table, "code", np.uint64), joined(table, "n", np.uint32).astype(np.int64))
-            out = [(-1, 0, int(n.sum()), None, None, None, None), (-2, 0, int((n > 0).sum()), None, None, None, None)]
-            for block, own in zip(table.column("block").to_pylist(), table.column("code")):
-                out.append((block, 0, key[0].as_py(), own.as_py(), n[np.searchsorted(code, np.frombuffer(own.as_py(), np.uint64))].tobytes(), None, None))
+            part = key[0].as_py()
+            if part >= 0:
+                return told(self.short.answer(part, table), SHORT)
+            code, n = summed(joined(table, "cells", np.uint64), joined(table, "times", np.uint32).astype(np.int64))
+            out = [(-1, WORDS, int(n.sum()), None, None), (-2, WORDS, int((n > 0).sum()), None, None)]
+            for block, own in zip(table.column("block").to_pylist(), table.column("cells")):
+                out.append((block, WORDS, part, own.as_py(), n[np.searchsorted(code, np.frombuffer(own.as_py(), np.uint64))].tobytes()))
             return rows_of(TOLD, out)
 
-        told = stored(self.blocks.grouped().applyInArrow(ask, WORDS).groupBy("part").applyInArrow(answer, TOLD), "tree-words")
-        sums = {r["block"]: r["n"] for r in told.where("block < 0").groupBy("block").agg(F.sum("range").alias("n")).collect()}
+        both = stored(self.blocks.grouped().applyInArrow(ask, ASKED).groupBy("range").applyInArrow(answer, TOLD), "tree-words")
+        sums = {r["block"]: r["n"] for r in both.where("block < 0").groupBy("block").agg(F.sum("range").alias("n")).collect()}
         self.tokens, self.words = sums.get(-1, 0), sums.get(-2, 0)
-        self.told.append(told.where("block >= 0"))
-
-    def grow(self) -> bool:
-        """Contexts that are one symbol longer; whether there are any."""
-        level, bounds, parts = self.depth + 1, self.bounds, self.parts
-        least = bounds.level(bounds.state)
-        sketch = Sketch(self.blocks, None, 2 * max(self.tokens, 1), least=min(least, bounds.level(bounds.cell)))
-
-        def longer(table: pa.Table, answers: pa.Table) -> tuple[np.ndarray, ...]:
-            """Contexts, cells and suffix probabilities of all tokens behind a state, and which are of training."""
-            tree, train, out = Tree.of(answers, self), training(table), [[np.empty(0, np.uint64)], [np.empty(0, np.uint64)], [np.empty(0)], [np.empty(0, bool)]]
-            for c in X.chunks(table.column(1)):
-                s, text, place = symbols(c)
-                _, rows, p, context = next(x for x in tree.read(s, place) if x[0] == level)
-                for o, x in zip(out, (context, cell_of(context, s[rows + 1]), p, train[c.first + text[rows]])):
-                    o.append(x)
-            return tuple(map(np.concatenate, out))
+        self.told |= {k: both.where((F.col("block") >= 0) & (F.col("kind") == k)) for k in (SHORT, WORDS)}
+
+    def frequent(self, own: Symbols, answers: pa.Table, lengths: range) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each length, the runs that may be frequent, how often they occur in training, and the tokens that end
+        one. A run of more than three is looked at only where the runs of three in it may be frequent."""
+        out, marked = [], None
+        heard = {k: s.heard(sketched(answers, k)) for k, s in ((SHORT, self.short), (LONG, self.long))}
+        for n in lengths:
+            at = own.whole(n)
+            if n > 3:
+                at = at[marked[at] >= n - 2]
+            runs, times, index = spread(own.runs(n, at), own.train[at])
+            live = heard[SHORT if n < 4 else LONG].level(runs) >= self.bounds.cell.bit_length() - 1
+            if n == 3:
+                marked = in_a_row(at[live[index]], len(own))
+            out.append((runs[live], times[live], at[live[index]]))
+        return out
+
+    def sketch_longer(self) -> None:
+        def ask(table: pa.Table, answers: pa.Table, block: int) -> pa.Table:
+            own = Symbols(table)
+            marked = in_a_row(self.frequent(own, answers, range(3, 4))[0][2], len(own))
+            at = [t[marked[t] >= n - 2] for n in range(4, self.bounds.depth + 2) for t in (own.whole(n),)]
+            keys = [own.runs(n, t) for n, t in zip(range(4, self.bounds.depth + 2), at)]
+            return self.long.ask(block, np.concatenate(keys), np.concatenate([own.train[t] for t in at]))
+
+        def asked(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+            return ask(table, answers, key[0].as_py())
+
+        def answer(key: tuple, table: pa.Table) -> pa.Table:
+            return told(self.long.answer(key[0].as_py(), table), LONG)
 
+        self.told[LONG] = stored(self.with_answers(SHORT).applyInArrow(asked, ASKED).groupBy("range").applyInArrow(answer, TOLD), "tree-longer")
+
+    def count_runs(self) -> None:
         def ask(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
-            context, cell, _, train = longer(table, answers)
-            return sketch.ask(key[0].as_py(), np.concatenate([context ^ STATE, cell]), np.concatenate([train, train]))
-
-        def candidates(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
-            heard = answers.filter(pa.array(answers.column("level").to_numpy() == -1))
-            repeats = sketch.heard(pa.table([heard.column("range"), heard.column("c1"), heard.column("c2")], ["range", "cells", "level"]))
-            context, cell, p, train = longer(table, answers)
-            by = np.argsort(context, kind="stable")
-            edges = X.group_starts(context[by])
-            often = repeats.level(context[by[edges[:-1]]] ^ STATE)
-            keep = np.repeat(often >= least, np.diff(edges))
-            by, often = by[keep], often[often >= least]
-            if not len(by):
-                return rows_of(CELLS, [])
-            edges = X.group_starts(context[by])
-            contexts, total = context[by[edges[:-1]]], np.add.reduceat(train[by].astype(np.int64), edges[:-1])
-            owner = np.repeat(np.arange(len(contexts)), np.diff(edges))
-            live = repeats.level(cell[by]) >= bounds.level(bounds.cell)
-            by, owner = by[live], owner[live]
-            order = np.argsort(cell[by], kind="stable")  # a cell has one context
-            by, owner = by[order], owner[order]
-            at = X.group_starts(cell[by])
-            first = by[at[:-1]]
-            cells, n, p, owner = cell[first], np.add.reduceat(train[by].astype(np.int64), at[:-1]) if len(by) else np.empty(0, np.int64), p[first], owner[at[:-1]] if len(by) else owner
-            # a frequent context goes to several parts, each with some of its cells
-            split = np.minimum(1 << np.clip(often.astype(np.int64) - bounds.hot + 1, 0, 62), MOST_PARTS)
-            copy = np.repeat(np.arange(len(contexts)), split)
-            which = np.arange(len(copy)) - np.repeat(np.cumsum(split) - split, split)
-            slot = (np.cumsum(split) - split)[owner] + (cells % split[owner].astype(np.uint64)).astype(np.int64)
-            slots, number = contexts[copy] + which.astype(np.uint64), np.where(split[copy] > 1, which + 1, 0).astype(np.uint8)
-            part = part_of(slots, parts)
-            order = np.argsort(part, kind="stable")
-            place = np.empty(len(order), np.int64)
-            place[order] = np.arange(len(order))
-            sizes = np.bincount(place[slot], minlength=len(order))
-            by = np.argsort(place[slot], kind="stable")
-            begin = np.append(0, np.cumsum(sizes))
-            out, edges = [], X.group_starts(part[order])
-            for a, b in zip(edges[:-1], edges[1:]):
-                mine, own = order[a:b], by[begin[a] : begin[b]]
-                out.append((int(part[order[a]]), key[0].as_py(), slots[mine].tobytes(), number[mine].tobytes(), total[copy[mine]].astype("<u4").tobytes(), sizes[a:b].astype("<u4").tobytes(), cells[own].tobytes(), n[own].astype("<u4").tobytes(), p[own].astype("<f4").tobytes()))
-            return rows_of(CELLS, out)
-
-        def decide(key: tuple, table: pa.Table) -> pa.Table:
-            sent = joined(table, "slot", np.uint64)
+            found = self.frequent(Symbols(table), answers, range(2, self.bounds.depth + 2))
+            runs, n = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+            return rows_of(SENT, [(p, key[0].as_py(), a, b) for p, a, b in dealt(runs, self.parts, n.astype("<u4"))])
+
+        def answer(key: tuple, table: pa.Table) -> pa.Table:
+            runs, n = summed(joined(table, "value", np.uint64), joined(table, "n", np.uint32).astype(np.int64))
+            out = []
+            for block, own in zip(table.column("block").to_pylist(), table.column("value")):
+                own = np.frombuffer(own.as_py(), np.uint64)
+                mine = n[np.searchsorted(runs, own)]
+                often = mine >= self.bounds.cell
+                out.append((block, RUNS, key[0].as_py(), own[often].tobytes(), mine[often].tobytes()))
+            return rows_of(TOLD, out)
+
+        kinds = (SHORT, LONG) if LONG in self.told else (SHORT,)
+        self.told[RUNS] = stored(self.with_answers(*kinds).applyInArrow(ask, SENT).groupBy("part").applyInArrow(answer, TOLD), "tree-runs")
+        if LONG in self.told:
+            discard(self.told[LONG])
+
+    def choose_states(self) -> None:
+        def ask(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+            own = Symbols(table)
+            counts = Counts(own, answers, self)
+            got: list[list[np.ndarray]] = [[np.empty(0, np.uint64)], *([np.empty(0)] for _ in range(5))]
+            for k, at, context, total, n in counts.contexts():
+                cell = (n > 0) & own.train[at]
+                p, times = counts.frequency(k, at), np.maximum(n, 1)
+                gain = np.log(n[cell] / (total[cell] * p[cell]))
+                for g, x in zip(got, (context, total, cell, np.where(cell, 1 / times, 0), place(cell, gain), np.where(cell, p / times, 0))):
+                    g.append(x.astype(np.float64) if g is not got[0] else x)
+            context, total, *sums = map(np.concatenate, got)
+            by = np.argsort(context)
+            edges = X.group_starts(context[by])[:-1]
+            n, cells, gain, p = (np.add.reduceat(x[by], edges) if len(by) else x for x in sums)
+            columns = (total[by[edges]].astype(np.int64), n.astype("<u4"), cells, gain.astype("<f4"), p.astype("<f4"))
+            return rows_of(SUMS, [(r[0], key[0].as_py(), *r[1:]) for r in dealt(context[by[edges]], self.parts, *columns)])
+
+        def answer(key: tuple, table: pa.Table) -> pa.Table:
+            sent = joined(table, "context", np.uint64)
+            kinds = (("total", np.int64), ("n", np.uint32), ("cells", np.float64), ("gain", np.float32), ("p", np.float32))
+            total, n, cells, gain, p = (joined(table, c, k).astype(np.float64) for c, k in kinds)
             by = np.argsort(sent, kind="stable")
             edges = X.group_starts(sent[by])[:-1]
-            slot, split = sent[by[edges]], joined(table, "split", np.uint8)[by[edges]]
-            total = np.add.reduceat(joined(table, "total", np.uint32).astype(np.int64)[by], edges)
-            owner = np.repeat(sent, joined(table, "size", np.uint32))
-            cell, n = joined(table, "cell", np.uint64), joined(table, "n", np.uint32).astype(np.int64)
-            by = np.argsort(cell, kind="stable")
-            edges = X.group_starts(cell[by])[:-1]
-            n = np.add.reduceat(n[by], edges) if len(by) else n
-            cell, owner, p = cell[by[edges]], np.searchsorted(slot, owner[by[edges]]), joined(table, "p", np.float32)[by[edges]].astype(np.float64)
-            keep = (n >= bounds.cell) & (total[owner] >= bounds.state) if len(cell) else np.empty(0, bool)
-            cell, n, owner, p = cell[keep], n[keep], owner[keep], p[keep]
-            mass = (n - DISCOUNT) / total[owner] if len(cell) else np.empty(0)
-            gain = n * np.log(n / (total[owner] * p)) if len(cell) else np.empty(0)
-            own = np.stack([np.bincount(owner, x, len(slot)) for x in (mass, gain, n, p)], 1)
-            good = (total >= bounds.state) & ((split > 0) | (gained(own, total) >= bounds.gain))
-            context, sums, out = slot - np.maximum(split, 1) + np.uint64(1), np.column_stack([own, total]), []
-            for block, asked, cells in zip(table.column("block").to_pylist(), table.column("slot"), table.column("cell")):
-                at = np.searchsorted(slot, np.frombuffer(asked.as_py(), np.uint64))
+            context, total = sent[by[edges]], total[by[edges]]
+            n, cells, gain, p = (np.add.reduceat(x[by], edges) if len(by) else x for x in (n, cells, gain, p))
+            rest = np.maximum(total - n, 0)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                others = np.where(rest > 0, rest * np.log(rest / (total * np.maximum(1 - p, 1e-9))), 0)
+            good = gain + others >= self.bounds.gain
+            left, out = 1 - (n - DISCOUNT * np.round(cells)) / np.maximum(total, 1), []
+            for block, own in zip(table.column("block").to_pylist(), table.column("context")):
+                at = np.searchsorted(context, np.frombuffer(own.as_py(), np.uint64))
                 at = at[good[at]]
-                index, there = looked_up(cell, np.frombuffer(cells.as_py(), np.uint64))
-                index = index[there]
-                index = index[good[owner[index]]] if len(index) else index
-                if len(at):
-                    out.append((block, level, key[0].as_py(), context[at].tobytes(), sums[at].astype(np.float64).tobytes(), cell[index].tobytes(), mass[index].tobytes()))
+                out.append((block, STATES, key[0].as_py(), context[at].tobytes(), left[at].tobytes()))
             return rows_of(TOLD, out)
 
-        known = self.answers()
-        asked = self.blocks.grouped().cogroup(known.groupBy("block")).applyInArrow(ask, "range long, block int, cells binary, times binary")
-        none = F.lit(None).cast("binary")
-        heard = sketch.answers(asked).select("block", F.lit(-1).alias("level"), "range", F.col("cells").alias("c1"), F.col("level").alias("c2"), none.alias("c3"), none.alias("c4"))
-        sent = self.blocks.grouped().cogroup(known.unionByName(heard).groupBy("block")).applyInArrow(candidates, CELLS)
-        told = stored(sent.groupBy("part").applyInArrow(decide, TOLD), f"tree-{level}")
-        if told.isEmpty():
-            return False
-        self.told.append(told)
-        self.depth = level
-        return True
+        self.told[STATES] = stored(self.with_answers(WORDS, RUNS).applyInArrow(ask, SUMS).groupBy("part").applyInArrow(answer, TOLD), "tree-states")
+
+
+def told(answers: pa.Table, kind: int) -> pa.Table:
+    columns = [answers.column("block"), pa.array([kind] * len(answers), pa.int32()), answers.column("range"), answers.column("cells"), answers.column("level")]
+    return pa.table(columns, TOLD.replace(",", "").split()[::2])
+
+
+def sketched(answers: pa.Table, kind: int) -> pa.Table:
+    own = answers.filter(pa.array(answers.column("kind").to_numpy() == kind))
+    return pa.table([own.column("range"), own.column("c1"), own.column("c2")], ["range", "cells", "level"])
+
+
+def known(answers: pa.Table, kind: int, of: type) -> tuple[Places, np.ndarray]:
+    """Places of what a block was told of a kind, and what that is; 0 for all else."""
+    own = answers.filter(pa.array(answers.column("kind").to_numpy() == kind))
+    return Places(joined(own, "c1", np.uint64)), np.append(joined(own, "c2", of), of(0))
+
+
+def place(where: np.ndarray, x: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(where))
+    out[where] = x
+    return out
+
+
+class Counts:
+    """Training counts of the words and runs that end at each token of a block."""
+
+    def __init__(self, own: Symbols, answers: pa.Table, learner: Learner):
+        self.own, self.bounds, self.tokens, self.words = own, learner.bounds, learner.tokens, learner.words
+        places, counts = known(answers, WORDS, np.int64)
+        self.all = counts[places.of(own.s)]
+        self.n, self.hash = [self.all[1:]], [own.s[1:]]
+        places, counts = known(answers, RUNS, np.int64)
+        for k in range(2, self.bounds.depth + 2):
+            at = own.whole(k)
+            if k > 2:  # no more frequent than its end and its beginning
+                at = at[(self.n[-1][at] > 0) & (self.n[-1][at - 1] > 0)]
+            runs = own.runs(k, at)
+            n, hash_ = np.zeros(len(own), np.int64), np.zeros(len(own), np.uint64)
+            n[at], hash_[at] = counts[places.of(runs)], runs
+            self.n.append(n)
+            self.hash.append(hash_)
+
+    def base(self) -> np.ndarray:
+        return (self.n[0] + ADDED) / (self.tokens + ADDED * (self.words + 1))
+
+    def total(self, k: int, at: np.ndarray) -> np.ndarray:
+        """Of the k symbols before each token."""
+        return self.all[at] if k == 1 else self.n[k - 1][at - 1]
+
+    def contexts(self):
+        """For each length: the tokens whose context may be a state, the context, its count, and that of the cell."""
+        for k in range(1, self.bounds.depth + 1):
+            at = self.own.whole(k + 1)
+            total = self.total(k, at)
+            often = total >= self.bounds.state
+            at, total = at[often], total[often]
+            yield k, at, self.own.s[at] if k == 1 else self.hash[k - 1][at - 1], total, self.n[k][at]
+
+    def frequency(self, k: int, at: np.ndarray) -> np.ndarray:
+        """Of each token behind the suffix of its context of k symbols; where it is a cell of the context."""
+        return self.n[k - 1][at] / (self.tokens if k == 1 else np.maximum(self.total(k - 1, at), 1))
 
 
 def learn(docs: DataFrame, bounds: Bounds) -> Learner:
     learner = Learner(docs, bounds)
-    learner.count_words()
-    while learner.depth < bounds.depth and learner.grow():
-        pass
+    learner.sketch_words()
+    if bounds.depth > 2:
+        learner.sketch_longer()
+    learner.count_runs()
+    learner.choose_states()
     return learner
 
 
@@ -366,16 +360,21 @@ def score(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     learner = learn(docs, bounds)
 
     def scored(table: pa.Table, answers: pa.Table) -> pa.Table:
-        tree, n_rows = Tree.of(answers, learner), table.num_rows
-        own = {f: np.zeros(n_rows, k) for f, k in (("tokens", np.int64), ("known", np.int64), ("base", np.float64), ("score", np.float64), ("deep", np.int64))}
-        for c in X.chunks(table.column(1)):
-            s, text, place = symbols(c)
-            *_, (_, length, p, symbol) = tree.read(s, place)
-            n = tree.count(symbol)
-            rows = slice(c.first, c.first + c.n)
-            for f, x in (("tokens", None), ("known", n > 0), ("base", np.log10(tree.base(n))), ("score", np.log10(p)), ("deep", length > 0)):
-                own[f][rows] = np.bincount(text, x, c.n)
-        ids = table.column(0)
-        return pa.table({"doc_id": ids, "held_out": pa.array(~training(table)), "n_tokens": own["tokens"], "n_known": own["known"], "train_tokens": np.full(n_rows, learner.tokens), "base_score": own["base"], "score": own["score"], "state_share": own["deep"] / np.maximum(own["tokens"], 1)})
-
-    return learner.blocks.grouped().cogroup(learner.answers().groupBy("block")).applyInArrow(scored, SCORES)
+        own, rows = Symbols(table), table.num_rows
+        counts = Counts(own, answers, learner)
+        states, left = known(answers, STATES, np.float64)
+        base = counts.base()
+        p, depth = base.copy(), np.zeros(len(own), np.int64)
+        for k, at, context, total, n in counts.contexts():
+            behind = depth[at] == k - 1  # a state
+            at, context, total, n = at[behind], context[behind], total[behind], n[behind]
+            state = states.of(context)
+            there = state >= 0
+            at, total, n = at[there], total[there], n[there]
+            p[at] = p[at] * left[state[there]] + np.where(n > 0, (n - DISCOUNT) / total, 0)
+            depth[at] = k
+        each = lambda x: np.bincount(own.row, x, rows)
+        n_tokens = np.bincount(own.row, minlength=rows)
+        return pa.table({"doc_id": table.column(0), "held_out": pa.array(~own.training), "n_tokens": n_tokens, "n_known": each(counts.n[0] > 0).astype(np.int64), "train_tokens": np.full(rows, learner.tokens), "base_score": each(np.log10(base)), "score": each(np.log10(p)), "state_share": each(depth > 0) / np.maximum(n_tokens, 1)})
+
+    return learner.with_answers(WORDS, RUNS, STATES).applyInArrow(scored, SCORES)

@@ -51,18 +51,20 @@ def brute(docs, bounds):
         for at in range(len(ts)):
             yield at, tuple([*ts[:at][::-1], None])
 
-    for k in range(1, bounds.depth + 1):
-        follow = {}
+    follow = {}
+    for k in range(0, bounds.depth + 1):
         for i in train:
             for at, past in pasts(texts[i]):
-                if len(past) >= k and past[: k - 1] in states:
+                if len(past) >= k:
                     follow.setdefault(past[:k], Counter())[texts[i][at]] += 1
+    for k in range(1, bounds.depth + 1):
         new = {}
         for context, c in follow.items():
             total, cells = sum(c.values()), {t: m for t, m in c.items() if m >= bounds.cell}
-            if total < bounds.state:
+            if len(context) != k or total < bounds.state or context[:-1] not in states:
                 continue
-            p = {t: float(np.float32(probability(context[: k - 1], t)[0])) for t in cells}
+            suffix = follow[context[:-1]]
+            p = {t: suffix[t] / sum(suffix.values()) for t in cells}
             gain, rest = sum(m * math.log(m / (total * p[t])) for t, m in cells.items()), total - sum(cells.values())
             if rest:
                 gain += rest * math.log(rest / (total * max(1 - sum(p.values()), 1e-9)))
@@ -89,7 +91,7 @@ def close(got, want):
 SMALL = M.Bounds(state=8, cell=2, gain=2.0, depth=4)
 
 
-@pytest.mark.parametrize("bounds, parts", [(M.Bounds(), 4), (SMALL, 4), (replace(SMALL, hot=3), 3), (replace(SMALL, state=5, cell=3, depth=1), 1)])
+@pytest.mark.parametrize("bounds, parts", [(M.Bounds(), 4), (SMALL, 4), (replace(SMALL, state=5, cell=3, depth=1), 1), (replace(SMALL, depth=2), 3), (replace(SMALL, state=4, depth=7), 2)])
 def test_scores_against_brute_force(spark, monkeypatch, bounds, parts):
     docs = corpus()
     monkeypatch.setattr(M, "BLOCK_BYTES", 3000)
@@ -111,17 +113,22 @@ def test_the_tree_grows_with_the_corpus():
 
 
 def test_every_state_sums_to_one():
-    rng = np.random.default_rng(2)
-    codes, counts = np.sort(rng.integers(1, 1 << 60, 50, np.uint64)), rng.integers(1, 9, 50)
-    tree = M.Tree(int(counts.sum()), 50, codes, counts)
-    ask = lambda past: np.array([list(tree.read(np.array([past, x], np.uint64), np.zeros(1, int)))[-1][2][0] for x in codes])
-    rest = 0.1 / (tree.tokens + 0.1 * 51)  # of words that training hasn't
-    context = M.X.mix(np.array([M.STEP]) * M.STEP + codes[3])
-    cells = M.cell_of(context, codes[5:9])
-    by = np.argsort(cells)
-    assert ask(codes[3]).sum() + rest == pytest.approx(1)
-    tree.levels = [M.Level(context, np.array([0.4]), cells[by], np.array([0.3, 0.1, 0.1, 0.1])[by])]
-    assert ask(codes[3]).sum() + 0.4 * rest == pytest.approx(1) and ask(codes[4]).sum() + rest == pytest.approx(1)
+    docs = corpus()
+    _, states = brute(docs, SMALL)
+    counts = Counter(t for k, x in docs if not M.held_out(k) for t in tokens(x))
+    n, v = sum(counts.values()), len(counts)
+
+    def total(context):
+        if not context:
+            return sum((c + 0.1) / (n + 0.1 * (v + 1)) for c in counts.values()) + 0.1 / (n + 0.1 * (v + 1))  # and unknown words
+        left, mass = states[context]
+        return left * total(context[:-1]) + sum(mass.values())
+
+    assert len(states) > 8 and all(total(c) == pytest.approx(1) for c in states)
+
+
+def test_runs_of_marked_tokens():
+    assert M.in_a_row(np.array([0, 1, 4, 6, 7, 8]), 10).tolist() == [1, 2, 0, 0, 1, 0, 1, 2, 3, 0]
 
 
 def test_held_out_words_are_likelier_in_contexts(spark):
