@@ -28,7 +28,7 @@ from sonalyze.llm.components import components
 from sonalyze.llm.shared import cut, discard, stored
 from sonalyze.llm.sketch import Blocks, Sketch, text_bytes
 
-FRAGMENTS, SALTS, LEADER_SALTS = 8, 16, 4
+FRAGMENTS, SALTS = 8, 16
 #: Sets of one n-gram that a task pairs.
 TILE_ROWS = 500
 SETS = "doc_id long, row long, n long, s1 long, s2 long, before int, prefix array<long>, grams array<long>"
@@ -93,17 +93,16 @@ def counted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     needed = pairs.select(F.explode(F.array("a", "b")).alias("v"))
     split = F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)), lambda f: F.struct(f.alias("fragment"), F.filter("grams", lambda g: F.shiftrightunsigned(g, 61) == f).alias("part")))
     pieces = sets.select("v", "grams").join(needed, "v", "left_semi").select("v", F.inline(split)).where(F.size("part") > 0)
-    # a leader is in very many pairs
-    a = pieces.select(F.col("v").alias("a"), "fragment", F.col("part").alias("part_a"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(LEADER_SALTS - 1).cast("long"))).alias("salt"))
-    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(LEADER_SALTS)))
+    # leaders, which are in very many pairs, are b: those pairs are dealt by fragment too
+    a = pieces.select(F.col("v").alias("a"), "fragment", F.col("part").alias("part_a"))
     b = pieces.select(F.col("v").alias("b"), "fragment", F.col("part").alias("part_b"))
-    overlaps = pairs.join(a, ["a", "salt"]).join(b, ["b", "fragment"]).select("a", "b", "na", "nb", F.size(F.array_intersect("part_a", "part_b")).alias("shared"))
+    overlaps = pairs.join(a, "a").join(b, ["b", "fragment"]).select("a", "b", "na", "nb", F.size(F.array_intersect("part_a", "part_b")).alias("shared"))
     common = F.col("shared")
     return overlaps.groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared")).where(100 * common >= percent * (F.col("na") + F.col("nb") - common)).select("a", "b")
 
 
 def candidates(prefixes: DataFrame, labels: DataFrame | None, percent: int, last: bool) -> DataFrame:
-    """Pairs (a, b, na, nb) of sets in different components that share an n-gram early enough: with the leader of
+    """Pairs (a, b, na, nb, low, high) of sets in different components that share an n-gram early enough: with the leader (b) of
     each n-gram, or, in the last round, with all."""
     # a similar pair shares at least `common` n-grams, so the first they share stands this early in both
     common = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
@@ -124,8 +123,7 @@ def candidates(prefixes: DataFrame, labels: DataFrame | None, percent: int, last
         pairs = both.where(F.expr("a < b AND ca <> cb AND (s = t OR oa <> ob)") & fits)
     else:
         pairs = open_.where("component <> lead.component").selectExpr("v a", "n na", "at pa", "lead.v b", "lead.n nb", "lead.at pb").where(fits)
-        pairs = pairs.selectExpr("least(a, b) a", "greatest(a, b) b", "if(a < b, na, nb) na", "if(a < b, nb, na) nb")
-    return pairs.select("a", "b", "na", "nb").dropDuplicates(["a", "b"])
+    return pairs.select("a", "b", "na", "nb", F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).dropDuplicates(["low", "high"])
 
 
 def similar_groups(docs: DataFrame, size: int = 5, percent: int = 75, max_bits: int = 62) -> DataFrame:
@@ -150,10 +148,10 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 75, max_bits:
     links, tested, labels = none, None, None
     for turn in range(3):
         pairs = candidates(prefixes, labels, percent, turn == 2)
-        pairs = cut(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        pairs = cut(pairs if tested is None else pairs.join(tested, ["low", "high"], "left_anti"))
         if pairs.isEmpty():
             continue
-        own = pairs.select("a", "b")
+        own = pairs.select("low", "high")
         tested = own if tested is None else tested.union(own)
         new = cut(counted(pairs, sets, percent))
         if turn == 2 and new.isEmpty():

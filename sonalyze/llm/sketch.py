@@ -147,7 +147,12 @@ class Sketch:
         held = [unpacked(b.as_py()) for b in table.column("cells")]
         count = np.zeros(1 << self.range_bits, np.uint32)
         for c, times in zip(held, table.column("times")):
-            np.add.at(count, c, np.frombuffer(times.as_py(), np.uint8) if times.is_valid else np.uint32(1))
+            if times.is_valid:  # each cell once
+                count[c] += np.frombuffer(times.as_py(), np.uint8)
+            else:
+                again = np.append(False, c[1:] == c[:-1])
+                count[c[~again]] += 1
+                count[c[again]] += 1
         level = np.zeros(1 << self.range_bits, np.uint8)
         some = np.flatnonzero(count)
         level[some] = np.log2(count[some]).astype(np.uint8)

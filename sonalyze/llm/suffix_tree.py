@@ -36,13 +36,14 @@ DISCOUNT, ADDED = 0.75, 0.1
 BLOCK_BYTES, PART_BYTES = 8 << 20, 16 << 20
 END = np.uint64(0x5851F42D4C957F2D)
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, state_share double"
-#: What a block is told: values and what there is to know of them, by kind.
+#: What a block is told: values and what there is to know of them, by kind. Counts of words come by part (range), in
+#: the order in which the block asks about its words.
 TOLD = "block int, kind int, range long, c1 binary, c2 binary"
 SHORT, LONG, WORDS, RUNS, STATES = range(5)
 SENT = "part int, block int, value binary, n binary"
 #: Contexts: occurrences; over the tokens behind them in a block that are cells: how many, and sums of one by the
 #: cell's count, of the token's gain, and of the suffix's frequency by the cell's count.
-SUMS = "part int, block int, context binary, total binary, n binary, cells binary, gain binary, p binary"
+SUMS = "part int, block int, context binary, low binary, high binary, n binary, cells binary, gain binary, p binary"
 
 
 @dataclass(frozen=True)
@@ -77,12 +78,27 @@ def summed(key: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, ...]:
     return key[by[edges]], *(np.add.reduceat(w[by], edges) if len(key) else w for w in weights)
 
 
-def dealt(value: np.ndarray, parts: int, *columns: np.ndarray) -> list[tuple]:
-    """(part, values, columns) as bytes."""
-    part = ((X.mix(value) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+def parted(value: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
+    """The parts that values are dealt to, and the places of each part's values, in their order."""
+    part = ((X.mix(value) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
     by = np.argsort(part, kind="stable")
     edges = X.group_starts(part[by])
-    return [(int(part[by[a]]), *(x[by[a:b]].tobytes() for x in (value, *columns))) for a, b in zip(edges[:-1], edges[1:])]
+    return [(int(part[by[a]]), by[a:b]) for a, b in zip(edges[:-1], edges[1:])]
+
+
+def dealt(value: np.ndarray, parts: int, *columns: np.ndarray) -> list[tuple]:
+    """(part, values, columns) as bytes."""
+    return [(p, *(x[at].tobytes() for x in (value, *columns))) for p, at in parted(value, parts)]
+
+
+def planes(n: np.ndarray) -> bytes:
+    """Counts as their lower and their higher halves: the latter are mostly zeros, which cost nothing."""
+    return (n & 0xFFFFFFFF).astype("<u4").tobytes() + (n >> 32).astype("<u4").tobytes()
+
+
+def from_planes(blob: bytes) -> np.ndarray:
+    x = np.frombuffer(blob, "<u4").astype(np.int64)
+    return x[: len(x) // 2] | x[len(x) // 2 :] << 32
 
 
 class Symbols:
@@ -149,7 +165,7 @@ class Learner:
         self.tokens = self.words = 0
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "told"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("told", "first")}
 
     def with_answers(self, *kinds: int):
         """The blocks with what they were told of these kinds."""
@@ -175,10 +191,10 @@ class Learner:
             code, n = summed(joined(table, "cells", np.uint64), joined(table, "times", np.uint32).astype(np.int64))
             out = [(-1, WORDS, int(n.sum()), None, None), (-2, WORDS, int((n > 0).sum()), None, None)]
             for block, own in zip(table.column("block").to_pylist(), table.column("cells")):
-                out.append((block, WORDS, part, own.as_py(), n[np.searchsorted(code, np.frombuffer(own.as_py(), np.uint64))].tobytes()))
+                out.append((block, WORDS, -1 - part, None, planes(n[np.searchsorted(code, np.frombuffer(own.as_py(), np.uint64))])))
             return rows_of(TOLD, out)
 
-        both = stored(self.blocks.grouped().applyInArrow(ask, ASKED).groupBy("range").applyInArrow(answer, TOLD), "tree-words")
+        both = self.first = stored(self.blocks.grouped().applyInArrow(ask, ASKED).groupBy("range").applyInArrow(answer, TOLD), "tree-words")
         sums = {r["block"]: r["n"] for r in both.where("block < 0").groupBy("block").agg(F.sum("range").alias("n")).collect()}
         self.tokens, self.words = sums.get(-1, 0), sums.get(-2, 0)
         self.told |= {k: both.where((F.col("block") >= 0) & (F.col("kind") == k)) for k in (SHORT, WORDS)}
@@ -228,13 +244,14 @@ class Learner:
                 own = np.frombuffer(own.as_py(), np.uint64)
                 mine = n[np.searchsorted(runs, own)]
                 often = mine >= self.bounds.cell
-                out.append((block, RUNS, key[0].as_py(), own[often].tobytes(), mine[often].tobytes()))
+                out.append((block, RUNS, key[0].as_py(), own[often].tobytes(), planes(mine[often])))
             return rows_of(TOLD, out)
 
         kinds = (SHORT, LONG) if LONG in self.told else (SHORT,)
         self.told[RUNS] = stored(self.with_answers(*kinds).applyInArrow(ask, SENT).groupBy("part").applyInArrow(answer, TOLD), "tree-runs")
-        if LONG in self.told:
-            discard(self.told[LONG])
+        words = self.told.pop(WORDS)
+        self.told[WORDS] = stored(words, "tree-counts")
+        discard(self.first, *([self.told[LONG]] if LONG in self.told else []))
 
     def choose_states(self) -> None:
         def ask(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -251,16 +268,16 @@ class Learner:
             by = np.argsort(context)
             edges = X.group_starts(context[by])[:-1]
             n, cells, gain, p = (np.add.reduceat(x[by], edges) if len(by) else x for x in sums)
-            columns = (total[by[edges]].astype(np.int64), n.astype("<u4"), cells, gain.astype("<f4"), p.astype("<f4"))
+            columns = (total[by[edges]].astype("<u4"), (total[by[edges]] / 2**32).astype("<u4"), n.astype("<u4"), cells.astype("<f4"), gain.astype("<f4"), p.astype("<f4"))
             return rows_of(SUMS, [(r[0], key[0].as_py(), *r[1:]) for r in dealt(context[by[edges]], self.parts, *columns)])
 
         def answer(key: tuple, table: pa.Table) -> pa.Table:
             sent = joined(table, "context", np.uint64)
-            kinds = (("total", np.int64), ("n", np.uint32), ("cells", np.float64), ("gain", np.float32), ("p", np.float32))
-            total, n, cells, gain, p = (joined(table, c, k).astype(np.float64) for c, k in kinds)
+            kinds = (("low", np.uint32), ("high", np.uint32), ("n", np.uint32), ("cells", np.float32), ("gain", np.float32), ("p", np.float32))
+            low, high, n, cells, gain, p = (joined(table, c, k).astype(np.float64) for c, k in kinds)
             by = np.argsort(sent, kind="stable")
             edges = X.group_starts(sent[by])[:-1]
-            context, total = sent[by[edges]], total[by[edges]]
+            context, total = sent[by[edges]], low[by[edges]] + high[by[edges]] * 2**32
             n, cells, gain, p = (np.add.reduceat(x[by], edges) if len(by) else x for x in (n, cells, gain, p))
             rest = np.maximum(total - n, 0)
             with np.errstate(divide="ignore", invalid="ignore"):
@@ -286,10 +303,9 @@ def sketched(answers: pa.Table, kind: int) -> pa.Table:
     return pa.table([own.column("range"), own.column("c1"), own.column("c2")], ["range", "cells", "level"])
 
 
-def known(answers: pa.Table, kind: int, of: type) -> tuple[Places, np.ndarray]:
-    """Places of what a block was told of a kind, and what that is; 0 for all else."""
+def of_kind(answers: pa.Table, kind: int, *columns: str):
     own = answers.filter(pa.array(answers.column("kind").to_numpy() == kind))
-    return Places(joined(own, "c1", np.uint64)), np.append(joined(own, "c2", of), of(0))
+    return zip(*(own.column(c) for c in columns))
 
 
 def place(where: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -303,10 +319,16 @@ class Counts:
 
     def __init__(self, own: Symbols, answers: pa.Table, learner: Learner):
         self.own, self.bounds, self.tokens, self.words = own, learner.bounds, learner.tokens, learner.words
-        places, counts = known(answers, WORDS, np.int64)
-        self.all = counts[places.of(own.s)]
+        code, _, index = spread(own.s[1:], own.train)
+        counts = np.zeros(len(code), np.int64)
+        places = dict(parted(code, learner.parts))
+        for part, n in of_kind(answers, WORDS, "range", "c2"):
+            counts[places[part.as_py()]] = from_planes(n.as_py())
+        self.all = np.append(counts[np.searchsorted(code, END)] if len(code) else 0, counts[index])
         self.n, self.hash = [self.all[1:]], [own.s[1:]]
-        places, counts = known(answers, RUNS, np.int64)
+        told_ = list(of_kind(answers, RUNS, "c1", "c2"))
+        places = Places(np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(v.as_py(), np.uint64) for v, _ in told_)]))
+        counts = np.concatenate([*(from_planes(n.as_py()) for _, n in told_), [0]]).astype(np.int64)
         for k in range(2, self.bounds.depth + 2):
             at = own.whole(k)
             if k > 2:  # no more frequent than its end and its beginning
@@ -362,7 +384,9 @@ def score(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     def scored(table: pa.Table, answers: pa.Table) -> pa.Table:
         own, rows = Symbols(table), table.num_rows
         counts = Counts(own, answers, learner)
-        states, left = known(answers, STATES, np.float64)
+        told_ = list(of_kind(answers, STATES, "c1", "c2"))
+        states, left = (np.concatenate([np.empty(0, k), *(np.frombuffer(r[i].as_py(), k) for r in told_)]) for i, k in enumerate((np.uint64, np.float64)))
+        states = Places(states)
         base = counts.base()
         p, depth = base.copy(), np.zeros(len(own), np.int64)
         for k, at, context, total, n in counts.contexts():
