@@ -71,6 +71,13 @@ def content_dedup(docs: DataFrame) -> DataFrame:
     return dedup(docs, F.sha2(normalized_text(F.col("text")), 256), "doc_id")
 
 
+def near_dedup(docs: DataFrame) -> DataFrame:
+    """Articles with the same words, whatever their order, number, case, spacing and marks, are near duplicates. A null
+    text has no key."""
+    words = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))))
+    return dedup(docs, F.sha2(F.array_join(words, " "), 256), "doc_id")
+
+
 def unseen(items: DataFrame, history: DataFrame, key: str) -> DataFrame:
     """Items of a run that no earlier run has, each once: running again adds nothing."""
     return items.join(history.select(key), key, "left_anti").dropDuplicates([key])

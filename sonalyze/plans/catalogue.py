@@ -428,6 +428,15 @@ def news_content_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.content_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "dedup_key", "kept")
 
 
+WORDS_SQL = r"array_to_string(list_sort(list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'))), ' ')"
+
+
+@query(f"SELECT doc_id, sha256({WORDS_SQL}) AS dedup_key, doc_id = min(doc_id) OVER (PARTITION BY {WORDS_SQL}) AS kept FROM documents")
+def news_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles of the same words"""
+    return N.near_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "dedup_key", "kept")
+
+
 @query(f"WITH p AS ({PAGES_SQL}) SELECT min(page_id) AS page_id, k FROM p WHERE k NOT IN (SELECT k FROM p WHERE page_id % 3 = 0) GROUP BY k")
 def news_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses that earlier runs have not seen"""

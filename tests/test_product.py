@@ -77,3 +77,11 @@ def test_ledger_round_trip(spark, tmp_path):
     assert ledger.tasks(spark, f"{tmp_path}/t").count() == 0 and "workflow" in ledger.tasks(spark, f"{tmp_path}/t").columns
     spark.createDataFrame([], ledger.STAGE).write.parquet(f"{tmp_path}/s")
     assert ledger.stages(spark, f"{tmp_path}/s").schema["routes"].dataType.simpleString() == "map<string,bigint>"
+
+
+def test_articles_of_the_same_words_are_near_duplicates(spark):
+    from sonalyze.operators import news as N
+
+    docs = [(3, "Rain, again: rain in Spain!"), (1, "in SPAIN again rain"), (2, "rain in spain"), (4, None), (5, None), (6, "..."), (7, "")]
+    got = {r.doc_id: r.kept for r in N.near_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: True, 2: True, 3: False, 4: True, 5: True, 6: True, 7: False}
