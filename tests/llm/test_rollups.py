@@ -132,3 +132,9 @@ def test_ids_of_null_empty_and_repeated_texts(spark):
     df = spark.createDataFrame([(1, None, "s", None, 9), (None, "", None, "en", 9), (2, "a b", "s", "en", 9), (2, "a b", "s", "en", 9)], "doc_id long, text string, source string, lang string, n_tokens long")
     got = sorted((r.n_tokens, r.doc_id or 0) for r in id_count(df, queries.BYTE_BPE).collect())
     assert got == [(0, 0), (0, 1), (2, 2), (2, 2)]
+
+
+def test_events_with_clashing_columns(spark, tmp_path):
+    rollup = Rollup(spark, str(tmp_path))
+    rollup.commit("a", spark.createDataFrame([(*ONE, 7, 8, "x")], EVENTS + ", docs long, tokens long, batch string"))
+    assert sums(rollup) == [(1, 3)]
