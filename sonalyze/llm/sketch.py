@@ -132,10 +132,10 @@ class Sketch:
             if counts is None:
                 c = capped(np.sort(c))
             else:
-                by = np.argsort(c)
-                c = c[by]
+                c = np.sort(c << np.uint64(1) | counts.astype(np.uint64))  # cells have fewer than 63 bits
+                c, own = c >> np.uint64(1), c & np.uint64(1)
                 at = X.group_starts(c)[:-1]
-                c, times = c[at], np.minimum(np.add.reduceat(counts[by].astype(np.int64), at), 255).astype(np.uint8) if len(c) else np.empty(0, np.uint8)
+                c, times = c[at], np.minimum(np.add.reduceat(own, at), 255).astype(np.uint8) if len(c) else np.empty(0, np.uint8)
             part = c >> shift
             edges, c = X.group_starts(part), (c & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.uint32)
             out += [((r << self.bits - self.range_bits) + int(part[a]), block, packed(c[a:b]), None if times is None else times[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:])]

@@ -43,7 +43,7 @@ SHORT, LONG, WORDS, RUNS, STATES = range(5)
 SENT = "part int, block int, value binary, n binary"
 #: Contexts: occurrences; over the tokens behind them in a block that are cells: how many, and sums of one by the
 #: cell's count, of the token's gain, and of the suffix's frequency by the cell's count.
-SUMS = "part int, block int, context binary, low binary, high binary, n binary, cells binary, gain binary, p binary"
+SUMS = "part int, block int, context binary, total binary, n binary, cells binary, gain binary, p binary"
 
 
 @dataclass(frozen=True)
@@ -71,6 +71,10 @@ def joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(x.as_py() for x in table.column(name) if x.is_valid), kind)
 
 
+def counts_of(table: pa.Table, name: str) -> np.ndarray:
+    return np.concatenate([np.empty(0, np.int64), *(from_planes(x.as_py()) for x in table.column(name))])
+
+
 def summed(key: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, ...]:
     """The distinct keys, sorted, and sums of the weights of each."""
     by = np.argsort(key)
@@ -86,19 +90,13 @@ def parted(value: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
     return [(int(part[by[a]]), by[a:b]) for a, b in zip(edges[:-1], edges[1:])]
 
 
-def dealt(value: np.ndarray, parts: int, *columns: np.ndarray) -> list[tuple]:
-    """(part, values, columns) as bytes."""
-    return [(p, *(x[at].tobytes() for x in (value, *columns))) for p, at in parted(value, parts)]
-
-
 def planes(n: np.ndarray) -> bytes:
-    """Counts as their lower and their higher halves: the latter are mostly zeros, which cost nothing."""
-    return (n & 0xFFFFFFFF).astype("<u4").tobytes() + (n >> 32).astype("<u4").tobytes()
+    """Counts byte by byte, all lowest bytes first: the higher ones are mostly zeros, which cost nothing."""
+    return np.ascontiguousarray(n.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
 def from_planes(blob: bytes) -> np.ndarray:
-    x = np.frombuffer(blob, "<u4").astype(np.int64)
-    return x[: len(x) // 2] | x[len(x) // 2 :] << 32
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, -1).T).view("<i8").ravel()
 
 
 class Symbols:
@@ -135,15 +133,6 @@ class Symbols:
         return np.flatnonzero(self.place >= n - 2)
 
 
-def spread(value: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct values, sums of `of` for each, and each value's index among them."""
-    by = np.argsort(value)
-    edges = X.group_starts(value[by])
-    index = np.empty(len(value), np.int64)
-    index[by] = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-    return value[by[edges[:-1]]], np.add.reduceat(of[by].astype(np.int64), edges[:-1]) if len(by) else np.empty(0, np.int64), index
-
-
 def in_a_row(at: np.ndarray, size: int) -> np.ndarray:
     """How many of the marked tokens stand in a row up to each token."""
     marked = np.zeros(size, bool)
@@ -178,7 +167,7 @@ class Learner:
         def ask(key: tuple, table: pa.Table) -> pa.Table:
             own, block = Symbols(table), key[0].as_py()
             code, n = summed(own.s[1:], own.train.astype(np.int64))
-            out = [(-1 - p, block, a, b) for p, a, b in dealt(code, self.parts, n.astype("<u4"))]
+            out = [(-1 - p, block, code[at].tobytes(), planes(n[at])) for p, at in parted(code, self.parts)]
             at = [own.whole(n) for n in (2, 3)[: self.bounds.depth]]
             keys = [own.runs(n, t) for n, t in zip((2, 3), at)]
             words = pa.table([pa.array([r[i] for r in out], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary()))], ASKED.replace(",", "").split()[::2])
@@ -188,7 +177,7 @@ class Learner:
             part = key[0].as_py()
             if part >= 0:
                 return told(self.short.answer(part, table), SHORT)
-            code, n = summed(joined(table, "cells", np.uint64), joined(table, "times", np.uint32).astype(np.int64))
+            code, n = summed(joined(table, "cells", np.uint64), counts_of(table, "times"))
             out = [(-1, WORDS, int(n.sum()), None, None), (-2, WORDS, int((n > 0).sum()), None, None)]
             for block, own in zip(table.column("block").to_pylist(), table.column("cells")):
                 out.append((block, WORDS, -1 - part, None, planes(n[np.searchsorted(code, np.frombuffer(own.as_py(), np.uint64))])))
@@ -200,19 +189,20 @@ class Learner:
         self.told |= {k: both.where((F.col("block") >= 0) & (F.col("kind") == k)) for k in (SHORT, WORDS)}
 
     def frequent(self, own: Symbols, answers: pa.Table, lengths: range) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each length, the runs that may be frequent, how often they occur in training, and the tokens that end
-        one. A run of more than three is looked at only where the runs of three in it may be frequent."""
+        """For each length, the runs that may be frequent, whether they are of training, and the tokens that end
+        them. A run of more than three is looked at only where the runs of three in it may be frequent."""
         out, marked = [], None
         heard = {k: s.heard(sketched(answers, k)) for k, s in ((SHORT, self.short), (LONG, self.long))}
         for n in lengths:
             at = own.whole(n)
             if n > 3:
                 at = at[marked[at] >= n - 2]
-            runs, times, index = spread(own.runs(n, at), own.train[at])
+            runs = own.runs(n, at)
             live = heard[SHORT if n < 4 else LONG].level(runs) >= self.bounds.cell.bit_length() - 1
+            at, runs = at[live], runs[live]
             if n == 3:
-                marked = in_a_row(at[live[index]], len(own))
-            out.append((runs[live], times[live], at[live[index]]))
+                marked = in_a_row(at, len(own))
+            out.append((runs, own.train[at], at))
         return out
 
     def sketch_longer(self) -> None:
@@ -234,11 +224,11 @@ class Learner:
     def count_runs(self) -> None:
         def ask(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
             found = self.frequent(Symbols(table), answers, range(2, self.bounds.depth + 2))
-            runs, n = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-            return rows_of(SENT, [(p, key[0].as_py(), a, b) for p, a, b in dealt(runs, self.parts, n.astype("<u4"))])
+            runs, n = summed(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]).astype(np.int64))
+            return rows_of(SENT, [(p, key[0].as_py(), runs[at].tobytes(), planes(n[at])) for p, at in parted(runs, self.parts)])
 
         def answer(key: tuple, table: pa.Table) -> pa.Table:
-            runs, n = summed(joined(table, "value", np.uint64), joined(table, "n", np.uint32).astype(np.int64))
+            runs, n = summed(joined(table, "value", np.uint64), counts_of(table, "n"))
             out = []
             for block, own in zip(table.column("block").to_pylist(), table.column("value")):
                 own = np.frombuffer(own.as_py(), np.uint64)
@@ -258,7 +248,7 @@ class Learner:
             own = Symbols(table)
             counts = Counts(own, answers, self)
             got: list[list[np.ndarray]] = [[np.empty(0, np.uint64)], *([np.empty(0)] for _ in range(5))]
-            for k, at, context, total, n in counts.contexts():
+            for k, at, context, total, n in counts.contexts(2):
                 cell = (n > 0) & own.train[at]
                 p, times = counts.frequency(k, at), np.maximum(n, 1)
                 gain = np.log(n[cell] / (total[cell] * p[cell]))
@@ -268,16 +258,26 @@ class Learner:
             by = np.argsort(context)
             edges = X.group_starts(context[by])[:-1]
             n, cells, gain, p = (np.add.reduceat(x[by], edges) if len(by) else x for x in sums)
-            columns = (total[by[edges]].astype("<u4"), (total[by[edges]] / 2**32).astype("<u4"), n.astype("<u4"), cells.astype("<f4"), gain.astype("<f4"), p.astype("<f4"))
-            return rows_of(SUMS, [(r[0], key[0].as_py(), *r[1:]) for r in dealt(context[by[edges]], self.parts, *columns)])
+            context, total = context[by[edges]], total[by[edges]].astype(np.int64)
+            # contexts of one symbol, by that symbol's place among the block's
+            index = np.append(np.searchsorted(counts.code, END), counts.index)[:-1]
+            k, at, _, _, follows = next(counts.contexts())
+            cell = np.flatnonzero((follows > 0) & own.train[at])
+            own_, tail, m = index[at[cell]], at[cell], follows[cell]
+            f = counts.frequency(1, tail)
+            first = [np.bincount(own_, x, len(counts.code)) for x in (None, 1 / m, np.log(m / (counts.all[tail] * f)), f / m)]
+            often = np.flatnonzero(counts.count >= self.bounds.state)
+            context, total = np.append(counts.code[often], context), np.append(counts.count[often], total)
+            n, cells, gain, p = (np.append(a[often], b) for a, b in zip(first, (n, cells, gain, p)))
+            return rows_of(SUMS, [(part, key[0].as_py(), context[at].tobytes(), planes(total[at]), planes(n[at].astype(np.int64)), *(x[at].astype("<f4").tobytes() for x in (cells, gain, p))) for part, at in parted(context, self.parts)])
 
         def answer(key: tuple, table: pa.Table) -> pa.Table:
             sent = joined(table, "context", np.uint64)
-            kinds = (("low", np.uint32), ("high", np.uint32), ("n", np.uint32), ("cells", np.float32), ("gain", np.float32), ("p", np.float32))
-            low, high, n, cells, gain, p = (joined(table, c, k).astype(np.float64) for c, k in kinds)
+            total, n = (counts_of(table, c).astype(np.float64) for c in ("total", "n"))
+            cells, gain, p = (joined(table, c, np.float32).astype(np.float64) for c in ("cells", "gain", "p"))
             by = np.argsort(sent, kind="stable")
             edges = X.group_starts(sent[by])[:-1]
-            context, total = sent[by[edges]], low[by[edges]] + high[by[edges]] * 2**32
+            context, total = sent[by[edges]], total[by[edges]]
             n, cells, gain, p = (np.add.reduceat(x[by], edges) if len(by) else x for x in (n, cells, gain, p))
             rest = np.maximum(total - n, 0)
             with np.errstate(divide="ignore", invalid="ignore"):
@@ -319,8 +319,9 @@ class Counts:
 
     def __init__(self, own: Symbols, answers: pa.Table, learner: Learner):
         self.own, self.bounds, self.tokens, self.words = own, learner.bounds, learner.tokens, learner.words
-        code, _, index = spread(own.s[1:], own.train)
-        counts = np.zeros(len(code), np.int64)
+        self.code = code = np.unique(own.s[1:])
+        self.index = index = Places(code).of(own.s[1:])
+        self.count = counts = np.zeros(len(code), np.int64)
         places = dict(parted(code, learner.parts))
         for part, n in of_kind(answers, WORDS, "range", "c2"):
             counts[places[part.as_py()]] = from_planes(n.as_py())
@@ -346,9 +347,9 @@ class Counts:
         """Of the k symbols before each token."""
         return self.all[at] if k == 1 else self.n[k - 1][at - 1]
 
-    def contexts(self):
-        """For each length: the tokens whose context may be a state, the context, its count, and that of the cell."""
-        for k in range(1, self.bounds.depth + 1):
+    def contexts(self, first: int = 1):
+        """For each length from the first on: the tokens whose context may be a state, the context, its count, and that of the cell."""
+        for k in range(first, self.bounds.depth + 1):
             at = self.own.whole(k + 1)
             total = self.total(k, at)
             often = total >= self.bounds.state
