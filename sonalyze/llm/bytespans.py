@@ -155,6 +155,7 @@ def dedup_bytes(docs: DataFrame, window: int = 100, max_bits: int = 62, hot: int
     sketch = Sketch(blocks, keys, total * 2 // window, rows=2, max_bits=max_bits)
 
     def found(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+        X.trim()
         block, (ids, texts), repeats = key[0].as_py(), blocks.distinct(table), sketch.heard(answers)
         got: list[list[np.ndarray]] = [[np.empty(0, k)] for k in (np.uint32, np.uint32, np.uint32, np.uint64, np.uint64, np.uint64, np.uint8)]
         single: list[list[np.ndarray]] = [[np.empty(0, k)] for k in (np.uint64, np.uint64, np.uint32, np.uint32)]

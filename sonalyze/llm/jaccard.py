@@ -62,6 +62,7 @@ def similar_sets(docs: DataFrame, size: int, percent: int, max_bits: int) -> Dat
     sketch = Sketch(blocks, keys, n_bytes // 6, max_bits=max_bits)
 
     def run(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+        X.trim()
         (ids, texts), number, repeats = blocks.distinct(table), blocks.ranks(table)[1], sketch.heard(answers)
         begun, sent, out = key[0].as_py() << 32, set(), []
         for i, found in enumerate(shingle_sets(texts, size)):

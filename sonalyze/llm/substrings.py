@@ -111,6 +111,7 @@ def dedup_substrings(docs: DataFrame, window: int = 20, max_bits: int = 62, rejo
     sketch = Sketch(blocks, keys, size // 40, rows=2, max_bits=max_bits)
 
     def found(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+        X.trim()
         block, (ids, texts), repeats = key[0].as_py(), blocks.distinct(table), sketch.heard(answers)
         got: list[list[np.ndarray]] = [[np.empty(0, k)] for k in (np.uint64, np.uint64, np.uint32, np.uint32)]
         for c in X.chunks(texts):

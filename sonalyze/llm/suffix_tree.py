@@ -104,14 +104,15 @@ class Symbols:
     the row and the place in it, and whether it is of training."""
 
     def __init__(self, table: pa.Table):
-        s, row, place = [np.array([END])], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        X.trim()
+        s, row, place = [np.array([END])], [np.empty(0, np.int32)], [np.empty(0, np.int32)]
         for c in X.chunks(table.column(1)):
             w = X.words(c, lower=True)
             own, sizes = np.full(len(w.codes) + c.n, END), np.diff(w.bounds) + 1
             own[np.arange(len(w.codes)) + w.text] = w.codes
             s.append(own)
-            row.append(np.repeat(np.arange(c.first, c.first + c.n), sizes))
-            place.append(np.arange(len(own)) - np.repeat(np.cumsum(sizes) - sizes, sizes))
+            row.append(np.repeat(np.arange(c.first, c.first + c.n, dtype=np.int32), sizes))
+            place.append((np.arange(len(own)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32))
         self.s, self.row, self.place = map(np.concatenate, (s, row, place))
         self.training = np.array([not held_out(k) for k in table.column(0).to_pylist()], bool)
         self.train = self.training[self.row]
@@ -254,6 +255,7 @@ class Learner:
                 gain = np.log(n[cell] / (total[cell] * p[cell]))
                 for g, x in zip(got, (context, total, cell, np.where(cell, 1 / times, 0), place(cell, gain), np.where(cell, p / times, 0))):
                     g.append(x.astype(np.float64) if g is not got[0] else x)
+                del context, total, cell, p, times, gain
             context, total, *sums = map(np.concatenate, got)
             by = np.argsort(context)
             edges = X.group_starts(context[by])[:-1]
@@ -326,7 +328,7 @@ class Counts:
         for part, n in of_kind(answers, WORDS, "range", "c2"):
             counts[places[part.as_py()]] = from_planes(n.as_py())
         self.all = np.append(counts[np.searchsorted(code, END)] if len(code) else 0, counts[index])
-        self.n, self.hash = [self.all[1:]], [own.s[1:]]
+        self.n = [self.all[1:]]
         told_ = list(of_kind(answers, RUNS, "c1", "c2"))
         places = Places(np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(v.as_py(), np.uint64) for v, _ in told_)]))
         counts = np.concatenate([*(from_planes(n.as_py()) for _, n in told_), [0]]).astype(np.int64)
@@ -334,11 +336,9 @@ class Counts:
             at = own.whole(k)
             if k > 2:  # no more frequent than its end and its beginning
                 at = at[(self.n[-1][at] > 0) & (self.n[-1][at - 1] > 0)]
-            runs = own.runs(k, at)
-            n, hash_ = np.zeros(len(own), np.int64), np.zeros(len(own), np.uint64)
-            n[at], hash_[at] = counts[places.of(runs)], runs
+            n = np.zeros(len(own), np.int64)
+            n[at] = counts[places.of(own.runs(k, at))]
             self.n.append(n)
-            self.hash.append(hash_)
 
     def base(self) -> np.ndarray:
         return (self.n[0] + ADDED) / (self.tokens + ADDED * (self.words + 1))
@@ -354,7 +354,7 @@ class Counts:
             total = self.total(k, at)
             often = total >= self.bounds.state
             at, total = at[often], total[often]
-            yield k, at, self.own.s[at] if k == 1 else self.hash[k - 1][at - 1], total, self.n[k][at]
+            yield k, at, self.own.runs(k, at - 1), total, self.n[k][at]
 
     def frequency(self, k: int, at: np.ndarray) -> np.ndarray:
         """Of each token behind the suffix of its context of k symbols; where it is a cell of the context."""

@@ -232,10 +232,15 @@ def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
         if not tokens and (module := sys.modules.get("sonalyze.llm.tokens")):
             module.release()
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
-        except (OSError, AttributeError):  # another C library keeps what it keeps
-            pass
+        trim()
 
     return tidy
+
+
+def trim() -> None:
+    """Give free memory back to the system: arrays of some MB come from the heap, which keeps it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps what it keeps
+        pass
