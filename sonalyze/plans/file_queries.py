@@ -154,7 +154,7 @@ def raw_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 EPISODE = [("爸爸", "你好，\"ab\"。", "calm"), ("女儿", "第3句说完", None), ("女儿", "a\nb", "happy"), ("爸爸", "第4句", None), ("爸爸", "第5句", "calm"), ("爸爸", "第6句", None), ("女儿", "第７句", "unknown")]
 
 
-@query("""SELECT * FROM (VALUES
+@query("""SELECT * REPLACE (CAST(line_id AS BIGINT) AS line_id, CAST(priority AS BIGINT) AS priority) FROM (VALUES
     (4, '爸爸', '第4句', NULL, NULL::DOUBLE, 'missing_audio', 120, 'missing_audio', 'ep_round2', 1),
     (6, '爸爸', '第6句', NULL, NULL, 'assessment_error', 120, 'assessment_error', 'ep_round2', 2),
     (1, '爸爸', '你好，"ab"。', '第1句', 1.0, 'asr_mismatch;emotion_mismatch', 160, 'asr_mismatch; emotion_mismatch', 'ep_round2', 0),
@@ -278,7 +278,7 @@ SHOP = Workflow("shop", 1, (Stage("a", "item"), Stage("b", "item", ("lost",)), S
 SHOP_SQL = "SELECT conv_id AS task_id, list_value('a', 'b', 'c')[CAST((conv_id + turn) % 3 + 1 AS INT)] AS stage_key, turn + 1 AS actual_seq, CASE WHEN length(text) % 3 = 0 THEN 'failed' ELSE 'succeeded' END AS status FROM conversations"
 
 
-@query("SELECT * FROM (VALUES ('shop', 1, 'a', 1, 'item', 'input = output', true), ('shop', 1, 'b', 2, 'item', 'input = output + lost', true), ('shop', 1, 'c', 3, 'item', 'input = output', true)) v(workflow, version, stage_key, expected_seq, unit, formula, hard)")
+@query("SELECT * REPLACE (CAST(version AS BIGINT) AS version, CAST(expected_seq AS BIGINT) AS expected_seq) FROM (VALUES ('shop', 1, 'a', 1, 'item', 'input = output', true), ('shop', 1, 'b', 2, 'item', 'input = output + lost', true), ('shop', 1, 'c', 3, 'item', 'input = output', true)) v(workflow, version, stage_key, expected_seq, unit, formula, hard)")
 def workflow_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U4: what a module declares that no operator knows by name"""
     return Registry(SHOP).definitions(spark).select("workflow", *wide("version"), "stage_key", *wide("expected_seq"), "unit", "formula", "hard")
