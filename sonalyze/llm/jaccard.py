@@ -29,7 +29,8 @@ from sonalyze.llm.shared import cut, discard, stored
 from sonalyze.llm.sketch import Blocks, Sketch, text_bytes
 
 FRAGMENTS, SALTS = 8, 16
-#: Sets of one n-gram that a task pairs.
+#: Bytes of text of a block, whose sets a task holds; sets of one n-gram that a task pairs.
+BLOCK_BYTES = 4 << 20
 TILE_ROWS = 500
 SETS = "doc_id long, row long, n long, s1 long, s2 long, before int, prefix array<long>, grams array<long>"
 
@@ -54,7 +55,7 @@ def similar_sets(docs: DataFrame, size: int, percent: int, max_bits: int) -> Dat
     """A row for each document, by which row differs from others (row). Where it may link and is the first of its set
     in its block, its n-grams by hash (grams) and its prefix, which begins behind `before` n-grams of its own."""
     n_bytes = text_bytes(docs)
-    blocks = Blocks(docs.select("doc_id", "text"), n_bytes)
+    blocks = Blocks(docs.select("doc_id", "text"), n_bytes, BLOCK_BYTES)
 
     def keys(column: pa.Array) -> np.ndarray:
         return np.concatenate([np.empty(0, np.uint64), *shingle_sets(column, size)])
