@@ -8,13 +8,12 @@ are cells, with a mass of their own by absolute discounting; the rest is left to
 add-constant distribution of words, so every state sums to one. Each token is scored in its longest suffix state.
 All bounds are counts, none a share of the corpus: the tree grows with it (Bounds).
 
-Nothing is broadcast. Texts are in blocks, which are read five times:
+Nothing is broadcast. Texts are in blocks, which are read four times:
 1. words are counted exactly, and runs of two and three symbols sketched, by range of cells;
-2. longer runs are sketched, where all runs of three in them may be frequent;
-3. runs that may be frequent are counted exactly;
-4. the counts of a run, of its beginning and of its end give each token's gain in each context; a block sums them
+2. runs that may be frequent are counted exactly, longer ones where all runs of three in them may be frequent;
+3. the counts of a run, of its beginning and of its end give each token's gain in each context; a block sums them
    by context, and parts dealt by context sum over blocks: a frequent context is a row a block;
-5. texts are scored with the states, counts and words that their block was told of.
+4. texts are scored with the states, counts and words that their block was told of.
 """
 
 from __future__ import annotations
@@ -39,7 +38,7 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 #: What a block is told: values and what there is to know of them, by kind. Counts of words come by part (range), in
 #: the order in which the block asks about its words.
 TOLD = "block int, kind int, range long, c1 binary, c2 binary"
-SHORT, LONG, WORDS, RUNS, STATES = range(5)
+SKETCH, WORDS, RUNS, STATES = range(4)
 SENT = "part int, block int, value binary, n binary"
 #: Contexts: occurrences; over the tokens behind them in a block that are cells: how many, and sums of one by the
 #: cell's count, of the token's gain, and of the suffix's frequency by the cell's count.
@@ -150,7 +149,7 @@ class Learner:
         size, self.bounds = text_bytes(docs), bounds
         self.blocks, self.parts = Blocks(docs, size, BLOCK_BYTES), n_buckets(docs.sparkSession, size, PART_BYTES)
         # about a word in six bytes; words of held-out texts are asked about
-        self.short, self.long = (Sketch(self.blocks, None, n * size // 6, least=bounds.cell.bit_length() - 1) for n in (2, max(bounds.depth - 2, 1)))
+        self.sketch = Sketch(self.blocks, None, 2 * size // 6, least=bounds.cell.bit_length() - 1)
         self.told: dict[int, DataFrame] = {}
         self.tokens = self.words = 0
 
@@ -172,12 +171,12 @@ class Learner:
             at = [own.whole(n) for n in (2, 3)[: self.bounds.depth]]
             keys = [own.runs(n, t) for n, t in zip((2, 3), at)]
             words = pa.table([pa.array([r[i] for r in out], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary()))], ASKED.replace(",", "").split()[::2])
-            return pa.concat_tables([words, self.short.ask(block, np.concatenate(keys), np.concatenate([own.train[t] for t in at]))])
+            return pa.concat_tables([words, self.sketch.ask(block, np.concatenate(keys), np.concatenate([own.train[t] for t in at]))])
 
         def answer(key: tuple, table: pa.Table) -> pa.Table:
             part = key[0].as_py()
             if part >= 0:
-                return told(self.short.answer(part, table), SHORT)
+                return told(self.sketch.answer(part, table))
             code, n = summed(joined(table, "cells", np.uint64), counts_of(table, "times"))
             out = [(-1, WORDS, int(n.sum()), None, None), (-2, WORDS, int((n > 0).sum()), None, None)]
             for block, own in zip(table.column("block").to_pylist(), table.column("cells")):
@@ -187,45 +186,30 @@ class Learner:
         both = self.first = stored(self.blocks.grouped().applyInArrow(ask, ASKED).groupBy("range").applyInArrow(answer, TOLD), "tree-words")
         sums = {r["block"]: r["n"] for r in both.where("block < 0").groupBy("block").agg(F.sum("range").alias("n")).collect()}
         self.tokens, self.words = sums.get(-1, 0), sums.get(-2, 0)
-        self.told |= {k: both.where((F.col("block") >= 0) & (F.col("kind") == k)) for k in (SHORT, WORDS)}
-
-    def frequent(self, own: Symbols, answers: pa.Table, lengths: range) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each length, the runs that may be frequent, whether they are of training, and the tokens that end
-        them. A run of more than three is looked at only where the runs of three in it may be frequent."""
-        out, marked = [], None
-        heard = {k: s.heard(sketched(answers, k)) for k, s in ((SHORT, self.short), (LONG, self.long))}
-        for n in lengths:
+        self.told |= {k: both.where((F.col("block") >= 0) & (F.col("kind") == k)) for k in (SKETCH, WORDS)}
+
+    def frequent(self, own: Symbols, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """The runs of all lengths that may be frequent, and whether they are of training. Of a run of more than three,
+        all runs of three may be frequent."""
+        heard, runs, train, marked = self.sketch.heard(sketched(answers)), [], [], None
+        for n in range(2, self.bounds.depth + 2):
             at = own.whole(n)
             if n > 3:
                 at = at[marked[at] >= n - 2]
-            runs = own.runs(n, at)
-            live = heard[SHORT if n < 4 else LONG].level(runs) >= self.bounds.cell.bit_length() - 1
-            at, runs = at[live], runs[live]
+            found = own.runs(n, at)
+            if n < 4:
+                live = heard.level(found) >= self.bounds.cell.bit_length() - 1
+                at, found = at[live], found[live]
             if n == 3:
                 marked = in_a_row(at, len(own))
-            out.append((runs, own.train[at], at))
-        return out
-
-    def sketch_longer(self) -> None:
-        def ask(table: pa.Table, answers: pa.Table, block: int) -> pa.Table:
-            own = Symbols(table)
-            marked = in_a_row(self.frequent(own, answers, range(3, 4))[0][2], len(own))
-            at = [t[marked[t] >= n - 2] for n in range(4, self.bounds.depth + 2) for t in (own.whole(n),)]
-            keys = [own.runs(n, t) for n, t in zip(range(4, self.bounds.depth + 2), at)]
-            return self.long.ask(block, np.concatenate(keys), np.concatenate([own.train[t] for t in at]))
-
-        def asked(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
-            return ask(table, answers, key[0].as_py())
-
-        def answer(key: tuple, table: pa.Table) -> pa.Table:
-            return told(self.long.answer(key[0].as_py(), table), LONG)
-
-        self.told[LONG] = stored(self.with_answers(SHORT).applyInArrow(asked, ASKED).groupBy("range").applyInArrow(answer, TOLD), "tree-longer")
+            runs.append(found)
+            train.append(own.train[at])
+        return np.concatenate(runs), np.concatenate(train)
 
     def count_runs(self) -> None:
         def ask(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
-            found = self.frequent(Symbols(table), answers, range(2, self.bounds.depth + 2))
-            runs, n = summed(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]).astype(np.int64))
+            runs, train = self.frequent(Symbols(table), answers)
+            runs, n = summed(runs, train.astype(np.int64))
             return rows_of(SENT, [(p, key[0].as_py(), runs[at].tobytes(), planes(n[at])) for p, at in parted(runs, self.parts)])
 
         def answer(key: tuple, table: pa.Table) -> pa.Table:
@@ -238,11 +222,10 @@ class Learner:
                 out.append((block, RUNS, key[0].as_py(), own[often].tobytes(), planes(mine[often])))
             return rows_of(TOLD, out)
 
-        kinds = (SHORT, LONG) if LONG in self.told else (SHORT,)
-        self.told[RUNS] = stored(self.with_answers(*kinds).applyInArrow(ask, SENT).groupBy("part").applyInArrow(answer, TOLD), "tree-runs")
+        self.told[RUNS] = stored(self.with_answers(SKETCH).applyInArrow(ask, SENT).groupBy("part").applyInArrow(answer, TOLD), "tree-runs")
         words = self.told.pop(WORDS)
         self.told[WORDS] = stored(words, "tree-counts")
-        discard(self.first, *([self.told[LONG]] if LONG in self.told else []))
+        discard(self.first)
 
     def choose_states(self) -> None:
         def ask(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -295,13 +278,13 @@ class Learner:
         self.told[STATES] = stored(self.with_answers(WORDS, RUNS).applyInArrow(ask, SUMS).groupBy("part").applyInArrow(answer, TOLD), "tree-states")
 
 
-def told(answers: pa.Table, kind: int) -> pa.Table:
-    columns = [answers.column("block"), pa.array([kind] * len(answers), pa.int32()), answers.column("range"), answers.column("cells"), answers.column("level")]
+def told(answers: pa.Table) -> pa.Table:
+    columns = [answers.column("block"), pa.array([SKETCH] * len(answers), pa.int32()), answers.column("range"), answers.column("cells"), answers.column("level")]
     return pa.table(columns, TOLD.replace(",", "").split()[::2])
 
 
-def sketched(answers: pa.Table, kind: int) -> pa.Table:
-    own = answers.filter(pa.array(answers.column("kind").to_numpy() == kind))
+def sketched(answers: pa.Table) -> pa.Table:
+    own = answers.filter(pa.array(answers.column("kind").to_numpy() == SKETCH))
     return pa.table([own.column("range"), own.column("c1"), own.column("c2")], ["range", "cells", "level"])
 
 
@@ -364,8 +347,6 @@ class Counts:
 def learn(docs: DataFrame, bounds: Bounds) -> Learner:
     learner = Learner(docs, bounds)
     learner.sketch_words()
-    if bounds.depth > 2:
-        learner.sketch_longer()
     learner.count_runs()
     learner.choose_states()
     return learner
