@@ -32,7 +32,7 @@ from sonalyze.llm.sketch import ASKED, Blocks, Places, Sketch, text_bytes
 
 DISCOUNT, ADDED = 0.75, 0.1
 #: Bytes of text that a block, and a part of words, runs or contexts, are made for.
-BLOCK_BYTES, PART_BYTES = 8 << 20, 16 << 20
+BLOCK_BYTES, PART_BYTES = 6 << 20, 16 << 20
 END = np.uint64(0x5851F42D4C957F2D)
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, state_share double"
 #: What a block is told: values and what there is to know of them, by kind. Counts of words come by part (range), in
