@@ -51,3 +51,29 @@ reach AS (SELECT DISTINCT r AS id, r FROM rep UNION SELECT reach.id, links.b FRO
 c AS (SELECT id, min(r) AS component FROM reach GROUP BY id)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, d.doc_id) AS component_id FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN rep ON d.doc_id = rep.doc_id LEFT JOIN c ON rep.r = c.id
 """
+
+
+def secrets() -> str:
+    """Matches are placed by what lies between them; windows of candidates are counted whole, each by itself."""
+    from sonalyze.llm.secrets import ALLOWED, ASSIGN, ASSIGN_VALUE, CLASSES, FORMS
+
+    quoted = lambda p: "'" + p.replace("'", "''") + "'"
+    kinds = [*FORMS, *((c.name, c.chars + "{" + str(c.window) + ",}") for c in CLASSES)]
+    scans = " UNION ALL ".join(f"SELECT id, t, {k} AS k, '{n}' AS kind, string_split_regex(t, {quoted(p)}) AS gaps, regexp_extract_all(t, {quoted(p)}) AS hits FROM d" for k, (n, p) in enumerate(kinds))
+    fits = " OR ".join(f"k = {len(FORMS) + i} AND " + " AND ".join([f"regexp_matches(hit, {quoted(p)})" for p in c.holds] + [f"NOT regexp_matches(hit, {quoted(p)})" for p in ALLOWED]) for i, c in enumerate(CLASSES))
+    tops = " ".join(f"WHEN {len(FORMS) + i} THEN {c.most}" for i, c in enumerate(CLASSES))
+    w = CLASSES[0].window
+    values = [sum(CLASSES[0].steps[:c]) for c in range(w + 1)]
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS t FROM documents), scans AS ({scans}),
+found AS (SELECT id, k, kind, hits[i] AS hit, list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS s FROM scans, unnest(range(1, len(hits) + 1)) r(i)),
+base AS (SELECT id, k, kind, s, s + length(hit) AS e FROM found WHERE k < {len(FORMS)} AND (k > 0 OR length(regexp_extract(hit, {quoted(ASSIGN)}, 2)) >= {ASSIGN_VALUE})),
+wins AS (SELECT id, k, kind, s, s + a AS a, substr(hit, CAST(a AS BIGINT) + 1, {w}) AS win FROM found, unnest(range(0, length(hit) - {w - 1})) r(a) WHERE {fits}),
+high AS (SELECT DISTINCT id, k, kind, s, a FROM (SELECT id, k, kind, s, a, c, count(*) AS n FROM (SELECT *, unnest(string_split(win, '')) AS c FROM wins) GROUP BY ALL) GROUP BY id, k, kind, s, a HAVING sum(({values})[n + 1]) <= CASE k {tops} END),
+runs AS (SELECT *, sum(CASE WHEN a - p <= {w} THEN 0 ELSE 1 END) OVER (PARTITION BY id, k, s ORDER BY a) AS run FROM (SELECT *, lag(a) OVER (PARTITION BY id, k, s ORDER BY a) AS p FROM high)),
+more AS (SELECT id, k, kind, min(a) AS s, max(a) + {w} AS e FROM runs GROUP BY id, k, kind, s, run),
+own AS (SELECT * FROM more WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.id = more.id AND b.s <= more.s AND more.e <= b.e)),
+b AS (SELECT id, count(*) FILTER (k = 0) AS a, count(*) FILTER (k = 1) AS c, count(*) FILTER (k = 2) AS h, string_agg(concat_ws(':', kind, CAST(s AS BIGINT), CAST(e AS BIGINT)), ',' ORDER BY s, k) AS x FROM base GROUP BY id),
+o AS (SELECT id, string_agg(concat_ws(':', kind, CAST(s AS BIGINT), CAST(e AS BIGINT)), ',' ORDER BY s, k) AS x FROM (SELECT * FROM base UNION ALL SELECT * FROM own) GROUP BY id)
+SELECT doc_id, coalesce(b.a, 0) AS n_assign, coalesce(b.c, 0) AS n_access, coalesce(b.h, 0) AS n_hex, sha256(coalesce(b.x, '')) AS base_sha256, coalesce(o.x, '') AS spans FROM d LEFT JOIN b USING (id) LEFT JOIN o USING (id)
+"""
