@@ -139,10 +139,16 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(listed("base"), 256).alias("base_sha256"), listed(in_order("base", "added")).alias("spans"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sonalyze.llm.divergence import divergence
+
+    return divergence(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if (name.startswith("op") or name == "word_rollup") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_decontamination": sql.DECONTAMINATION, "op3_substring_dedup": sql.SUBSTRINGS, "word_rollup": ROLLUP_SQL, "op7_embedding_dedup": sql.EMBEDDINGS, "op10_jaccard_join": sql.JACCARD,
-            "op11_secret_scan": sql.secrets()}
+            "op11_secret_scan": sql.secrets(), "op13_source_divergence": sql.DIVERGENCE}

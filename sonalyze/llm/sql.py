@@ -77,3 +77,18 @@ b AS (SELECT id, count(*) FILTER (k = 0) AS a, count(*) FILTER (k = 1) AS c, cou
 o AS (SELECT id, string_agg(concat_ws(':', kind, CAST(s AS BIGINT), CAST(e AS BIGINT)), ',' ORDER BY s, k) AS x FROM (SELECT * FROM base UNION ALL SELECT * FROM own) GROUP BY id)
 SELECT doc_id, coalesce(b.a, 0) AS n_assign, coalesce(b.c, 0) AS n_access, coalesce(b.h, 0) AS n_hex, sha256(coalesce(b.x, '')) AS base_sha256, coalesce(o.x, '') AS spans FROM d LEFT JOIN b USING (id) LEFT JOIN o USING (id)
 """
+
+DIVERGENCE = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+o AS (SELECT id, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM d),
+kept AS (SELECT lang, w FROM o GROUP BY lang, w HAVING count(DISTINCT id) >= 30), v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, w, count(*) AS c FROM o JOIN kept USING (lang, w) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(sum(c), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (SELECT g.lang, g.source, kept.w, coalesce(c, 0) AS c, 1 + CAST(1000000000 AS HUGEINT) * (coalesce(c, 0) + 5) // (n + 5 * v) AS p FROM g JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, w)),
+q AS (SELECT lang, w, 1 + CAST(1000000000 AS HUGEINT) * (sum(c) + 5) // (any_value(n) + 5 * any_value(v)) AS q FROM c JOIN (SELECT lang, sum(n) AS n FROM g GROUP BY lang) USING (lang) JOIN v USING (lang) GROUP BY lang, w),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.w = b.w AND a.source <> b.source GROUP BY ALL),
+both_ AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, w AS item, p - q AS value FROM p JOIN q USING (lang, w) WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM both_ UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
