@@ -139,6 +139,34 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(listed("base"), 256).alias("base_sha256"), listed(in_order("base", "added")).alias("spans"))
 
 
+#: D, U and P may come so long after the row before.
+CLICK_GAP = 600_000_000
+
+
+def falling_or_rising(sign: int):
+    def fits(now: dict, before: dict, has_before):
+        return has_before & (sign * (now["value"] - before["value"]) > 0) & now["calm"].astype(bool) & (now["ts"] - before["ts"] <= CLICK_GAP)
+
+    return fits
+
+
+def op12_row_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A (D|U)*? P over the clicks of each client. A value that is no number of cents in 63 bits fits no letter."""
+    from sonalyze.llm.patterns import Either, Letter, Many, Seq
+    from sonalyze.llm.row_matching import Condition, match_rows
+
+    cents = F.floor(100 * F.col("value") + 0.5)
+    cents = F.when(F.abs("value") < 9e16, cents)
+    features = {"ts": F.col("ts"), "calm": F.col("kind").isNotNull() & (F.col("kind") != "error"), "bought": F.col("kind") == "purchase"}
+    letters = {
+        "A": Condition(lambda now, before, has_before: has_before | True), "D": Condition(falling_or_rising(-1)), "U": Condition(falling_or_rising(1)),
+        "P": Condition(lambda now, before, has_before: has_before & now["bought"].astype(bool) & (now["ts"] - before["ts"] <= CLICK_GAP), at_least_first=True),
+    }
+    pattern = Seq((Letter("A"), Many(Either((Letter("D"), Letter("U"))), lazy=True), Letter("P")))
+    found = match_rows(table(spark, sf_dir, "clicks"), "client_id", ["ts", "click_id"], "click_id", cents, features, letters, pattern)
+    return found.select("client_id", "match_no", "first_id", "last_id", "n_rows", F.col("sum_value").alias("sum_cents"), F.sha2("labels", 256).alias("labels_sha256"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sonalyze.llm.divergence import divergence
 
