@@ -56,11 +56,12 @@ def run_id(stem: Column, round_number: int) -> Column:
     return F.format_string("%s_round%d", stem, F.lit(round_number))
 
 
-def listening_queue(records: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Records as flat rows, the most urgent first; equal ones in the order of their lines."""
+def listening_queue(records: DataFrame, by: list[str] | None = None, ordered: bool = True) -> DataFrame:
+    """Records as flat rows, the most urgent first, if ordered; equal ones in the order of their lines."""
     flat = records.withColumns({"expected_emotion_group": F.array_join("expected_emotion_group", ";"), "flags": F.array_join("flags", ";"), "decision_status": F.col("decision.status"), "decision_reason": F.col("decision.reason")})
     by = by or []
-    return flat.select(*by, *QUEUE).orderBy(*by, F.desc("priority"), "line_id")
+    rows = flat.select(*by, *QUEUE)
+    return rows.orderBy(*by, F.desc("priority"), "line_id") if ordered else rows
 
 
 def fix_items(records: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -85,9 +86,9 @@ def summaries(records: DataFrame, by: list[str]) -> DataFrame:
     return records.groupBy(*by).agg(F.count("*").alias("lines"), F.count_if(F.size("flags") > 0).alias("review_required"))
 
 
-def raw_records(records: DataFrame, stem: Column, round_number: int, detector: dict[str, str]) -> DataFrame:
-    """What the detector said of each line: records with audio_path, raw_output and error."""
+def raw_records(records: DataFrame, stem: Column, round_number: int, detector: dict[str, str], by: list[str] | None = None) -> DataFrame:
+    """What the detector said of each line: records with audio_path, raw_output and error; by: columns to keep beside."""
     found = F.struct(*(F.lit(v).alias(k) for k, v in detector.items()), F.col("raw_output"), F.col("error"))
     planned = F.col("planned_emotion")
     cues = F.when(planned.isNull() | (planned == ""), F.array().cast("array<string>")).otherwise(F.array(planned))
-    return records.select(run_id(stem, round_number).alias("run_id"), "line_id", "speaker", "audio_path", "tts_text", cues.alias("planned_cues"), "expected_emotion_group", F.array(found).alias("detectors"), "decision")
+    return records.select(*(by or []), run_id(stem, round_number).alias("run_id"), "line_id", "speaker", "audio_path", "tts_text", cues.alias("planned_cues"), "expected_emotion_group", F.array(found).alias("detectors"), "decision")

@@ -3,11 +3,7 @@ shared folder, made of the test tables, and read it with the sources."""
 
 from __future__ import annotations
 
-import json
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sonalyze.functions.detectors import Detector
@@ -19,7 +15,9 @@ from sonalyze.plans import catalogue as C
 from sonalyze.plans import views as V
 from sonalyze.plans.workflows import Registry, Stage, Workflow
 from sonalyze.sources import episodes as E
+from sonalyze.shared import scratch
 from sonalyze.sources import feeds, ledger
+from sonalyze.sources.files import write_files
 from sonalyze.streaming.ingest import ingest
 
 query, table, wide = C.query, C.table, C.wide
@@ -27,13 +25,8 @@ _folders: dict[tuple[str, str, str], str] = {}
 
 
 def folder_of(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share; a temporary one where none is set and they are one process."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
-        found = tempfile.mkdtemp(prefix="files-")
-    return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder that driver and executors share."""
+    return scratch(spark, name)
 
 
 def file_system(spark: SparkSession, path: str):
@@ -42,9 +35,14 @@ def file_system(spark: SparkSession, path: str):
 
 
 def lay_out(files: DataFrame, folder: str) -> None:
-    """A file for each row of files (name, value): written by Spark, named by the driver."""
-    spark, parts = files.sparkSession, f"{folder}/parts"
-    files.repartition("name").write.partitionBy("name").text(parts)
+    """A file for each row of files (name, value), by tasks."""
+    write_files(C.spread(files.withColumnRenamed("name", "path")), folder)
+
+
+def lay_out_lines(rows: DataFrame, folder: str) -> None:
+    """A file of many lines for each of a few names (name, value), whose parts Spark writes and the driver names."""
+    spark, parts = rows.sparkSession, f"{folder}/parts"
+    rows.repartition("name").write.partitionBy("name").text(parts)
     fs, path = file_system(spark, folder)
     for held in fs.listStatus(path(parts)):
         if held.isDirectory():
@@ -53,7 +51,7 @@ def lay_out(files: DataFrame, folder: str) -> None:
     fs.delete(path(parts), True)
 
 
-# ---- episodes: conv_id is the episode; of twelve, four are requests that can't be reviewed
+# ---- episodes: conv_id is the episode; beside four of twelve there is a request that can't be reviewed
 
 MISSING, BROKEN = "(conv_id + turn) % 7 = 0", "(turn + 1) % 6 = 0"
 
@@ -82,13 +80,12 @@ def episodes(spark: SparkSession, sf_dir: str) -> str:
     emotion = F.when(F.col("conv_id") % 4 == 0, "happy").when(F.col("conv_id") % 4 == 2, "Fearful").when(F.col("conv_id") % 4 == 3, "calm")
     turn = F.struct("turn", F.col("role").alias("speaker"), "text", F.struct(emotion.alias("emotion")).alias("voice_setting"))
     kind = F.col("conv_id") % 12
-    body = F.when(kind == 8, '{"turns": []}').when(kind == 9, '{"turns": "x"}').when(kind == 11, "{").otherwise(F.to_json(F.struct(F.col("turns"))))
-    files = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    lay_out(files.select(F.concat(F.lit("ep"), "conv_id", F.when(kind == 10, ".json").otherwise(E.REQUEST)).alias("name"), body.alias("value")), folder)
-    fs, path = file_system(spark, folder)
-    named = rows.where(f"NOT ({MISSING})").select(F.concat(F.lit("ep"), "conv_id", F.lit(f"{E.PARTS}/"), R.part_name((F.col("turn") + 1).cast("int"), F.col("role"))).alias("name"))
-    for r in named.toLocalIterator():
-        fs.create(path(f"{folder}/{r['name']}")).close()
+    turns = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    good = turns.select(F.concat(F.lit("ep"), "conv_id", F.lit(E.REQUEST)).alias("name"), F.to_json(F.struct("turns")).alias("value"))
+    body = F.when(kind == 8, '{"turns": []}').when(kind == 9, '{"turns": "x"}').when(kind == 11, "{").otherwise(F.to_json(F.struct("turns")))
+    bad = turns.where(kind >= 8).select(F.concat(F.lit("bad"), "conv_id", F.when(kind == 10, ".json").otherwise(E.REQUEST)).alias("name"), body.alias("value"))
+    audio = rows.where(f"NOT ({MISSING})").select(F.concat(F.lit("ep"), "conv_id", F.lit(f"{E.PARTS}/"), R.part_name((F.col("turn") + 1).cast("int"), F.col("role"))).alias("name"), F.lit("").alias("value"))
+    lay_out(good.unionByName(bad).unionByName(audio), folder)
     _folders[key] = folder
     return folder
 
@@ -100,7 +97,7 @@ SELECT conv_id, CAST(turn + 1 AS BIGINT) AS line_id, role AS speaker, text AS tt
     CASE WHEN (turn + 1) % 5 = 0 THEN '' ELSE '第' || CAST(turn + 1 AS VARCHAR) || '句' END AS asr_text,
     CASE conv_id % 4 WHEN 0 THEN 'happy' WHEN 2 THEN 'Fearful' WHEN 3 THEN 'calm' END AS planned_emotion,
     CASE WHEN (conv_id + turn) % 7 = 0 THEN 'missing_audio' WHEN (turn + 1) % 6 = 0 THEN 'assessment_error' END AS gone
-FROM conversations WHERE conv_id % 12 < 8"""
+FROM conversations"""
 EPISODES_SQL = C.records_sql(False).replace(C.LINES_SQL, EPISODE_LINES_SQL).replace("rate > 0.1", "rate > 0.97").replace("list_contains(fit, emotion)", "coalesce(list_contains(fit, emotion), false)")
 
 
@@ -115,7 +112,7 @@ def request_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(episode_of(), *wide("line_id"), "speaker", "tts_text", "planned_emotion")
 
 
-@query("SELECT DISTINCT 'ep' || CAST(conv_id AS VARCHAR) || CASE WHEN conv_id % 12 = 10 THEN '.json' ELSE '.minimax-request.json' END AS file_name, CASE conv_id % 12 WHEN 10 THEN 'bad_suffix' WHEN 11 THEN 'not_json' ELSE 'no_turns' END AS reason FROM conversations WHERE conv_id % 12 >= 8")
+@query("SELECT DISTINCT 'bad' || CAST(conv_id AS VARCHAR) || CASE WHEN conv_id % 12 = 10 THEN '.json' ELSE '.minimax-request.json' END AS file_name, CASE conv_id % 12 WHEN 10 THEN 'bad_suffix' WHEN 11 THEN 'not_json' ELSE 'no_turns' END AS reason FROM conversations WHERE conv_id % 12 >= 8")
 def request_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests that are refused before any work, and why"""
     bad = E.reject(E.requests(spark, f"{episodes(spark, sf_dir)}/*.json"))
@@ -151,34 +148,25 @@ def raw_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(raw.schema).json(path).select("run_id", *wide("line_id"), "tts_text", d["model"].alias("model"), d["device"].alias("device"), d["raw_output"].alias("raw_output"), d["error"].alias("error"), F.col("decision.reason").alias("reason"))
 
 
-EPISODE = [("爸爸", "你好，\"ab\"。", "calm"), ("女儿", "第3句说完", None), ("女儿", "a\nb", "happy"), ("爸爸", "第4句", None), ("爸爸", "第5句", "calm"), ("爸爸", "第6句", None), ("女儿", "第７句", "unknown")]
-
-
-@query("""SELECT * REPLACE (CAST(line_id AS BIGINT) AS line_id, CAST(priority AS BIGINT) AS priority) FROM (VALUES
-    (4, '爸爸', '第4句', NULL, NULL::DOUBLE, 'missing_audio', 120, 'missing_audio', 'ep_round2', 1),
-    (6, '爸爸', '第6句', NULL, NULL, 'assessment_error', 120, 'assessment_error', 'ep_round2', 2),
-    (1, '爸爸', '你好，"ab"。', '第1句', 1.0, 'asr_mismatch;emotion_mismatch', 160, 'asr_mismatch; emotion_mismatch', 'ep_round2', 0),
-    (5, '爸爸', '第5句', NULL, 1.0, 'asr_mismatch;emotion_mismatch', 160, 'asr_mismatch; emotion_mismatch', 'ep_round2', 0),
-    (3, '女儿', 'a' || chr(10) || 'b', '第3句', 1.5, 'asr_mismatch;emotion_mismatch', 160, 'asr_mismatch; emotion_mismatch', 'ep_round2', 0),
-    (2, '女儿', '第3句说完', '第2句', 0.6, 'asr_mismatch', 100, 'asr_mismatch', 'ep_round2', 0),
-    (7, '女儿', '第７句', '第7句', 0.5, 'asr_mismatch', 100, 'asr_mismatch', 'ep_round2', 0)
-    ) v(line_id, speaker, tts_text, asr_text, cer, flags, priority, decision_reason, run_id, audio)""")
+@query(f"""WITH {EPISODES_SQL}, queue AS (SELECT conv_id, line_id, speaker, tts_text, CASE WHEN unavailable IS NULL THEN nullif(asr_text, '') END AS asr_text, cer, flags, CAST(priority AS BIGINT) AS priority, reason, unavailable,
+    row_number() OVER (PARTITION BY conv_id ORDER BY priority DESC, line_id) AS place FROM records)
+    SELECT {NAMED}, line_id, place, speaker, tts_text, asr_text, cer, flags, priority, reason AS decision_reason, printf('ep%d_round%d', conv_id, 2) AS run_id, CASE unavailable WHEN 'missing_audio' THEN 1 WHEN 'assessment_error' THEN 2 ELSE 0 END AS audio,
+    flags <> '' AS planned, count(*) FILTER (flags <> '') OVER (PARTITION BY conv_id) AS review_required FROM queue""")
 def episode_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One request of seven turns reviewed; its three files are read back.
-    audio: 1 where none is, 2 where the model failed"""
-    folder = folder_of(spark, "episode")
-    request = f"{folder}/ep{E.REQUEST}"
-    E.put(spark, request, json.dumps({"turns": [{"speaker": s, "text": t, "voice_setting": {"emotion": e} if e else {}} for s, t, e in EPISODE]}, ensure_ascii=False))
-    fs, path = file_system(spark, folder)
-    for i, (speaker, _, _) in enumerate(EPISODE, 1):
-        if i != 4:
-            fs.create(path(f"{folder}/ep{E.PARTS}/{i:02d}_{speaker}.mp3")).close()
-    out = E.review_episode(spark, request, Detector(stand_in), 2)
-    queue = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(out["review_path"])
-    raw = spark.read.json(out["raw_path"]).select("line_id", "run_id", F.when(F.col("detectors")[0]["error"].isNotNull(), 2).when(F.col("detectors")[0]["raw_output"].isNull(), 1).otherwise(0).alias("audio"))
-    plan = spark.read.option("multiLine", True).json(out["fix_plan_path"]).select(F.explode("items.line_id").alias("line_id"))
-    rows = queue.select(F.col("line_id").cast("long").alias("line_id"), "speaker", "tts_text", "asr_text", F.col("cer").cast("double").alias("cer"), "flags", F.col("priority").cast("long").alias("priority"), "decision_reason")
-    return rows.join(raw, "line_id").join(plan, "line_id")
+    """All conversations reviewed; the three files of each are written by tasks and read back.
+    audio: 1 where none is, 2 where the model failed; place: of the line in its listening queue"""
+    folder = episodes(spark, sf_dir)
+    records = reviewed(spark, sf_dir)
+    E.write_episodes(records, 2, Detector(stand_in, model="m2", device="cpu", version="1.0").provenance, folder_of(spark, "episodes-done"))
+    at = F.regexp_extract(F.col("_metadata.file_name"), r"^ep(\d+)\.", 1).alias("episode")
+    found = spark.read.schema(", ".join(f"{c} string" for c in R.QUEUE)).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(f"{folder}/ep*.review_round2.csv")
+    # a task reads a file's lines in their order
+    place = F.row_number().over(Window.partitionBy("episode").orderBy("at")).cast("long").alias("place")
+    queue = found.select(at, F.monotonically_increasing_id().alias("at"), F.col("line_id").cast("long").alias("line_id"), "speaker", "tts_text", "asr_text", F.col("cer").cast("double").alias("cer"), "flags", F.col("priority").cast("long").alias("priority"), "decision_reason").select("*", place).drop("at")
+    raw = spark.read.schema("line_id long, run_id string, detectors array<struct<raw_output: string, error: string>>").json(f"{folder}/ep*{E.RAW}").select(at, "line_id", "run_id", F.when(F.col("detectors")[0]["error"].isNotNull(), 2).when(F.col("detectors")[0]["raw_output"].isNull(), 1).otherwise(0).alias("audio"))
+    plan = spark.read.schema("review_required long, items array<struct<line_id: long>>").option("multiLine", True).json(f"{folder}/ep*.fix_plan_round2.json").select(at, "review_required", "items.line_id")
+    rows = queue.join(raw, ["episode", "line_id"]).join(plan.withColumnRenamed("line_id", "items"), "episode")
+    return rows.withColumn("planned", F.array_contains("items", F.col("line_id"))).drop("items")
 
 
 # ---- scripts, logs, feeds
@@ -218,7 +206,7 @@ def correlated_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of one correlation key in the current log and those rotated"""
     e, folder = table(spark, sf_dir, "events"), folder_of(spark, "logs")
     turn = F.col("event_id") % 3
-    lay_out(e.select(F.concat(F.lit("app.log"), F.when(turn == 0, "").otherwise(F.concat(F.lit("."), turn))).alias("name"), F.to_json(F.struct(F.concat(F.lit("u"), "user_id").alias("correlation_id"), "event_id", "event_type")).alias("value")), folder)
+    lay_out_lines(e.select(F.concat(F.lit("app.log"), F.when(turn == 0, "").otherwise(F.concat(F.lit("."), turn))).alias("name"), F.to_json(F.struct(F.concat(F.lit("u"), "user_id").alias("correlation_id"), "event_id", "event_type")).alias("value")), folder)
     key = f"u{e.agg(F.min('user_id')).first()[0]}"
     rows = ledger.logs(spark, [f"{folder}/app.log*"], key)
     return rows.select(F.get_json_object("value", "$.event_id").cast("long").alias("event_id"), F.get_json_object("value", "$.event_type").alias("event_type"), "file")

@@ -6,6 +6,7 @@ import csv
 import io
 import json
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +14,10 @@ from pyspark.sql import functions as F
 from sonalyze.functions.detectors import Detector, default_device, detect, funasr_model
 from sonalyze.functions.speech import CER_THRESHOLD
 from sonalyze.operators import review as R
+from sonalyze.sources.files import PARTS, list_audio, write_files
 
 # Names of the files of an episode, and the speaker of a turn that names none.
-REQUEST, PARTS, RAW = ".minimax-request.json", ".line_parts", ".emotion_raw.jsonl"
+REQUEST, RAW = ".minimax-request.json", ".emotion_raw.jsonl"
 UNKNOWN_SPEAKER = "未知"
 
 
@@ -63,13 +65,9 @@ def turns(found: DataFrame) -> DataFrame:
 
 
 def audio_parts(spark: SparkSession, folder: str) -> DataFrame:
-    """folder, stem, file_name of the line audio under a folder: what Spark's own listing finds, empty files too,
-    as a file that is there is no missing one. Contents are not read."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.mp3").option("recursiveFileLookup", True).load(folder).inputFiles()
-    path = plain(F.col("path"))
-    part = lambda k: F.regexp_extract(path, r"^(.*/)([^/]*)\.line_parts/([^/]*)$", k)
-    rows = spark.createDataFrame([(x,) for x in listed], "path string")
-    return rows.select(part(1).alias("folder"), part(2).alias("stem"), part(3).alias("file_name")).where("file_name <> ''")
+    """folder, stem, file_name of the line audio below a folder, empty files too, as a file that is there is no missing one.
+    Tasks list the folders (files.LineAudio); contents are not read."""
+    return list_audio(spark, folder)
 
 
 def review_episodes(spark: SparkSession, found: DataFrame, files: DataFrame, detector: Detector, threshold: float = CER_THRESHOLD) -> DataFrame:
@@ -117,11 +115,15 @@ def jsonl(rows: DataFrame) -> str:
 
 def queue_csv(queue: DataFrame) -> str:
     """The queue as CSV for spreadsheets: a byte order mark, CRLF, a header, quotes where needed, null empty."""
+    return csv_text(queue.columns, queue.toLocalIterator())
+
+
+def csv_text(header: list[str], rows: Iterable) -> str:
     out = io.StringIO(newline="")
     writer = csv.writer(out)
-    writer.writerow(queue.columns)
-    writer.writerows(queue.toLocalIterator())
-    return "﻿" + out.getvalue()
+    writer.writerow(header)
+    writer.writerows(rows)
+    return "\ufeff" + out.getvalue()
 
 
 def put(spark: SparkSession, path: str, text: str) -> None:
@@ -134,6 +136,39 @@ def put(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def episode_files(records: DataFrame, round_number: int, detector: dict[str, str]) -> DataFrame:
+    """path and value of the three files of each episode of records (request_json, folder, stem, ...), as review_episode()
+    writes them. An episode's records meet in one task, as each of its files is one document."""
+    by = ["folder", "stem"]
+    whole = lambda c: F.to_json(c, {"ignoreNullFields": "false"})
+    raw = R.raw_records(records, F.col("stem"), round_number, detector, by)
+    queue = R.listening_queue(records, by, ordered=False)
+    plan = R.fix_plans(records, ["request_json", *by], round_number)
+    own = lambda rows, kind: rows.select(*by, F.lit(kind).alias("kind"), whole(F.struct(*(c for c in rows.columns if c not in by))).alias("body"))
+    return own(raw, "raw").unionByName(own(queue, "queue")).unionByName(own(plan, "plan")).groupBy(*by).applyInArrow(_files_of(round_number), "path string, value string")
+
+
+def _files_of(round_number: int):
+    def run(table):
+        import pyarrow as pa
+
+        held: dict[str, list[dict]] = {"raw": [], "queue": [], "plan": []}
+        for kind, body in zip(table["kind"].to_pylist(), table["body"].to_pylist()):
+            held[kind].append(json.loads(body))
+        at = f"{table['folder'][0]}{table['stem'][0]}"
+        raw = sorted(held["raw"], key=lambda r: r["line_id"])
+        queue = sorted(held["queue"], key=lambda r: (-r["priority"], r["line_id"]))
+        values = ["".join(json.dumps(r, ensure_ascii=False) + "\n" for r in raw), csv_text(list(queue[0]), [r.values() for r in queue]), json.dumps(held["plan"][0], ensure_ascii=False, indent=2)]
+        return pa.table({"path": [f"{at}{RAW}", f"{at}.review_round{round_number}.csv", f"{at}.fix_plan_round{round_number}.json"], "value": values})
+
+    return run
+
+
+def write_episodes(records: DataFrame, round_number: int, detector: dict[str, str], folder: str) -> None:
+    """The three files of every episode, beside its request, written by tasks; folder: where the mark of the job is put."""
+    write_files(episode_files(records, round_number, detector), folder)
+
+
 def write_raw(raw: DataFrame, path: str) -> None:
     """Raw records of many episodes, as a folder of JSON lines with nulls kept."""
     raw.write.mode("overwrite").option("ignoreNullFields", "false").json(path)

@@ -114,3 +114,73 @@ def test_part_names_and_listing(spark, tmp_path):
     from pyspark.sql import functions as F
 
     assert spark.range(1).select(R.part_name(F.lit(100), F.lit("s"))).first()[0] == "100_s.mp3"
+
+
+def test_all_episodes_are_written_as_one_is(spark, tmp_path):
+    """Files written by tasks for many episodes are byte for byte those of review_episode()."""
+    turns = [{"speaker": "爸爸", "text": "a,\"b\"\nc", "voice_setting": {"emotion": "calm"}}, {"speaker": "女儿", "text": "这是测试。"}, {"text": "无"}, {}]
+    load = fake({"01": "<|zh|><|NEUTRAL|><|Speech|><|withitn|>你好", "02": "!broken, \"mp3\""})
+    one, many = tmp_path / "one", tmp_path / "many"
+    for place, names in ((one, ["ep"]), (many, ["ep", "other", "third"])):
+        for name in names:
+            (place / f"{name}.line_parts").mkdir(parents=True)
+            (place / f"{name}.minimax-request.json").write_text(json.dumps({"turns": turns}), encoding="utf-8")
+            for part in ("01_爸爸.mp3", "02_女儿.mp3"):
+                (place / f"{name}.line_parts" / part).write_bytes(b"")
+    detector = Detector(load, model="m1")
+    E.review_episode(spark, str(one / "ep.minimax-request.json"), detector, 4)
+    records = E.review_episodes(spark, E.requests(spark, f"{many}/*.json"), E.audio_parts(spark, str(many)), detector)
+    E.write_episodes(records, 4, detector.provenance, str(tmp_path / "done"))
+    assert json.loads((tmp_path / "done" / "_FILES").read_text()) == {"files": 9}
+    for end in (".emotion_raw.jsonl", ".review_round4.csv", ".fix_plan_round4.json"):
+        want = (one / f"ep{end}").read_bytes()
+        assert (many / f"ep{end}").read_bytes() == want.replace(str(one).encode(), str(many).encode())
+        assert (many / f"third{end}").exists()
+    assert not [p for p in many.iterdir() if p.name.startswith(".")]
+
+
+def test_files_by_tasks(spark, tmp_path):
+    from sonalyze.sources.files import opened, write_files
+
+    rows = spark.createDataFrame([("a/x.txt", "é"), ("b y.txt", None), (f"{tmp_path}/else/z", "1")], "path string, value string")
+    for _ in range(2):  # over those before
+        write_files(rows, f"file:{tmp_path}/out")
+    assert (tmp_path / "out/a/x.txt").read_text() == "é" and (tmp_path / "out/b y.txt").read_text() == "" and (tmp_path / "else/z").read_text() == "1"
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["_FILES", "a", "b y.txt"]
+    assert opened("file:///a/b/")[1:] == ("/a/b", "")
+    with pytest.raises(Exception):
+        write_files(rows.selectExpr("concat(path, '/', path, repeat('x', 300)) AS path", "value"), f"{tmp_path}/never")
+    assert not (tmp_path / "never" / "_FILES").exists()
+
+
+def test_batches_of_lines(spark, tmp_path):
+    """A model that takes batches is asked for so many lines at once, and a batch that fails line by line; what it counts is in the text."""
+    def load(model, device):
+        def generate(paths):
+            if "bad" in paths:
+                raise RuntimeError("bad line")
+            return [[{"text": f"{len(paths)} on {device}"}] for _ in paths]
+
+        return generate
+
+    from sonalyze.functions.detectors import OF_TASK, detect, task_device
+
+    rows = spark.createDataFrame([(p, None if p else "missing_audio") for p in ["a", "b", "c", "", "d", "e", "f", "bad"]], "audio_path string, unavailable string").coalesce(1)
+    got = [(r.raw_output, r.error, r.unavailable) for r in detect(rows, Detector(load, batch=5, device=OF_TASK)).collect()]
+    assert got == [("5 on cpu", None, None)] * 3 + [(None, None, "missing_audio")] + [("5 on cpu", None, None)] * 2 + [("1 on cpu", None, None), (None, "bad line", "assessment_error")]
+    from types import SimpleNamespace
+
+    assert task_device({}) == "cpu" and task_device({"gpu": SimpleNamespace(addresses=["2", "3"])}) == "cuda:2"
+
+
+def test_a_call_that_takes_too_long_is_a_failure_of_its_line(spark):
+    def load(model, device):
+        import time
+
+        return lambda path: time.sleep(3 if path == "slow" else 0) or [{"text": "x"}]
+
+    from sonalyze.functions.detectors import detect
+
+    rows = spark.createDataFrame([("slow", None), ("fast", None)], "audio_path string, unavailable string").coalesce(1)
+    got = {r.audio_path: (r.raw_output, r.error, r.unavailable) for r in detect(rows, Detector(load, seconds=0.5)).collect()}
+    assert got == {"slow": (None, "no result within 0.5 s", "assessment_error"), "fast": ("x", None, None)}
