@@ -6,10 +6,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sonalyze.operators.components import components
+from sonalyze.shared import cut
+
 STAGES = ["fetch", "metadata_dedup", "classify", "fulltext", "content_dedup", "cluster", "score", "safety"]
 TIERS = ["default", "sensitive", "redline"]
-#: Letters of a word that can name an event; tasks that the rows of one key are spread over.
-TERM, SALTS = 4, 16
+#: Letters of a word that can tell an event, how many words of an article do, and the words that are too common: of more
+#: articles than both of these, a number and a part of all.
+TERM, SIGNATURE, LEAST_COMMON, COMMON_PART = 4, 6, 50, 64
+#: Tasks that the rows of one key are spread over.
+SALTS = 16
 
 
 def normalized_url(url: Column) -> Column:
@@ -98,20 +104,44 @@ def fulltext(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumns({"fetch": F.when(F.col(text).isNull(), "failed").when(F.trim(F.col(text)) == "", "empty").otherwise("fetched"), "chars": F.length(text).cast("long")})
 
 
-def cluster(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, lang, text) with event_id. Of an article's distinct words of TERM letters and more, over its
-    whole text, the rarest that another article of its language has too names its event (of equally rare ones the
-    first in order): articles that share it tell one event. Without such a word an article is unhandled (null)."""
+def event_terms(docs: DataFrame) -> DataFrame:
+    """doc_id, lang and terms of docs (doc_id, lang, text): of an article's distinct words of TERM letters and more, over its
+    whole text, the SIGNATURE rarest of its language (of equally rare ones the first in order) that another article has too, but not
+    more than LEAST_COMMON and one in COMMON_PART of all. bits: how much it tells that two articles share a word, the
+    length of (articles of the language / those with the word) in binary."""
     own = F.coalesce("lang", F.lit(""))
     terms = F.filter(F.array_distinct(F.split(normalized_text(F.col("text")), " ")), lambda w: F.length(w) >= TERM)
-    words = docs.select("doc_id", own.alias("_lang"), F.explode(terms).alias("_word"))
-    shared = words.groupBy("_lang", "_word").agg(F.count("*").alias("_n")).where("_n > 1")
-    # a word that most articles have meets them in SALTS tasks
-    shared = shared.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt"))
-    named = words.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).join(shared, ["_lang", "_word", "_salt"])
-    best = named.groupBy("doc_id").agg(F.min(F.struct("_n", "_lang", "_word")).alias("_best"))
-    out = docs.join(best, "doc_id", "left").withColumn("event_id", F.concat_ws(":", "_best._lang", "_best._word"))
-    return out.withColumn("event_id", F.when(F.col("_best").isNotNull(), F.col("event_id"))).drop("_best")
+    words = docs.select("doc_id", own.alias("lang"), F.explode(terms).alias("word"))
+    articles = docs.groupBy(own.alias("lang")).agg(F.count("*").alias("articles"))
+    index = words.groupBy("lang", "word").agg(F.count("*").alias("n")).where("n > 1").join(articles, "lang")
+    index = index.where(F.expr(f"n <= greatest({LEAST_COMMON}, articles div {COMMON_PART})")).select("lang", "word", "n", F.expr("length(bin(articles div n))").alias("bits"), F.expr("length(bin(articles))").alias("all_bits"))
+    best = words.join(index, ["lang", "word"]).groupBy("doc_id", "lang").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "word", "bits"))), 1, SIGNATURE).alias("terms"), F.first("all_bits").alias("all_bits"))
+    return best.select("doc_id", "lang", "terms", (2 * F.col("all_bits")).alias("needed"))
+
+
+def event_keys(terms: DataFrame) -> DataFrame:
+    """doc_id and key: a key for each least set of an article's terms whose bits reach what is needed. Two articles share a key
+    just where the terms that they share reach it, so links need no pairs of articles."""
+    chosen = "filter(terms, (t, i) -> (shiftright(m, i) & 1) = 1)"
+    sets = f"transform(sequence(1, shiftleft(1, size(terms)) - 1), m -> {chosen})"
+    bits = "aggregate(s, 0, (a, t) -> a + t.bits)"
+    least = f"filter({sets}, s -> {bits} >= needed AND {bits} - s[size(s) - 1].bits < needed)"  # the last is the commonest
+    return terms.select("doc_id", F.explode(F.expr(f"transform({least}, s -> unhex(md5(concat_ws(' ', lang, array_join(transform(s, t -> t.word), ' ')))))")).alias("key"))
+
+
+def event_links(docs: DataFrame) -> DataFrame:
+    """a, b: articles that share rare words of enough bits, each linked to the first that shares them. Two articles of a
+    language of n that share words by chance share 2 * log2(n) bits in one of all pairs; so many are needed."""
+    keys = event_keys(cut(event_terms(docs)))
+    first = keys.groupBy("key").agg(F.min("doc_id").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return keys.withColumnRenamed("doc_id", "a").join(first, "key").select("a", "b").where("a <> b").distinct()
+
+
+def cluster(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, lang, text) with event_id: the language and the first article of those that links (event_links) connect.
+    An article that no other tells is unhandled (null)."""
+    found = components(event_links(docs)).select(F.col("id").alias("doc_id"), F.col("component").alias("_event"))
+    return docs.join(found, "doc_id", "left").withColumn("event_id", F.when(F.col("_event").isNotNull(), F.concat_ws(":", F.coalesce("lang", F.lit("")), F.col("_event").cast("string")))).drop("_event")
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -161,7 +191,7 @@ def funnel(docs: DataFrame, pages: DataFrame, labels: DataFrame) -> DataFrame:
     unique = content_dedup(there)
     kept = unique.where("kept")
     grouped = cluster(kept)
-    scored = score(grouped)
+    scored = score(kept)
     judged = scored.withColumn("before", F.lit("default")).withColumn("safety", override(F.col("before"), safety_tier(F.col("toxic"), F.col("text"))))
     parts = [
         stage_counts(fetched, "fetch", is_("state", "new"), {s: is_("state", s) for s in ("updated", "skipped", "failed")}),

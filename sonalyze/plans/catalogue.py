@@ -395,12 +395,16 @@ KNOWN_SQL = "SELECT d.*, l.quality, l.toxic, CASE WHEN n_chars < 200 THEN 'irrel
 
 
 def events_sql(articles: str) -> str:
-    """doc_id and event_id of articles."""
+    """doc_id and event_id of articles: pairs that share enough bits, then all that these reach."""
     return rf"""SELECT a.doc_id, event_id FROM {articles} a LEFT JOIN (
-        WITH w AS (SELECT doc_id, lang, unnest(list_filter(list_distinct(string_split({TEXT_SQL}, ' ')), lambda x: length(x) >= 4)) AS word FROM {articles}),
-        f AS (SELECT lang, word, count(*) AS df FROM w GROUP BY ALL HAVING count(*) > 1)
-        SELECT doc_id, w.lang || ':' || arg_min(w.word, {{'n': df, 'w': w.word}}) AS event_id FROM w JOIN f ON w.lang = f.lang AND w.word = f.word GROUP BY doc_id, w.lang) x ON x.doc_id = a.doc_id"""
-
+        WITH RECURSIVE w AS (SELECT doc_id, coalesce(lang, '') AS lang, unnest(list_filter(list_distinct(string_split({TEXT_SQL}, ' ')), lambda x: length(x) >= 4)) AS word FROM {articles}),
+        t AS (SELECT coalesce(lang, '') AS lang, count(*) AS articles FROM {articles} GROUP BY 1),
+        f AS (SELECT lang, word, n, length(bin(articles // n)) AS bits, 2 * length(bin(articles)) AS needed FROM (SELECT lang, word, count(*) AS n FROM w GROUP BY ALL HAVING count(*) > 1) JOIN t USING (lang) WHERE n <= greatest(50, articles // 64)),
+        s AS (SELECT doc_id, lang, word, bits, needed FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n, word) AS place FROM w JOIN f USING (lang, word)) WHERE place <= 6),
+        links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.lang = b.lang AND a.word = b.word AND a.doc_id <> b.doc_id GROUP BY ALL HAVING sum(a.bits) >= any_value(a.needed)),
+        reach AS (SELECT DISTINCT a AS id, a AS r FROM links UNION SELECT reach.id, links.b FROM reach JOIN links ON reach.r = links.a),
+        c AS (SELECT id, min(r) AS component FROM reach GROUP BY id)
+        SELECT id, coalesce(d.lang, '') || ':' || CAST(component AS VARCHAR) AS event_id FROM c JOIN {articles} d ON d.doc_id = c.id) x ON x.id = a.doc_id"""
 
 
 @query(f"WITH p AS ({PAGES_SQL}) SELECT page_id, k AS dedup_key, page_id = min(page_id) OVER (PARTITION BY k) AS kept FROM p")
