@@ -18,7 +18,7 @@ from sonalyze.sources import episodes as E
 from sonalyze.shared import scratch
 from sonalyze.sources import feeds, ledger
 from sonalyze.sources.files import write_files
-from sonalyze.streaming.ingest import ingest
+from sonalyze.streaming.ingest import Locked, RunLock, ingest
 
 query, table, wide = C.query, C.table, C.wide
 _folders: dict[tuple[str, str, str], str] = {}
@@ -304,13 +304,19 @@ def stage_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found["lines"].unionByName(found["last"])
 
 
-@query("SELECT event_type, count(*) AS n, CAST((SELECT count(*) FROM events WHERE event_id % 3 > 0) AS BIGINT) AS first_run, CAST((SELECT count(*) FROM events WHERE event_id % 3 = 0) AS BIGINT) AS second_run, CAST(0 AS BIGINT) AS third_run FROM events GROUP BY event_type")
+@query("SELECT event_type, count(*) AS n, CAST((SELECT count(*) FROM events WHERE event_id % 3 > 0) AS BIGINT) AS first_run, CAST((SELECT count(*) FROM events WHERE event_id % 3 = 0) AS BIGINT) AS second_run, CAST(0 AS BIGINT) AS third_run, true AS refused FROM events GROUP BY event_type")
 def one_shot_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three runs over a folder; the second's files repeat rows of the first, the third finds none new"""
+    """Three runs over a folder; the second's files repeat rows of the first, the third finds none new; one that
+    comes while another runs is refused"""
     e, folder = table(spark, sf_dir, "events").select("event_id", "event_type", "value"), folder_of(spark, "ingest")
     added = []
     for part in (e.where("event_id % 3 > 0"), e.where("event_id % 3 = 0 OR event_id % 5 = 0"), None):
         if part is not None:
             part.write.mode("append").parquet(f"{folder}/new")
         added.append(ingest(spark, f"{folder}/new", "event_id long, event_type string, value double", f"{folder}/all", f"{folder}/state", "event_id"))
-    return spark.read.parquet(f"{folder}/all").groupBy("event_type").agg(F.count("*").alias("n")).select("*", *(F.lit(n).cast("long").alias(k) for n, k in zip(added, ("first_run", "second_run", "third_run"))))
+    with RunLock(spark, f"{folder}/state.lock"):
+        try:
+            refused = ingest(spark, f"{folder}/new", "event_id long", f"{folder}/all", f"{folder}/state", "event_id") < 0
+        except Locked:
+            refused = True
+    return spark.read.parquet(f"{folder}/all").groupBy("event_type").agg(F.count("*").alias("n")).select("*", F.lit(refused).alias("refused"), *(F.lit(n).cast("long").alias(k) for n, k in zip(added, ("first_run", "second_run", "third_run"))))
