@@ -103,10 +103,10 @@ def chosen(starts: np.ndarray, ends: np.ndarray, x: int, limit: int) -> list[int
 
 
 def row_schema(by: pa.DataType, search: Search, types: dict[str, pa.DataType]) -> pa.Schema:
-    """match: a match of a sequence within its block; row: one of a sequence at the block's edge; edge: the block's first and last
-    row; entry: where a search that comes in at row `at` leaves the rows that are settled in the block."""
+    """match: a match of a sequence within its block; run: the rows of a sequence at the block's edge, packed; row: those of these that
+    walks between blocks need; edge: the block's first and last row; entry: where a search that comes in at row `at` leaves the rows that are settled in the block."""
     own = [("kind", pa.string()), ("block", pa.int32()), ("at", pa.int32()), ("key", by), ("id", pa.int64()), ("value", pa.int64()), ("mask", pa.int32()), ("to", pa.int32()), ("n", pa.int64())]
-    own += [("state", pa.binary()), ("head", pa.bool_()), ("tail", pa.bool_()), ("size", pa.int32()), ("last_id", pa.int64()), ("number", pa.int64()), ("labels", pa.string())]
+    own += [("state", pa.binary()), ("head", pa.bool_()), ("tail", pa.bool_()), ("size", pa.int32()), ("last_id", pa.int64()), ("number", pa.int64()), ("labels", pa.string()), ("packed", pa.binary())]
     return pa.schema(own + [(f"f_{f}", types[f]) for f in search.features])
 
 
@@ -119,6 +119,20 @@ def made(schema: pa.Schema, count: int, /, **columns: object) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+def packed(ids: pa.Array, values: np.ndarray, valued: np.ndarray, masks: np.ndarray, to: np.ndarray) -> bytes:
+    """Rows of one sequence as one value: ids and values with their validity, letters, and the last row of each one's match."""
+    columns = (ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), values.astype(np.int64), masks.astype(np.int32), to.astype(np.int32), valued.astype(bool), np.asarray(ids.is_valid(), bool))
+    return b"".join(np.ascontiguousarray(c).tobytes() for c in columns)
+
+
+def unpacked(held: bytes) -> list[np.ndarray]:
+    n, at, out = len(held) // 26, 0, []
+    for kind in (np.int64, np.int64, np.int32, np.int32, bool, bool):
+        out.append(np.frombuffer(held, kind, n, at).copy())
+        at += n * out[-1].itemsize
+    return out
+
+
 def within_blocks(search: Search) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -165,10 +179,15 @@ def within_blocks(search: Search) -> Callable[[Iterator[pa.RecordBatch]], Iterat
         limit = int(first_open[0]) + max(l, 1) if len(first_open) else n
         head = head_length(dfa, rows, f)
         kept = {int(s): pickle.dumps(dfa.states[s]) for s in np.unique(state[edge][is_open[edge]])}
+        whole = column("value")
+        runs = [(0, f)] if l < f else [(0, f), (l, n)]
+        parts = [packed(ids.slice(a, b - a), rows.values[a:b], valued[a:b], rows.masks[a:b], best[a:b]) for a, b in runs]
+        yield made(schema, len(runs), kind="run", block=block, at=[a for a, _ in runs], key=key.take(pa.array([a for a, _ in runs])), packed=parts)
+        edge = edge[(edge < head) | (edge >= limit) | is_open[edge]]
         place = pa.array(edge)
         matched = best[edge] >= 0
         yield made(
-            schema, len(edge), kind="row", block=block, at=edge, key=key.take(place), id=ids.take(place), value=column("value").take(place), mask=rows.masks[edge], to=pa.array(best[edge], mask=~matched),
+            schema, len(edge), kind="row", block=block, at=edge, key=key.take(place), id=ids.take(place), value=whole.take(place), mask=rows.masks[edge], to=pa.array(best[edge], mask=~matched),
             state=[kept[int(s)] if o else None for s, o in zip(state[edge], is_open[edge])], head=edge < head, tail=edge >= limit, size=n,
         )
         ends_at = pa.array([0, n - 1])
@@ -301,35 +320,34 @@ def on_paths(search: Search) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
         """Of one block: the matches on its marked paths; those that leave it, with what they have here."""
         kind = table["kind"].combine_chunks()
-        rows = table.filter(pc.equal(kind, "row")).sort_by("at").combine_chunks()
+        runs = sorted(table.filter(pc.equal(kind, "run")).select(["at", "key", "packed", "block"]).to_pylist(), key=lambda r: r["at"])
         entries = table.filter(pc.equal(kind, "entry")).select(["at", "n"]).to_pylist()
         ended = {r["at"]: (r["best_block"], r["best_at"]) for r in table.filter(pc.equal(kind, "walk")).select(["at", "best_block", "best_at"]).to_pylist()}
         schema = piece_schema(table["key"].type)
-        if not len(rows) or not entries:
+        if not runs or not entries:
             return schema.empty_table()
-        at = rows["at"].to_numpy()
-        block = rows["block"][0].as_py()
-        mask = rows["mask"].to_numpy().astype(np.int64)
-        valued = np.asarray(rows["value"].is_valid())
-        values = rows["value"].fill_null(0).to_numpy()
-        to = rows["to"].fill_null(-1).to_numpy().astype(np.int64)
+        block, keys = runs[0]["block"], [r["key"] for r in runs]
+        ids, values, mask, to, valued, named = (np.concatenate(c) for c in zip(*(unpacked(r["packed"]) for r in runs)))
+        mask, to = mask.astype(np.int64), to.astype(np.int64)
+        sizes = [len(r["packed"]) // 26 for r in runs]
+        at = np.concatenate([np.arange(n) + r["at"] for n, r in zip(sizes, runs)])
+        mask[at == 0] = table.filter(pc.equal(kind, "gate"))["mask"][0].as_py()
         to_block = np.full(len(at), block)
-        place = {int(a): i for i, a in zip(np.searchsorted(at, list(ended)).tolist(), ended)} if ended else {}
         for a, (b, e) in ended.items():
-            to_block[place[a]], to[place[a]] = (block, -1) if e is None else (b, e)
-        new = changes(rows["key"].combine_chunks())
-        new[1:] |= np.diff(at) > 1
-        stops = np.append(np.flatnonzero(new), len(at))[1:]
+            i = int(np.searchsorted(at, a))
+            to_block[i], to[i] = (block, -1) if e is None else (b, e)
+        stops = np.cumsum(sizes)
         own = Rows(mask, values, np.zeros(0), search.bound)
         sums = np.append(0, np.cumsum(np.where(valued, values, 0)))
-        ids, key = rows["id"], rows["key"]
+        name = lambda i: int(ids[i]) if named[i] else None
         starts = np.flatnonzero(to >= 0)
         out: list[tuple] = []
         for e in entries:
             i = int(np.searchsorted(at, e["at"]))
             if i == len(at) or at[i] != e["at"]:
                 continue
-            stop, number = int(stops[np.searchsorted(stops, i, "right")]), e["n"]
+            run = int(np.searchsorted(stops, i, "right"))
+            stop, number = int(stops[run]), e["n"]
             while True:
                 k = int(np.searchsorted(starts, i))
                 if k == len(starts) or starts[k] >= stop:
@@ -340,7 +358,7 @@ def on_paths(search: Search) -> Callable[[pa.Table], pa.Table]:
                 masks = np.where(values[s : last + 1] < values[s], mask[s : last + 1] & ~own.bound, mask[s : last + 1]).astype(np.uint16).tobytes()
                 inside = there == block
                 out.append((
-                    key[s].as_py(), number, ids[s].as_py(), ids[last].as_py() if inside else None, last - s + 1, int(sums[last + 1] - sums[s]), spelled(search.pattern, tuple(search.letters), masks) if inside else None,
+                    keys[run], number, name(s), name(last) if inside else None, last - s + 1, int(sums[last + 1] - sums[s]), spelled(search.pattern, tuple(search.letters), masks) if inside else None,
                     block, int(at[s]), int(values[s]), there, int(to[s]), None if inside else masks,
                 ))
                 if not inside:
@@ -389,10 +407,10 @@ def match_rows(rows: DataFrame, by: str, order: list[str], row_id: str, value: C
     key_type = placed.schema["key"].dataType
     feature_types = ", ".join(f"f_{n} {placed.schema[f'f_{n}'].dataType.simpleString()}" for n in features)
     key = f"key {key_type.simpleString()}"
-    schema = f"kind string, block int, at int, {key}, id long, value long, mask int, to int, n long, state binary, head boolean, tail boolean, size int, last_id long, number long, labels string" + (f", {feature_types}" if features else "")
+    schema = f"kind string, block int, at int, {key}, id long, value long, mask int, to int, n long, state binary, head boolean, tail boolean, size int, last_id long, number long, labels string, packed binary" + (f", {feature_types}" if features else "")
     found = stored(placed.drop("hash").mapInArrow(tidied(within_blocks(search)), schema), "row-blocks")
 
-    edges, edge_rows, entries = (found.where(F.col("kind") == k) for k in ("edge", "row", "entry"))
+    edges, edge_rows, entries, runs = (found.where(F.col("kind") == k) for k in ("edge", "row", "entry", "run"))
     side = lambda p, rows: rows.select(F.col("key").alias(f"{p}_key"), F.col("value").alias(f"{p}_value"), *(F.col(f"f_{n}").alias(f"{p}_{n}") for n in features), "block", *(["size", F.col("to").alias("f")] if p == "a" else []))
     apart = side("a", edges.where("head")).join(side("b", edges.where("NOT head").withColumn("block", F.col("block") + 1)).hint("merge"), "block", "left")
     gates = stored(apart.withColumn("same", F.coalesce(F.col("a_key") == F.col("b_key"), F.lit(False))).withColumn("whole", F.col("f") == F.col("size")).mapInArrow(gated(search), GATES), "row-gates")
@@ -443,7 +461,8 @@ def match_rows(rows: DataFrame, by: str, order: list[str], row_id: str, value: C
         jumps = stored(jumps.join(second.hint("merge"), ["to_block", "to"]).select("block", "at", F.col("far_block").alias("to_block"), F.col("far").alias("to"), (F.col("n") + F.col("more")).alias("n")), "row-jumps")
 
     paths = marked.select(F.lit("entry").alias("kind"), "block", "at", "n")
-    held = edge_rows.join(gate.hint("merge"), "block").select("kind", "block", "at", "key", "id", "value", mask.alias("mask"), "to").unionByName(walks, allowMissingColumns=True).unionByName(paths, allowMissingColumns=True)
+    held = runs.select("kind", "block", "at", "key", "packed").unionByName(walks, allowMissingColumns=True).unionByName(paths, allowMissingColumns=True)
+    held = held.unionByName(gates.select(F.lit("gate").alias("kind"), "block", "mask"), allowMissingColumns=True)
     pieces = held.groupBy("block").applyInArrow(on_paths(search), f"{key}, number long, first_id long, last_id long, n long, value long, labels string, block int, at int, first long, to_block int, to int, masks binary")
     pieces = stored(pieces, "row-pieces")
     columns = ["key", "number", "first_id", "last_id", "n", "value", "labels"]
