@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sonalyze.operators.asof import before, first_after
+
 # States, edges, terminal pairs, exit codes and command classes of the specification.
 EDGES = [("requested", "running"), ("requested", "blocked"), ("running", "succeeded"), ("running", "partial_success"), ("running", "failed"), ("running", "abandoned")]
 EXECUTION = ["requested", "running", "succeeded", "partial_success", "failed", "blocked", "abandoned"]
@@ -69,6 +71,25 @@ def reconcile(expected: DataFrame, actual: DataFrame) -> DataFrame:
     return both.select("task_id", "stage_key", "expected_seq", "actual_seq", F.coalesce("times", F.lit(0)).cast("long").alias("times"), finding.alias("finding"))
 
 
+def snapshot_stages(tasks: DataFrame) -> DataFrame:
+    """task_id, stage_key, expected_seq out of the snapshot of each of tasks (task_id, snapshot: text of JSON): the stages that its
+    workflow had when it started, in their order. A task whose snapshot can't be read has one row, without a stage."""
+    held = tasks.select("task_id", F.try_parse_json("snapshot").alias("_body"))
+    stage = held.sparkSession.tvf.variant_explode_outer(F.try_variant_get(F.col("_body").outer(), "$.stages", "variant"))
+    key, seq = F.try_variant_get("value", "$.key", "string"), F.try_variant_get("value", "$.seq", "int")
+    return held.lateralJoin(stage).select("task_id", key.alias("stage_key"), F.coalesce(seq, F.col("pos") + 1).cast("long").alias("expected_seq"))
+
+
+def reconcile_snapshots(tasks: DataFrame, actual: DataFrame) -> DataFrame:
+    """reconcile() of each task with the stages that its own snapshot expects, so that a changed definition judges no old task. A
+    task without a readable snapshot can't be judged: it has one row, no_snapshot."""
+    expected = snapshot_stages(tasks)
+    unknown = expected.where("stage_key IS NULL").select("task_id").distinct()
+    found = reconcile(expected.where("stage_key IS NOT NULL").join(unknown, "task_id", "left_anti"), actual.join(unknown, "task_id", "left_anti"))
+    none = unknown.select("task_id", F.lit("no_snapshot").alias("finding"))
+    return found.unionByName(none, allowMissingColumns=True)
+
+
 def funnel_check(stages: DataFrame) -> DataFrame:
     """stages with explained (output and exclusive routes), residual and verdict. A count that is missing makes a
     stage incomplete; it is never 0. Reasons and metrics in other units are no routes."""
@@ -130,12 +151,22 @@ def link_check(details: DataFrame, stages: DataFrame) -> DataFrame:
     return details.join(known, "stage_id", "left").select(*details.columns, link.alias("link"))
 
 
-def recovery(tasks: DataFrame, locks: DataFrame) -> DataFrame:
-    """Tasks (task_id, lock_domain, status, started_at) that a lock (lock_domain, holder, acquired_at) proves
-    dead: of its domain, still running, started before, and not its holder. They are abandoned and incomplete;
-    no success is inferred, and none is run again. locks has a row for each domain."""
-    dead = (F.col("status") == "running") & (F.col("started_at") < F.col("acquired_at")) & (F.col("task_id") != F.col("holder"))
-    return tasks.where("status = 'running'").join(locks, "lock_domain").where(dead).select("task_id", "lock_domain", F.col("holder").alias("recovered_by"), F.lit("abandoned").alias("status"), F.lit("incomplete").alias("design"))
+def recovery(tasks: DataFrame, locks: DataFrame, span: str = "DAY") -> DataFrame:
+    """Tasks (task_id, lock_domain, status, started_at) that an acquisition of their domain's lock (lock_domain, holder,
+    acquired_at) proves dead: still running, started before it, and not its holder. The first such acquisition recovers a task; of
+    several at one time the least holder's, or the greatest's where the least is the task itself. They are abandoned and incomplete; no
+    success is inferred, and none is run again. A domain's lock may change hands any number of times; span: the unit of time by which a domain's history is cut."""
+    by, at = ["lock_domain"], "acquired_at"
+    held = locks.where("holder IS NOT NULL AND acquired_at IS NOT NULL").groupBy(*by, at).agg(F.min("holder").alias("holder"), F.max("holder").alias("second"))
+    held = held.withColumn("second", F.nullif("second", "holder")).withColumn("alone", F.when(F.col("second").isNull(), F.col("holder")))
+    # where another than the holder before acquires it, and where that happens next
+    turns = before(held, by, at, [], "alone", span).where("alone IS NULL OR previous IS NULL OR alone <> previous")
+    follows = first_after(held.select(*by, at, "holder", "second"), turns, by, at, at, ["holder"], span, "other")
+    running = tasks.where("status = 'running'").select("task_id", "lock_domain", "started_at")
+    found = first_after(running, follows, by, "started_at", at, ["holder", "second", "other"], span, "lock")
+    own = F.col("lock.holder") == F.col("task_id")
+    by_ = F.when(own, F.coalesce("lock.second", "lock.other.holder")).otherwise(F.col("lock.holder"))
+    return found.select("task_id", "lock_domain", by_.alias("recovered_by")).where("recovered_by IS NOT NULL").select("*", F.lit("abandoned").alias("status"), F.lit("incomplete").alias("design"))
 
 
 def constraint_violations(stages: DataFrame) -> DataFrame:
@@ -193,6 +224,42 @@ def monitoring(tasks: DataFrame) -> DataFrame:
     return out.withColumn("no_go", F.greatest("extra_tasks", "audit_failures", "overdue", "findings") > 0)
 
 
+#: Checks after a launch: of the first task, of the first runs, and of all that started within so many hours.
+FIRST_RUNS, HOURS = 3, (4, 24)
+
+
+def launch_checks(tasks: DataFrame, launches: DataFrame, as_of: Column, hours: tuple[int, ...] = HOURS, first_runs: int = FIRST_RUNS) -> DataFrame:
+    """A row for each command of launches (command, launched_at, max_seconds) and check: first_task, first_runs, and within each of
+    `hours` of its launch. tasks: command, run_id, task_id, started_at, ended_at (null while it runs), exit_code, design.
+
+    due: the check's tasks are all there, or its time is over by as_of. extra_tasks: beyond one for a run; overdue: tasks that at
+    the check's time (as_of, or the end of the hours if that is before) have run longer than max_seconds and not ended. no_go: any
+    of these, audit failures or findings. A command without tasks has rows of zeros.
+    """
+    live = launches.select("command", "launched_at", "max_seconds").dropDuplicates(["command"])
+    own = tasks.join(live, "command").where(F.col("started_at") >= F.col("launched_at"))
+    runs = own.groupBy("command", "run_id").agg(F.min(F.struct("started_at", "task_id")).alias("first"))
+    # the few first runs of a command are found before its rows meet
+    order = F.row_number().over(Window.partitionBy("command").orderBy("first"))
+    runs = runs.withColumn("place", order).where(F.col("place") <= first_runs).select(F.col("command").alias("_command"), F.col("run_id").alias("_run"), F.col("first.task_id").alias("first_task"), "place")
+    own = own.join(runs, (F.col("command") == F.col("_command")) & F.col("run_id").eqNullSafe(F.col("_run")), "left")
+    hour = lambda h: F.col("launched_at") + F.make_dt_interval(hours=F.lit(h))
+    at = lambda name, time: F.struct(F.lit(name).alias("check"), time.alias("checked_at"))
+    checks = [F.when((F.col("place") == 1) & (F.col("task_id") == F.col("first_task")), at("first_task", as_of)), F.when(F.col("place").isNotNull(), at("first_runs", as_of))]
+    checks += [F.when(F.col("started_at") < hour(h), at(f"within_{h}_hours", F.least(as_of, hour(h)))) for h in hours]
+    rows = own.select("*", F.explode(F.array_compact(F.array(*checks))).alias("x")).select("*", "x.check", "x.checked_at")
+    late = (F.col("ended_at").isNull() | (F.col("ended_at") > F.col("checked_at"))) & (F.col("started_at") + F.make_dt_interval(secs=F.col("max_seconds")) < F.col("checked_at"))
+    each = rows.groupBy("command", "check", "run_id").agg(F.count("*").alias("n"), F.count_if(F.col("exit_code") == EXIT_AUDIT).alias("audit_failures"), F.count_if(late).alias("overdue"), F.count_if(F.col("design").isin("deviation", "incomplete")).alias("findings"))
+    found = each.groupBy("command", "check").agg(F.count("*").alias("runs"), F.sum("n").alias("tasks"), F.sum(F.col("n") - 1).alias("extra_tasks"), *(F.sum(c).alias(c) for c in ("audit_failures", "overdue", "findings")))
+    want = lambda name, h, n: F.struct(F.lit(name).alias("check"), F.lit(h).cast("int").alias("hours"), F.lit(n).cast("int").alias("needs"))
+    wanted = [want("first_task", None, 1), want("first_runs", None, first_runs), *(want(f"within_{h}_hours", h, None) for h in hours)]
+    all_ = live.select("command", "launched_at", F.explode(F.array(*wanted)).alias("w")).select("command", "launched_at", "w.*")
+    counts = ["runs", "tasks", "extra_tasks", "audit_failures", "overdue", "findings"]
+    out = all_.join(found, ["command", "check"], "left").fillna(0, counts)
+    due = F.coalesce(F.col("runs") >= F.col("needs"), F.col("launched_at") + F.make_dt_interval(hours=F.col("hours")) <= as_of)
+    return out.select("command", "check", due.alias("due"), *counts, (F.greatest("extra_tasks", "audit_failures", "overdue", "findings") > 0).alias("no_go"))
+
+
 def no_go(monitored: DataFrame) -> DataFrame:
     """One row: any failed condition blocks the schedule."""
     return monitored.agg(F.coalesce(F.bool_or("no_go"), F.lit(False)).alias("no_go"))

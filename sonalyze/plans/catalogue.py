@@ -17,6 +17,7 @@ from sonalyze.operators import news as N
 from sonalyze.operators import product as P
 from sonalyze.operators import review as R
 from sonalyze.plans import views as V
+from sonalyze.plans.workflows import Registry, Stage, Workflow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -332,6 +333,78 @@ def audit_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.recovery(own, locks)
 
 
+HANDS_SQL = f"SELECT module AS lock_domain, task_id - task_id % 20 AS holder, started_at AS acquired_at FROM ({TASKS_SQL}) WHERE task_id % 9 = 0"
+
+
+@query(f"""
+WITH t AS ({TASKS_SQL}), l AS (SELECT DISTINCT * FROM ({HANDS_SQL})), f AS (SELECT t.task_id, module, min(acquired_at) AS taken FROM t JOIN l ON module = lock_domain AND acquired_at > started_at AND holder <> t.task_id WHERE status = 'running' GROUP BY ALL)
+SELECT f.task_id, module AS lock_domain, CASE WHEN min(holder) = f.task_id THEN max(holder) ELSE min(holder) END AS recovered_by, 'abandoned' AS status, 'incomplete' AS design FROM f JOIN l ON module = lock_domain AND acquired_at = taken GROUP BY f.task_id, module""")
+def audit_lock_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lock of a domain changes hands many times; the first that takes it later recovers a task"""
+    own = tasks(spark, sf_dir).withColumnRenamed("module", "lock_domain")
+    return A.recovery(own, own.where("task_id % 9 = 0").select("lock_domain", (F.col("task_id") - F.col("task_id") % 20).alias("holder"), F.col("started_at").alias("acquired_at")), "MONTH")
+
+
+# ---- what a module declares: of two versions, the second has other stages, units and routes
+
+STOCK = (
+    Workflow("stock", 1, tuple(Stage(f"stage_{k}", "line", ("accepted", "returned")) for k in range(3))),
+    Workflow("stock", 2, (Stage("stage_1", "line", ("accepted", "returned")), Stage("stage_3", "line", ("accepted", "returned"), hard=False), Stage("stage_0", "line", ("accepted",)), Stage("stage_2", "line", ("accepted", "returned"), relation="2 * input = output + accepted + returned"))),
+)
+SNAPSHOT_SQL = "SELECT o_orderkey AS task_id, 'stage_' || CAST(unnest(CASE WHEN o_orderkey % 2 = 0 THEN [0, 1, 2] ELSE [1, 3, 0, 2] END) AS VARCHAR) AS stage_key, CAST(unnest(CASE WHEN o_orderkey % 2 = 0 THEN [1, 2, 3] ELSE [1, 2, 3, 4] END) AS BIGINT) AS expected_seq FROM orders WHERE o_orderkey % 97 > 0"
+
+
+@query(f"""
+WITH s AS (SELECT * FROM ({STAGES_SQL}) WHERE task_id % 97 > 0), had AS (SELECT task_id, stage_key, count(*) AS times, min(actual_seq) AS actual_seq FROM s GROUP BY ALL), e AS ({SNAPSHOT_SQL}),
+j AS (SELECT coalesce(e.task_id, had.task_id) AS task_id, coalesce(e.stage_key, had.stage_key) AS stage_key, expected_seq, actual_seq, times FROM e FULL JOIN had ON e.task_id = had.task_id AND e.stage_key = had.stage_key),
+w AS (SELECT *, max(CASE WHEN expected_seq IS NOT NULL THEN actual_seq END) OVER (PARTITION BY task_id ORDER BY expected_seq NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ahead FROM j)
+SELECT task_id, stage_key, expected_seq, CAST(actual_seq AS BIGINT) AS actual_seq, CASE WHEN actual_seq IS NULL THEN 'missing' WHEN expected_seq IS NULL THEN 'extra' WHEN times > 1 THEN 'duplicate' WHEN ahead > actual_seq THEN 'out_of_order' ELSE 'matched' END AS finding FROM w
+UNION ALL SELECT o_orderkey, NULL, NULL, NULL, 'no_snapshot' FROM orders WHERE o_orderkey % 97 = 0""")
+def audit_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each task is judged by the stages in its own snapshot; those of some can't be read"""
+    text = F.when(F.col("task_id") % 97 == 0, F.when(F.col("task_id") % 2 == 0, "{")).when(F.col("task_id") % 2 == 0, STOCK[0].snapshot()).otherwise(STOCK[1].snapshot())
+    found = A.reconcile_snapshots(tasks(spark, sf_dir).select("task_id", text.alias("snapshot")), stages(spark, sf_dir))
+    return found.select("task_id", "stage_key", "expected_seq", F.col("actual_seq").cast("long").alias("actual_seq"), "finding")
+
+
+@query(f"""
+WITH s AS (SELECT *, task_id % 2 + 1 AS version, CASE WHEN task_id % 10 = 3 AND stage_key = 'stage_1' THEN 'box' ELSE 'line' END AS unit FROM ({STAGES_SQL})),
+f AS (SELECT task_id, stage_key, any_value(version) AS version, any_value(unit) AS unit, CASE WHEN max(actual_seq) < 7 THEN CAST(max(actual_seq) AS BIGINT) END AS input, count(*) FILTER (WHERE flag = 'N') AS output, count(*) FILTER (WHERE flag = 'A') AS a, CASE WHEN NOT (any_value(version) = 2 AND stage_key = 'stage_0' AND count(*) FILTER (WHERE flag = 'R') = 0) THEN count(*) FILTER (WHERE flag = 'R') END AS r FROM s GROUP BY task_id, stage_key),
+g AS (SELECT *, CASE WHEN version = 1 AND stage_key = 'stage_3' THEN NULL WHEN version = 2 AND stage_key = 'stage_2' THEN 2 * input ELSE input END AS l, CASE WHEN version = 1 AND stage_key = 'stage_3' THEN NULL WHEN version = 2 AND stage_key = 'stage_0' THEN output + a ELSE output + a + r END AS x FROM f),
+h AS (SELECT *, CASE WHEN version = 1 AND stage_key = 'stage_3' THEN 'undeclared_stage' WHEN version = 2 AND stage_key = 'stage_0' AND r IS NOT NULL THEN 'undeclared_route' WHEN unit = 'box' THEN 'mixed_units' WHEN l <> x THEN 'funnel_conservation' END AS rule_id FROM g)
+SELECT task_id, version, stage_key, l AS left_side, x AS right_side, l - x AS residual, rule_id, CASE WHEN rule_id = 'funnel_conservation' AND version = 2 AND stage_key = 'stage_3' THEN 'warning' WHEN rule_id IS NOT NULL THEN 'deviation' WHEN l - x IS NULL THEN 'incomplete' ELSE 'compliant' END AS verdict FROM h""")
+def declared_formulas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U4, A3: the formulas of two versions, of which one declares a relation of its own, a soft rule, and fewer routes and stages"""
+    version = F.col("task_id") % 2 + 1
+    own = funnel_stages(spark, sf_dir).withColumns({"workflow": F.lit("stock"), "version": version, "unit": F.when((F.col("task_id") % 10 == 3) & (F.col("stage_key") == "stage_1"), "box").otherwise("line")})
+    # a route that a stage doesn't have is not counted there
+    bare = (F.col("version") == 2) & (F.col("stage_key") == "stage_0")
+    own = own.withColumn("routes", F.map_filter("routes", lambda k, n: ~((k == "returned") & bare & (n == 0))))
+    return Registry(*STOCK).check(own).select("task_id", *wide("version"), "stage_key", "left_side", "right_side", "residual", "rule_id", "verdict")
+
+
+LAUNCH_SQL = """SELECT module AS command, CAST(TIMESTAMP '1995-03-01' + ascii(module) * INTERVAL 1 DAY AS TIMESTAMP) AS launched FROM (SELECT DISTINCT o_orderpriority AS module FROM orders)"""
+
+
+@query(f"""
+WITH l AS ({LAUNCH_SQL}), t AS (SELECT module AS command, actor % 400 AS run_id, task_id, CAST(started_at AS TIMESTAMP) AS s, CASE WHEN status <> 'running' THEN CAST(started_at AS TIMESTAMP) + CAST(actor % 40 AS BIGINT) * INTERVAL 1 HOUR END AS e, CASE WHEN price > 400000 THEN 6 END AS code, design FROM ({TASKS_SQL})),
+o AS (SELECT t.*, launched FROM t JOIN l USING (command) WHERE s >= launched), r0 AS (SELECT command, run_id, min({{'s': s, 't': task_id}}) AS f FROM o GROUP BY command, run_id), r AS (SELECT command, run_id, f.t AS first_task, row_number() OVER (PARTITION BY command ORDER BY f) AS place FROM r0),
+q AS (SELECT o.*, place, first_task FROM o LEFT JOIN (SELECT * FROM r WHERE place <= 3) x ON x.command = o.command AND x.run_id = o.run_id),
+c AS (SELECT *, 'first_task' AS "check", TIMESTAMP '1997-01-01' AS due_at FROM q WHERE place = 1 AND task_id = first_task UNION ALL SELECT *, 'first_runs', TIMESTAMP '1997-01-01' FROM q WHERE place IS NOT NULL
+    UNION ALL SELECT *, 'within_96_hours', launched + INTERVAL 96 HOUR FROM q WHERE s < launched + INTERVAL 96 HOUR UNION ALL SELECT *, 'within_20000_hours', least(launched + INTERVAL 20000 HOUR, TIMESTAMP '1997-01-01') FROM q WHERE s < launched + INTERVAL 20000 HOUR),
+g AS (SELECT command, "check", run_id, count(*) AS n, count(*) FILTER (code = 6) AS f, count(*) FILTER ((e IS NULL OR e > due_at) AND s + INTERVAL 30 HOUR < due_at) AS late, count(*) FILTER (design IN ('deviation', 'incomplete')) AS d FROM c GROUP BY ALL),
+w AS (SELECT command, launched, "check", needs, hours FROM l, (VALUES ('first_task', 1, NULL), ('first_runs', 3, NULL), ('within_96_hours', NULL, 96), ('within_20000_hours', NULL, 20000)) v("check", needs, hours)),
+z AS (SELECT w.command, w."check", needs, hours, launched, count(run_id) AS runs, coalesce(sum(n), 0) AS tasks, coalesce(sum(n - 1), 0) AS extra, coalesce(sum(f), 0) AS f, coalesce(sum(late), 0) AS late, coalesce(sum(d), 0) AS d FROM w LEFT JOIN g ON g.command = w.command AND g."check" = w."check" GROUP BY ALL)
+SELECT command, "check", coalesce(runs >= needs, launched + hours * INTERVAL 1 HOUR <= TIMESTAMP '1997-01-01') AS due, runs, CAST(tasks AS BIGINT) AS tasks, CAST(extra AS BIGINT) AS extra_tasks, CAST(f AS BIGINT) AS audit_failures, CAST(late AS BIGINT) AS overdue, CAST(d AS BIGINT) AS findings, greatest(extra, f, late, d) > 0 AS no_go FROM z""")
+def audit_launch_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After the launch of each command, its first task, its first three runs, and all within 96 and 20,000 hours; a task may run for 30"""
+    t = tasks(spark, sf_dir)
+    start = F.col("started_at").cast("timestamp_ntz")
+    own = t.select(F.col("module").alias("command"), (F.col("actor") % 400).alias("run_id"), "task_id", start.alias("started_at"), F.when(F.col("status") != "running", start + F.make_dt_interval(hours=(F.col("actor") % 40).cast("int"))).alias("ended_at"), F.when(F.col("price") > 400000, A.EXIT_AUDIT).alias("exit_code"), "design")
+    launches = t.select(F.col("module").alias("command")).distinct().select("command", (F.lit("1995-03-01").cast("timestamp_ntz") + F.make_dt_interval(days=F.ascii("command"))).alias("launched_at"), F.lit(30 * 3600).alias("max_seconds"))
+    return A.launch_checks(own, launches, F.lit("1997-01-01").cast("timestamp_ntz"), (96, 20000))
+
+
 @query(f"""
 WITH s AS (SELECT task_id, stage_key, actual_seq - 1 AS actual_seq, part % 5 AS attempt_no, started_at, started_at + CAST(quantity - 5 AS BIGINT) * INTERVAL 1 SECOND AS ended_at, part % 11 - 1 AS input FROM ({STAGES_SQL}))
 SELECT task_id, stage_key, CAST(actual_seq AS BIGINT) AS actual_seq, array_to_string(list_filter([CASE WHEN actual_seq < 1 THEN 'seq_not_positive' END, CASE WHEN attempt_no < 1 THEN 'attempt_not_positive' END, CASE WHEN input < 0 THEN 'input_negative' END, CASE WHEN ended_at < started_at THEN 'ends_before_start' END], lambda x: x IS NOT NULL), ';') AS violations

@@ -266,10 +266,18 @@ SHOP = Workflow("shop", 1, (Stage("a", "item"), Stage("b", "item", ("lost",)), S
 SHOP_SQL = "SELECT conv_id AS task_id, list_value('a', 'b', 'c')[CAST((conv_id + turn) % 3 + 1 AS INT)] AS stage_key, turn + 1 AS actual_seq, CASE WHEN length(text) % 3 = 0 THEN 'failed' ELSE 'succeeded' END AS status FROM conversations"
 
 
-@query("SELECT * REPLACE (CAST(version AS BIGINT) AS version, CAST(expected_seq AS BIGINT) AS expected_seq) FROM (VALUES ('shop', 1, 'a', 1, 'item', 'input = output', true), ('shop', 1, 'b', 2, 'item', 'input = output + lost', true), ('shop', 1, 'c', 3, 'item', 'input = output', true)) v(workflow, version, stage_key, expected_seq, unit, formula, hard)")
+@query(f"""WITH d AS (SELECT * FROM (VALUES ('shop', 1, 'a', 1, 'item', 'input = output', true), ('shop', 1, 'b', 2, 'item', 'input = output + lost', true), ('shop', 1, 'c', 3, 'item', 'input = output', true)) v(workflow, version, stage_key, expected_seq, unit, formula, hard)), s AS ({SHOP_SQL})
+    SELECT workflow, CAST(version AS BIGINT) AS version, d.stage_key, CAST(expected_seq AS BIGINT) AS expected_seq, unit, formula, hard, count(s.stage_key) AS stages, count(DISTINCT task_id) AS tasks FROM d LEFT JOIN s ON s.stage_key = d.stage_key GROUP BY ALL""")
 def workflow_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """U4: what a module declares that no operator knows by name"""
-    return Registry(SHOP).definitions(spark).select("workflow", *wide("version"), "stage_key", *wide("expected_seq"), "unit", "formula", "hard")
+    """U4: what a module declares that no operator knows by name, and the stages of the ledger that are of it"""
+    ran = shop_stages(spark, sf_dir).groupBy("workflow", "version", "stage_key").agg(F.count("*").alias("stages"), F.count_distinct("task_id").alias("tasks"))
+    found = Registry(SHOP).definitions(spark).join(ran, ["workflow", "version", "stage_key"], "left").fillna(0, ["stages", "tasks"])
+    return found.select("workflow", *wide("version"), "stage_key", *wide("expected_seq"), "unit", "formula", "hard", "stages", "tasks")
+
+
+def shop_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.element_at(F.array(*map(F.lit, "abc")), ((F.col("conv_id") + F.col("turn")) % 3 + 1).cast("int"))
+    return table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("task_id"), F.lit("shop").alias("workflow"), F.lit(1).alias("version"), key.alias("stage_key"), (F.col("turn") + 1).alias("actual_seq"), F.when(F.length("text") % 3 == 0, "failed").otherwise("succeeded").alias("status"))
 
 
 @query(f"""
@@ -277,8 +285,7 @@ WITH s AS ({SHOP_SQL}), r(stage_key, required_key) AS (VALUES ('b', 'a'), ('c',
 SELECT s.task_id, s.stage_key, r.required_key FROM s JOIN r ON s.stage_key = r.stage_key LEFT JOIN m ON m.task_id = s.task_id AND m.required_key = r.required_key WHERE met_at IS NULL OR met_at >= actual_seq""")
 def precondition_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Preconditions of a declared workflow that no earlier stage meets"""
-    key = F.element_at(F.array(*map(F.lit, "abc")), ((F.col("conv_id") + F.col("turn")) % 3 + 1).cast("int"))
-    own = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("task_id"), F.lit("shop").alias("workflow"), F.lit(1).alias("version"), key.alias("stage_key"), (F.col("turn") + 1).alias("actual_seq"), F.when(F.length("text") % 3 == 0, "failed").otherwise("succeeded").alias("status"))
+    own = shop_stages(spark, sf_dir)
     return A.precondition_check(own, Registry(SHOP).preconditions(spark))
 
 

@@ -91,3 +91,65 @@ def test_views_show_the_same_as_json(spark):
     assert [p["who"] for p in parsed] == ["me", None] and list(parsed[0]) == shown.columns
     assert rows(V.task_list(tasks, status="failed", module="m"), "task_id") == [(2,)]
     assert V.resolve(tasks, {"m": lambda s: s.select("task_id")})["m"].count() == 2
+
+
+def test_locks_that_change_hands(spark):
+    """The first acquisition by another, over spans, ties and runs of one holder."""
+    import random
+
+    r = random.Random(8)
+    at = lambda h: dt.datetime(2026, 7, 1) + dt.timedelta(hours=h)
+    tasks = [(k, r.choice("de"), r.choice(["running", "failed"]), at(r.randrange(300)) if k % 11 else None) for k in range(60)]
+    locks = [(r.choice("de"), r.choice([k, k, 5, 5, None]), at(r.randrange(0, 300, 3))) for k in range(0, 60, 2)] * 2
+    want = []
+    for k, domain, status, start in tasks:
+        later = [(a, h) for d, h, a in locks if d == domain and h is not None and h != k and status == "running" and start and a > start]
+        if later:
+            first = min(later)[0]
+            holders = {h for d, h, a in locks if d == domain and a == first and h is not None}
+            want.append((k, max(holders) if min(holders) == k else min(holders)))
+    t = spark.createDataFrame(tasks, "task_id int, lock_domain string, status string, started_at timestamp_ntz")
+    own = spark.createDataFrame(locks, "lock_domain string, holder int, acquired_at timestamp_ntz")
+    for span in ("DAY", "HOUR", "YEAR"):
+        assert sorted(rows(A.recovery(t, own, span), "task_id", "recovered_by")) == want and want
+    assert A.recovery(t, own.limit(0)).collect() == []
+
+
+def test_snapshots_judge_their_own_tasks(spark):
+    old, new = Workflow("w", 1, (Stage("a", "u"), Stage("b", "u"))), Workflow("w", 2, (Stage("b", "u"), Stage("c", "u")))
+    held = [(1, old.snapshot()), (2, new.snapshot()), (3, None), (4, "{"), (5, '{"stages": []}'), (6, '{"stages": [{"key": "a"}, {"key": "b"}]}')]
+    tasks = spark.createDataFrame(held, "task_id int, snapshot string")
+    stages = spark.createDataFrame([(t, s, n) for t in range(1, 7) for n, s in enumerate("ab", 1)], "task_id int, stage_key string, actual_seq int")
+    found = {}
+    for r in A.reconcile_snapshots(tasks, stages).collect():
+        found.setdefault(r.task_id, {})[r.stage_key] = r.finding
+    assert found == {1: {"a": "matched", "b": "matched"}, 2: {"a": "extra", "b": "matched", "c": "missing"}, 3: {None: "no_snapshot"}, 4: {None: "no_snapshot"}, 5: {None: "no_snapshot"}, 6: {"a": "matched", "b": "matched"}}
+
+
+def test_formulas_of_versions(spark):
+    one = Workflow("w", 1, (Stage("a", "item", ("lost",)), Stage("b", "item", hard=False)))
+    two = Workflow("w", 2, (Stage("a", "item", ("lost", "held"), relation="input = 2 * (output + lost) + held"),))
+    data = [
+        (1, 1, "a", "item", 10, 8, {"lost": 2}), (2, 1, "a", "item", 10, 8, {"lost": 1}), (3, 1, "a", "item", 10, 8, {}), (4, 1, "a", "item", 10, 8, {"lost": 2, "held": 0}), (5, 1, "a", "box", 10, 8, {"lost": 2}),
+        (6, 1, "b", "item", 5, 4, {}), (7, 1, "c", "item", 5, 5, {}), (8, 3, "a", "item", 5, 5, {}), (9, 2, "a", "item", 21, 8, {"lost": 2, "held": 1}), (10, 1, "b", "item", None, 4, {}), (11, 1, "a", None, 10, 8, {"lost": 2}),
+    ]
+    stages = spark.createDataFrame([(k, "w", *x) for k, *x in data], "task_id int, workflow string, version int, stage_key string, unit string, input long, output long, routes map<string,long>")
+    got = {r.task_id: (r.verdict, r.rule_id, r.residual) for r in Registry(one, two).check(stages).collect()}
+    assert got == {
+        1: ("compliant", None, 0), 2: ("deviation", "funnel_conservation", 1), 3: ("incomplete", None, None), 4: ("deviation", "undeclared_route", 0), 5: ("deviation", "mixed_units", 0), 6: ("warning", "funnel_conservation", 1),
+        7: ("deviation", "undeclared_stage", None), 8: ("deviation", "undeclared_stage", None), 9: ("compliant", None, 0), 10: ("incomplete", None, None), 11: ("compliant", None, 0),
+    }
+    for bad in ("input = output + other", "input", "input = output; drop", "input = f(output)"):
+        with pytest.raises(ValueError):
+            Registry(Workflow("x", 1, (Stage("a", "u", relation=bad),)))
+
+
+def test_launch_checks(spark):
+    at = lambda h: dt.datetime(2026, 7, 1) + dt.timedelta(hours=h)
+    tasks = [("c", 1, 1, -1, 0, 6, "deviation"), ("c", 1, 2, 0, 1, 0, "compliant"), ("c", 2, 3, 1, 2, 0, "compliant"), ("c", 2, 4, 2, 3, 0, "compliant"), ("c", 3, 5, 3, None, None, "pending"), ("c", 4, 6, 5, 6, 6, "incomplete"), ("e", 9, 7, 30, 31, 0, "compliant")]
+    t = spark.createDataFrame([(c, r, k, at(s), None if e is None else at(e), x, d) for c, r, k, s, e, x, d in tasks], "command string, run_id int, task_id int, started_at timestamp_ntz, ended_at timestamp_ntz, exit_code int, design string")
+    launches = spark.createDataFrame([("c", at(0), 1800), ("d", at(0), 60), ("e", at(0), 60)], "command string, launched_at timestamp_ntz, max_seconds int")
+    got = {(r.command, r.check): tuple(r)[2:] for r in A.launch_checks(t, launches, F.lit(at(10))).collect()}
+    assert got["c", "first_task"] == (True, 1, 1, 0, 0, 0, 0, False) and got["c", "first_runs"] == (True, 3, 4, 1, 0, 1, 0, True)
+    assert got["c", "within_4_hours"] == (True, 3, 4, 1, 0, 1, 0, True) and got["c", "within_24_hours"] == (False, 4, 5, 1, 1, 1, 1, True)
+    assert got["d", "first_task"] == (False, 0, 0, 0, 0, 0, 0, False) and got["e", "within_24_hours"][:3] == (False, 0, 0) and len(got) == 12
