@@ -514,6 +514,15 @@ def news_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.near_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "dedup_key", "kept")
 
 
+@query(r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents), s AS (SELECT DISTINCT doc_id, array_to_string(w[p + 1:p + 5], ' ') AS g FROM w, unnest(range(0, greatest(len(w) - 4, 1))) r(p) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), gone AS (SELECT DISTINCT b.doc_id FROM (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL) p JOIN n x ON x.doc_id = p.a JOIN n b ON b.doc_id = p.b WHERE 100 * c >= 75 * (x.n + b.n - c))
+SELECT doc_id, doc_id NOT IN (SELECT doc_id FROM gone) AS kept FROM documents""")
+def news_similar_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles that share three quarters of their runs of five words with an earlier one; the SQL compares all pairs"""
+    return N.similar_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "kept")
+
+
 @query(f"WITH p AS ({PAGES_SQL}) SELECT min(page_id) AS page_id, k FROM p WHERE k NOT IN (SELECT k FROM p WHERE page_id % 3 = 0) GROUP BY k")
 def news_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses that earlier runs have not seen"""

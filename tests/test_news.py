@@ -75,3 +75,28 @@ def test_events_equal_brute_force_and_tell_stories_apart(spark):
             told[d % 12].add(got[d])
     assert all(None not in e and len(e) == 1 for e in told.values()) and len(set.union(*told.values())) == 12
     assert N.cluster(spark.createDataFrame([], "doc_id long, lang string, text string")).collect() == []
+
+
+def test_similar_articles_equal_all_pairs(spark):
+    r = random.Random(6)
+    words = [f"w{k}" for k in range(400)]
+    base = [r.choices(words, k=40) for _ in range(12)]
+    texts = [None, "", "...", "one two", "Two, one!", "one TWO"]
+    for _ in range(150):
+        own = list(r.choice(base))
+        for _ in range(r.choice([0, 0, 1, 1, 2, 3, 6])):
+            own[r.randrange(len(own))] = r.choice(words)
+        texts.append(" ".join(own) if r.random() < 0.5 else ", ".join(own).upper())
+    ids = list(range(len(texts)))
+    r.shuffle(ids)
+
+    def runs(text):
+        w = __import__("re").findall(r"[^\W_]+", (text or "").lower())
+        return {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+
+    sets = {i: runs(t) for i, t in zip(ids, texts)}
+    want = {i: not any(sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]) for j in sets if j < i) for i in sets}
+    df = spark.createDataFrame([(i, t, "clash", 1) for i, t in zip(ids, texts)], "doc_id long, text string, s string, band int")
+    got = {x.doc_id: x.kept for x in N.similar_dedup(df).collect()}
+    assert got == want and 10 < sum(want.values()) < 140
+    assert N.similar_dedup(df.limit(0)).collect() == []
