@@ -149,8 +149,8 @@ def event_terms(docs: DataFrame) -> DataFrame:
     more than LEAST_COMMON and one in COMMON_PART of all. bits: how much it tells that two articles share a word, the
     length of (articles of the language / those with the word) in binary."""
     own = F.coalesce("lang", F.lit(""))
-    terms = F.filter(F.array_distinct(F.split(normalized_text(F.col("text")), " ")), lambda w: F.length(w) >= TERM)
-    words = docs.select("doc_id", own.alias("lang"), F.explode(terms).alias("word"))
+    terms = F.array_distinct(F.filter(F.split(F.lower("text"), r"\s+"), lambda w: F.length(w) >= TERM))
+    words = cut(docs.select("doc_id", own.alias("lang"), F.explode(terms).alias("word")))
     articles = docs.groupBy(own.alias("lang")).agg(F.count("*").alias("articles"))
     index = words.groupBy("lang", "word").agg(F.count("*").alias("n")).where("n > 1").join(articles, "lang")
     index = index.where(F.expr(f"n <= greatest({LEAST_COMMON}, articles div {COMMON_PART})")).select("lang", "word", "n", F.expr("length(bin(articles div n))").alias("bits"), F.expr("length(bin(articles))").alias("all_bits"))

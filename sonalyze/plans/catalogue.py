@@ -520,7 +520,7 @@ n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), gone AS (SELECT DIST
 SELECT doc_id, doc_id NOT IN (SELECT doc_id FROM gone) AS kept FROM documents""")
 def news_similar_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles that share three quarters of their runs of five words with an earlier one; the SQL compares all pairs"""
-    return N.similar_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "kept")
+    return N.similar_dedup(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))).select("doc_id", "kept")
 
 
 @query(f"WITH p AS ({PAGES_SQL}) SELECT min(page_id) AS page_id, k FROM p WHERE k NOT IN (SELECT k FROM p WHERE page_id % 3 = 0) GROUP BY k")
@@ -545,13 +545,13 @@ def news_fulltext(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH e AS ({events_sql('documents')}) SELECT event_id, count(*) AS articles FROM e GROUP BY event_id")
 def news_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles of each event, and those of none"""
-    return N.cluster(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).groupBy("event_id").agg(F.count("*").alias("articles"))
+    return N.cluster(spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))).groupBy("event_id").agg(F.count("*").alias("articles"))
 
 
 @query(f"WITH e AS ({events_sql('documents')}), h AS (SELECT DISTINCT event_id FROM e WHERE doc_id % 2 = 0 AND event_id IS NOT NULL), o AS (SELECT DISTINCT event_id FROM e WHERE doc_id % 2 = 1 AND event_id IS NOT NULL) SELECT count(*) FILTER (WHERE h.event_id IS NULL) AS new_events, count(h.event_id) AS reused_events FROM o LEFT JOIN h USING (event_id)")
 def news_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New and reused events, in their own unit"""
-    e = N.cluster(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    e = N.cluster(spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")))
     return N.events(e.where("doc_id % 2 = 1"), e.where("doc_id % 2 = 0 AND event_id IS NOT NULL"))
 
 
@@ -585,7 +585,7 @@ SELECT 'safety', count(*), count(*) FILTER (WHERE coalesce(toxic, 0) <> 1), coun
 def news_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each stage conserves its input"""
     t = lambda name: table(spark, sf_dir, name)
-    return A.funnel_check(N.funnel(t("documents"), t("pages"), t("labels"))).select("stage_key", "input", "output", "explained", "residual")
+    return A.funnel_check(N.funnel(spread(t("documents")), t("pages"), t("labels"))).select("stage_key", "input", "output", "explained", "residual")
 
 
 # ---- product rules
