@@ -3,9 +3,10 @@
 The filters are the words of a structured random product code: after a fixed rotation a vector's two
 halves are scored against one random code each, and a filter is a pair of half words, whose score is the
 sum. A list decoder gives each vector all filters whose score exceeds the cap's height, without scoring
-all pairs, and at least its best few. The height is calibrated on the scores of random vectors. Two vectors
-of high cosine lie in a common cap with high probability; vectors that share a filter are compared exactly,
-in double precision.
+all pairs, and at least its best few. The height is calibrated on random vectors so that they have MEAN_FILTERS on average, or
+as many more as it takes until RECALL of random pairs at the threshold share a filter, whatever the dimension and the number of
+words. Where none of these means is enough, the code has fewer words. Vectors that share a filter are compared exactly, in
+double precision.
 
 Filters are joined by the vectors' ids; the vectors follow only into filters that hold two or more. A pair
 counts in the first filter that both have, so n_links is exact for the pairs found, and of the links within a
@@ -25,11 +26,11 @@ from sonalyze.llm import text as X
 from sonalyze.llm.components import components
 from sonalyze.llm.shared import n_buckets, stored
 
-#: Filters a vector has on average, and at least; vectors a filter is made for; rows of a tile.
-MEAN_FILTERS, LEAST_FILTERS, FILTER_ROWS, TILE_ROWS = 10, 6, 64, 1024
-MOST_WORDS = 1 << 14
-#: Random vectors on whose scores a cap's height is calibrated.
-SAMPLE = 48
+#: Filters a vector has on average, of which the first that is enough is taken, and at least; vectors a filter is made for; rows of a tile.
+MEAN_FILTERS, LEAST_FILTERS, FILTER_ROWS, TILE_ROWS = (10, 14, 20, 28, 40), 6, 64, 1024
+MOST_WORDS, LEAST_WORDS = 1 << 14, 8
+#: Random vectors on whose scores a cap's height is calibrated; random pairs at the threshold, and the part of them that must share a filter.
+SAMPLE, PAIRS, RECALL = 48, 256, 0.96
 #: Bytes of rows that a part is made for, at most.
 PART_BYTES = 64 << 20
 SALTS, BRANCHES = 16, 4
@@ -39,29 +40,48 @@ FOUND = "rep long, row long, links long, other long"
 
 
 class Code:
-    """The product code for vectors of one dimension, with caps of a height at which a vector has MEAN_FILTERS."""
+    """The product code for vectors of one dimension, with caps of a height at which a vector has `mean` filters."""
 
-    def __init__(self, dim: int, words: int, height: float | None = None, seed: int = 7):
+    def __init__(self, dim: int, words: int, height: float | None = None, seed: int = 7, mean: int = MEAN_FILTERS[0]):
         rng = np.random.default_rng(seed)
         self.rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0] if dim > 1 else np.eye(1)
-        self.cut, self.words = (dim + 1) // 2, words
+        self.cut, self.words, self.mean = (dim + 1) // 2, words, mean
         halves = [rng.standard_normal((words, max(n, 1))) for n in (self.cut, dim - self.cut)]
         self.halves = [h / np.linalg.norm(h, axis=1, keepdims=True) / np.sqrt(2) for h in halves]
-        self.height = self.calibrated(rng.standard_normal((SAMPLE, dim))) if height is None else height
+        self.height = self.calibrated(rng.standard_normal((SAMPLE, dim)), mean) if height is None else height
+
+    @staticmethod
+    def fitting(dim: int, words: int, least: float) -> Code:
+        """The code of at most so many words, and the least mean, by which RECALL of the pairs whose cosine is `least` share a filter."""
+        x, y = random_pairs(np.random.default_rng(3), dim, least)
+        words = min(words, LEAST_WORDS << min(dim, 16))  # few dimensions have no room for more
+        while True:
+            for mean in MEAN_FILTERS:
+                code = Code(dim, words, mean=mean)
+                if code.recall(x[:32], y[:32]) >= RECALL - 0.1 and code.recall(x, y) >= RECALL:
+                    return code
+            if words <= LEAST_WORDS:
+                return code
+            words = max(LEAST_WORDS, words // 2)
+
+    def recall(self, x: np.ndarray, y: np.ndarray) -> float:
+        step = max(16, (1 << 22) // self.words)
+        shared = [len(np.intersect1d(a, b, assume_unique=True)) > 0 for lo in range(0, len(x), step) for a, b in zip(self.decode(x[lo : lo + step]), self.decode(y[lo : lo + step]))]
+        return float(np.mean(shared))
 
     def scores(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         x = unit @ self.rotation
         right = x[:, self.cut :] if x.shape[1] > self.cut else np.zeros((len(x), 1))
         return x[:, : self.cut] @ self.halves[0].T, right @ self.halves[1].T
 
-    def calibrated(self, sample: np.ndarray) -> float:
+    def calibrated(self, sample: np.ndarray, wanted: int) -> float:
         one, two = self.scores(sample / np.linalg.norm(sample, axis=1, keepdims=True))
         two.sort(1)
         low, high = -2.0, 2.0
         for _ in range(40):
             middle = (low + high) / 2
             mean = np.mean([(self.words - np.searchsorted(b, middle - a)).sum() for a, b in zip(one, two)])
-            low, high = (middle, high) if mean > MEAN_FILTERS else (low, middle)
+            low, high = (middle, high) if mean > wanted else (low, middle)
         return high
 
     def decode(self, unit: np.ndarray) -> Iterator[np.ndarray]:
@@ -85,6 +105,16 @@ class Code:
         return np.repeat(left, count) * self.words + by[np.arange(count.sum()) - np.repeat(begin, count)]
 
 
+def random_pairs(rng: np.random.Generator, dim: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors, and others of this cosine with them."""
+    x = unit(rng.standard_normal((PAIRS, dim)))
+    if dim == 1:
+        return x, x
+    y = rng.standard_normal((PAIRS, dim))
+    y -= (x * y).sum(1, keepdims=True) * x
+    return x, cosine * x + np.sqrt(max(0.0, 1 - cosine**2)) * unit(y)
+
+
 def similar_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of vectors (vec_id, embedding, label).
 
@@ -101,8 +131,9 @@ def similar_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     sound = F.col("label").isNotNull() & F.coalesce(F.forall("embedding", finite) & F.exists("embedding", lambda x: x != 0), F.lit(False))
     classes = stored(own.where(sound).groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "caps-classes")
     sizes = classes.groupBy("label", F.size("embedding").alias("dim")).count().groupBy("dim").agg(F.max("count").alias("n"), F.count("*").alias("labels")).collect()
-    words = {r["dim"]: int(min(MOST_WORDS, max(8, (r["n"] * MEAN_FILTERS / FILTER_ROWS) ** 0.5))) for r in sizes}
-    heights = {dim: Code(dim, n).height for dim, n in words.items()}
+    codes = {r["dim"]: Code.fitting(r["dim"], int(min(MOST_WORDS, max(LEAST_WORDS, (r["n"] * MEAN_FILTERS[0] / FILTER_ROWS) ** 0.5))), least) for r in sizes}
+    words, heights, means = ({dim: getattr(c, name) for dim, c in codes.items()} for name in ("words", "height", "mean"))
+    del codes
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[int, Code] = {}
@@ -130,7 +161,7 @@ def similar_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     places = ids.groupBy("label", "dim", "rep", "row").agg(F.collect_list(F.struct("filter", "tiles", "tile")).alias("places"))
     dealt = rows.join(places, ["label", "dim", "rep", "row"]).select("label", "dim", "rep", "row", "copies", "vector", "filters", F.inline("places"))
     dealt = dealt.select("label", "dim", "rep", "row", "copies", "vector", "filters", "filter", "tile", F.inline(with_))
-    parts = 4 * n_buckets(spark, sum(r["n"] * r["labels"] * MEAN_FILTERS * (size * r["dim"] + 4 * MEAN_FILTERS) for r in sizes), PART_BYTES)
+    parts = 4 * n_buckets(spark, sum(r["n"] * r["labels"] * means[r["dim"]] * (size * r["dim"] + 4 * means[r["dim"]]) for r in sizes), PART_BYTES)
 
     def linked(table: pa.Table) -> pa.Table:
         out: list[list[np.ndarray]] = [[], [], [], []]

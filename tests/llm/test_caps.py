@@ -79,6 +79,18 @@ def test_recall_at_the_threshold(dim, words, n, least):
         assert len(want) < caps.LEAST_FILTERS or one[k].tolist() == want.tolist()
 
 
+@pytest.mark.parametrize("dim, words", [(2, 16384), (8, 1732), (8, 16384), (16, 5477), (16, 16384), (64, 5477), (64, 16384), (768, 5477)])
+def test_recall_holds_at_every_size(dim, words):
+    """Pairs that the calibration hasn't seen."""
+    x, y = pairs_at(np.random.default_rng(11), 200, dim, 0.98)
+    code = caps.Code.fitting(dim, words, 0.98)
+    assert code.recall(x, y) >= 0.9 and LEAST <= code.words <= words
+    assert np.mean([len(a) for a in code.decode(x[:50])]) < 80
+
+
+LEAST = caps.LEAST_WORDS
+
+
 def test_common_before():
     import pyarrow as pa
 
