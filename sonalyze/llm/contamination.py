@@ -2,9 +2,10 @@
 
 A document's windows have as many words as the items they are held against. First, positions whose word shingle
 is in any item of a size are found; windows of that size with fewer of them than a similar item needs are none. All
-others are fingerprinted (SimHash of their shingles, each as often as it occurs), by sums of packed counters. Fingerprints
-within the radius agree in at least one of radius + 1 blocks of bits, so a join with the items' fingerprints on
-size, block and bits names the items of each window, and misses none within the radius. Where a window or an item
+others are fingerprinted (SimHash of their shingles, each as often as it occurs), by sums of packed counters. Equal windows
+are one class from there on. A fingerprint is cut into BLOCKS blocks of bits; two within the radius differ in at most
+radius / BLOCKS bits in one of them at least. So an item is entered under every pattern that near to each of its blocks, and a
+join on size, block and bits names the items of each class, and misses none within the radius. Where a window or an item
 repeats a shingle, one shingle may turn many bits, so fingerprints tell nothing: a window that repeats one is held
 against all items of its size, and such an item against all windows of its size. Pairs within the radius are
 verified by the weighted similarity of their shingles: the sum of the lesser counts over the sum of the greater.
@@ -12,13 +13,16 @@ verified by the weighted similarity of their shingles: the sum of the lesser cou
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sonalyze.llm.shared import stored
 from sonalyze.llm.text import NULL_ID
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BITS = 64
+BITS, BLOCKS = 64, 6
 #: Positions of a document that are worked on at once.
 STEP = 1024
 
@@ -56,20 +60,29 @@ def packed_print(counters: str, start: str, n: str, lanes: int, width: int) -> s
     return f"aggregate(transform({sums}, (v, k) -> shiftleft({bits}, k * {lanes})), 0L, (f, v) -> f | v)"
 
 
-def block_of(value: str, blocks: int, others: list[str]) -> str:
-    """(block, bits) of a fingerprint cut into `blocks` runs of bits, and further blocks without bits."""
-    cuts = (f"struct({k} AS block, shiftrightunsigned({value}, {a}) & {(1 << b - a) - 1}L AS bits)" for k, (a, b) in enumerate(edges(blocks)))
+def edges() -> list[tuple[int, int]]:
+    at = [k * BITS // BLOCKS for k in range(BLOCKS + 1)]
+    return list(zip(at, at[1:]))
+
+
+def block_of(value: str, others: list[str]) -> str:
+    """(block, bits) of a fingerprint cut into blocks, and further blocks without bits."""
+    cuts = (f"struct({k} AS block, shiftrightunsigned({value}, {a}) & {(1 << b - a) - 1}L AS bits)" for k, (a, b) in enumerate(edges()))
     return f"inline(array_compact(array({', '.join([*others, *cuts])})))"
 
 
-def edges(blocks: int) -> list[tuple[int, int]]:
-    at = [k * BITS // blocks for k in range(blocks + 1)]
-    return list(zip(at, at[1:]))
+def near_blocks(value: str, near: int, others: list[str]) -> str:
+    """block_of() with all bits that differ from the fingerprint's in at most `near` places of a block."""
+    cuts = []
+    for k, (a, b) in enumerate(edges()):
+        turned = [sum(1 << x for x in places) for n in range(min(near, b - a) + 1) for places in combinations(range(b - a), n)]
+        cuts.append(f"transform(array({', '.join(f'{t}L' for t in turned)}), t -> struct({k} AS block, (shiftrightunsigned({value}, {a}) & {(1 << b - a) - 1}L) ^ t AS bits))")
+    return f"inline(concat(array_compact(array({', '.join(others)})), {', '.join(cuts)}))"
 
 
-def first_block(x: str, blocks: int) -> str:
-    """The first block in which two fingerprints agree; x: their differing bits."""
-    return "CASE " + " ".join(f"WHEN shiftrightunsigned({x}, {a}) & {(1 << b - a) - 1}L = 0 THEN {k}" for k, (a, b) in enumerate(edges(blocks))) + " END"
+def first_block(x: str, near: int) -> str:
+    """The first block in which two fingerprints differ in at most `near` bits; x: their differing bits."""
+    return "CASE " + " ".join(f"WHEN bit_count(shiftrightunsigned({x}, {a}) & {(1 << b - a) - 1}L) <= {near} THEN {k}" for k, (a, b) in enumerate(edges())) + " END"
 
 
 def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -94,7 +107,9 @@ def find_passages(docs: DataFrame, items: DataFrame, size: int = 5, percent: int
     bench = bench.select("item_id", "item", F.size("w").alias("length"), F.size("item").alias("n"), F.expr(fingerprint("item")).alias("item_print")).distinct()
     short = bench.where(F.col("length") < size)
     bench = bench.where(F.col("length") >= size)
-    found = verified(matched(windows(docs, bench, size, percent), bench, radius), percent)
+    own = stored(windows(docs, bench, size, percent).withColumn("class", F.xxhash64("window")), "passage-windows")
+    classes = own.select("n", "class", "print", "window").dropDuplicates(["n", "class", "print"])
+    found = own.select("doc_id", "n", "start", "class", "print").join(verified(matched(classes, bench, radius), percent), ["n", "class", "print"])
     best = found.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("start", "length"), F.struct("similarity", -F.col("start"))).alias("x"), F.max("similarity").alias("similarity"))
     best = best.select("doc_id", "item_id", "x.start", "x.length", "similarity")
     for n in sorted(r[0] for r in short.select("length").distinct().collect()):  # fewer than `size`: their windows have one shingle
@@ -133,23 +148,24 @@ def windows(docs: DataFrame, bench: DataFrame, size: int, percent: int) -> DataF
     return texts.select("doc_id", F.expr(f"inline(transform(array_distinct(flatten({ranges})), x -> {own}))"))
 
 
-def matched(windows: DataFrame, bench: DataFrame, radius: int) -> DataFrame:
-    """The windows with the items of their size whose fingerprints are within the radius, each pair once, and pairs
-    of which one repeats a shingle."""
-    blocks = radius + 1
+def matched(classes: DataFrame, bench: DataFrame, radius: int) -> DataFrame:
+    """The classes of windows (n, class, print, window) with the items of their size whose fingerprints are within the radius, each
+    pair once, and pairs of which one repeats a shingle."""
+    near = radius // BLOCKS
     index = bench.withColumn("item_repeats", F.expr("size(array_distinct(item)) < size(item)"))
-    index = index.select("n", "item_id", "item", "length", "item_print", "item_repeats", F.expr(block_of("item_print", blocks, ["struct(-1 AS block, 0L AS bits)", "IF(item_repeats, struct(-2 AS block, 0L AS bits), NULL)"])))
-    own = computed(windows, "repeats", F.expr("size(array_distinct(window)) < size(window)"))
-    own = own.select("*", F.expr(block_of("print", blocks, ["IF(repeats, struct(-1 AS block, 0L AS bits), NULL)", "IF(repeats, NULL, struct(-2 AS block, 0L AS bits))"])))
-    near = own.join(index, ["n", "block", "bits"])
-    alike = f"NOT repeats AND NOT item_repeats AND bit_count(print ^ item_print) <= {radius} AND block = {first_block('(print ^ item_print)', blocks)}"
-    return near.where(f"IF(block < 0, true, {alike})")
+    others = ["struct(-1 AS block, 0L AS bits)", "IF(item_repeats, struct(-2 AS block, 0L AS bits), NULL)"]
+    index = index.select("n", "item_id", "item", "length", "item_print", "item_repeats", F.expr(near_blocks("item_print", near, others)))
+    own = computed(classes, "repeats", F.expr("size(array_distinct(window)) < size(window)"))
+    own = own.select("*", F.expr(block_of("print", ["IF(repeats, struct(-1 AS block, 0L AS bits), NULL)", "IF(repeats, NULL, struct(-2 AS block, 0L AS bits))"])))
+    pairs = own.join(index, ["n", "block", "bits"])
+    alike = f"NOT repeats AND NOT item_repeats AND bit_count(print ^ item_print) <= {radius} AND block = {first_block('(print ^ item_print)', near)}"
+    return pairs.where(f"IF(block < 0, true, {alike})")
 
 
 def verified(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose weighted similarity reaches the threshold, and that similarity."""
+    """Pairs of classes and items whose weighted similarity reaches the threshold, and that similarity."""
     # the k-th of equal shingles is told from the others, so that sets have the weights
     tagged = lambda a: f"transform(array_sort({a}), (x, i) -> struct(x, i - array_position(array_sort({a}), x) AS k))"
     both = F.expr(f"size(IF(repeats OR item_repeats, array_intersect({tagged('window')}, {tagged('item')}), array_intersect(transform(window, x -> struct(x, 0L AS k)), transform(item, x -> struct(x, 0L AS k)))))")
     found = computed(pairs, "shared", both).withColumn("all", F.size("window") + F.size("item") - F.col("shared")).where(100 * F.col("shared") >= percent * F.col("all"))
-    return found.select("doc_id", "item_id", "start", "length", (F.col("shared") / F.col("all")).alias("similarity"))
+    return found.select("n", "class", "print", "item_id", "length", (F.col("shared") / F.col("all")).alias("similarity"))

@@ -69,6 +69,35 @@ def test_plan_has_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
 
 
+def test_the_whole_plan_is_native(spark, monkeypatch):
+    """With nothing stored in between."""
+    import sonalyze.llm.contamination as C
+
+    monkeypatch.setattr(C, "stored", lambda df, name: df)
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    plan = C.find_passages(docs, docs.withColumnRenamed("doc_id", "item_id"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and plan.count("SortMergeJoin") + plan.count("HashJoin") > 4
+
+
+def test_probing_meets_each_pair_within_the_radius_once(spark):
+    import sonalyze.llm.contamination as C
+    from pyspark.sql import functions as F
+
+    rng = random.Random(9)
+    pairs = []
+    for k in range(300):
+        a, b = rng.getrandbits(64), 0
+        for place in rng.sample(range(64), rng.choice([0, 5, 15, 22, 23, 23, 24, 32])):
+            b |= 1 << place
+        pairs.append(tuple(x - (1 << 64) if x >> 63 else x for x in (a, a ^ b)))
+    df = spark.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "k int, a long, b long")
+    one = df.select("k", "a", F.expr(C.block_of("a", ["IF(false, struct(-1 AS block, 0L AS bits), NULL)"])))
+    two = df.select("k", "b", F.expr(C.near_blocks("b", 23 // C.BLOCKS, ["IF(false, struct(-1 AS block, 0L AS bits), NULL)"])))
+    met = one.join(two, ["k", "block", "bits"])
+    once = Counter(r.k for r in met.where(f"bit_count(a ^ b) <= 23 AND block = {C.first_block('(a ^ b)', 23 // C.BLOCKS)}").collect())
+    assert once == Counter(k for k, (a, b) in enumerate(pairs) if bin((a ^ b) & (2**64 - 1)).count("1") <= 23)
+
+
 def test_runs_of_equal_words(spark):
     own = " ".join(f"w{i}" for i in range(604))
     items = spark.createDataFrame([(k, own + f" {mark}" * 100) for k, mark in enumerate("-*~", 1)], "item_id long, text string")
