@@ -146,3 +146,22 @@ def spoken_forms(text: Column, entries: dict[str, str]) -> Column:
     for written in sorted(entries, key=lambda w: (-len(w), w)):
         text = F.replace(text, F.lit(written), F.lit(entries[written]))
     return text
+
+
+def recommend(candidates: DataFrame, families: DataFrame, history: DataFrame, n: int = 3, weight: int = 5, most: int = 4) -> DataFrame:
+    """family, topic, score, place: the n best topics for each of families (family, tier), of candidates (topic, tier, base) for
+    its tier. Each time that its history (family, topic) has the topic adds `weight` to the base score, up to `most` times: interest
+    never lowers a score, so a topic that a family hasn't had can only be among its best where it is among the n best of the tier.
+    So a family is held against its own topics and those n alone. Of equal scores the first topic in order is better. A
+    candidate without topic, tier or base is none, and a family without a tier has none.
+    """
+    known = candidates.where("topic IS NOT NULL AND tier IS NOT NULL AND base IS NOT NULL").groupBy("topic", "tier").agg(F.max("base").alias("base"))
+    who = families.where("family IS NOT NULL AND tier IS NOT NULL").select("family", "tier").distinct()
+    best = F.row_number().over(Window.partitionBy("tier").orderBy(F.desc("base"), "topic"))
+    general = known.withColumn("place", best).where(F.col("place") <= n).groupBy("tier").agg(F.collect_list(F.struct("topic", F.col("base").alias("score"))).alias("x"))
+    had = history.groupBy("family", "topic").agg(F.count("*").alias("times"))
+    own = had.join(who, "family").join(known, ["topic", "tier"]).select("family", "topic", (F.col("base") + weight * F.least("times", F.lit(most))).alias("score"))
+    new = who.join(general, "tier").select("family", F.inline("x"))
+    scores = own.unionByName(new).groupBy("family", "topic").agg(F.max("score").alias("score"))
+    place = F.row_number().over(Window.partitionBy("family").orderBy(F.desc("score"), "topic"))
+    return scores.withColumn("place", place).where(F.col("place") <= n)

@@ -720,3 +720,17 @@ def topic_rhythm(spark: SparkSession, sf_dir: str) -> DataFrame:
     picks = e.where("event_id % 2 = 0").select(F.to_date("ts").alias("day"), F.col("event_type").alias("topic"), F.lit(10.0).alias("score")).distinct()
     archive = e.where("event_id % 2 = 1").select(F.to_date("ts").alias("date"), F.col("event_type").alias("topic")).distinct()
     return N.rhythm(picks, archive).select("day", "topic", "score", "adjusted")
+
+
+@query("""
+WITH h AS (SELECT user_id AS family, event_type || ':' || CAST(event_id % 40 AS VARCHAR) AS topic, value FROM events), c AS (SELECT topic, CASE WHEN length(topic) % 2 = 0 THEN 'lower' ELSE 'upper' END AS tier, CAST(count(*) % 23 AS BIGINT) AS base FROM h GROUP BY topic),
+f AS (SELECT c_custkey AS family, CASE WHEN c_nationkey % 2 = 0 THEN 'lower' ELSE 'upper' END AS tier FROM customer), t AS (SELECT family, topic, count(*) AS times FROM h GROUP BY ALL),
+s AS (SELECT f.family, c.topic, base + 5 * least(coalesce(times, 0), 4) AS score FROM f JOIN c USING (tier) LEFT JOIN t ON t.family = f.family AND t.topic = c.topic)
+SELECT * FROM (SELECT family, topic, score, row_number() OVER (PARTITION BY family ORDER BY score DESC, topic) AS place FROM s) WHERE place <= 3""")
+def personal_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three topics for each family, by its grade's tier and what it has heard; the SQL scores every family with every topic"""
+    e = table(spark, sf_dir, "events")
+    history = e.select(F.col("user_id").alias("family"), F.concat_ws(":", "event_type", (F.col("event_id") % 40).cast("string")).alias("topic"))
+    topics = history.groupBy("topic").agg((F.count("*") % 23).alias("base")).withColumn("tier", F.when(F.length("topic") % 2 == 0, "lower").otherwise("upper"))
+    families = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("family"), F.when(F.col("c_nationkey") % 2 == 0, "lower").otherwise("upper").alias("tier"))
+    return P.recommend(topics, families, history).select("family", "topic", "score", *wide("place"))

@@ -85,3 +85,22 @@ def test_articles_of_the_same_words_are_near_duplicates(spark):
     docs = [(3, "Rain, again: rain in Spain!"), (1, "in SPAIN again rain"), (2, "rain in spain"), (4, None), (5, None), (6, "..."), (7, "")]
     got = {r.doc_id: r.kept for r in N.near_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == {1: True, 2: True, 3: False, 4: True, 5: True, 6: True, 7: False}
+
+
+def test_picks_equal_all_scores(spark):
+    import random
+
+    from sonalyze.operators import product as P
+
+    r = random.Random(3)
+    topics = [(f"t{k:02}", r.choice(["lower", "upper"]), r.randrange(20)) for k in range(30)] + [(None, "lower", 99), ("t98", None, 99), ("t99", "upper", None)]
+    families = [(k, r.choice(["lower", "upper", None])) for k in range(25)] + [(None, "lower")]
+    history = [(r.choice([*range(25), 77, None]), r.choice([t[0] for t in topics])) for _ in range(300)]
+    want = []
+    for f, tier in families:
+        if f is not None and tier:
+            scores = sorted(((-(b + 5 * min(4, history.count((f, t)))), t) for t, g, b in topics if t and g == tier and b is not None))[:3]
+            want += [(f, t, -s, k) for k, (s, t) in enumerate(scores, 1)]
+    df = lambda rows, schema: spark.createDataFrame(rows, schema)
+    got = P.recommend(df(topics, "topic string, tier string, base long"), df(families, "family long, tier string"), df(history, "family long, topic string"))
+    assert sorted(tuple(x[c] for c in ("family", "topic", "score", "place")) for x in got.collect()) == sorted(want)
