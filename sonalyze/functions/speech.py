@@ -13,7 +13,7 @@ DIGITS = {"零": 0, "〇": 0, "一": 1, "二": 2, "三": 3, "四": 4, "五": 5,
 SMALL_UNITS = {"十": 10, "百": 100, "千": 1000}
 BIG_UNITS = {"万": 10_000, "亿": 100_000_000}
 TAG = r"<\|([^|>]+)\|>"
-PAUSE = r"<#\d+(?:\.\d+)?#>"
+PAUSE = r"<#\p{Nd}+(?:\.\p{Nd}+)?#>"
 CUE = r"\([^)]*\)|（[^）]*）"
 KEPT = "一-鿿A-Za-z0-9"
 EMOTION_GROUPS = {"happy": ["HAPPY", "SURPRISED"], "fearful": ["ANGRY", "FEARFUL", "SAD"], "calm": ["CALM", "NEUTRAL"]}

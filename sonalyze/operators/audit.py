@@ -170,13 +170,17 @@ def recovery(tasks: DataFrame, locks: DataFrame, span: str = "DAY") -> DataFrame
 
 
 def constraint_violations(stages: DataFrame) -> DataFrame:
-    """Rows that break a row constraint, with the names of those broken."""
+    """Rows that break a row constraint, with the names of those broken. Where rows have status and design (tasks), a
+    combination of them that terminal_check() doesn't know is one."""
     bad = lambda name, cond: F.when(F.coalesce(cond, F.lit(False)), name)
     checks = [
         F.when(F.col("task_id").isNull(), "task_id_null"), F.when(F.col("stage_key").isNull(), "stage_key_null"),
         F.when(F.coalesce(F.col("actual_seq") < 1, F.lit(True)), "seq_not_positive"), F.when(F.coalesce(F.col("attempt_no") < 1, F.lit(True)), "attempt_not_positive"),
         bad("input_negative", F.col("input") < 0), bad("output_negative", F.col("output") < 0), bad("route_negative", F.exists(F.map_values("routes"), lambda x: x < 0)), bad("ends_before_start", F.col("ended_at") < F.col("started_at")),
     ]
+    if {"status", "design"} <= {*stages.columns}:
+        legal = terminal_check(stages)
+        return legal.withColumn("violations", F.array_compact(F.array(*checks, F.when(~F.col("legal"), "illegal_state")))).where(F.size("violations") > 0).select(*stages.columns, "violations")
     return stages.withColumn("violations", F.array_compact(F.array(*checks))).where(F.size("violations") > 0)
 
 

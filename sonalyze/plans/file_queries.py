@@ -67,7 +67,12 @@ def recognized(path: str) -> list[dict]:
 
 
 def stand_in(model: str, device: str):
-    return recognized
+    """Takes the lines of a batch; one that breaks breaks its batch."""
+    return lambda paths: [recognized(p) for p in paths]
+
+
+def heard() -> Detector:
+    return Detector(stand_in, model="m2", device="cpu", version="1.0", batch=8)
 
 
 def episodes(spark: SparkSession, sf_dir: str) -> str:
@@ -127,7 +132,7 @@ def line_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reviewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = episodes(spark, sf_dir)
-    return E.review_episodes(spark, E.requests(spark, f"{folder}/*.json"), E.audio_parts(spark, folder), Detector(stand_in, model="m2", device="cpu", version="1.0"), 0.97)
+    return E.review_episodes(spark, E.requests(spark, f"{folder}/*.json"), E.audio_parts(spark, folder), heard(), 0.97)
 
 
 @query(f"WITH {EPISODES_SQL} SELECT {NAMED}, line_id, CASE WHEN unavailable IS NULL THEN asr_text END AS asr_text, CASE WHEN unavailable IS NULL THEN emotion END AS emotion, cer, flags, CAST(priority AS BIGINT) AS priority, status FROM records")
@@ -142,7 +147,7 @@ def episode_review(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records written as JSON lines and read back"""
     records, path = reviewed(spark, sf_dir), folder_of(spark, "raw")
-    raw = R.raw_records(records, F.col("stem"), 3, Detector(stand_in, model="m2", device="cpu", version="1.0").provenance)
+    raw = R.raw_records(records, F.col("stem"), 3, heard().provenance)
     E.write_raw(raw, path)
     d = F.col("detectors")[0]
     return spark.read.schema(raw.schema).json(path).select("run_id", *wide("line_id"), "tts_text", d["model"].alias("model"), d["device"].alias("device"), d["raw_output"].alias("raw_output"), d["error"].alias("error"), F.col("decision.reason").alias("reason"))
@@ -157,7 +162,7 @@ def episode_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     audio: 1 where none is, 2 where the model failed; place: of the line in its listening queue"""
     folder = episodes(spark, sf_dir)
     records = reviewed(spark, sf_dir)
-    E.write_episodes(records, 2, Detector(stand_in, model="m2", device="cpu", version="1.0").provenance, folder_of(spark, "episodes-done"))
+    E.write_episodes(records, 2, heard().provenance, folder_of(spark, "episodes-done"))
     at = F.regexp_extract(F.col("_metadata.file_name"), r"^ep(\d+)\.", 1).alias("episode")
     found = spark.read.schema(", ".join(f"{c} string" for c in R.QUEUE)).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(f"{folder}/ep*.review_round2.csv")
     # a task reads a file's lines in their order

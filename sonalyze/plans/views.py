@@ -18,19 +18,19 @@ class DetailResolver(Protocol):
 
 
 def task_list(tasks: DataFrame, status: str | None = None, module: str | None = None, since: Column | None = None, until: Column | None = None, limit: int | None = 20) -> DataFrame:
-    """The most recent tasks first, of the filters that are given; limit is the page that is shown."""
+    """The most recent tasks first, of the filters that are given; limit is the page that is shown. All of them (limit None) come as
+    they are: nothing is sorted that no page shows."""
     for cond in (status and F.col("status") == status, module and F.col("module") == module, None if since is None else F.col("started_at") >= since, None if until is None else F.col("started_at") < until):
         tasks = tasks if cond is None else tasks.where(cond)
-    out = tasks.orderBy(F.desc("started_at"), "task_id")
-    return out if limit is None else out.limit(limit)
+    return tasks if limit is None else tasks.orderBy(F.desc("started_at"), "task_id").limit(limit)
 
 
 def task_show(tasks: DataFrame, stages: DataFrame) -> DataFrame:
-    """Who, when, what, on which object, with which result: a row for each stage in its order; a task without
-    stages has one."""
+    """Who, when, what, on which object, with which result: a row for each stage; a task without stages has one. A task's
+    stages are together and in their order; tasks are in none."""
     who = tasks.select("task_id", F.col("actor").alias("who"), F.col("started_at").alias("at"), F.col("operation").alias("action"), F.col("module").alias("object"), F.col("status").alias("result"))
     own = stages.select("task_id", "actual_seq", "stage_key", F.col("status").alias("stage_status"), seconds(F.col("started_at"), F.col("ended_at")).alias("seconds"))
-    return who.join(own, "task_id", "left").orderBy("task_id", F.col("actual_seq").asc_nulls_first())
+    return who.join(own, "task_id", "left").repartition("task_id").sortWithinPartitions("task_id", F.col("actual_seq").asc_nulls_first())
 
 
 def task_funnel(stages: DataFrame, keys: list[str]) -> DataFrame:

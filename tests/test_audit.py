@@ -153,3 +153,9 @@ def test_launch_checks(spark):
     assert got["c", "first_task"] == (True, 1, 1, 0, 0, 0, 0, False) and got["c", "first_runs"] == (True, 3, 4, 1, 0, 1, 0, True)
     assert got["c", "within_4_hours"] == (True, 3, 4, 1, 0, 1, 0, True) and got["c", "within_24_hours"] == (False, 4, 5, 1, 1, 1, 1, True)
     assert got["d", "first_task"] == (False, 0, 0, 0, 0, 0, 0, False) and got["e", "within_24_hours"][:3] == (False, 0, 0) and len(got) == 12
+
+
+def test_states_that_do_not_go_together_break_a_constraint(spark):
+    base = "1 AS task_id, 'a' AS stage_key, 1 AS actual_seq, 1 AS attempt_no, 1L AS input, 1L AS output, map('r', 0L) AS routes, timestamp_ntz'2026-01-01' AS started_at, timestamp_ntz'2026-01-02' AS ended_at"
+    df = spark.sql(f"SELECT {base}, * FROM VALUES ('succeeded', 'compliant'), ('succeeded', 'pending'), ('running', 'pending'), ('running', 'deviation'), ('odd', 'pending') AS v(status, design)")
+    assert sorted((r.status, r.design, *r.violations) for r in A.constraint_violations(df).collect()) == [("odd", "pending", "illegal_state"), ("running", "deviation", "illegal_state"), ("succeeded", "pending", "illegal_state")]

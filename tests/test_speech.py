@@ -49,3 +49,8 @@ def test_emotions_and_advice(spark):
     assert column(spark, ["HAPPY", "fearful", "Calm", "odd", "", None], S.expected_emotions) == [["HAPPY", "SURPRISED"], ["ANGRY", "FEARFUL", "SAD"], ["CALM", "NEUTRAL"], [], [], []]
     df = spark.createDataFrame([(["emotion_mismatch", "asr_mismatch"],), (["missing_audio"],), ([],)], "f array<string>")
     assert [r[0] for r in df.select(S.suggested_actions(F.col("f"))).collect()] == [list(S.ADVICE.values()), [], []]
+
+
+def test_pauses_of_other_digits(spark):
+    df = spark.createDataFrame([("a<#1１#>b<#０.５#>c<#x#>",)], "t string")
+    assert df.select(S.normalize(F.col("t"))).first()[0] == "abcx"
