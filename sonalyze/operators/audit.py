@@ -248,20 +248,20 @@ def launch_checks(tasks: DataFrame, launches: DataFrame, as_of: Column, hours: t
     runs = runs.withColumn("place", order).where(F.col("place") <= first_runs).select(F.col("command").alias("_command"), F.col("run_id").alias("_run"), F.col("first.task_id").alias("first_task"), "place")
     own = own.join(runs, (F.col("command") == F.col("_command")) & F.col("run_id").eqNullSafe(F.col("_run")), "left")
     hour = lambda h: F.col("launched_at") + F.make_dt_interval(hours=F.lit(h))
-    at = lambda name, time: F.struct(F.lit(name).alias("check"), time.alias("checked_at"))
+    at = lambda name, time: F.struct(F.lit(name).alias("check_key"), time.alias("checked_at"))
     checks = [F.when((F.col("place") == 1) & (F.col("task_id") == F.col("first_task")), at("first_task", as_of)), F.when(F.col("place").isNotNull(), at("first_runs", as_of))]
     checks += [F.when(F.col("started_at") < hour(h), at(f"within_{h}_hours", F.least(as_of, hour(h)))) for h in hours]
-    rows = own.select("*", F.explode(F.array_compact(F.array(*checks))).alias("x")).select("*", "x.check", "x.checked_at")
+    rows = own.select("*", F.explode(F.array_compact(F.array(*checks))).alias("x")).select("*", "x.check_key", "x.checked_at")
     late = (F.col("ended_at").isNull() | (F.col("ended_at") > F.col("checked_at"))) & (F.col("started_at") + F.make_dt_interval(secs=F.col("max_seconds")) < F.col("checked_at"))
-    each = rows.groupBy("command", "check", "run_id").agg(F.count("*").alias("n"), F.count_if(F.col("exit_code") == EXIT_AUDIT).alias("audit_failures"), F.count_if(late).alias("overdue"), F.count_if(F.col("design").isin("deviation", "incomplete")).alias("findings"))
-    found = each.groupBy("command", "check").agg(F.count("*").alias("runs"), F.sum("n").alias("tasks"), F.sum(F.col("n") - 1).alias("extra_tasks"), *(F.sum(c).alias(c) for c in ("audit_failures", "overdue", "findings")))
-    want = lambda name, h, n: F.struct(F.lit(name).alias("check"), F.lit(h).cast("int").alias("hours"), F.lit(n).cast("int").alias("needs"))
+    each = rows.groupBy("command", "check_key", "run_id").agg(F.count("*").alias("n"), F.count_if(F.col("exit_code") == EXIT_AUDIT).alias("audit_failures"), F.count_if(late).alias("overdue"), F.count_if(F.col("design").isin("deviation", "incomplete")).alias("findings"))
+    found = each.groupBy("command", "check_key").agg(F.count("*").alias("runs"), F.sum("n").alias("tasks"), F.sum(F.col("n") - 1).alias("extra_tasks"), *(F.sum(c).alias(c) for c in ("audit_failures", "overdue", "findings")))
+    want = lambda name, h, n: F.struct(F.lit(name).alias("check_key"), F.lit(h).cast("int").alias("hours"), F.lit(n).cast("int").alias("needs"))
     wanted = [want("first_task", None, 1), want("first_runs", None, first_runs), *(want(f"within_{h}_hours", h, None) for h in hours)]
     all_ = live.select("command", "launched_at", F.explode(F.array(*wanted)).alias("w")).select("command", "launched_at", "w.*")
     counts = ["runs", "tasks", "extra_tasks", "audit_failures", "overdue", "findings"]
-    out = all_.join(found, ["command", "check"], "left").fillna(0, counts)
+    out = all_.join(found, ["command", "check_key"], "left").fillna(0, counts)
     due = F.coalesce(F.col("runs") >= F.col("needs"), F.col("launched_at") + F.make_dt_interval(hours=F.col("hours")) <= as_of)
-    return out.select("command", "check", due.alias("due"), *counts, (F.greatest("extra_tasks", "audit_failures", "overdue", "findings") > 0).alias("no_go"))
+    return out.select("command", "check_key", due.alias("due"), *counts, (F.greatest("extra_tasks", "audit_failures", "overdue", "findings") > 0).alias("no_go"))
 
 
 def no_go(monitored: DataFrame) -> DataFrame:

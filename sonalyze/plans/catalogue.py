@@ -390,12 +390,12 @@ LAUNCH_SQL = """SELECT module AS command, CAST(TIMESTAMP '1995-03-01' + ascii(mo
 WITH l AS ({LAUNCH_SQL}), t AS (SELECT module AS command, actor % 400 AS run_id, task_id, CAST(started_at AS TIMESTAMP) AS s, CASE WHEN status <> 'running' THEN CAST(started_at AS TIMESTAMP) + CAST(actor % 40 AS BIGINT) * INTERVAL 1 HOUR END AS e, CASE WHEN price > 400000 THEN 6 END AS code, design FROM ({TASKS_SQL})),
 o AS (SELECT t.*, launched FROM t JOIN l USING (command) WHERE s >= launched), r0 AS (SELECT command, run_id, min({{'s': s, 't': task_id}}) AS f FROM o GROUP BY command, run_id), r AS (SELECT command, run_id, f.t AS first_task, row_number() OVER (PARTITION BY command ORDER BY f) AS place FROM r0),
 q AS (SELECT o.*, place, first_task FROM o LEFT JOIN (SELECT * FROM r WHERE place <= 3) x ON x.command = o.command AND x.run_id = o.run_id),
-c AS (SELECT *, 'first_task' AS "check", TIMESTAMP '1997-01-01' AS due_at FROM q WHERE place = 1 AND task_id = first_task UNION ALL SELECT *, 'first_runs', TIMESTAMP '1997-01-01' FROM q WHERE place IS NOT NULL
+c AS (SELECT *, 'first_task' AS check_key, TIMESTAMP '1997-01-01' AS due_at FROM q WHERE place = 1 AND task_id = first_task UNION ALL SELECT *, 'first_runs', TIMESTAMP '1997-01-01' FROM q WHERE place IS NOT NULL
     UNION ALL SELECT *, 'within_96_hours', launched + INTERVAL 96 HOUR FROM q WHERE s < launched + INTERVAL 96 HOUR UNION ALL SELECT *, 'within_20000_hours', least(launched + INTERVAL 20000 HOUR, TIMESTAMP '1997-01-01') FROM q WHERE s < launched + INTERVAL 20000 HOUR),
-g AS (SELECT command, "check", run_id, count(*) AS n, count(*) FILTER (code = 6) AS f, count(*) FILTER ((e IS NULL OR e > due_at) AND s + INTERVAL 30 HOUR < due_at) AS late, count(*) FILTER (design IN ('deviation', 'incomplete')) AS d FROM c GROUP BY ALL),
-w AS (SELECT command, launched, "check", needs, hours FROM l, (VALUES ('first_task', 1, NULL), ('first_runs', 3, NULL), ('within_96_hours', NULL, 96), ('within_20000_hours', NULL, 20000)) v("check", needs, hours)),
-z AS (SELECT w.command, w."check", needs, hours, launched, count(run_id) AS runs, coalesce(sum(n), 0) AS tasks, coalesce(sum(n - 1), 0) AS extra, coalesce(sum(f), 0) AS f, coalesce(sum(late), 0) AS late, coalesce(sum(d), 0) AS d FROM w LEFT JOIN g ON g.command = w.command AND g."check" = w."check" GROUP BY ALL)
-SELECT command, "check", coalesce(runs >= needs, launched + hours * INTERVAL 1 HOUR <= TIMESTAMP '1997-01-01') AS due, runs, CAST(tasks AS BIGINT) AS tasks, CAST(extra AS BIGINT) AS extra_tasks, CAST(f AS BIGINT) AS audit_failures, CAST(late AS BIGINT) AS overdue, CAST(d AS BIGINT) AS findings, greatest(extra, f, late, d) > 0 AS no_go FROM z""")
+g AS (SELECT command, check_key, run_id, count(*) AS n, count(*) FILTER (code = 6) AS f, count(*) FILTER ((e IS NULL OR e > due_at) AND s + INTERVAL 30 HOUR < due_at) AS late, count(*) FILTER (design IN ('deviation', 'incomplete')) AS d FROM c GROUP BY ALL),
+w AS (SELECT command, launched, check_key, needs, hours FROM l, (VALUES ('first_task', 1, NULL), ('first_runs', 3, NULL), ('within_96_hours', NULL, 96), ('within_20000_hours', NULL, 20000)) v(check_key, needs, hours)),
+z AS (SELECT w.command, w.check_key, needs, hours, launched, count(run_id) AS runs, coalesce(sum(n), 0) AS tasks, coalesce(sum(n - 1), 0) AS extra, coalesce(sum(f), 0) AS f, coalesce(sum(late), 0) AS late, coalesce(sum(d), 0) AS d FROM w LEFT JOIN g ON g.command = w.command AND g.check_key = w.check_key GROUP BY ALL)
+SELECT command, check_key, coalesce(runs >= needs, launched + hours * INTERVAL 1 HOUR <= TIMESTAMP '1997-01-01') AS due, runs, CAST(tasks AS BIGINT) AS tasks, CAST(extra AS BIGINT) AS extra_tasks, CAST(f AS BIGINT) AS audit_failures, CAST(late AS BIGINT) AS overdue, CAST(d AS BIGINT) AS findings, greatest(extra, f, late, d) > 0 AS no_go FROM z""")
 def audit_launch_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """After the launch of each command, its first task, its first three runs, and all within 96 and 20,000 hours; a task may run for 30"""
     t = tasks(spark, sf_dir)

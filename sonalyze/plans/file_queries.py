@@ -75,12 +75,12 @@ def heard() -> Detector:
     return Detector(stand_in, model="m2", device="cpu", version="1.0", batch=8)
 
 
-def episodes(spark: SparkSession, sf_dir: str) -> str:
-    """The folder with a request for each conversation, and the audio of its lines."""
-    key = (spark.sparkContext.applicationId, sf_dir, "episodes")
+def episodes(spark: SparkSession, sf_dir: str, name: str = "episodes") -> str:
+    """The folder of this name with a request for each conversation, and the audio of its lines."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key in _folders:
         return _folders[key]
-    folder = folder_of(spark, "episodes")
+    folder = folder_of(spark, name)
     rows = table(spark, sf_dir, "conversations")
     emotion = F.when(F.col("conv_id") % 4 == 0, "happy").when(F.col("conv_id") % 4 == 2, "Fearful").when(F.col("conv_id") % 4 == 3, "calm")
     turn = F.struct("turn", F.col("role").alias("speaker"), "text", F.struct(emotion.alias("emotion")).alias("voice_setting"))
@@ -130,8 +130,8 @@ def line_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.audio_parts(spark, episodes(spark, sf_dir)).select(episode_of(), "file_name")
 
 
-def reviewed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = episodes(spark, sf_dir)
+def reviewed(spark: SparkSession, sf_dir: str, name: str = "episodes") -> DataFrame:
+    folder = episodes(spark, sf_dir, name)
     return E.review_episodes(spark, E.requests(spark, f"{folder}/*.json"), E.audio_parts(spark, folder), heard(), 0.97)
 
 
@@ -160,8 +160,8 @@ def raw_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def episode_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations reviewed; the three files of each are written by tasks and read back.
     audio: 1 where none is, 2 where the model failed; place: of the line in its listening queue"""
-    folder = episodes(spark, sf_dir)
-    records = reviewed(spark, sf_dir)
+    folder = episodes(spark, sf_dir, "reviewed-episodes")  # its own, as fix plans are JSON beside requests
+    records = reviewed(spark, sf_dir, "reviewed-episodes")
     E.write_episodes(records, 2, heard().provenance, folder_of(spark, "episodes-done"))
     at = F.regexp_extract(F.col("_metadata.file_name"), r"^ep(\d+)\.", 1).alias("episode")
     found = spark.read.schema(", ".join(f"{c} string" for c in R.QUEUE)).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(f"{folder}/ep*.review_round2.csv")

@@ -149,7 +149,7 @@ def test_launch_checks(spark):
     tasks = [("c", 1, 1, -1, 0, 6, "deviation"), ("c", 1, 2, 0, 1, 0, "compliant"), ("c", 2, 3, 1, 2, 0, "compliant"), ("c", 2, 4, 2, 3, 0, "compliant"), ("c", 3, 5, 3, None, None, "pending"), ("c", 4, 6, 5, 6, 6, "incomplete"), ("e", 9, 7, 30, 31, 0, "compliant")]
     t = spark.createDataFrame([(c, r, k, at(s), None if e is None else at(e), x, d) for c, r, k, s, e, x, d in tasks], "command string, run_id int, task_id int, started_at timestamp_ntz, ended_at timestamp_ntz, exit_code int, design string")
     launches = spark.createDataFrame([("c", at(0), 1800), ("d", at(0), 60), ("e", at(0), 60)], "command string, launched_at timestamp_ntz, max_seconds int")
-    got = {(r.command, r.check): tuple(r)[2:] for r in A.launch_checks(t, launches, F.lit(at(10))).collect()}
+    got = {(r.command, r.check_key): tuple(r)[2:] for r in A.launch_checks(t, launches, F.lit(at(10))).collect()}
     assert got["c", "first_task"] == (True, 1, 1, 0, 0, 0, 0, False) and got["c", "first_runs"] == (True, 3, 4, 1, 0, 1, 0, True)
     assert got["c", "within_4_hours"] == (True, 3, 4, 1, 0, 1, 0, True) and got["c", "within_24_hours"] == (False, 4, 5, 1, 1, 1, 1, True)
     assert got["d", "first_task"] == (False, 0, 0, 0, 0, 0, 0, False) and got["e", "within_24_hours"][:3] == (False, 0, 0) and len(got) == 12
