@@ -66,7 +66,7 @@ def kept_terms(least: int):
         for trie in by_prefix(batches, LEAVES):
             for lang in np.unique(trie.lang).tolist():
                 own = trie.lang == lang
-                docs = np.bincount(trie.leaf[own], weights=None, minlength=len(trie)) * 0
+                docs = np.zeros(len(trie), np.int64)
                 np.add.at(docs, trie.leaf[own], trie.docs[own])
                 keep = np.flatnonzero(docs >= least)
                 own &= docs[trie.leaf] >= least
