@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 from sonalyze.operators import news as N
 from sonalyze.operators.components import components
@@ -100,3 +101,17 @@ def test_similar_articles_equal_all_pairs(spark):
     got = {x.doc_id: x.kept for x in N.similar_dedup(df).collect()}
     assert got == want and 10 < sum(want.values()) < 140
     assert N.similar_dedup(df.limit(0)).collect() == []
+
+
+def test_similar_dedup_stores_no_runs_of_articles_that_meet_none(spark, tmp_path):
+    import random
+
+    from sonalyze.shared import shared_dir
+
+    folder = shared_dir(spark).removeprefix("file:")
+    size = lambda: sum(f.stat().st_size for f in Path(folder).rglob("*") if f.is_file())
+    r = random.Random(3)
+    rows = [(i, " ".join("".join(r.choices("abcdefghij", k=6)) for _ in range(300))) for i in range(200)]
+    before = size()
+    assert all(x.kept for x in N.similar_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert size() - before < sum(len(t) for _, t in rows) / 2
