@@ -104,8 +104,6 @@ def test_similar_articles_equal_all_pairs(spark):
 
 
 def test_similar_dedup_stores_no_runs_of_articles_that_meet_none(spark, tmp_path):
-    import random
-
     from sonalyze.shared import shared_dir
 
     folder = shared_dir(spark).removeprefix("file:")
@@ -115,3 +113,15 @@ def test_similar_dedup_stores_no_runs_of_articles_that_meet_none(spark, tmp_path
     before = size()
     assert all(x.kept for x in N.similar_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert size() - before < sum(len(t) for _, t in rows) / 2
+
+
+def test_cluster_stores_words_of_an_article_in_one_row(spark):
+    from sonalyze.shared import shared_dir
+
+    folder = shared_dir(spark).removeprefix("file:")
+    size = lambda: sum(f.stat().st_size for f in Path(folder).rglob("*") if f.is_file())
+    r = random.Random(4)
+    rows = [(i, "en", " ".join("".join(r.choices("abcdefghij", k=6)) for _ in range(300))) for i in range(300)]
+    before = size()
+    assert all(x.event_id is None for x in N.cluster(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect())
+    assert size() - before < sum(len(t) for *_, t in rows)
