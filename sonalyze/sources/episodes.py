@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sonalyze.functions.detectors import Detector, default_device, detect, funasr_model
 from sonalyze.functions.speech import CER_THRESHOLD
 from sonalyze.operators import review as R
+from sonalyze.shared import listed
 from sonalyze.sources.files import PARTS, list_audio, write_files
 
 # Names of the files of an episode, and the speaker of a turn that names none.
@@ -32,17 +33,25 @@ def requests(spark: SparkSession, path: str) -> DataFrame:
     """request_json, stem, folder, body: whole request files. The body is a variant, so one odd value leaves
     the rest readable; it is null where the file is no JSON."""
     at = plain(F.col("_metadata.file_path"))
-    rows = spark.read.text(path, wholetext=True).select(at.alias("request_json"), F.expr("try_parse_json(value)").alias("body"))
+    with listed(spark):
+        found = spark.read.text(path, wholetext=True)
+    # many small files a task, however few Spark packs
+    found = found.coalesce(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
+    rows = found.select(at.alias("request_json"), F.expr("try_parse_json(value)").alias("body"))
     name = F.element_at(F.split("request_json", "/"), -1)
     stem = F.when(name.endswith(REQUEST), F.substring(name, F.lit(1), F.length(name) - len(REQUEST)))
     return rows.select("request_json", stem.alias("stem"), F.regexp_replace("request_json", "[^/]*$", "").alias("folder"), "body")
 
 
+def refusal() -> Column:
+    """Why a request (its body and stem) can't be reviewed, the first that is checked; null where it can."""
+    kind = F.expr("schema_of_variant(try_variant_get(body, '$.turns', 'variant'))")
+    return F.when(F.col("body").isNull(), "not_json").when(~F.coalesce(kind.startswith("ARRAY"), F.lit(False)) | (F.expr("try_variant_get(body, '$.turns[0]', 'variant')").isNull()), "no_turns").when(F.col("stem").isNull(), "bad_suffix")
+
+
 def reject(found: DataFrame) -> DataFrame:
     """request_json and reason of requests that can't be reviewed, in the order in which they are checked."""
-    kind = F.expr("schema_of_variant(try_variant_get(body, '$.turns', 'variant'))")
-    reason = F.when(F.col("body").isNull(), "not_json").when(~F.coalesce(kind.startswith("ARRAY"), F.lit(False)) | (F.expr("try_variant_get(body, '$.turns[0]', 'variant')").isNull()), "no_turns").when(F.col("stem").isNull(), "bad_suffix")
-    return found.select("request_json", reason.alias("reason")).where("reason is not null")
+    return found.select("request_json", refusal().alias("reason")).where("reason is not null")
 
 
 def as_text(field: str, default: str) -> Column:
@@ -57,7 +66,7 @@ def turns(found: DataFrame) -> DataFrame:
     """A row for each turn, numbered from 1: request_json, stem, folder, line_id, speaker, tts_text,
     planned_emotion. A turn that is no object, and an emotion that is no string, raise no error here: the
     first has the defaults, the second plans nothing."""
-    good = found.join(reject(found).select("request_json"), "request_json", "left_anti")
+    good = found.where(refusal().isNull())  # files are read once
     exploded = good.lateralJoin(found.sparkSession.tvf.variant_explode(F.try_variant_get(F.col("body").outer(), "$.turns", "variant"))).select("request_json", "stem", "folder", "pos", F.col("value").alias("turn"))
     emotion = F.expr("try_variant_get(turn, '$.voice_setting.emotion', 'variant')")
     is_text = F.schema_of_variant(emotion) == "STRING"

@@ -184,3 +184,17 @@ def test_a_call_that_takes_too_long_is_a_failure_of_its_line(spark):
     rows = spark.createDataFrame([("slow", None), ("fast", None)], "audio_path string, unavailable string").coalesce(1)
     got = {r.audio_path: (r.raw_output, r.error, r.unavailable) for r in detect(rows, Detector(load, seconds=0.5)).collect()}
     assert got == {"slow": (None, "no result within 0.5 s", "assessment_error"), "fast": ("x", None, None)}
+
+
+def test_many_requests_are_listed_by_few_tasks_and_read_once(spark, tmp_path):
+    body = json.dumps({"turns": [{"speaker": "a", "text": "x"}]})
+    for i in range(80):
+        (tmp_path / f"e{i}{E.REQUEST}").write_text(body if i % 2 else "{")
+    spark.sparkContext.setJobGroup("listing", "")
+    found = E.requests(spark, f"{tmp_path}/*.json")
+    spark.sparkContext.setJobGroup("", "")
+    status = spark.sparkContext.statusTracker()
+    tasks = sum(status.getStageInfo(s).numTasks for j in status.getJobIdsForGroup("listing") for s in status.getJobInfo(j).stageIds)
+    assert 0 < tasks <= 16
+    turns = E.turns(found)
+    assert turns.count() == 40 and turns._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
