@@ -7,6 +7,7 @@ from dataclasses import replace
 import numpy as np
 import pytest
 
+from sonalyze.llm import sketch
 from sonalyze.llm import suffix_tree as M
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -144,3 +145,24 @@ def test_repeated_rows_null_ids_and_no_rows(spark):
     assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == [(0, 3), (3, 1), (3, 2), (3, 3), (3, 3)]
     close([(r.doc_id or 0, *r[1:]) for r in got], [(r[0] or 0, *r[1:]) for r in brute(docs, SMALL)[0]])
     assert M.score(df.limit(0)).count() == 0
+
+
+def test_answers_hold_no_hashes(spark, monkeypatch):
+    for module in (M, sketch):
+        monkeypatch.setattr(module, "n_buckets", lambda *_: 1)
+    rng = random.Random(5)
+    docs = [(i, " ".join(f"w{min(int(rng.paretovariate(0.7)), 2000)}" for _ in range(3000))) for i in range(30)]
+    told = M.learn(spark.createDataFrame(docs, "doc_id long, text string"), SMALL).told
+    texts = [[None, *tokens(x)] for k, x in docs if not M.held_out(k)]
+    runs = Counter(tuple(t[i : i + n]) for t in texts for n in range(1, SMALL.depth + 2) for i in range(len(t) - n + 1) if n > 1 or i)
+    n_bytes = {k: sum(len(r.c1 or b"") + len(r.c2 or b"") for r in told[k].collect() if r.kind == k) for k in (M.RUNS, M.STATES)}
+    assert n_bytes[M.RUNS] < 4 * sum(n >= SMALL.cell and len(run) > 1 for run, n in runs.items())
+    assert n_bytes[M.STATES] < 8 * sum(n >= SMALL.state and len(run) <= SMALL.depth for run, n in runs.items())
+
+
+def test_a_block_has_its_rows_in_one_order(spark):
+    df = spark.createDataFrame([*corpus()[:50], (7, "b c"), (7, "a"), (None, "d"), (None, None)], "doc_id long, text string")
+    learner = M.Learner(df, SMALL)
+    table = learner.blocks.docs.toArrow()
+    one, two = (learner.ordered(table.take(at)) for at in (list(range(54)), random.Random(2).sample(range(54), 54)))
+    assert one.equals(two) and (M.Symbols(one).s == M.Symbols(two).s).all()
