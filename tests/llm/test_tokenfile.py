@@ -92,3 +92,27 @@ def test_equal_predictions_add_up_and_counters_hold():
     m.learn(np.array([9]), np.array([False]), np.array([False]))  # one other id doesn't displace what was counted
     m.predict(one, two)
     assert m.id2[0] == 7 and m.p2[0] + m.f1[0] < ONE
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 700) | st.integers(0, 2**16 - 1), max_size=150), min_size=1, max_size=8), st.sampled_from([2, 3]))
+def test_ids_that_no_order_names_are_a_stream_of_their_own(lanes, n_bytes):
+    from sonalyze.llm.coder import decode_others, encode_others
+
+    lanes = [np.array(x, "<u4") for x in lanes]
+    back = decode_others(encode_others(lanes, n_bytes), np.array([len(x) for x in lanes]), n_bytes)
+    assert [x.tolist() for x in back] == [x.tolist() for x in lanes]
+
+
+def test_damage_in_either_stream_is_an_error():
+    rng = np.random.default_rng(4)
+    ids = np.where(rng.random(3 * BLOCK) < 0.5, 77, rng.integers(0, 1 << 16, 3 * BLOCK)).astype("<u4")
+    data = encode_blocks(ids)
+    for at in range(len(data) // 50, len(data), len(data) // 50):
+        broken = bytearray(data)
+        broken[at] ^= 0x10
+        try:
+            found = decode_blocks(bytes(broken))
+        except ValueError:
+            continue
+        assert (found == ids).all()  # the last bits of a stream may not matter
