@@ -174,9 +174,10 @@ def episode_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     E.write_episodes(records, 2, heard().provenance, folder_of(spark, "episodes-done"))
     at = F.regexp_extract(F.col("_metadata.file_name"), r"^ep(\d+)\.", 1).alias("episode")
     found = spark.read.schema(", ".join(f"{c} string" for c in R.QUEUE)).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(f"{folder}/ep*.review_round2.csv")
+    or_empty = lambda c: F.coalesce(c, F.lit("")).alias(c)  # noqa: E731: a record has these, and CSV doesn't tell empty from null
     # a task reads a file's lines in their order
     place = F.row_number().over(Window.partitionBy("episode").orderBy("at")).cast("long").alias("place")
-    queue = found.select(at, F.monotonically_increasing_id().alias("at"), F.col("line_id").cast("long").alias("line_id"), "speaker", "tts_text", "asr_text", F.col("cer").cast("double").alias("cer"), "flags", F.col("priority").cast("long").alias("priority"), "decision_reason").select("*", place).drop("at")
+    queue = found.select(at, F.monotonically_increasing_id().alias("at"), F.col("line_id").cast("long").alias("line_id"), "speaker", or_empty("tts_text"), "asr_text", F.col("cer").cast("double").alias("cer"), or_empty("flags"), F.col("priority").cast("long").alias("priority"), "decision_reason").select("*", place).drop("at")
     raw = spark.read.schema("line_id long, run_id string, detectors array<struct<raw_output: string, error: string>>").json(f"{folder}/ep*{E.RAW}").select(at, "line_id", "run_id", F.when(F.col("detectors")[0]["error"].isNotNull(), 2).when(F.col("detectors")[0]["raw_output"].isNull(), 1).otherwise(0).alias("audio"))
     plan = spark.read.schema("review_required long, items array<struct<line_id: long>>").option("multiLine", True).json(f"{folder}/ep*.fix_plan_round2.json").select(at, "review_required", "items.line_id")
     rows = queue.join(raw, ["episode", "line_id"]).join(plan.withColumnRenamed("line_id", "items"), "episode")

@@ -198,3 +198,25 @@ def test_many_requests_are_listed_by_few_tasks_and_read_once(spark, tmp_path):
     assert 0 < tasks <= 16
     turns = E.turns(found)
     assert turns.count() == 40 and turns._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+
+
+def conversations(spark, folder, rows):
+    """A folder of test tables with this one, and what episode_files and its SQL make of it."""
+    import duckdb
+
+    from sonalyze.plans import file_queries
+    from sonalyze.plans.catalogue import ORACLE
+
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    found = file_queries.episode_files(spark, str(folder))
+    with duckdb.connect() as db:
+        db.sql(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{folder}/conversations.parquet/*.parquet')")
+        want = db.sql(f"SELECT {', '.join(found.columns)} FROM ({ORACLE['episode_files']})").fetchall()
+    return found, want
+
+
+def test_a_line_that_passes_has_no_flags_in_its_file(spark, tmp_path):
+    """A line read back from a listening queue has empty flags, not null, where it has none."""
+    found, want = conversations(spark, tmp_path, [(1, 0, "user", "第1句"), (1, 1, "user", "Bonjour, a \"b\"\nc"), (1, 2, "assistant", "")])
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(want, key=repr)
+    assert {r.line_id: (r.flags, r.planned, r.place) for r in found.collect()} == {1: ("", False, 3), 2: ("asr_mismatch", True, 1), 3: ("asr_mismatch", True, 2)}
