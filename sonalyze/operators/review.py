@@ -40,9 +40,12 @@ def review(lines: DataFrame, threshold: float = S.CER_THRESHOLD) -> DataFrame:
     return made.select(*others, *RECORD)
 
 
-def attach_audio(turns: DataFrame, files: DataFrame, episode: list[str]) -> DataFrame:
-    """turns with file_name and unavailable: missing_audio where files (episode, file_name) has no such file."""
+def attach_audio(turns: DataFrame, files: DataFrame, episode: list[str], parts: int | None = None) -> DataFrame:
+    """turns with file_name and unavailable: missing_audio where files (episode, file_name) has no such file. parts: how many
+    partitions they come in, whatever their size."""
     named = turns.withColumn("file_name", part_name(F.col("line_id"), F.col("speaker")))
+    if parts:
+        named = named.repartition(parts, *episode, "file_name")
     there = files.select(*episode, "file_name").distinct().withColumn("there", F.lit(True))
     return named.join(there, [*episode, "file_name"], "left").withColumn("unavailable", F.when(F.col("there").isNull(), F.lit(MISSING))).drop("there")
 
@@ -58,17 +61,26 @@ def run_id(stem: Column, round_number: int) -> Column:
 
 def listening_queue(records: DataFrame, by: list[str] | None = None, ordered: bool = True) -> DataFrame:
     """Records as flat rows, the most urgent first, if ordered; equal ones in the order of their lines."""
-    flat = records.withColumns({"expected_emotion_group": F.array_join("expected_emotion_group", ";"), "flags": F.array_join("flags", ";"), "decision_status": F.col("decision.status"), "decision_reason": F.col("decision.reason")})
     by = by or []
-    rows = flat.select(*by, *QUEUE)
+    rows = records.select(*by, *queue_columns())
     return rows.orderBy(*by, F.desc("priority"), "line_id") if ordered else rows
 
 
+def queue_columns() -> list[Column]:
+    """Of a record, in the listening queue."""
+    made = {"expected_emotion_group": F.array_join("expected_emotion_group", ";"), "flags": F.array_join("flags", ";"), "decision_status": F.col("decision.status"), "decision_reason": F.col("decision.reason")}
+    return [made.get(c, F.col(c)).alias(c) for c in QUEUE]
+
+
 def fix_items(records: DataFrame, by: list[str] | None = None) -> DataFrame:
     """A row for each flagged line, with evidence and advice."""
+    return records.where(F.size("flags") > 0).select(*(by or []), *item_columns())
+
+
+def item_columns() -> list[Column]:
+    """Of a flagged record, in a fix plan."""
     evidence = F.struct("tts_text", "asr_text", "cer", "planned_emotion", F.col("emotion").alias("detected_emotion"))
-    rows = records.where(F.size("flags") > 0)
-    return rows.select(*(by or []), "line_id", "speaker", F.col("flags").alias("problem"), evidence.alias("evidence"), S.suggested_actions(F.col("flags")).alias("actions"), F.lit(0).alias("retry"), F.lit("needs_human_review").alias("status"))
+    return [F.col("line_id"), F.col("speaker"), F.col("flags").alias("problem"), evidence.alias("evidence"), S.suggested_actions(F.col("flags")).alias("actions"), F.lit(0).alias("retry"), F.lit("needs_human_review").alias("status")]
 
 
 def fix_plans(records: DataFrame, by: list[str], round_number: int) -> DataFrame:
@@ -86,9 +98,14 @@ def summaries(records: DataFrame, by: list[str]) -> DataFrame:
     return records.groupBy(*by).agg(F.count("*").alias("lines"), F.count_if(F.size("flags") > 0).alias("review_required"))
 
 
-def raw_records(records: DataFrame, stem: Column, round_number: int, detector: dict[str, str], by: list[str] | None = None) -> DataFrame:
-    """What the detector said of each line: records with audio_path, raw_output and error; by: columns to keep beside."""
+def raw_records(records: DataFrame, stem: Column, round_number: int, detector: dict[str, str]) -> DataFrame:
+    """What the detector said of each line: records with audio_path, raw_output and error."""
+    return records.select(*raw_columns(stem, round_number, detector))
+
+
+def raw_columns(stem: Column, round_number: int, detector: dict[str, str]) -> list[Column]:
+    """Of a record, in the raw records."""
     found = F.struct(*(F.lit(v).alias(k) for k, v in detector.items()), F.col("raw_output"), F.col("error"))
     planned = F.col("planned_emotion")
     cues = F.when(planned.isNull() | (planned == ""), F.array().cast("array<string>")).otherwise(F.array(planned))
-    return records.select(*(by or []), run_id(stem, round_number).alias("run_id"), "line_id", "speaker", "audio_path", "tts_text", cues.alias("planned_cues"), "expected_emotion_group", F.array(found).alias("detectors"), "decision")
+    return [run_id(stem, round_number).alias("run_id"), *map(F.col, ("line_id", "speaker", "audio_path", "tts_text")), cues.alias("planned_cues"), F.col("expected_emotion_group"), F.array(found).alias("detectors"), F.col("decision")]

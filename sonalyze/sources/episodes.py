@@ -7,6 +7,7 @@ import io
 import json
 import re
 from collections.abc import Iterable
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from sonalyze.functions.detectors import Detector, default_device, detect, funas
 from sonalyze.functions.speech import CER_THRESHOLD
 from sonalyze.operators import review as R
 from sonalyze.shared import listed
-from sonalyze.sources.files import PARTS, list_audio, write_files
+from sonalyze.sources.files import PARTS, TEXTS, in_batches, list_audio, read_files, write_files
 
 # Names of the files of an episode, and the speaker of a turn that names none.
 REQUEST, RAW = ".minimax-request.json", ".emotion_raw.jsonl"
@@ -36,8 +37,20 @@ def requests(spark: SparkSession, path: str) -> DataFrame:
     with listed(spark):
         found = spark.read.text(path, wholetext=True)
     # many small files a task, however few Spark packs
-    found = found.coalesce(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
-    rows = found.select(at.alias("request_json"), F.expr("try_parse_json(value)").alias("body"))
+    found = found.coalesce(tasks(spark))
+    return named(found.select(at.alias("request_json"), "value"))
+
+
+def requests_below(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """As requests(), of the files below folder whose place there matches pattern (files.TextFiles). Tasks list and read them,
+    so that many small files cost the driver nothing."""
+    return named(read_files(spark, folder, pattern).withColumnRenamed("path", "request_json"))
+
+
+def named(files: DataFrame) -> DataFrame:
+    """request_json, stem, folder, body of files (request_json, value)."""
+    # a body is parsed once: a generator keeps it from being folded into what reads it
+    rows = files.select("request_json", F.explode(F.array(F.expr("try_parse_json(value)"))).alias("body"))
     name = F.element_at(F.split("request_json", "/"), -1)
     stem = F.when(name.endswith(REQUEST), F.substring(name, F.lit(1), F.length(name) - len(REQUEST)))
     return rows.select("request_json", stem.alias("stem"), F.regexp_replace("request_json", "[^/]*$", "").alias("folder"), "body")
@@ -79,9 +92,14 @@ def audio_parts(spark: SparkSession, folder: str) -> DataFrame:
     return list_audio(spark, folder)
 
 
+def tasks(spark: SparkSession) -> int:
+    """How many tasks costly work on short rows is dealt to: as few bytes of them take long, their size doesn't tell."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+
 def review_episodes(spark: SparkSession, found: DataFrame, files: DataFrame, detector: Detector, threshold: float = CER_THRESHOLD) -> DataFrame:
     """The records of all episodes of found (requests()) at once, with audio of files (audio_parts())."""
-    lines = R.attach_audio(turns(found), files, ["folder", "stem"])
+    lines = R.attach_audio(turns(found), files, ["folder", "stem"], tasks(found.sparkSession))
     lines = lines.withColumn("audio_path", F.concat("folder", "stem", F.lit(f"{PARTS}/"), "file_name"))
     return R.review(detect(lines, detector), threshold)
 
@@ -147,28 +165,25 @@ def put(spark: SparkSession, path: str, text: str) -> None:
 
 def episode_files(records: DataFrame, round_number: int, detector: dict[str, str]) -> DataFrame:
     """path and value of the three files of each episode of records (request_json, folder, stem, ...), as review_episode()
-    writes them. An episode's records meet in one task, as each of its files is one document."""
+    writes them. Records are made once; an episode's go through one task, line by line, as each of its files is one document."""
     by = ["folder", "stem"]
-    whole = lambda c: F.to_json(c, {"ignoreNullFields": "false"})
-    raw = R.raw_records(records, F.col("stem"), round_number, detector, by)
-    queue = R.listening_queue(records, by, ordered=False)
-    plan = R.fix_plans(records, ["request_json", *by], round_number)
-    own = lambda rows, kind: rows.select(*by, F.lit(kind).alias("kind"), whole(F.struct(*(c for c in rows.columns if c not in by))).alias("body"))
-    return own(raw, "raw").unionByName(own(queue, "queue")).unionByName(own(plan, "plan")).groupBy(*by).applyInArrow(_files_of(round_number), "path string, value string")
+    whole = lambda columns: F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    item = F.when(F.size("flags") > 0, whole(R.item_columns()))
+    lines = records.select(*by, "request_json", "line_id", whole(R.raw_columns(F.col("stem"), round_number, detector)).alias("raw"), whole(R.queue_columns()).alias("queue"), item.alias("item"))
+    return lines.repartition(tasks(records.sparkSession), *by).sortWithinPartitions(*by, "line_id").drop("line_id").mapInArrow(_files_of(round_number), "path string, value string")
 
 
 def _files_of(round_number: int):
-    def run(table):
-        import pyarrow as pa
-
-        held: dict[str, list[dict]] = {"raw": [], "queue": [], "plan": []}
-        for kind, body in zip(table["kind"].to_pylist(), table["body"].to_pylist()):
-            held[kind].append(json.loads(body))
-        at = f"{table['folder'][0]}{table['stem'][0]}"
-        raw = sorted(held["raw"], key=lambda r: r["line_id"])
-        queue = sorted(held["queue"], key=lambda r: (-r["priority"], r["line_id"]))
-        values = ["".join(json.dumps(r, ensure_ascii=False) + "\n" for r in raw), csv_text(list(queue[0]), [r.values() for r in queue]), json.dumps(held["plan"][0], ensure_ascii=False, indent=2)]
-        return pa.table({"path": [f"{at}{RAW}", f"{at}.review_round{round_number}.csv", f"{at}.fix_plan_round{round_number}.json"], "value": values})
+    def files(at: str, lines: list[tuple]) -> list[tuple[str, str]]:
+        raw, queue, items = ([json.loads(x[k]) for x in lines if x[k] is not None] for k in (3, 4, 5))
+        queue.sort(key=lambda r: (-r["priority"], r["line_id"]))
+        plan = {"request_json": lines[0][2], "round": round_number, "review_required": len(items), "items": items, "note": R.NOTE}
+        values = ["".join(json.dumps(r, ensure_ascii=False) + "\n" for r in raw), csv_text(list(queue[0]), [r.values() for r in queue]), json.dumps(plan, ensure_ascii=False, indent=2)]
+        return list(zip((f"{at}{RAW}", f"{at}.review_round{round_number}.csv", f"{at}.fix_plan_round{round_number}.json"), values))
+
+    def run(batches):
+        rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+        return in_batches((f for (folder, stem), own in groupby(rows, lambda r: r[:2]) for f in files(f"{folder}{stem}", list(own))), TEXTS)
 
     return run
 
@@ -178,6 +193,19 @@ def write_episodes(records: DataFrame, round_number: int, detector: dict[str, st
     write_files(episode_files(records, round_number, detector), folder)
 
 
+def queues(files: DataFrame) -> DataFrame:
+    """path, place and the columns of a queue, all text, for each row of its CSV files (path, value), whose rows are counted from 1.
+    What is empty is null."""
+
+    def run(batches):
+        csv.field_size_limit(2**31 - 1)
+        rows = ((path, place, *(row[c] or None for c in R.QUEUE)) for b in batches for path, text in zip(b["path"].to_pylist(), b["value"].to_pylist()) for place, row in enumerate(csv.DictReader(io.StringIO(text.removeprefix("\ufeff"), newline="")), 1))
+        return in_batches(rows, columns)
+
+    columns = {"path": "string", "place": "int64"} | dict.fromkeys(R.QUEUE, "string")
+    return files.select("path", "value").mapInArrow(run, ", ".join(f"{c} {'long' if c == 'place' else k}" for c, k in columns.items()))
+
+
 def write_raw(raw: DataFrame, path: str) -> None:
     """Raw records of many episodes, as a folder of JSON lines with nulls kept."""
     raw.write.mode("overwrite").option("ignoreNullFields", "false").json(path)

@@ -7,8 +7,9 @@ import json
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from fnmatch import fnmatchcase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
@@ -21,6 +22,10 @@ PARTS = ".line_parts"
 DONE = "_FILES"
 
 
+#: Columns of files and what they hold.
+TEXTS = {"path": "string", "value": "string"}
+
+
 def opened(address: str):
     """The file system of an address, the path in it, and what stands before paths in addresses."""
     from pyarrow import fs
@@ -31,6 +36,23 @@ def opened(address: str):
     return system, path.rstrip("/"), address.rstrip("/")[: -len(path.rstrip("/"))] if path.strip("/") else address
 
 
+def in_batches(rows: Iterable[tuple], columns: dict[str, str], most: int = 8 << 20) -> Iterator:
+    """Rows of texts and numbers as Arrow batches of about so many characters; columns: their types by name."""
+    import pyarrow as pa
+
+    kinds = [pa.type_for_alias(k) for k in columns.values()]
+    batch = lambda held: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], list(columns))
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(x) if isinstance(x, str) else 8 for x in row)
+        if size >= most:
+            yield batch(held)
+            held, size = [], 0
+    if held:
+        yield batch(held)
+
+
 class LineAudio(DataSource):
     """folder, stem, file_name of the line audio anywhere below a folder, empty files too. Each partition walks the folders
     and lists those of episodes whose hash is its own; option partitions: how many there are."""
@@ -77,7 +99,9 @@ class Wrote(WriterCommitMessage):
 
 
 class TextFiles(DataSource):
-    """A file for each row (path, value), UTF-8, over any before; path is below the folder that is saved to, or an address."""
+    """A file for each row (path, value), UTF-8. Saved, it is written over any before; path is below the folder that is saved to,
+    or an address. Loaded, the files below the folder whose place there matches the option pattern, a name for each level; option
+    partitions: how many tasks deal the folders that hold files among them, or the files where all lie in one folder."""
 
     @classmethod
     def name(cls) -> str:
@@ -86,10 +110,42 @@ class TextFiles(DataSource):
     def schema(self) -> str:
         return "path string, value string"
 
+    def reader(self, schema) -> TextFilesReader:
+        return TextFilesReader(self.options["path"], self.options.get("pattern", "*"), int(self.options.get("partitions", 16)))
+
     def writer(self, schema, overwrite: bool) -> TextFilesWriter:
         return TextFilesWriter(self.options["path"])
 
 
+class TextFilesReader(DataSourceReader):
+    def __init__(self, root: str, pattern: str, parts: int):
+        self.root, self.pattern, self.parts = root, pattern.split("/"), parts
+
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(k) for k in range(self.parts)]
+
+    def read(self, partition: InputPartition) -> Iterator:
+        return in_batches(self.texts(partition.value), TEXTS)
+
+    def texts(self, own: int) -> Iterator[tuple[str, str]]:
+        from pyarrow import fs
+
+        system, root, before = opened(self.root)
+
+        def below(folder: str, pattern: str, kind) -> list[str]:
+            return sorted(f.path for f in system.get_file_info(fs.FileSelector(folder)) if f.type == kind and fnmatchcase(f.base_name, pattern))
+
+        folders = [root]
+        for level in self.pattern[:-1]:
+            folders = [f for folder in folders for f in below(folder, level, fs.FileType.Directory)]
+        many = len(folders) > 1
+        for folder in folders[own :: self.parts] if many else folders:
+            files = below(folder, self.pattern[-1], fs.FileType.File)
+            for path in files if many else files[own :: self.parts]:
+                with system.open_input_stream(path) as held:
+                    yield f"{before}{path}", held.read().decode()
+
+
 class TextFilesWriter(DataSourceWriter):
     """A task writes drafts beside its files, and renames them once all are whole: one that dies leaves no file cut off, and its
     next attempt writes them again. The job's commit adds the mark DONE."""
@@ -145,6 +201,12 @@ def list_audio(spark: SparkSession, folder: str) -> DataFrame:
     return registered(spark).read.format(LineAudio.name()).option("partitions", parts).load(folder)
 
 
+def read_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """path and value of the files below folder whose place there matches pattern (one name, or * for part of one, a level), by tasks."""
+    parts = 4 * max(1, spark.sparkContext.defaultParallelism)
+    return registered(spark).read.format(TextFiles.name()).option("partitions", parts).option("pattern", pattern).load(folder)
+
+
 def write_files(files: DataFrame, folder: str) -> None:
     """A file below folder for each row (path, value), by tasks."""
     registered(files.sparkSession)

@@ -220,3 +220,34 @@ def test_a_line_that_passes_has_no_flags_in_its_file(spark, tmp_path):
     found, want = conversations(spark, tmp_path, [(1, 0, "user", "第1句"), (1, 1, "user", "Bonjour, a \"b\"\nc"), (1, 2, "assistant", "")])
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(want, key=repr)
     assert {r.line_id: (r.flags, r.planned, r.place) for r in found.collect()} == {1: ("", False, 3), 2: ("asr_mismatch", True, 1), 3: ("asr_mismatch", True, 2)}
+
+
+def test_many_episodes_are_reviewed_once_and_read_back_by_few_tasks(spark, tmp_path):
+    spark.sparkContext.setJobGroup("files", "")
+    found, want = conversations(spark, tmp_path, [(i, t, "user", "a line that is long enough") for i in range(120) for t in range(3)])
+    got = sorted(map(tuple, found.collect()), key=repr)
+    spark.sparkContext.setJobGroup("", "")
+    assert got == sorted(want, key=repr) and len(got) == 360
+    status = spark.sparkContext.statusTracker()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup("files") for s in status.getJobInfo(j).stageIds]
+    assert 0 < max(s.numTasks for s in stages if s) <= 16
+    (tmp_path / f"e{E.REQUEST}").write_text(json.dumps({"turns": [{"speaker": "a", "text": "x"}]}))
+    records = E.review_episodes(spark, E.requests(spark, f"{tmp_path}/*.json"), E.audio_parts(spark, str(tmp_path)), Detector(fake({})))
+    plan = E.episode_files(records, 1, {})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInPandas") == 1
+
+
+def test_requests_are_listed_and_read_by_tasks(spark, tmp_path):
+    """The same rows as by Spark's reader, from one folder or from many."""
+    for i in range(7):
+        (tmp_path / "many" / f"d{i % 3}" / "ep.line_parts").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "flat").mkdir(exist_ok=True)
+        for place in (tmp_path / "flat", tmp_path / "many" / f"d{i % 3}"):
+            (place / f"é {i}{E.REQUEST if i else '.json'}").write_text(json.dumps({"turns": [{"speaker": "a", "text": f"x{i}\n"}]}) if i < 5 else "{", encoding="utf-8")
+            (place / f"{i}.txt").write_text("no request")
+    for folder, pattern in (("flat", "*.json"), ("many", "*/*.json")):
+        mine, theirs = E.requests_below(spark, f"{tmp_path}/{folder}", pattern), E.requests(spark, f"{tmp_path}/{folder}/{pattern}")
+        for of in (E.turns, E.reject):
+            assert sorted(map(tuple, of(mine).collect())) == sorted(map(tuple, of(theirs).collect())) != []
+        assert mine.count() == 7
+    assert E.requests_below(spark, f"{tmp_path}/many", "d0/*3*.json").count() == 1
