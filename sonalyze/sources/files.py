@@ -100,7 +100,8 @@ class Wrote(WriterCommitMessage):
 
 class TextFiles(DataSource):
     """A file for each row (path, value), UTF-8. Saved, it is written over any before; path is below the folder that is saved to,
-    or an address. Loaded, the files below the folder whose place there matches the option pattern, a name for each level; option
+    or an address. Loaded, the files below the folder whose place there matches the option pattern, a name for each level; those
+    that Spark takes for hidden (by . or _) are left out, and bytes that are no UTF-8 are replaced, as by its reader. Option
     partitions: how many tasks deal the folders that hold files among them, or the files where all lie in one folder."""
 
     @classmethod
@@ -133,7 +134,7 @@ class TextFilesReader(DataSourceReader):
         system, root, before = opened(self.root)
 
         def below(folder: str, pattern: str, kind) -> list[str]:
-            return sorted(f.path for f in system.get_file_info(fs.FileSelector(folder)) if f.type == kind and fnmatchcase(f.base_name, pattern))
+            return sorted(f.path for f in system.get_file_info(fs.FileSelector(folder)) if f.type == kind and fnmatchcase(f.base_name, pattern) and f.base_name[0] not in "._")
 
         folders = [root]
         for level in self.pattern[:-1]:
@@ -143,7 +144,7 @@ class TextFilesReader(DataSourceReader):
             files = below(folder, self.pattern[-1], fs.FileType.File)
             for path in files if many else files[own :: self.parts]:
                 with system.open_input_stream(path) as held:
-                    yield f"{before}{path}", held.read().decode()
+                    yield f"{before}{path}", held.read().decode(errors="replace")
 
 
 class TextFilesWriter(DataSourceWriter):

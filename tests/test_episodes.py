@@ -245,9 +245,11 @@ def test_requests_are_listed_and_read_by_tasks(spark, tmp_path):
         for place in (tmp_path / "flat", tmp_path / "many" / f"d{i % 3}"):
             (place / f"é {i}{E.REQUEST if i else '.json'}").write_text(json.dumps({"turns": [{"speaker": "a", "text": f"x{i}\n"}]}) if i < 5 else "{", encoding="utf-8")
             (place / f"{i}.txt").write_text("no request")
+            (place / f"bytes{E.REQUEST}").write_bytes(b'{"turns": [{"text": "\xff\xe9"}]}')
+            (place / f".draft{E.REQUEST}").write_text("{")
     for folder, pattern in (("flat", "*.json"), ("many", "*/*.json")):
         mine, theirs = E.requests_below(spark, f"{tmp_path}/{folder}", pattern), E.requests(spark, f"{tmp_path}/{folder}/{pattern}")
         for of in (E.turns, E.reject):
             assert sorted(map(tuple, of(mine).collect())) == sorted(map(tuple, of(theirs).collect())) != []
-        assert mine.count() == 7
+        assert mine.count() == (8 if folder == "flat" else 10)
     assert E.requests_below(spark, f"{tmp_path}/many", "d0/*3*.json").count() == 1
